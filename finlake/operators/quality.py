@@ -34,9 +34,9 @@ DISTRIBUTIONS = {
     "Dividendo_Distribuido_Total": ("dividend_distribution", ("total", "count", "avg", "min", "max")),
     "Valor_Cotacao_Media": ("stock_price_distribution", ("count", "avg", "min", "max")),
 }
-PROFILE_SCHEMA = "tabela string, ano int, metrica string, coluna string, valor double"
 
-Metric = tuple[str, str | None, Column]
+# Aggregates are named "measure|column" until they are turned into rows.
+MARK = "|"
 
 
 @dataclass(frozen=True)
@@ -62,86 +62,98 @@ def _invalid(df: DataFrame, column: str) -> Column:
     return is_invalid(quoted(column)) if floating else quoted(column).isNull()
 
 
-def _statistic(column: str, name: str) -> Column:
-    value = quoted(column)
-    return {"total": F.sum, "count": F.count, "avg": F.avg, "min": F.min, "max": F.max}[name](value)
-
-
-def _measures(df: DataFrame, checks: Checks, as_of: date) -> tuple[dict[str, Column], list[Metric]]:
-    """Aggregates of the wide pass and the metrics made from them."""
-    aggregates: dict[str, Column] = {"rows": F.count(F.lit(1))}
-    rows = F.coalesce(F.col("rows"), F.lit(0))
-    metrics: list[Metric] = [("total_rows", None, rows), ("total_columns", None, F.lit(len(df.columns)))]
-
-    def measure(name: str, aggregate: Column) -> Column:
-        aggregates[name] = aggregate
-        return F.coalesce(F.col(f"`{name}`"), F.lit(0))
-
-    for i, c in enumerate(df.columns):
-        share = percentage(measure(f"null_{i}", F.count_if(quoted(c).isNull())), rows)
-        metrics += [
-            ("null_percentage", c, share),
-            ("null_percentages", c, F.round(share, 2)),
-            ("high_null_columns", c, F.when(share > HIGH_NULL_PERCENT, share)),
-        ]
+def _measures(df: DataFrame, checks: Checks, as_of: date) -> dict[str, Column]:
+    """Aggregates of the pass over all columns."""
     present = set(df.columns)
-    for c, name in checks.invalid.items():
+    statistics = {"total": F.sum, "count": F.count, "avg": F.avg, "min": F.min, "max": F.max}
+    measures = {f"null_percentage{MARK}{c}": F.count_if(quoted(c).isNull()) for c in df.columns}
+    measures |= {
+        f"{name}{MARK}{c}": F.count_if(_invalid(df, c)) for c, name in checks.invalid.items() if c in present
+    }
+    measures |= {
+        f"future_dates{MARK}{c}": F.count_if(after(quoted(c), as_of)) for c in checks.future if c in present
+    }
+    for c, (name, wanted) in checks.distributions.items():
         if c in present:
-            count = measure(f"invalid_{name}", F.count_if(_invalid(df, c)))
-            metrics += [(f"{name}_values", c, count), (f"{name}_pct", c, F.round(percentage(count, rows), 2))]
-    for i, c in enumerate(checks.future):
-        if c in present:
-            count = measure(f"future_{i}", F.count_if(after(quoted(c), as_of)))
-            metrics.append(("future_dates", c, F.when(count > 0, count)))
-    for c, (name, statistics) in checks.distributions.items():
-        if c in present:
-            metrics += [(f"{name}.{s}", c, measure(f"{name}_{s}", _statistic(c, s))) for s in statistics]
-    return aggregates, metrics
+            measures |= {f"{name}.{s}{MARK}{c}": statistics[s](quoted(c)) for s in wanted}
+    return measures
 
 
 def _grouped(df: DataFrame, by: str | None, aggregates: Mapping[str, Column]) -> DataFrame:
-    return df.groupBy(*([quoted(by)] if by else [])).agg(*[a.alias(n) for n, a in aggregates.items()])
+    columns = [a.cast("double").alias(n) for n, a in aggregates.items()]
+    return df.groupBy(*([quoted(by)] if by else [])).agg(*columns)
+
+
+def _totals(df: DataFrame, by: str | None, measures: Mapping[str, Column]) -> DataFrame:
+    return _grouped(df, by, {"rows": F.count(F.lit(1)), f"total_rows{MARK}": F.count(F.lit(1)), **measures})
 
 
-def _as_rows(wide: DataFrame, checks: Checks, by: str | None, year: int | None, years, metrics) -> DataFrame:
-    """One row per metric; metrics that came out NULL do not apply and are left out."""
+def _as_rows(
+    wide: DataFrame, checks: Checks, by: str | None, year: int | None, years: list[int] | None,
+    constants: Mapping[str, int] | None = None,
+) -> DataFrame:
+    """One row per metric. Shares and flags are worked out here, on a handful of rows."""
     if by and years is not None:
-        wanted = wide.sparkSession.createDataFrame([(int(y),) for y in years], f"`{by}` int")
+        wanted = wide.sparkSession.createDataFrame([(y,) for y in years], f"`{by}` int")
         wide = wanted.join(wide, by, "left")
-    label = quoted(by) if by else F.lit(year)
-    structs = [
-        F.struct(
-            F.lit(m).alias("metrica"), F.lit(c).cast("string").alias("coluna"), v.cast("double").alias("valor")
-        )
-        for m, c, v in metrics
-    ]
-    rows = wide.select(F.lit(checks.table).alias("tabela"), label.cast("int").alias("ano"), F.inline(F.array(*structs)))
-    return rows.where(F.col("valor").isNotNull())
-
-
-def _keyed(df: DataFrame, checks: Checks, by: str | None) -> list[tuple[DataFrame, list[Metric]]]:
+    if constants:
+        wide = wide.withColumns({n: F.lit(float(v)) for n, v in constants.items()})
+    label = (quoted(by) if by else F.lit(year)).cast("int").alias("ano")
+    rows = F.coalesce("rows", F.lit(0.0)).alias("rows") if "rows" in wide.columns else F.lit(0.0).alias("rows")
+    values = [c for c in wide.columns if c not in (by, "rows")]
+    measured = wide.select(label, rows, *[quoted(c) for c in values]).unpivot(
+        ["ano", "rows"], [quoted(c) for c in values], "nome", "valor"
+    )
+    kind, value = F.substring_index("nome", MARK, 1), F.coalesce("valor", F.lit(0.0))
+    share = percentage(value, F.col("rows"))
+
+    def metrics(*pairs: tuple[Column, Column]) -> Column:
+        return F.array(*[F.struct(name.alias("metrica"), v.alias("valor")) for name, v in pairs])
+
+    found = (
+        F.when(kind == "null_percentage", metrics(
+            (kind, share), (F.lit("null_percentages"), F.round(share, 2)),
+            (F.lit("high_null_columns"), F.when(share > HIGH_NULL_PERCENT, share)),
+        ))
+        .when(kind.isin(*checks.invalid.values()), metrics(
+            (F.concat(kind, F.lit("_values")), value), (F.concat(kind, F.lit("_pct")), F.round(share, 2)),
+        ))
+        .when(kind == "future_dates", metrics((kind, F.when(value > 0, value))))
+        .otherwise(metrics((kind, value)))
+    )
+    column = F.expr(f"nullif(substr(nome, instr(nome, '{MARK}') + 1), '')").alias("coluna")
+    listed = measured.select(F.lit(checks.table).alias("tabela"), "ano", column, F.inline(found))
+    return listed.where(F.col("valor").isNotNull()).select("tabela", "ano", "metrica", "coluna", "valor")
+
+
+def _keyed(df: DataFrame, checks: Checks, by: str | None) -> list[DataFrame]:
     """Duplicate key groups and distinct companies, a NULL company counting as one."""
     group = [by] if by else []
     company = next((c for c in checks.company if c in df.columns), None)
     key = [c for c in checks.key if c in df.columns]
-    duplicates: Metric = ("duplicates", None, F.coalesce(F.col("duplicates"), F.lit(0)))
-    companies: Metric = ("unique_companies", company, F.coalesce(F.col("companies"), F.lit(0)))
+    duplicates, companies = f"duplicates{MARK}", f"unique_companies{MARK}{company}"
     count, more_than_one = F.count(F.lit(1)), F.count_if(F.col("n") > 1)
-    parts: list[tuple[DataFrame, list[Metric]]] = []
+    parts: list[DataFrame] = []
     if key:
         # The year is part of the group; a key that also names it must not list it twice.
         per_key = df.groupBy(*[quoted(c) for c in dict.fromkeys([*group, *key])]).agg(count.alias("n"))
         if company in key:
             per_company = per_key.groupBy(*[quoted(c) for c in [*group, company]]).agg(more_than_one.alias("d"))
-            wide = _grouped(per_company, by, {"duplicates": F.sum("d"), "companies": count})
-            return [(wide, [duplicates, companies])]
-        parts.append((_grouped(per_key, by, {"duplicates": more_than_one}), [duplicates]))
+            return [_grouped(per_company, by, {duplicates: F.sum("d"), companies: count})]
+        parts.append(_grouped(per_key, by, {duplicates: more_than_one}))
     if company:
         distinct = df.select(*[quoted(c) for c in dict.fromkeys([*group, company])]).distinct()
-        parts.append((_grouped(distinct, by, {"companies": count}), [companies]))
+        parts.append(_grouped(distinct, by, {companies: count}))
     return parts
 
 
+def _wanted(measure: str, only: Collection[str] | None) -> bool:
+    """Whether a measure feeds one of the metric names in ``only``."""
+    kind = measure.split(MARK)[0].split(".")[0]
+    made = {"null_percentage": ("null_percentage", "null_percentages", "high_null_columns")}
+    return only is None or any(m in only for m in made.get(kind, (kind, f"{kind}_values", f"{kind}_pct")))
+
+
 def profile(
     df: DataFrame, checks: Checks, as_of: date, by: str | None = None, year: int | None = None,
     years: Iterable[int] | None = None, only: Collection[str] | None = None,
@@ -152,22 +164,19 @@ def profile(
     the frame is one year, labelled ``year``. When a required column is missing, only the row and column
     totals and the missing names are reported.
     """
-    years = None if years is None else list(years)
+    years = None if years is None else [int(y) for y in years]
+    constants = {f"total_columns{MARK}": len(df.columns)}
     missing = missing_columns(df, checks)
     if missing:
-        wide = _grouped(df, by, {"rows": F.count(F.lit(1))})
-        metrics: list[Metric] = [
-            ("total_rows", None, F.coalesce(F.col("rows"), F.lit(0))),
-            ("total_columns", None, F.lit(len(df.columns))),
-            *[("missing_columns", c, F.lit(1)) for c in missing],
-        ]
-        return _as_rows(wide, checks, by, year, years, metrics)
-    aggregates, metrics = _measures(df, checks, as_of)
-    parts = [(_grouped(df, by, aggregates), metrics), *_keyed(df, checks, by)]
-    if only is not None:
-        kept = [(w, [m for m in ms if m[0].split(".")[0] in only]) for w, ms in parts]
-        parts = [(w, ms) for w, ms in kept if ms]
-    return reduce(DataFrame.unionByName, [_as_rows(w, checks, by, year, years, m) for w, m in parts])
+        constants |= {f"missing_columns{MARK}{c}": 1 for c in missing}
+        return _as_rows(_totals(df, by, {}), checks, by, year, years, constants)
+    measures = {n: a for n, a in _measures(df, checks, as_of).items() if _wanted(n, only)}
+    parts = [_as_rows(_totals(df, by, measures), checks, by, year, years, constants)]
+    for wide in _keyed(df, checks, by):
+        if any(MARK in c and _wanted(c, only) for c in wide.columns):
+            parts.append(_as_rows(wide, checks, by, year, years))
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows if only is None else rows.where(F.substring_index("metrica", ".", 1).isin(*only))
 
 
 def errors(profiled: DataFrame) -> DataFrame:

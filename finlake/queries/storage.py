@@ -6,12 +6,15 @@ Queries that store a table do so below the session's shared checkpoint folder an
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.csv as pacsv
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,8 @@ from finlake.sinks.tables import YEAR, migrate_to_years, overwrite_table, replac
 from finlake.sources.bronze import bronze_path, latest_path, manifest_summary, read_manifest
 from finlake.sources.tables import read_csv, read_table
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ORDER_YEARS = range(1995, 2002)
 
 
@@ -95,7 +100,7 @@ def _zip_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         years = rows.column("ano_referencia")
         archives = []
         for year in years.unique().to_pylist():
-            part = rows.filter(pa.compute.equal(years, year)).drop_columns(["ano_referencia"])
+            part = rows.filter(pc.equal(years, year)).drop_columns(["ano_referencia"])
             text = io.BytesIO()
             pacsv.write_csv(part, text, pacsv.WriteOptions(delimiter=";", quoting_style="needed"))
             content = text.getvalue().decode("utf-8").encode("cp1252")

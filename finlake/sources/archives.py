@@ -10,16 +10,21 @@ import codecs
 import csv
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterable, Iterator, Mapping
 from itertools import islice
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.sources.tables import SEPARATOR
 
+# Tasks get these functions by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROWS_PER_BATCH = 20_000
 CHUNK_BYTES = 1 << 20
 MAX_FIELD_CHARS = 1 << 27
