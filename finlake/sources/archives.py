@@ -12,10 +12,12 @@ import io
 import re
 import sys
 import zipfile
+import zlib
 from collections.abc import Iterable, Iterator, Mapping
-from itertools import islice
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.csv as pacsv
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +27,8 @@ from finlake.sources.tables import SEPARATOR
 # Tasks get these functions by value, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ROWS_PER_BATCH = 20_000
 CHUNK_BYTES = 1 << 20
-MAX_FIELD_CHARS = 1 << 27
+BLOCK_BYTES = 8 << 20
 
 LANDED_SCHEMA = (
     "documento string, tabela string, ano int, membro string, linha bigint, campos array<string>, defeito string"
@@ -57,26 +58,70 @@ def _encoding(archive: zipfile.ZipFile, member: str) -> str:
     return "utf-8-sig"
 
 
-def _records(archive: zipfile.ZipFile, member: str) -> Iterator[tuple[list[str], str | None]]:
-    """Parsed records, header first; a record longer than the header carries a defect."""
-    csv.field_size_limit(MAX_FIELD_CHARS)
+def _header(archive: zipfile.ZipFile, member: str, encoding: str) -> tuple[list[str], bool]:
+    """Column names, and whether any record follows them."""
     with archive.open(member) as raw:
-        text = io.TextIOWrapper(raw, encoding=_encoding(archive, member), errors="replace", newline="")
-        rows = (r for r in csv.reader(text, delimiter=SEPARATOR) if r)
-        header = next(rows, None)
-        if header is None:
-            return
-        yield header, None
-        for row in rows:
-            yield row, f"{len(row)} fields for {len(header)} columns" if len(row) > len(header) else None
-
-
-def _landed(document, table, year, member, first, records) -> pa.RecordBatch:
-    n = len(records)
+        text = io.TextIOWrapper(raw, encoding=encoding, newline="")
+        records = (r for r in csv.reader(text, delimiter=SEPARATOR) if r)
+        return next(records, []), next(records, None) is not None
+
+
+def _rows_of(batch: pa.RecordBatch) -> pa.ListArray:
+    """The columns of a batch as one array of fields per row."""
+    n, width = batch.num_rows, batch.num_columns
+    by_row = np.arange(n * width).reshape(width, n).T.ravel()
+    return pa.ListArray.from_arrays(
+        pa.array(np.arange(0, n * width + 1, width), pa.int32()), pa.concat_arrays(batch.columns).take(pa.array(by_row))
+    )
+
+
+def _parsed(archive: zipfile.ZipFile, member: str) -> Iterator[tuple[pa.ListArray, list[str | None] | None]]:
+    """Batches of field arrays, header first, with the defects of a batch if any.
+
+    A short record keeps the fields it has. A record longer than the header is a defect.
+    """
+    encoding = _encoding(archive, member)
+    header, more = _header(archive, member, encoding)
+    if header:
+        yield pa.array([header], pa.list_(pa.string())), None
+    if not more:
+        return
+    uneven: list[list[str]] = []
+
+    def kept() -> tuple[pa.ListArray, list[str | None]]:
+        defects = [f"{len(r)} fields for {len(header)} columns" if len(r) > len(header) else None for r in uneven]
+        fields = pa.array(uneven, pa.list_(pa.string()))
+        uneven.clear()
+        return fields, defects
+
+    def keep_uneven(row: pacsv.InvalidRow) -> str:
+        uneven.append(next(csv.reader(io.StringIO(row.text, newline=""), delimiter=SEPARATOR), []))
+        return "skip"
+
+    names = [f"f{i}" for i in range(len(header))]
+    read = pacsv.ReadOptions(
+        use_threads=False, block_size=BLOCK_BYTES, skip_rows=1, column_names=names,
+        encoding="utf8" if encoding == "utf-8-sig" else encoding,
+    )
+    parse = pacsv.ParseOptions(delimiter=SEPARATOR, newlines_in_values=True, invalid_row_handler=keep_uneven)
+    text = pacsv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), strings_can_be_null=False)
+    with archive.open(member) as raw:
+        for batch in pacsv.open_csv(pa.PythonFile(raw, mode="r"), read, parse, text):
+            if batch.num_rows:
+                yield _rows_of(batch), None
+            if uneven:
+                yield kept()
+    if uneven:
+        yield kept()
+
+
+def _landed(document, table, year, member, first, fields, defects=None) -> pa.RecordBatch:
+    n = len(fields)
     columns = [
-        pa.array([document] * n, pa.string()), pa.array([table] * n, pa.string()), pa.array([year] * n, pa.int32()),
-        pa.array([member] * n, pa.string()), pa.array(range(first, first + n), pa.int64()),
-        pa.array([r for r, _ in records], pa.list_(pa.string())), pa.array([d for _, d in records], pa.string()),
+        pa.repeat(pa.scalar(document, pa.string()), n), pa.repeat(pa.scalar(table, pa.string()), n),
+        pa.repeat(pa.scalar(year, pa.int32()), n), pa.repeat(pa.scalar(member, pa.string()), n),
+        pa.array(np.arange(first, first + n), pa.int64()), fields,
+        pa.array(defects, pa.string()) if defects else pa.nulls(n, pa.string()),
     ]
     return pa.RecordBatch.from_arrays(columns, schema=_LANDED_ARROW)
 
@@ -93,12 +138,12 @@ def _unpack_one(document, year, content, stems) -> Iterator[pa.RecordBatch]:
                 continue
             line = 0
             try:
-                records = _records(archive, member)
-                while batch := list(islice(records, ROWS_PER_BATCH)):
-                    yield _landed(document, table, year, member, line, batch)
-                    line += len(batch)
-            except (zipfile.BadZipFile, csv.Error, EOFError, OSError, ValueError) as error:
-                yield _landed(document, table, year, member, line, [([], f"unreadable: {error}")])
+                for fields, defects in _parsed(archive, member):
+                    yield _landed(document, table, year, member, line, fields, defects)
+                    line += len(fields)
+            except (zipfile.BadZipFile, zlib.error, csv.Error, pa.ArrowInvalid, EOFError, OSError, ValueError) as error:
+                empty = pa.array([[]], pa.list_(pa.string()))
+                yield _landed(document, table, year, member, max(line, 1), empty, [f"unreadable: {error}"])
 
 
 def unpack(archives: DataFrame, stems: Mapping[str, Mapping[str, str]]) -> DataFrame:
