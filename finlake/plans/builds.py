@@ -158,7 +158,7 @@ def build_silver(
     if document == "CAD":
         return build_register(spark, lake, run_ts)
     newest = newest_archives(spark, lake, document, years)
-    archives = read_archives(spark, [(document, y, p) for y, p in sorted(newest.items())]) if newest else None
+    archives = read_archives(spark, document, newest.values()) if newest else None
     return log_outcomes(spark, lake, run_ts, silver_from_archives(archives, lake, document, years, names, run_ts))
 
 

@@ -22,6 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finlake.sources.bronze import PATH_PARTS
 from finlake.sources.tables import SEPARATOR
 
 # Tasks get these functions by value, so executors need no copy of the package.
@@ -163,12 +164,11 @@ def unpack(archives: DataFrame, stems: Mapping[str, Mapping[str, str]]) -> DataF
     return archives.select("documento", "ano", "content").mapInArrow(unpack_batches, LANDED_SCHEMA)
 
 
-def read_archives(spark: SparkSession, located: Iterable[tuple[str, int, str]]) -> DataFrame:
-    """``documento, ano, content`` for known ``(document, year, path)`` triples; only those files are opened."""
-    located = list(located)
-    names = spark.createDataFrame([(p, d, y) for d, y, p in located], "path string, documento string, ano int")
-    files = spark.read.format("binaryFile").load([p for _, _, p in located]).select("path", "content")
-    return files.join(F.broadcast(names), "path").select("documento", "ano", "content")
+def read_archives(spark: SparkSession, document: str, paths: Iterable[str]) -> DataFrame:
+    """``documento, ano, content`` of known archives, the year taken from the path; no other file is opened."""
+    files = spark.read.format("binaryFile").load(list(paths))
+    year = F.regexp_extract("path", PATH_PARTS["ano"], 1).cast("int")
+    return files.select(F.lit(document).alias("documento"), year.alias("ano"), "content")
 
 
 def land(landed: DataFrame, path: str) -> None:
