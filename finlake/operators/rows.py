@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from finlake.functions.text import quoted
 
+# A key row is an identifier and a count, well under 100 bytes: at most 100 MB is ever broadcast.
+BROADCAST_ROWS = 1_000_000
+SALTS = 16
+
 
 def newest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` values per key."""
@@ -32,30 +36,43 @@ def key_multiplicity(dimension: DataFrame, key: str) -> DataFrame:
     return dimension.where(quoted(key).isNotNull()).groupBy(quoted(key)).agg(F.count(F.lit(1)).alias("vezes"))
 
 
+def _join_on_key(fact: DataFrame, fact_key: str, keys: DataFrame, how: str, broadcast: bool, salts: int) -> DataFrame:
+    """Join on ``__key``. Without a broadcast, rows of one key are spread over ``salts`` groups.
+
+    Each key then meets its rows in that many tasks, and since both sides are exchanged right before the
+    join, Spark can split groups that are still too big at run time. The salt is a hash of the row, so a
+    task that is run again sends every row to the same place.
+    """
+    if broadcast:
+        return fact.join(F.broadcast(keys), quoted(fact_key) == F.col("__key"), how)
+    spread = keys.withColumn("__of", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = fact.withColumn("__salt", F.pmod(F.xxhash64(*map(quoted, fact.columns)), F.lit(salts)).cast("int"))
+    joined = salted.join(spread, (quoted(fact_key) == F.col("__key")) & (F.col("__salt") == F.col("__of")), how)
+    return joined.drop("__salt", "__of")
+
+
 def repeat_per_match(
     fact: DataFrame, fact_key: str, dimension: DataFrame, key: str, dimension_rows: int | None = None,
-    broadcast_rows: int = 1_000_000,
+    broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS,
 ) -> DataFrame:
     """Fact rows whose key is in the dimension, once per matching dimension row.
 
     An inner join of which only the dimension's key is kept, so the dimension shrinks to one short row per key
     first and repeats are made afterwards. It is broadcast only when the caller knows it has at most
-    ``broadcast_rows`` rows; otherwise Spark joins by size, splitting hot keys of the fact at run time.
+    ``broadcast_rows`` rows.
     """
-    matches = key_multiplicity(dimension, key).withColumnRenamed(key, "__key")
-    if dimension_rows is not None and dimension_rows <= broadcast_rows:
-        matches = F.broadcast(matches)
-    joined = fact.join(matches, quoted(fact_key) == F.col("__key"), "inner")
+    keys = key_multiplicity(dimension, key).withColumnRenamed(key, "__key")
+    small = dimension_rows is not None and dimension_rows <= broadcast_rows
+    joined = _join_on_key(fact, fact_key, keys, "inner", small, salts)
     repeated = joined.withColumn("__copy", F.explode(F.expr("sequence(1L, vezes)")))
     return repeated.drop("__key", "vezes", "__copy")
 
 
 def with_match(
     fact: DataFrame, fact_key: str, dimension: DataFrame, key: str, dimension_rows: int | None = None,
-    broadcast_rows: int = 1_000_000,
+    broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS,
 ) -> DataFrame:
     """Fact rows whose key is in the dimension, each once whatever the dimension repeats."""
-    keys = dimension.select(quoted(key).alias("__key"))
-    if dimension_rows is not None and dimension_rows <= broadcast_rows:
-        keys = F.broadcast(keys)
-    return fact.join(keys, quoted(fact_key) == F.col("__key"), "left_semi")
+    keys = dimension.select(quoted(key).alias("__key")).where("__key is not null")
+    small = dimension_rows is not None and dimension_rows <= broadcast_rows
+    return _join_on_key(fact, fact_key, keys, "left_semi", small, salts)

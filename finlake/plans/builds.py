@@ -203,8 +203,9 @@ def build_gold(
             }
             dim = read_table(spark, company_path) if fact.company else None
             rows = build_fact(tables, fact, dim, company_rows, fan_out=not unique_companies)
-            # Sources are already stored in whole files per year, so no exchange is spent on the layout.
-            return replace_years(rows, lake.fact(fact.name), years, rebalance=False)
+            # Sources are stored in whole files per year. A fact projected from them keeps that layout, so only
+            # one that was joined spends an exchange on it.
+            return replace_years(rows, lake.fact(fact.name), years, rebalance=fact.company is not None)
 
         outcomes += _attempt("gold", name, years, job)
     return log_outcomes(spark, lake, run_ts, outcomes)

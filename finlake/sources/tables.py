@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +49,7 @@ def read_csv(
         return reader.option("encoding", encoding).csv(path)
     kinds: dict[bool, list[str]] = {}
     for row in file_encodings(spark, path).collect():  # one short row per input file
-        kinds.setdefault(row["is_utf8"], []).append(row["path"])
+        kinds.setdefault(row["is_utf8"], []).append(unquote(row["path"]))
     parts = []
     if True in kinds:
         parts.append(reader.csv(kinds[True]))

@@ -164,8 +164,8 @@ def test_latest_snapshot(spark, folder):
 
 def test_encodings(spark, folder):
     Path(folder, "a.csv").write_bytes("n;v\nAÇÃO – €;1\n".encode("cp1252"))
-    Path(folder, "b.csv").write_bytes("n;v\nAÇÃO – €;2\n".encode("utf-8"))
-    paths = [f"{folder}/a.csv", f"{folder}/b.csv"]
+    Path(folder, "b é 1.csv").write_bytes("n;v\nAÇÃO – €;2\n".encode("utf-8"))
+    paths = [f"{folder}/a.csv", f"{folder}/b é 1.csv"]
     assert sorted(r["is_utf8"] for r in file_encodings(spark, paths).collect()) == [False, True]
     assert sorted(tuple(r) for r in read_csv(spark, paths).collect()) == [("AÇÃO – €", "1"), ("AÇÃO – €", "2")]
 

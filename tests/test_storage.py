@@ -1,0 +1,116 @@
+import pytest
+from pyspark.sql import functions as F
+
+from finlake.operators.rows import duplicate_groups, newest, one_row_per_key, repeat_per_match, with_match
+from finlake.session import scratch_dir
+from finlake.sinks.exports import export_table
+from finlake.sinks.tables import append_rows, layout, migrate_to_years, overwrite_table, replace_years
+from finlake.sources.tables import read_table
+
+
+def years(spark, n=100):
+    return spark.range(n).select("id", (F.lit(2000) + F.col("id") % 4).cast("int").alias("ano_referencia"))
+
+
+def counts(spark, path):
+    found = read_table(spark, path).groupBy("ano_referencia").count().collect()
+    return {r["ano_referencia"]: r["count"] for r in found}
+
+
+def test_replacing_a_year_leaves_the_others(spark, folder):
+    path = f"{folder}/t"
+    assert replace_years(years(spark), path, range(2000, 2004)) == {2000: 25, 2001: 25, 2002: 25, 2003: 25}
+    assert replace_years(years(spark, 40).where("ano_referencia = 2001"), path, [2001]) == {2001: 10}
+    assert counts(spark, path) == {2000: 25, 2001: 10, 2002: 25, 2003: 25}
+
+
+@pytest.mark.parametrize("rebalance", [True, False])
+def test_replacing_with_nothing_clears_the_year(spark, folder, rebalance):
+    path = f"{folder}/t"
+    replace_years(years(spark), path, range(2000, 2004))
+    assert replace_years(years(spark).where("id < 0"), path, [2001, 2002], rebalance=rebalance) == {2001: 0, 2002: 0}
+    assert counts(spark, path) == {2000: 25, 2003: 25}
+
+
+def test_first_write_of_nothing_still_makes_a_table(spark, folder):
+    replace_years(years(spark).where("false"), f"{folder}/t", [2000])
+    assert read_table(spark, f"{folder}/t").count() == 0
+    assert read_table(spark, f"{folder}/t").columns == ["id", "ano_referencia"]
+
+
+def test_a_row_of_another_year_fails_the_write(spark, folder):
+    path = f"{folder}/t"
+    replace_years(years(spark), path, range(2000, 2004))
+    with pytest.raises(Exception, match="row outside the replaced years"):
+        replace_years(years(spark), path, [2000, 2001])
+    assert counts(spark, path) == {2000: 25, 2001: 25, 2002: 25, 2003: 25}
+
+
+def test_a_null_year_fails_the_write(spark, folder):
+    df = spark.sql("select 1L as id, cast(null as int) as ano_referencia")
+    with pytest.raises(Exception, match="row outside the replaced years"):
+        replace_years(df, f"{folder}/t", [2000])
+
+
+def test_a_table_can_be_rewritten_from_itself(spark, folder):
+    path = f"{folder}/t"
+    replace_years(years(spark), path, range(2000, 2004))
+    replace_years(read_table(spark, path).where("ano_referencia = 2000 and id < 8"), path, [2000])
+    assert counts(spark, path)[2000] == 2
+
+
+def test_layouts(spark, folder):
+    flat, by_year = f"{folder}/flat", f"{folder}/by-year"
+    assert layout(spark, flat) == "absent"
+    assert overwrite_table(years(spark), flat) == 100
+    assert layout(spark, flat) == "flat"
+    assert migrate_to_years(spark, flat, by_year, range(2000, 2004))[2003] == 25
+    assert layout(spark, by_year) == "by_year"
+    with pytest.raises(ValueError):
+        migrate_to_years(spark, by_year, f"{folder}/x", [2000])
+    replace_years(years(spark).where("ano_referencia = 2002"), flat, [2002])
+    assert counts(spark, flat) == {2002: 25}
+
+
+def test_overwrite_and_append_count(spark, folder):
+    assert overwrite_table(spark.range(5), f"{folder}/t") == 5
+    assert overwrite_table(spark.range(0), f"{folder}/t") == 0
+    assert append_rows(spark.range(3), f"{folder}/t") == 3
+    assert spark.read.parquet(f"{folder}/t").count() == 3
+
+
+def test_big_exports_are_split(spark, folder):
+    overwrite_table(spark.range(0, 1000, numPartitions=2), f"{folder}/t")
+    export_table(spark, f"{folder}/t", f"{folder}/one", "csv")
+    export_table(spark, f"{folder}/t", f"{folder}/many", "csv", single_file_bytes=10, rows_per_file=100)
+    files = {k: len(spark.read.text(f"{folder}/{k}").inputFiles()) for k in ("one", "many")}
+    assert files["one"] == 1 and files["many"] >= 10
+    assert spark.read.option("header", "true").csv(f"{folder}/many").count() == 1000
+    with pytest.raises(ValueError):
+        export_table(spark, f"{folder}/t", f"{folder}/x", "xml")
+
+
+def test_scratch_folders_differ(spark):
+    assert scratch_dir(spark, "a") != scratch_dir(spark, "a")
+
+
+def test_newest_and_one_row_per_key(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 2, None), ("b", 1, "y"), (None, 3, "z")], "k string, o int, v string")
+    assert sorted(map(tuple, newest(df, ["k"], ["o"]).collect()), key=str) == [("a", 2, None), ("b", 1, "y"), (None, 3, "z")]
+    assert one_row_per_key(df, ["k"]).count() == 3
+
+
+def test_duplicate_groups(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), (None, 2), ("c", 3)], "k string, v int")
+    assert sorted((r["k"] or "", r["n"]) for r in duplicate_groups(df, ["k", "v"]).collect()) == [("", 2), ("a", 2)]
+
+
+@pytest.mark.parametrize("rows", [None, 4, 10_000_000])
+def test_matching_a_dimension_with_repeats(spark, rows):
+    fact = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("z", 4), (None, 5)], "cnpj string, v int")
+    dim = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), (None, 1)], "cnpj string, s int")
+    plain = fact.join(dim, "cnpj", "inner").select("cnpj", "v")
+    assert sorted(map(tuple, repeat_per_match(fact, "cnpj", dim, "cnpj", rows).collect())) == sorted(map(tuple, plain.collect()))
+    kept = with_match(fact, "cnpj", dim, "cnpj", rows)
+    assert sorted(map(tuple, kept.collect())) == [("a", 1), ("a", 2), ("b", 3)]
+    assert kept.columns == fact.columns
