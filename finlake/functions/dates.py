@@ -11,8 +11,18 @@ QUARTER_END_MONTHS = (3, 6, 9, 12)
 
 
 def parse_date(column: Column, pattern: str = DATE_FORMAT) -> Column:
-    """Text to date; NULL where it is not a calendar date."""
-    return F.try_to_date(column, pattern)
+    """Text to date; NULL where it is not a calendar date written in the pattern.
+
+    The filings' own format is read by a cast, several times faster than a formatter; as a cast alone would
+    also take other spellings, the shape is checked first.
+    """
+    if pattern != DATE_FORMAT:
+        return F.try_to_date(column, pattern)
+    shaped = (
+        (F.length(column) == 10) & (F.substring(column, 5, 1) == "-") & (F.substring(column, 8, 1) == "-")
+        & F.substring(column, 10, 1).between("0", "9")
+    )
+    return F.when(shaped, column.try_cast("date"))
 
 
 def calendar_attributes(day: Column) -> dict[str, Column]:

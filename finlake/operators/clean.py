@@ -11,14 +11,19 @@ from pyspark.sql import functions as F
 from finlake.functions.dates import parse_date
 from finlake.functions.numbers import scale_units, to_bigint, to_double
 from finlake.functions.text import NULL_TOKENS, quoted, strip_id, tidy_strings
+from finlake.sinks.tables import YEAR
 
 
 @dataclass(frozen=True)
 class RowRule:
-    """A row filter that applies only where all the columns it needs arrived."""
+    """A row filter that applies only where all the columns it needs arrived.
+
+    ``proves`` names columns that cannot be NULL in the rows it keeps.
+    """
 
     needs: tuple[str, ...]
     keep: Callable[[], Column]
+    proves: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -49,6 +54,7 @@ class TableSpec:
     unit: UnitRule | None = None
     distinct: bool = False
     trim: bool = True
+    drop_empty: bool = True
     tokens: tuple[str, ...] = NULL_TOKENS
     required: tuple[str, ...] | None = None
     key: tuple[str, ...] = ()
@@ -78,6 +84,18 @@ def typed(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*[e.alias(name) for name, e in exprs.items()])
 
 
+def drop_empty(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows without any value dropped, the reference year aside.
+
+    Needless, and left out, when a rule that applied proves a text column present: casts never empty those.
+    """
+    cast = {*spec.doubles, *spec.bigints, *spec.dates}
+    applied = [r for r in spec.rules if set(df.columns).issuperset(r.needs)]
+    if any(c not in cast for r in applied for c in r.proves):
+        return df
+    return df.dropna(how="all", subset=[f"`{c}`" if "." in c else c for c in df.columns if c != YEAR])
+
+
 def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Text tidied, rows filtered, columns typed, empty rows dropped, copies removed.
 
@@ -85,7 +103,9 @@ def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
     within each task before its exchange, so a row that makes up a third of the table shuffles once per task.
     """
     tidy = tidy_strings(df, spec.trim, spec.tokens)
-    rows = typed(keep_rows(tidy, spec.rules), spec).dropna(how="all")
+    rows = typed(keep_rows(tidy, spec.rules), spec)
+    if spec.drop_empty:
+        rows = drop_empty(rows, spec)
     return rows.dropDuplicates() if spec.distinct else rows
 
 
@@ -94,5 +114,5 @@ def with_lineage(df: DataFrame, spec: TableSpec, run_ts, year: Column | int | No
     columns = {"data_processamento": F.lit(run_ts).cast("timestamp"), "document_type": F.lit(spec.document)}
     if year is not None:
         column = year if isinstance(year, Column) else F.lit(year)
-        columns["ano_referencia"] = column.cast("int")
+        columns[YEAR] = column.cast("int")
     return df.withColumns(columns)

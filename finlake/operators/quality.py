@@ -213,3 +213,30 @@ def summary(profiled: DataFrame) -> DataFrame:
         F.count_if(F.col("metrica") == "high_null_columns").alias("high_null_columns"),
         F.count_if(F.col("metrica") == "missing_columns").alias("missing_columns"),
     )
+
+
+def report(profiled: DataFrame) -> dict:
+    """The profile of one table and year as a nested dictionary (a few rows per column come to the driver)."""
+    rows = profiled.collect()
+    found: dict = {"csv_key": rows[0]["tabela"], "ano": rows[0]["ano"], "validations": {}}
+    validations = found["validations"]
+    validations["missing_columns"] = [r["coluna"] for r in rows if r["metrica"] == "missing_columns"]
+    if not validations["missing_columns"]:
+        validations |= {"null_percentages": {}, "high_null_columns": []}
+    for r in rows:
+        metric, column, value = r["metrica"], r["coluna"], r["valor"]
+        name, _, statistic = metric.partition(".")
+        whole = int(value) if value.is_integer() else value
+        if metric in ("total_rows", "total_columns"):
+            found[metric] = whole
+        elif metric == "null_percentages":
+            validations[metric][column] = value
+        elif metric == "high_null_columns":
+            validations[metric].append(column)
+        elif metric == "future_dates":
+            validations[f"future_dates_{column}"] = whole
+        elif statistic:
+            validations.setdefault(name, {})[statistic] = whole if statistic == "count" else value
+        elif metric not in ("missing_columns", "null_percentage"):
+            validations[metric] = value if metric.endswith("_pct") else whole
+    return found

@@ -18,13 +18,13 @@ from pyspark.sql import functions as F
 
 from finlake.lake import Lake
 from finlake.operators.clean import TableSpec, clean, with_lineage
-from finlake.operators.quality import Checks, errors, profile, summary
+from finlake.operators.quality import Checks, errors, profile, report, summary
 from finlake.operators.star import build_dimension, build_fact
 from finlake.plans.specs import DOCUMENT_FOLDERS, PROFILED, SOURCE_SYSTEM, SPECS, YEARS, tables_of
 from finlake.plans.star import CALENDAR_NAME, COMPANY, FACTS, SECURITY, STANDARD_FACTS
 from finlake.sinks.exports import export_table
 from finlake.sinks.tables import YEAR, append_rows, overwrite_table, path_exists, replace_years
-from finlake.sources.archives import land, landed_status, landed_table, read_archives, unpack
+from finlake.sources.archives import column_names, land, landed_status, landed_table, read_archives, unpack
 from finlake.sources.bronze import latest_path, list_objects
 from finlake.sources.tables import calendar, read_csv, read_table
 
@@ -133,14 +133,17 @@ def silver_from_archives(
                 if r["defeito"]:
                     broken[r["tabela"], r["ano"]] = r["defeito"]
                 else:
-                    found.setdefault(r["tabela"], {})[r["ano"]] = tuple(r["colunas"])
+                    found.setdefault(r["tabela"], {})[r["ano"]] = column_names(r["colunas"])
     outcomes: list[Outcome] = []
     for name in names:
         good = {y: header for y, header in found.get(name, {}).items() if y in years}
         if good:
 
             def job(name=name, good=good) -> Mapping:
-                return replace_years(silver_table(landed, good, specs[name], run_ts), lake.silver(name), sorted(good))
+                rows = silver_table(landed, good, specs[name], run_ts)
+                # Removing copies already leaves even partitions; for a single year that layout is kept.
+                spread = len(good) > 1 or not specs[name].distinct
+                return replace_years(rows, lake.silver(name), sorted(good), rebalance=spread)
 
             outcomes += _attempt("silver", name, sorted(good), job)
         outcomes += [
@@ -218,6 +221,11 @@ def checks_for(spec: TableSpec) -> Checks:
     return Checks(spec.name, spec.required, spec.key if spec.required is not None else ())
 
 
+def validate(df: DataFrame, table: str, year: int | None, as_of: date | None = None) -> dict:
+    """All checks of one cleaned table and year as a nested dictionary."""
+    return report(profile(df, checks_for(SPECS[table]), as_of or date.today(), year=year))
+
+
 def sweep(
     tables: Mapping[str, DataFrame], years: Iterable[int], as_of: date, specs: Mapping[str, TableSpec] = SPECS
 ) -> DataFrame:

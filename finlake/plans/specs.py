@@ -48,16 +48,17 @@ COMPANY_IDS = (("CNPJ", "CNPJ_CIA"), ("CNPJ", "CNPJ_Companhia"))
 
 
 def _equals(column: str, value: str) -> RowRule:
-    return RowRule((column,), lambda: same_text(F.col(column), value))
+    return RowRule((column,), lambda: same_text(F.col(column), value), proves=(column,))
 
 
 def _present(column: str) -> RowRule:
-    return RowRule((column,), lambda: F.col(column).isNotNull())
+    return RowRule((column,), lambda: F.col(column).isNotNull(), proves=(column,))
 
 
 def _labelled(column: str, pattern: str, needs: tuple[str, ...]) -> RowRule:
     return RowRule(
-        needs, lambda: matches(F.col(column), pattern) & same_text(F.col("ORDEM_EXERC"), CURRENT_EXERCISE)
+        needs, lambda: matches(F.col(column), pattern) & same_text(F.col("ORDEM_EXERC"), CURRENT_EXERCISE),
+        proves=(column,),
     )
 
 
@@ -78,7 +79,7 @@ def _accounts(name: str, required: tuple[str, ...]) -> TableSpec:
 _ALL = (
     TableSpec(
         name="cad_cia_aberta", document="CAD", member="cad_cia_aberta", ids=(("CNPJ", "CNPJ_CIA"),),
-        distinct=True, trim=False,
+        distinct=True, trim=False, drop_empty=False,
     ),
     _accounts("DRE_con", ("CNPJ_CIA", "DENOM_CIA", "VL_CONTA", "DT_REFER", "DS_CONTA")),
     _filed(
@@ -118,7 +119,11 @@ _ALL = (
     ),
     _filed(
         "cad_valor_mobiliario", "FCA", "fca_cia_aberta_valor_mobiliario", distinct=True,
-        rules=(RowRule(("Valor_Mobiliario",), lambda: has_text(F.col("Valor_Mobiliario"), SHARES)),),
+        rules=(
+            RowRule(
+                ("Valor_Mobiliario",), lambda: has_text(F.col("Valor_Mobiliario"), SHARES), proves=("Valor_Mobiliario",)
+            ),
+        ),
     ),
     # Not part of the standard build; pass it by name to build the older share-count fact.
     _filed(

@@ -251,10 +251,11 @@ def current_ratio(spark: SparkSession, sf: str) -> DataFrame:
 def dividends_by_quarter(spark: SparkSession, sf: str) -> DataFrame:
     """Dividends per sector and quarter: fact joined to the company and calendar dimensions.
 
-    The calendar has one row per day of the fact's span, so it is always small enough to broadcast.
+    The calendar has one row per day of the orders' span, so it is always small enough to broadcast.
     """
     paid = fact(spark, sf, "FATO_DIVIDENDOS", fan_out=False)
-    span = paid.agg(F.min("data_exercicio_social").alias("first"), F.max("data_exercicio_social").alias("last"))
+    day = F.col("o_orderdate").cast("date")
+    span = table(spark, sf, "orders").agg(F.min(day).alias("first"), F.max(day).alias("last"))
     days = calendar_between(span, "first", "last").select("data", "ano_trimestre")
     sectors = company(spark, sf, unique=True).select("cnpj", "setor")
     per_day = paid.groupBy("cnpj", "data_exercicio_social").agg(

@@ -187,6 +187,19 @@ def landed_status(landed: DataFrame) -> DataFrame:
     )
 
 
+def column_names(header: Iterable[str]) -> tuple[str, ...]:
+    """Header cells as usable column names: blanks are numbered, repeats get a counter."""
+    names: list[str] = []
+    for i, cell in enumerate(header):
+        base, n = cell or f"_c{i}", 0
+        name = base
+        while name in names:
+            n += 1
+            name = f"{base}.{n}"
+        names.append(name)
+    return tuple(names)
+
+
 def landed_table(landed: DataFrame, table: str, years: Iterable[int], columns: Iterable[str]) -> DataFrame:
     """Landed rows of one table whose files share a header, as string columns plus ``ano_referencia``."""
     rows = landed.where(

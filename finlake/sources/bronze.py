@@ -57,3 +57,19 @@ def manifest_summary(records: DataFrame) -> DataFrame:
         F.max("requisicao.tempo_resposta_ms").alias("tempo_resposta_ms_max"),
         F.count_if(F.col("requisicao.status_code") != 200).alias("falhas"),
     )
+
+
+def ingestion_records(objects: DataFrame, source: str, compression: str = "ZIP", file_format: str = "CSV") -> DataFrame:
+    """One ingestion record per listed object, with what its path and size tell; store it with ``write.json``."""
+    day, hour = F.col("data_extracao"), F.col("hora")
+    stamp = F.concat(day, F.lit("T"), F.translate(hour, "-", ":"))
+    return objects.select(
+        F.lit(source).alias("fonte"),
+        F.regexp_extract("path", r"/([^/]+)/ano=", 1).alias("tipo_ativo"),
+        F.struct(F.lit("ano").alias("tipo"), F.col("ano").cast("string").alias("valor")).alias("identificador"),
+        F.struct(day.alias("data"), hour.alias("hora"), stamp.alias("timestamp_utc")).alias("extracao"),
+        F.struct(
+            F.lit(file_format).alias("formato"), F.lit(";").alias("separador"), F.lit(compression).alias("compactacao"),
+            F.col("length").alias("tamanho_bytes"), F.col("ano").alias("ano_referencia"), F.lit("BRL").alias("moeda"),
+        ).alias("dados"),
+    )

@@ -7,8 +7,8 @@ import pytest
 from finlake.__main__ import main
 from finlake.lake import Lake
 from finlake.plans import builds
-from finlake.sources.archives import landed_status, read_archives, unpack
-from finlake.sources.bronze import latest_path, list_objects, read_manifest
+from finlake.sources.archives import column_names, landed_status, read_archives, unpack
+from finlake.sources.bronze import ingestion_records, latest_path, list_objects, manifest_summary, read_manifest
 from finlake.sources.tables import file_encodings, read_csv, read_table
 from tests import bronze_fixture as fx
 
@@ -186,6 +186,48 @@ def test_manifest(spark, folder):
     assert row["dados"]["tamanho_bytes"] == 5000000000 and row["requisicao"]["headers"]["User-Agent"] == "u"
 
 
+def test_manifest_of_listed_objects(spark, folder):
+    root = fx.write_bronze(folder)
+    objects = list_objects(spark, f"{root}/bronze", ".zip")
+    ingestion_records(objects, fx.ROOT).write.json(f"{folder}/manifest")
+    records = read_manifest(spark, f"{folder}/manifest", multi_line=False)
+    row = records.where(f"tipo_ativo = '{fx.DFP}' and dados.ano_referencia = 2021").first()
+    assert row["extracao"]["timestamp_utc"] == "2024-01-01T10:00:00"
+    size = fx.snapshot(root, fx.DFP, 2021, "2024-01-01", "10-00-00", "dfp").stat().st_size
+    assert row["dados"]["tamanho_bytes"] == size
+    totals = {r["tipo_ativo"]: r["objetos"] for r in manifest_summary(records).collect()}
+    assert totals == {fx.DFP: 3, fx.FRE: 1, fx.FCA: 2}
+
+
+def test_repeated_and_blank_headers():
+    assert column_names(["A", "", "A", "A", "B"]) == ("A", "_c1", "A.1", "A.2", "B")
+
+
+def test_repeated_headers_build(spark, folder):
+    path = fx.snapshot(Path(folder), fx.DFP, 2020, "2024-01-01", "00-00-00", "dfp")
+    header = fx.STATEMENT_HEADER + ";VERSAO;"
+    fx.write_zip(path, {"dfp_cia_aberta_DRE_con_2020.csv": fx.csv_text(header, [fx.DRE_2020[0] + ";9;z"]).encode()})
+    lake = Lake(folder)
+    assert [o.error for o in builds.build_silver(spark, lake, "DFP", [2020], tables=["DRE_con"])] == [None]
+    row = read_table(spark, lake.silver("DRE_con")).first()
+    assert (row["VERSAO"], row["VERSAO.1"], row["_c16"]) == ("2", "9", "z")
+
+
+def test_validate_gives_a_dictionary(spark, folder):
+    lake = Lake(str(fx.write_bronze(folder)))
+    builds.build_silver(spark, lake, "DFP", [2020], tables=["DRE_con"])
+    df = read_table(spark, lake.silver("DRE_con"), 2020)
+    found = builds.validate(df, "DRE_con", 2020, date(2020, 6, 30))
+    assert (found["csv_key"], found["ano"], found["total_rows"], found["total_columns"]) == ("DRE_con", 2020, 6, 19)
+    checks = found["validations"]
+    assert checks["missing_columns"] == [] and checks["unique_companies"] == 3 and checks["duplicates"] == 0
+    assert checks["invalid_monetary_values"] == 1 and checks["invalid_monetary_pct"] == 16.67
+    assert checks["future_dates_DT_REFER"] == 5 and checks["null_percentages"]["ESCALA_MOEDA"] == 16.67
+    assert checks["value_distribution"]["count"] == 5 and checks["value_distribution"]["max"] == 13292883000.0
+    short = builds.validate(df.drop("DS_CONTA"), "DRE_con", 2020)
+    assert short["validations"] == {"missing_columns": ["DS_CONTA"]} and short["total_rows"] == 6
+
+
 def test_quality_run_and_logs(spark, folder):
     lake, _ = build_all(spark, folder)
     outcomes = builds.run_quality(

@@ -76,6 +76,34 @@ def test_rows_without_any_value_are_dropped(spark):
     assert [tuple(r) for r in clean(df, TableSpec("t", "DFP", "t")).collect()] == [("x", None)]
 
 
+def test_the_year_does_not_keep_an_empty_row(spark):
+    df = spark.createDataFrame([(None, "x", 2020), ("7", None, 2020), ("a", "1", 2020)], "a string, v string, ano_referencia int")
+    rows = clean(df, TableSpec("t", "DFP", "t", doubles=("v",)))
+    assert sorted(tuple(r) for r in rows.collect()) == [("7", None, 2020), ("a", 1.0, 2020)]
+
+
+def test_dividends_without_a_readable_value_are_dropped(spark):
+    df = frame(spark, fx.DIVIDENDS_HEADER, ["NA;;;abc;", f"{fx.A};;;abc;"])
+    assert [r["CNPJ"] for r in clean(df, SPECS["distribuicao_dividendos"]).collect()] == ["00000000000191"]
+
+
+@pytest.mark.parametrize("name", [n for n, s in SPECS.items() if s.rules])
+def test_rules_prove_what_they_say(spark, name):
+    spec = SPECS[name]
+    columns = sorted({c for r in spec.rules for c in r.needs} | ({"ORDEM_EXERC"} if spec.document == "DFP" else set()))
+    values = [None, "ÚLTIMO", "Ações", "Bolsa", "Capital Integralizado", "por ação", "ativo circulante", "1",
+              "passivo circulante", "patrimônio líquido"]
+    df = spark.range(1).select(*[F.explode(F.array(*map(F.lit, values))).alias(c) for c in columns[:1]])
+    for c in columns[1:]:
+        df = df.withColumn(c, F.explode(F.array(*map(F.lit, values))))
+    kept = keep_rows(df, spec.rules)
+    assert kept.count() > 0
+    for rule in spec.rules:
+        assert rule.proves
+        for c in rule.proves:
+            assert kept.where(F.col(c).isNull()).count() == 0
+
+
 def test_dropna_counts_nan_as_no_value(spark):
     df = spark.createDataFrame([(float("nan"),), (1.0,)], "v double")
     assert [r["v"] for r in df.dropna(how="all").collect()] == [1.0]

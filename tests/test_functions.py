@@ -82,3 +82,15 @@ def test_calendar(spark):
     assert days.where("eh_fim_ano").count() == 12
     row = days.where("data = date'2020-03-31'").first()
     assert (row["ano_trimestre"], row["ano_mes"], row["semestre"], row["eh_fim_trimestre"]) == ("2020-Q1", "2020-03", 1, True)
+
+
+def test_dates_are_read_as_strictly_as_the_format(spark):
+    texts = [
+        "2024-02-29", "2023-02-29", "2024-13-01", "2024-00-10", "2024-1-05", "2024-01-5", "2024-01-5 ", "2024-01-5\t",
+        "2024-01-05T", "2024-01-05 00:00:00", "2024", "2024-01", "+024-01-01", "\t024-01-01", "20240105", "2024/01/05",
+        "0001-01-01", "9999-12-31", "abcd-ef-gh", "", None, "2024-01-0x", "２024-01-01", "12024-01-01",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = df.select("t", dates.parse_date(F.col("t")).alias("fast"), F.try_to_date("t", "yyyy-MM-dd").alias("strict"))
+    assert [(r["t"], r["fast"]) for r in both.collect()] == [(r["t"], r["strict"]) for r in both.collect()]
+    assert one(spark, dates.parse_date(F.col("c"), "dd/MM/yyyy"), c=("string", "31/12/2020")) == date(2020, 12, 31)

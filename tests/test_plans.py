@@ -99,6 +99,21 @@ def test_a_hot_company_is_split_over_tasks(spark):
             spark.conf.unset(k)
 
 
+def test_a_hot_year_becomes_many_files(spark, folder):
+    rows = spark.range(0, 400_000, numPartitions=8).selectExpr(
+        "id", "xxhash64(id) as noise", "cast(if(id % 10 = 0, 2001 + id % 3, 2000) as int) as ano_referencia"
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512k")
+    try:
+        written = replace_years(rows, f"{folder}/t", range(2000, 2004))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert written[2000] == 360_000
+    files = read_table(spark, f"{folder}/t").inputFiles()
+    assert sum("ano_referencia=2000" in f for f in files) > 3
+    assert sum("ano_referencia=2001" in f for f in files) <= 2
+
+
 def test_no_query_uses_a_row_at_a_time_function(spark, sf):
     from finlake.queries import QUERIES
 
