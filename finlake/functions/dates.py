@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # The filings' date format and the months that end a quarter.
 DATE_FORMAT = "yyyy-MM-dd"
+DATE_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 QUARTER_END_MONTHS = (3, 6, 9, 12)
 
 
@@ -18,11 +19,7 @@ def parse_date(column: Column, pattern: str = DATE_FORMAT) -> Column:
     """
     if pattern != DATE_FORMAT:
         return F.try_to_date(column, pattern)
-    shaped = (
-        (F.length(column) == 10) & (F.substring(column, 5, 1) == "-") & (F.substring(column, 8, 1) == "-")
-        & F.substring(column, 10, 1).between("0", "9")
-    )
-    return F.when(shaped, column.try_cast("date"))
+    return F.when(column.rlike(DATE_SHAPE), column.try_cast("date"))
 
 
 def calendar_attributes(day: Column) -> dict[str, Column]:

@@ -18,9 +18,13 @@ ACCENTED = "áàãâäéèêëíìîïóòõôöúùûüç"
 UNACCENTED = "aaaaaeeeeiiiiooooouuuuc"
 
 
+def sql_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
     """Column by its literal name, dots included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(sql_name(name))
 
 
 def strip_id(column: Column, punctuation: str = ID_PUNCTUATION) -> Column:
@@ -33,9 +37,18 @@ def fold_text(column: Column) -> Column:
     return F.translate(F.lower(column), ACCENTED, UNACCENTED)
 
 
-def null_if_token(column: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
-    """NULL where the cell holds one of the no-value tokens."""
-    return F.when(~column.isin(*tokens), column)
+def sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def null_if_token(name: str, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
+    """NULL where the named column holds one of the no-value tokens.
+
+    Written as ``if``, which compiles to about half the code of ``case when``: wide tables stay within what
+    the JVM compiles to machine code.
+    """
+    column = sql_name(name)
+    return F.expr(f"if({column} in ({', '.join(map(sql_text, tokens))}), null, {column})")
 
 
 def account_level(column: Column, separator: str = r"\.") -> Column:
@@ -48,11 +61,10 @@ def string_columns(df: DataFrame) -> list[str]:
 
 
 def tidy_strings(df: DataFrame, trim: bool = True, tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
-    """Trim every string column and turn no-value tokens into NULL, in one projection."""
+    """Trim every string column and turn no-value tokens into NULL: two projections in one compiled stage."""
     text = set(string_columns(df))
-
-    def tidy(name: str) -> Column:
-        cell = F.trim(quoted(name)) if trim else quoted(name)
-        return (null_if_token(cell, tokens) if tokens else cell).alias(name)
-
-    return df.select(*[tidy(c) if c in text else quoted(c) for c in df.columns])
+    if trim:
+        df = df.select(*[F.trim(quoted(c)).alias(c) if c in text else quoted(c) for c in df.columns])
+    if tokens:
+        df = df.select(*[null_if_token(c, tokens).alias(c) if c in text else quoted(c) for c in df.columns])
+    return df

@@ -40,13 +40,15 @@ def _join_on_key(fact: DataFrame, fact_key: str, keys: DataFrame, how: str, broa
     """Join on ``__key``. Without a broadcast, rows of one key are spread over ``salts`` groups.
 
     Each key then meets its rows in that many tasks, and since both sides are exchanged right before the
-    join, Spark can split groups that are still too big at run time. The salt is a hash of the row, so a
-    task that is run again sends every row to the same place.
+    join, Spark can split groups that are still too big at run time. The salt comes from the number of the
+    row's input partition: a key with many rows has them in many partitions, and a task that is run again
+    sends every row to the same place.
     """
     if broadcast:
         return fact.join(F.broadcast(keys), quoted(fact_key) == F.col("__key"), how)
     spread = keys.withColumn("__of", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = fact.withColumn("__salt", F.pmod(F.xxhash64(*map(quoted, fact.columns)), F.lit(salts)).cast("int"))
+    known = fact.where(quoted(fact_key).isNotNull())
+    salted = known.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     joined = salted.join(spread, (quoted(fact_key) == F.col("__key")) & (F.col("__salt") == F.col("__of")), how)
     return joined.drop("__salt", "__of")
 

@@ -109,7 +109,7 @@ def clean_table(spark: SparkSession, sf: str) -> DataFrame:
 def null_tokens(spark: SparkSession, sf: str) -> DataFrame:
     parts = table(spark, sf, "part")
     filed = F.when(F.col("p_type") == "PROMO", F.lit("#N/A")).otherwise(F.col("p_type"))
-    return parts.select("p_partkey", null_if_token(filed).alias("p_type"))
+    return parts.select("p_partkey", filed.alias("p_type")).withColumn("p_type", null_if_token("p_type"))
 
 
 @query("select p_partkey, p_name, nullif(p_type, 'PROMO') as p_type from part")
@@ -123,7 +123,7 @@ def trim_all(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("select o_orderkey, nullif(o_orderstatus, 'P') as o_orderstatus from orders where o_orderstatus <> 'P'")
 def not_null_filter(spark: SparkSession, sf: str) -> DataFrame:
-    status = null_if_token(F.col("o_orderstatus"), ("P",)).alias("o_orderstatus")
+    status = null_if_token("o_orderstatus", ("P",)).alias("o_orderstatus")
     rows = table(spark, sf, "orders").select("o_orderkey", status)
     return keep_rows(rows, [RowRule(("o_orderstatus",), lambda: F.col("o_orderstatus").isNotNull())])
 

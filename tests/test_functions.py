@@ -23,7 +23,13 @@ def test_fold_text_keeps_letters_outside_the_pairs(spark):
 
 @pytest.mark.parametrize("token", text.NULL_TOKENS)
 def test_null_tokens(spark, token):
-    assert one(spark, text.null_if_token(F.col("c")), c=("string", token)) is None
+    assert one(spark, text.null_if_token("c"), c=("string", token)) is None
+
+
+@pytest.mark.parametrize("token", ["it's", "back\\\\slash", "\\n", "%"])
+def test_null_tokens_are_taken_literally(spark, token):
+    assert one(spark, text.null_if_token("c", (token,)), c=("string", token)) is None
+    assert one(spark, text.null_if_token("c", (token,)), c=("string", token + "x")) == token + "x"
 
 
 def test_tidy_strings_trims_spaces_only(spark):
@@ -88,7 +94,7 @@ def test_dates_are_read_as_strictly_as_the_format(spark):
     texts = [
         "2024-02-29", "2023-02-29", "2024-13-01", "2024-00-10", "2024-1-05", "2024-01-5", "2024-01-5 ", "2024-01-5\t",
         "2024-01-05T", "2024-01-05 00:00:00", "2024", "2024-01", "+024-01-01", "\t024-01-01", "20240105", "2024/01/05",
-        "0001-01-01", "9999-12-31", "abcd-ef-gh", "", None, "2024-01-0x", "２024-01-01", "12024-01-01",
+        "0001-01-01", "9999-12-31", "abcd-ef-gh", "", None, "2024-01-0x", "2024-01-05\n", "２024-01-01", "12024-01-01",
     ]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     both = df.select("t", dates.parse_date(F.col("t")).alias("fast"), F.try_to_date("t", "yyyy-MM-dd").alias("strict"))
