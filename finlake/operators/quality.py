@@ -68,7 +68,7 @@ def _measures(df: DataFrame, checks: Checks, as_of: date) -> dict[str, Column]:
     statistics = {"total": F.sum, "count": F.count, "avg": F.avg, "min": F.min, "max": F.max}
     measures = {f"null_percentage{MARK}{c}": F.count_if(quoted(c).isNull()) for c in df.columns}
     measures |= {
-        f"{name}{MARK}{c}": F.count_if(_invalid(df, c)) for c, name in checks.invalid.items() if c in present
+        f"{name}_values{MARK}{c}": F.count_if(_invalid(df, c)) for c, name in checks.invalid.items() if c in present
     }
     measures |= {
         f"future_dates{MARK}{c}": F.count_if(after(quoted(c), as_of)) for c in checks.future if c in present
@@ -79,53 +79,19 @@ def _measures(df: DataFrame, checks: Checks, as_of: date) -> dict[str, Column]:
     return measures
 
 
+def _made_from(measure: str) -> tuple[str, ...]:
+    """Names of the metrics a measure turns into, statistics left off."""
+    kind = measure.split(MARK)[0].split(".")[0]
+    if kind == "null_percentage":
+        return ("null_percentage", "null_percentages", "high_null_columns")
+    return (kind, kind.replace("_values", "_pct")) if kind.endswith("_values") else (kind,)
+
+
 def _grouped(df: DataFrame, by: str | None, aggregates: Mapping[str, Column]) -> DataFrame:
     columns = [a.cast("double").alias(n) for n, a in aggregates.items()]
     return df.groupBy(*([quoted(by)] if by else [])).agg(*columns)
 
 
-def _totals(df: DataFrame, by: str | None, measures: Mapping[str, Column]) -> DataFrame:
-    return _grouped(df, by, {"rows": F.count(F.lit(1)), f"total_rows{MARK}": F.count(F.lit(1)), **measures})
-
-
-def _as_rows(
-    wide: DataFrame, checks: Checks, by: str | None, year: int | None, years: list[int] | None,
-    constants: Mapping[str, int] | None = None,
-) -> DataFrame:
-    """One row per metric. Shares and flags are worked out here, on a handful of rows."""
-    if by and years is not None:
-        wanted = wide.sparkSession.createDataFrame([(y,) for y in years], f"`{by}` int")
-        wide = wanted.join(wide, by, "left")
-    if constants:
-        wide = wide.withColumns({n: F.lit(float(v)) for n, v in constants.items()})
-    label = (quoted(by) if by else F.lit(year)).cast("int").alias("ano")
-    rows = F.coalesce("rows", F.lit(0.0)).alias("rows") if "rows" in wide.columns else F.lit(0.0).alias("rows")
-    values = [c for c in wide.columns if c not in (by, "rows")]
-    measured = wide.select(label, rows, *[quoted(c) for c in values]).unpivot(
-        ["ano", "rows"], [quoted(c) for c in values], "nome", "valor"
-    )
-    kind, value = F.substring_index("nome", MARK, 1), F.coalesce("valor", F.lit(0.0))
-    share = percentage(value, F.col("rows"))
-
-    def metrics(*pairs: tuple[Column, Column]) -> Column:
-        return F.array(*[F.struct(name.alias("metrica"), v.alias("valor")) for name, v in pairs])
-
-    found = (
-        F.when(kind == "null_percentage", metrics(
-            (kind, share), (F.lit("null_percentages"), F.round(share, 2)),
-            (F.lit("high_null_columns"), F.when(share > HIGH_NULL_PERCENT, share)),
-        ))
-        .when(kind.isin(*checks.invalid.values()), metrics(
-            (F.concat(kind, F.lit("_values")), value), (F.concat(kind, F.lit("_pct")), F.round(share, 2)),
-        ))
-        .when(kind == "future_dates", metrics((kind, F.when(value > 0, value))))
-        .otherwise(metrics((kind, value)))
-    )
-    column = F.expr(f"nullif(substr(nome, instr(nome, '{MARK}') + 1), '')").alias("coluna")
-    listed = measured.select(F.lit(checks.table).alias("tabela"), "ano", column, F.inline(found))
-    return listed.where(F.col("valor").isNotNull()).select("tabela", "ano", "metrica", "coluna", "valor")
-
-
 def _keyed(df: DataFrame, checks: Checks, by: str | None) -> list[DataFrame]:
     """Duplicate key groups and distinct companies, a NULL company counting as one."""
     group = [by] if by else []
@@ -147,11 +113,88 @@ def _keyed(df: DataFrame, checks: Checks, by: str | None) -> list[DataFrame]:
     return parts
 
 
-def _wanted(measure: str, only: Collection[str] | None) -> bool:
-    """Whether a measure feeds one of the metric names in ``only``."""
-    kind = measure.split(MARK)[0].split(".")[0]
-    made = {"null_percentage": ("null_percentage", "null_percentages", "high_null_columns")}
-    return only is None or any(m in only for m in made.get(kind, (kind, f"{kind}_values", f"{kind}_pct")))
+@dataclass(frozen=True)
+class Measured:
+    """Measures of one table as rows ``tabela, ano, rows, nome, valor``, and their values where there are no rows."""
+
+    table: str
+    rows: DataFrame
+    defaults: Mapping[str, float]
+
+
+def _unpivoted(wide: DataFrame, checks: Checks, label: Column, by: str | None) -> DataFrame:
+    rows = F.col("rows") if "rows" in wide.columns else F.lit(0.0)
+    values = [c for c in wide.columns if c not in (by, "rows")]
+    table = F.lit(checks.table).alias("tabela")
+    flat = wide.select(table, label.cast("int").alias("ano"), rows.alias("rows"), *[quoted(c) for c in values])
+    return flat.unpivot(["tabela", "ano", "rows"], [quoted(c) for c in values], "nome", "valor")
+
+
+def measure(
+    df: DataFrame, checks: Checks, as_of: date, by: str | None = None, year: int | None = None,
+    only: Collection[str] | None = None,
+) -> Measured:
+    """The raw measures behind a profile; see :func:`profile`."""
+    label = quoted(by) if by else F.lit(year)
+    constants = {f"total_columns{MARK}": float(len(df.columns))}
+    missing = missing_columns(df, checks)
+    aggregates, keyed = {}, []
+    if missing:
+        constants |= {f"missing_columns{MARK}{c}": 1.0 for c in missing}
+    else:
+        aggregates = _measures(df, checks, as_of)
+        keyed = _keyed(df, checks, by)
+
+    def wanted(name: str) -> bool:
+        return only is None or any(m in only for m in _made_from(name))
+
+    aggregates = {n: a for n, a in aggregates.items() if wanted(n)}
+    counted = F.count(F.lit(1))
+    wide = _grouped(df, by, {"rows": counted, f"total_rows{MARK}": counted, **aggregates})
+    wides = [wide.withColumns({n: F.lit(v) for n, v in constants.items()})]
+    wides += [w for w in keyed if any(MARK in c and wanted(c) for c in w.columns)]
+    defaults = {c: constants.get(c, 0.0) for w in wides for c in w.columns if MARK in c}
+    rows = reduce(DataFrame.unionByName, [_unpivoted(w, checks, label, by) for w in wides])
+    return Measured(checks.table, rows, defaults)
+
+
+def _every_year(rows: DataFrame, parts: Sequence[Measured], years: Iterable[int]) -> DataFrame:
+    """One row per table, year and measure, years without rows included (tables x columns x years, so few)."""
+    expected = [(p.table, int(y), n, v) for p in parts for y in years for n, v in p.defaults.items()]
+    frame = rows.sparkSession.createDataFrame(expected, "tabela string, ano int, nome string, vazio double")
+    full = frame.join(rows, ["tabela", "ano", "nome"], "left")
+    return full.withColumns({"rows": F.coalesce("rows", F.lit(0.0)), "valor": F.coalesce("valor", "vazio")})
+
+
+def metrics_of(
+    parts: Sequence[Measured], years: Iterable[int] | None = None, only: Collection[str] | None = None
+) -> DataFrame:
+    """Metrics of one or many tables. Shares and flags are worked out here, on a handful of rows."""
+    rows = reduce(DataFrame.unionByName, [p.rows for p in parts])
+    if years is not None:
+        rows = _every_year(rows, parts, years)
+    kind, value = F.substring_index("nome", MARK, 1), F.coalesce("valor", F.lit(0.0))
+    share = percentage(value, F.col("rows"))
+
+    def metrics(*pairs: tuple[Column, Column]) -> Column:
+        return F.array(*[F.struct(name.alias("metrica"), v.alias("valor")) for name, v in pairs])
+
+    found = (
+        F.when(kind == "null_percentage", metrics(
+            (kind, share), (F.lit("null_percentages"), F.round(share, 2)),
+            (F.lit("high_null_columns"), F.when(share > HIGH_NULL_PERCENT, share)),
+        ))
+        .when(kind.endswith("_values"), metrics(
+            (kind, value), (F.replace(kind, F.lit("_values"), F.lit("_pct")), F.round(share, 2)),
+        ))
+        .when(kind == "future_dates", metrics((kind, F.when(value > 0, value))))
+        .otherwise(metrics((kind, value)))
+    )
+    column = F.expr(f"nullif(substr(nome, instr(nome, '{MARK}') + 1), '')").alias("coluna")
+    listed = rows.select("tabela", "ano", column, F.inline(found)).where(F.col("valor").isNotNull())
+    if only is not None:
+        listed = listed.where(F.substring_index("metrica", ".", 1).isin(*only))
+    return listed.select("tabela", "ano", "metrica", "coluna", "valor")
 
 
 def profile(
@@ -160,23 +203,11 @@ def profile(
 ) -> DataFrame:
     """All checks of one table, or those whose metric names are in ``only``.
 
-    ``by`` profiles every year in the same passes; ``years`` then adds the years without rows. Without ``by``
-    the frame is one year, labelled ``year``. When a required column is missing, only the row and column
-    totals and the missing names are reported.
+    ``by`` profiles every year in the same passes; ``years`` then gives exactly those years, with or without
+    rows. Without ``by`` the frame is one year, labelled ``year``. When a required column is missing, only the
+    row and column totals and the missing names are reported.
     """
-    years = None if years is None else [int(y) for y in years]
-    constants = {f"total_columns{MARK}": len(df.columns)}
-    missing = missing_columns(df, checks)
-    if missing:
-        constants |= {f"missing_columns{MARK}{c}": 1 for c in missing}
-        return _as_rows(_totals(df, by, {}), checks, by, year, years, constants)
-    measures = {n: a for n, a in _measures(df, checks, as_of).items() if _wanted(n, only)}
-    parts = [_as_rows(_totals(df, by, measures), checks, by, year, years, constants)]
-    for wide in _keyed(df, checks, by):
-        if any(MARK in c and _wanted(c, only) for c in wide.columns):
-            parts.append(_as_rows(wide, checks, by, year, years))
-    rows = reduce(DataFrame.unionByName, parts)
-    return rows if only is None else rows.where(F.substring_index("metrica", ".", 1).isin(*only))
+    return metrics_of([measure(df, checks, as_of, by, year, only)], years, only)
 
 
 def errors(profiled: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from finlake.lake import Lake
 from finlake.operators.clean import TableSpec, clean, with_lineage
-from finlake.operators.quality import Checks, errors, profile, report, summary
+from finlake.operators.quality import Checks, errors, measure, metrics_of, profile, report, summary
 from finlake.operators.star import build_dimension, build_fact
 from finlake.plans.specs import DOCUMENT_FOLDERS, PROFILED, SOURCE_SYSTEM, SPECS, YEARS, tables_of
 from finlake.plans.star import CALENDAR_NAME, COMPANY, FACTS, SECURITY, STANDARD_FACTS
@@ -232,10 +232,10 @@ def sweep(
     """Profiles of many tables over many years as one frame: two passes per table, not one run per year."""
     years = sorted({int(y) for y in years})
     parts = [
-        profile(df.where(F.col(YEAR).isin(years)), checks_for(specs[name]), as_of, by=YEAR, years=years)
+        measure(df.where(F.col(YEAR).isin(years)), checks_for(specs[name]), as_of, by=YEAR)
         for name, df in tables.items()
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return metrics_of(parts, years)
 
 
 def run_quality(

@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Runtime settings that suit every size of input: the plan is sized from observed shuffle bytes, skewed join
-# partitions are split even when that costs one more exchange, and only the touched years of a table are replaced.
+# Settings that suit every size of input: plans are sized from observed shuffle bytes, and skewed join partitions
+# are split even when that costs one more exchange.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
