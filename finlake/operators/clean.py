@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from finlake.functions.dates import parse_date
 from finlake.functions.numbers import scale_units, to_bigint, to_double
@@ -60,6 +61,13 @@ class TableSpec:
     key: tuple[str, ...] = ()
 
 
+def cleaned_schema(spec: TableSpec, columns: Iterable[str]) -> T.StructType:
+    """Types of cleaned columns by name, so that stored tables are read without looking into their files."""
+    kinds = {c: T.DoubleType() for c in spec.doubles} | {c: T.LongType() for c in spec.bigints}
+    kinds |= {c: T.DateType() for c in spec.dates} | {YEAR: T.IntegerType()}
+    return T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in dict.fromkeys([*columns, YEAR])])
+
+
 def keep_rows(df: DataFrame, rules: Iterable[RowRule]) -> DataFrame:
     """Conjunction of the rules whose columns are present."""
     present = set(df.columns)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.lake import Lake
-from finlake.operators.clean import TableSpec, clean, with_lineage
+from finlake.operators.clean import TableSpec, clean, cleaned_schema, with_lineage
 from finlake.operators.quality import Checks, errors, measure, metrics_of, profile, report, summary
 from finlake.operators.star import build_dimension, build_fact
 from finlake.plans.specs import DOCUMENT_FOLDERS, PROFILED, SOURCE_SYSTEM, SPECS, YEARS, tables_of
@@ -181,12 +181,13 @@ def build_gold(
     company_path = lake.dimension(COMPANY.name)
 
     def companies() -> Mapping:
-        register = read_table(spark, lake.silver(COMPANY.source))
+        register = read_table(spark, lake.silver(COMPANY.source))  # not partitioned, so no year column
         rows = build_dimension(register, COMPANY, unique_companies, {"data_atualizacao": run_ts})
         return {None: overwrite_table(rows, company_path)}
 
     def securities() -> Mapping:
-        listed = read_table(spark, lake.silver(SECURITY.source), merge_schema=True)
+        schema = cleaned_schema(SPECS[SECURITY.source], SECURITY.columns.values())
+        listed = read_table(spark, lake.silver(SECURITY.source), schema=schema)
         return {None: overwrite_table(build_dimension(listed, SECURITY), lake.dimension(SECURITY.name))}
 
     outcomes = _attempt("gold", COMPANY.name, [None], companies)
@@ -200,9 +201,10 @@ def build_gold(
         fact = FACTS[name]
 
         def job(fact=fact) -> Mapping:
+            schemas = {t: cleaned_schema(SPECS[t], fact.columns.values()) for t in fact.sources}
             tables = {
-                t: read_table(spark, lake.silver(t), merge_schema=True).where(F.col(YEAR).isin(years))
-                for t in fact.sources
+                t: read_table(spark, lake.silver(t), schema=schema).where(F.col(YEAR).isin(years))
+                for t, schema in schemas.items()
             }
             dim = read_table(spark, company_path) if fact.company else None
             rows = build_fact(tables, fact, dim, company_rows, fan_out=not unique_companies)

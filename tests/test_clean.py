@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from finlake.operators.clean import RowRule, TableSpec, clean, keep_rows, with_lineage
+from finlake.operators.clean import RowRule, TableSpec, clean, cleaned_schema, keep_rows, with_lineage
 from finlake.plans.specs import SPECS, per_share_unscaled, tables_of
 from tests import bronze_fixture as fx
 
@@ -126,6 +126,17 @@ def test_lineage_is_one_timestamp(spark):
     assert df.schema["ano_referencia"].dataType.simpleString() == "int"
 
 
+@pytest.mark.parametrize("header, rows, name", [
+    (fx.STATEMENT_HEADER, fx.DRE_2020, "DRE_con"), (fx.QUOTES_HEADER, fx.QUOTES, "volume_valor_mobiliario"),
+    (fx.DIVIDENDS_HEADER, fx.DIVIDENDS, "distribuicao_dividendos"), (fx.CAPITAL_HEADER, fx.CAPITAL, "capital_social"),
+    (fx.SECURITIES_HEADER, fx.SECURITIES[2020], "cad_valor_mobiliario"),
+])
+def test_declared_schema_is_what_cleaning_gives(spark, header, rows, name):
+    df = clean(frame(spark, header, rows), SPECS[name])
+    declared = cleaned_schema(SPECS[name], df.columns)
+    assert {f.name: f.dataType for f in declared if f.name in df.columns} == {f.name: f.dataType for f in df.schema}
+
+
 def test_unknown_document():
     with pytest.raises(ValueError):
         tables_of("XYZ")
