@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.functions.dates import calendar_attributes
+from finlake.lake import Lake
 from finlake.operators.clean import clean
 from finlake.operators.rows import newest, one_row_per_key
 from finlake.operators.star import build_dimension, build_fact, renamed
+from finlake.plans.builds import build_gold
 from finlake.plans.specs import SPECS
-from finlake.plans.star import COMPANY, FACTS, SECURITY
+from finlake.plans.star import COMPANY, FACTS, SECURITY, STANDARD_FACTS
 from finlake.queries import filings
 from finlake.queries.filings import raw
 from finlake.queries.registry import query, table
-from finlake.sources.tables import calendar_between
+from finlake.session import scratch_dir
+from finlake.sinks.tables import YEAR, overwrite_table, replace_years
+from finlake.sources.tables import calendar_between, read_table
 
 _RAW_OF = {
     "DRE_con": "statements", "BPA_con": "statements", "BPP_con": "statements", "DFC_DMPL_con": "statements",
@@ -265,3 +269,53 @@ def dividends_by_quarter(spark: SparkSession, sf: str) -> DataFrame:
     return joined.groupBy("ano_trimestre", "setor").agg(
         F.round(F.sum("valor"), 2).alias("dividendos"), F.sum("n").alias("pagamentos")
     )
+
+
+GOLD_YEARS = range(1995, 2011)
+
+
+def _count_sql(name: str, sql: str) -> str:
+    return f"select '{name}' as tabela, ano_referencia as ano, count(*) as linhas from ({sql}) group by all"
+
+
+_FACT_SQL = {
+    "FATO_DMPL": filings.statement_sql("DFC_DMPL_con"),
+    "FATO_BALANCO": _BALANCE_SQL,
+    "FATO_DRE": f"select * from ({filings.statement_sql('DRE_con')}) where VL_CONTA is not null",
+    "FATO_COTACAO": f"""select q.* from ({filings.QUOTES_SQL}) q join ({_company_sql()}) d on q.CNPJ = d.cnpj
+                        where Valor_Cotacao_Media is not null""",
+    "FATO_DIVIDENDOS": f"select v.* from ({filings.DIVIDENDS_SQL}) v join ({_company_sql()}) d on v.CNPJ = d.cnpj",
+    "FATO_CAPITAL_SOCIAL": filings.CAPITAL_SQL,
+}
+
+
+@query(f"""
+    select * from ({' union all '.join(_count_sql(n, q) for n, q in _FACT_SQL.items())})
+    where ano between {GOLD_YEARS[0]} and {GOLD_YEARS[-1]}
+    union all select 'DIM_EMPRESA', null, count(*) from ({_company_sql()})
+    union all select 'DIM_TIPO_ACAO', null, count(*) from (select distinct * from ({filings.SECURITIES_SQL}))
+""")
+def gold_build(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole star schema built and stored from stored cleaned tables; rows per table and year read back."""
+    lake = Lake(scratch_dir(spark, "gold"))
+    sources = [*dict.fromkeys(t for f in STANDARD_FACTS for t in FACTS[f].sources)]
+    for name in sources:
+        rows = cleaned(spark, sf, name).where(F.col(YEAR).between(GOLD_YEARS[0], GOLD_YEARS[-1]))
+        replace_years(rows, lake.silver(name), GOLD_YEARS)
+    securities = cleaned(spark, sf, SECURITY.source)
+    replace_years(securities, lake.silver(SECURITY.source), range(2001, 2051))
+    overwrite_table(cleaned(spark, sf, COMPANY.source), lake.silver(COMPANY.source))
+    failed = [o for o in build_gold(spark, lake, GOLD_YEARS) if not o.ok]
+    if failed:
+        raise RuntimeError(f"{failed[0].table} {failed[0].year}: {failed[0].error}")
+    counted = [
+        read_table(spark, lake.fact(n)).groupBy(F.col(YEAR).alias("ano")).agg(F.count(F.lit(1)).alias("linhas"))
+        .select(F.lit(n).alias("tabela"), "ano", "linhas")
+        for n in STANDARD_FACTS
+    ]
+    counted += [
+        read_table(spark, lake.dimension(n)).agg(F.count(F.lit(1)).alias("linhas"))
+        .select(F.lit(n).alias("tabela"), F.lit(None).cast("int").alias("ano"), "linhas")
+        for n in (COMPANY.name, SECURITY.name)
+    ]
+    return reduce(DataFrame.unionByName, counted)

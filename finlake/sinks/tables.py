@@ -64,8 +64,11 @@ def replace_years(
         .write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(year).parquet(path)
     )
     written = {int(y): n for y, n in seen.get.items()}
+    stale = [y for y, n in written.items() if n == 0 and path_exists(spark, f"{path}/{year}={y}")]
+    if not stale and not any(written.values()) and layout(spark, path, year) != "by_year":
+        stale = years[:1]  # a new table without any row still needs its columns on file
     nothing = spark.createDataFrame([], df.drop(year).schema)
-    for y in [y for y, n in written.items() if n == 0]:
+    for y in stale:
         nothing.write.mode("overwrite").parquet(f"{path}/{year}={y}")
     return written
 
