@@ -23,11 +23,16 @@ from finlake.operators.star import build_dimension, build_fact
 from finlake.plans.specs import DOCUMENT_FOLDERS, PROFILED, SOURCE_SYSTEM, SPECS, YEARS, tables_of
 from finlake.plans.star import CALENDAR_NAME, COMPANY, FACTS, SECURITY, STANDARD_FACTS
 from finlake.sinks.exports import export_table
-from finlake.sinks.tables import YEAR, append_rows, overwrite_table, path_exists, replace_years
+from finlake.session import shuffles_sized_for
+from finlake.sinks.tables import YEAR, append_rows, overwrite_table, path_exists, replace_years, stored_bytes
 from finlake.sources.archives import column_names, land, landed_status, landed_table, read_archives, unpack
 from finlake.sources.bronze import latest_path, list_objects
 from finlake.sources.tables import calendar, read_csv, read_table
 
+# Rough growth of the data from a compressed archive, or a stored table, to rows in an exchange.
+ARCHIVE_EXPANSION = 10
+TABLE_EXPANSION = 4
+
 RUN_LOG_SCHEMA = (
     "run_ts timestamp, step string, tabela string, ano int, ok boolean, linhas bigint, segundos double, erro string"
 )
@@ -107,7 +112,7 @@ def silver_table(landed: DataFrame, status: Mapping[int, tuple[str, ...]], spec:
 
 
 def newest_archives(spark: SparkSession, lake: Lake, document: str, years: Iterable[int]) -> dict[int, str]:
-    """Newest archive per year of a document type; years without one are absent."""
+    """Path of the newest archive per year of a document type; years without one are absent."""
     folder = f"{lake.bronze}/{SOURCE_SYSTEM}/{DOCUMENT_FOLDERS[document]}"
     if not path_exists(spark, folder):
         return {}
@@ -162,7 +167,9 @@ def build_silver(
         return build_register(spark, lake, run_ts)
     newest = newest_archives(spark, lake, document, years)
     archives = read_archives(spark, document, newest.values()) if newest else None
-    return log_outcomes(spark, lake, run_ts, silver_from_archives(archives, lake, document, years, names, run_ts))
+    with shuffles_sized_for(spark, stored_bytes(spark, *newest.values()) * ARCHIVE_EXPANSION):
+        outcomes = silver_from_archives(archives, lake, document, years, names, run_ts)
+    return log_outcomes(spark, lake, run_ts, outcomes)
 
 
 # Cleaned to star schema ---------------------------------------------------------------------------------------
@@ -210,7 +217,9 @@ def build_gold(
             rows = build_fact(tables, fact, dim, company_rows, fan_out=not unique_companies)
             # Sources are stored in whole files per year. A fact projected from them keeps that layout, so only
             # one that was joined spends an exchange on it.
-            return replace_years(rows, lake.fact(fact.name), years, rebalance=fact.company is not None)
+            size = stored_bytes(spark, *[lake.silver(t) for t in fact.sources]) if fact.company else 0
+            with shuffles_sized_for(spark, size * TABLE_EXPANSION):
+                return replace_years(rows, lake.fact(fact.name), years, rebalance=fact.company is not None)
 
         outcomes += _attempt("gold", name, years, job)
     return log_outcomes(spark, lake, run_ts, outcomes)
@@ -253,9 +262,10 @@ def run_quality(
 
         def job(name=name, target=target) -> Mapping:
             df = read_table(spark, lake.silver(name), merge_schema=True)
-            overwrite_table(sweep({name: df}, years, as_of).coalesce(1), target)
+            with shuffles_sized_for(spark, stored_bytes(spark, lake.silver(name))):
+                overwrite_table(sweep({name: df}, years, as_of).hint("rebalance"), target)
             stored = spark.read.parquet(target)
-            append_rows(errors(stored).select(F.lit(run_ts).alias("run_ts"), "*").coalesce(1), lake.log("errors"))
+            append_rows(errors(stored).select(F.lit(run_ts).alias("run_ts"), "*").hint("rebalance"), lake.log("errors"))
             totals = stored.where("metrica = 'total_rows'").select("ano", "valor").collect()  # one row per year
             return {r["ano"]: int(r["valor"]) for r in totals}
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -42,3 +44,29 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         shared = tempfile.mkdtemp(prefix="finlake-")
     return f"{shared.rstrip('/')}/finlake-{purpose}-{uuid.uuid4().hex}"
+
+
+# One shuffle partition per this many bytes of input, up to a number the driver still tracks with ease. Run-time
+# coalescing merges the small ones, so too many cost little and too few spill.
+BYTES_PER_PARTITION = 256 * 1024 * 1024
+MAX_PARTITIONS = 50_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@contextmanager
+def shuffles_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """Exchanges planned inside start with enough partitions for the input; never fewer than the session's own."""
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    configured = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(configured, min(MAX_PARTITIONS, input_bytes // BYTES_PER_PARTITION))
+    if wanted == configured:
+        yield configured
+        return
+    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    try:
+        yield wanted
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)

@@ -3,18 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+
+from finlake.sinks.tables import stored_bytes
 
 SINGLE_FILE_BYTES = 256 * 1024 * 1024
 ROWS_PER_FILE = 5_000_000
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes of a stored table, from its file listing alone."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()["b"]
-
-
 def export_table(
     spark: SparkSession, source: str, target: str, fmt: str, single_file_bytes: int = SINGLE_FILE_BYTES,
     rows_per_file: int = ROWS_PER_FILE, merge_schema: bool = False,

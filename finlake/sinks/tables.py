@@ -17,6 +17,17 @@ def path_exists(spark: SparkSession, pattern: str) -> bool:
     return bool(found)
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes stored below the paths, from the file system's own summary; absent paths count nothing."""
+    total = 0
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
 def layout(spark: SparkSession, path: str, year: str = YEAR) -> str:
     """``absent``, ``by_year`` or ``flat``."""
     if path_exists(spark, f"{path}/{year}=*"):

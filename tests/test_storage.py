@@ -2,9 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from finlake.operators.rows import duplicate_groups, newest, one_row_per_key, repeat_per_match, with_match
-from finlake.session import scratch_dir
+from finlake.session import INITIAL_PARTITIONS, MAX_PARTITIONS, scratch_dir, shuffles_sized_for
 from finlake.sinks.exports import export_table
-from finlake.sinks.tables import append_rows, layout, migrate_to_years, overwrite_table, replace_years
+from finlake.sinks.tables import append_rows, layout, migrate_to_years, overwrite_table, replace_years, stored_bytes
 from finlake.sources.tables import read_table
 
 
@@ -114,3 +114,18 @@ def test_matching_a_dimension_with_repeats(spark, rows):
     kept = with_match(fact, "cnpj", dim, "cnpj", rows)
     assert sorted(map(tuple, kept.collect())) == [("a", 1), ("a", 2), ("b", 3)]
     assert kept.columns == fact.columns
+
+
+def test_stored_bytes(spark, folder):
+    overwrite_table(spark.range(1000), f"{folder}/t")
+    assert stored_bytes(spark, f"{folder}/t") > 1000
+    assert stored_bytes(spark, f"{folder}/t", f"{folder}/t") == 2 * stored_bytes(spark, f"{folder}/t")
+    assert stored_bytes(spark, f"{folder}/none") == 0
+
+
+@pytest.mark.parametrize("size, partitions", [(0, 8), (10 * 2**30, 40), (100 * 10**12, MAX_PARTITIONS)])
+def test_shuffles_grow_with_the_input(spark, size, partitions):
+    with shuffles_sized_for(spark, size) as n:
+        assert n == partitions
+        assert int(spark.conf.get(INITIAL_PARTITIONS, "8")) == partitions
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
