@@ -20,7 +20,7 @@ from finlake.session import get_session  # noqa: E402
 HEADLINE = (
     "silver_income", "silver_quotes", "silver_dividends", "silver_from_zip", "clean_table", "normalize_text",
     "dedupe_rows", "dim_company", "fact_balance", "fact_income", "fact_equity", "fact_quotes", "fact_dividends",
-    "current_ratio", "dividends_by_quarter", "null_profile", "duplicate_keys", "quality_summary", "quality_sweep",
+    "current_ratio", "dividends_by_quarter", "gold_build", "null_profile", "duplicate_keys", "quality_summary", "quality_sweep",
     "latest_snapshot", "replace_year", "layout_migration", "year_scan", "export_parquet",
 )
 
