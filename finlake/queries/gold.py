@@ -271,7 +271,7 @@ def dividends_by_quarter(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-GOLD_YEARS = range(1995, 2011)
+GOLD_YEARS = range(1995, 2051)
 
 
 def _count_sql(name: str, sql: str) -> str:
@@ -290,20 +290,16 @@ _FACT_SQL = {
 
 
 @query(f"""
-    select * from ({' union all '.join(_count_sql(n, q) for n, q in _FACT_SQL.items())})
-    where ano between {GOLD_YEARS[0]} and {GOLD_YEARS[-1]}
+    {' union all '.join(_count_sql(n, q) for n, q in _FACT_SQL.items())}
     union all select 'DIM_EMPRESA', null, count(*) from ({_company_sql()})
     union all select 'DIM_TIPO_ACAO', null, count(*) from (select distinct * from ({filings.SECURITIES_SQL}))
 """)
 def gold_build(spark: SparkSession, sf: str) -> DataFrame:
     """The whole star schema built and stored from stored cleaned tables; rows per table and year read back."""
     lake = Lake(scratch_dir(spark, "gold"))
-    sources = [*dict.fromkeys(t for f in STANDARD_FACTS for t in FACTS[f].sources)]
+    sources = dict.fromkeys([SECURITY.source, *[t for f in STANDARD_FACTS for t in FACTS[f].sources]])
     for name in sources:
-        rows = cleaned(spark, sf, name).where(F.col(YEAR).between(GOLD_YEARS[0], GOLD_YEARS[-1]))
-        replace_years(rows, lake.silver(name), GOLD_YEARS)
-    securities = cleaned(spark, sf, SECURITY.source)
-    replace_years(securities, lake.silver(SECURITY.source), range(2001, 2051))
+        replace_years(cleaned(spark, sf, name), lake.silver(name), GOLD_YEARS)
     overwrite_table(cleaned(spark, sf, COMPANY.source), lake.silver(COMPANY.source))
     failed = [o for o in build_gold(spark, lake, GOLD_YEARS) if not o.ok]
     if failed:

@@ -123,8 +123,7 @@ def _zip_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def silver_from_zip(spark: SparkSession, sf: str) -> DataFrame:
     """Filings packed into archives, then unpacked, decoded, cleaned, stored by year and read back."""
     lake = Lake(scratch_dir(spark, "archives"))
-    statements = raw(spark, sf, "statements").where(F.col(YEAR).between(1995, 2002))
-    archives = statements.mapInArrow(_zip_batches, "documento string, ano int, content binary")
+    archives = raw(spark, sf, "statements").mapInArrow(_zip_batches, "documento string, ano int, content binary")
     run_ts = datetime(2024, 1, 1)
     outcomes = silver_from_archives(archives, lake, "DFP", range(1995, 2002), _MEMBERS, run_ts)
     log_outcomes(spark, lake, run_ts, outcomes)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 YEAR = "ano_referencia"
+OBSERVED_YEARS = 16
 
 
 def path_exists(spark: SparkSession, pattern: str) -> bool:
@@ -67,14 +68,23 @@ def replace_years(
     )
     if rebalance:
         rows = rows.hint("rebalance", year)
+    # A count per year costs a comparison per row and year. For a long list the write only notes which years came,
+    # and their rows are counted from the footers of the files just written.
+    few = len(years) <= OBSERVED_YEARS
+    noted = [F.count_if(F.col(year) == y).alias(str(y)) for y in years] if few else [F.collect_set(year).alias("came")]
     seen = Observation()
-    counts = [F.count_if(F.col(year) == y).alias(str(y)) for y in years]
     mode = "static" if layout(spark, path, year) == "flat" else "dynamic"
     (
-        rows.observe(seen, *counts)
+        rows.observe(seen, *noted)
         .write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(year).parquet(path)
     )
-    written = {int(y): n for y, n in seen.get.items()}
+    if few:
+        written = {int(y): n for y, n in seen.get.items()}
+    else:
+        came = sorted(seen.get["came"])
+        stored = spark.read.parquet(path).where(F.col(year).isin(came)) if came else None
+        counts = dict(stored.groupBy(year).count().collect()) if came else {}  # one row per year
+        written = {y: counts.get(y, 0) for y in years}
     stale = [y for y, n in written.items() if n == 0 and path_exists(spark, f"{path}/{year}={y}")]
     if not stale and not any(written.values()) and layout(spark, path, year) != "by_year":
         stale = years[:1]  # a new table without any row still needs its columns on file

@@ -38,6 +38,15 @@ def test_first_write_of_nothing_still_makes_a_table(spark, folder):
     assert read_table(spark, f"{folder}/t").columns == ["id", "ano_referencia"]
 
 
+def test_long_lists_of_years(spark, folder):
+    path = f"{folder}/t"
+    assert replace_years(years(spark), path, range(1990, 2030)) == {y: 25 if 2000 <= y < 2004 else 0 for y in range(1990, 2030)}
+    assert replace_years(years(spark, 40).where("ano_referencia <> 2001"), path, range(1990, 2030))[2001] == 0
+    assert counts(spark, path) == {2000: 10, 2002: 10, 2003: 10}
+    assert set(replace_years(years(spark).where("false"), path, range(1990, 2030)).values()) == {0}
+    assert counts(spark, path) == {}
+
+
 def test_a_row_of_another_year_fails_the_write(spark, folder):
     path = f"{folder}/t"
     replace_years(years(spark), path, range(2000, 2004))
