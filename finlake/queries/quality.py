@@ -7,11 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.operators.clean import TableSpec
 from finlake.operators.quality import Checks, error_totals, errors, profile, summary
 from finlake.operators.rows import duplicate_groups
 from finlake.plans.builds import sweep
-from finlake.plans.specs import SPECS
 from finlake.queries import filings
 from finlake.queries.gold import cleaned
 from finlake.queries.registry import query, table
@@ -53,7 +51,9 @@ def _profile(spark: SparkSession, sf: str, *only: str) -> DataFrame:
     with o as ({_OBSERVED_SQL})
     select 'total_rows' as metrica, cast(null as varchar) as coluna, cast(count(*) as double) as valor from o
     union all select 'total_columns', null, {len(_OBSERVED)}
-    union all select 'unique_companies', 'l_suppkey', count(distinct l_suppkey) + max(case when l_suppkey is null then 1 else 0 end) from o
+    union all
+    select 'unique_companies', 'l_suppkey', count(distinct l_suppkey) + max(case when l_suppkey is null then 1 else 0 end)
+    from o
 """)
 def row_profile(spark: SparkSession, sf: str) -> DataFrame:
     return _profile(spark, sf, "total_rows", "total_columns", "unique_companies")

@@ -40,7 +40,10 @@ def _orders_by_year(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_ORDERS_SQL = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, cast(year(o_orderdate) as int) as ano_referencia from orders"
+_ORDERS_SQL = (
+    "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, cast(year(o_orderdate) as int) as ano_referencia "
+    "from orders"
+)
 
 # Bronze objects -------------------------------------------------------------------------------------------------
 
