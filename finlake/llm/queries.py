@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from finlake.llm import near_text
+from finlake.llm import mixing, near_text, quality, sentencepiece
 from finlake.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,19 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query()
+def op1_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.classified(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query()
+def op2_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    return sentencepiece.round_trips(table(spark, sf, "documents"), PIECES)
+
+
 # Shingles as lists of words; links are confirmed on the sets of every pair of distinct texts that share a shingle.
 SQL_NEAR = r"""
 with recursive words as (
@@ -52,3 +66,62 @@ from sets s join (select node, min(other) as c from reach group by node) r on r.
 @query(SQL_NEAR)
 def op6_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_text.near_duplicates(table(spark, sf, "documents"))
+
+
+# Every quotient of every source and shard is ranked, and the excess is reshared in the order in which limits bind.
+SQL_MIX = r"""
+with sizes as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents),
+by_source as (select source, sum(size) as source_size, count(*) as documents from sizes group by source),
+weighed as (
+  select *, (row_number() over (order by source nulls last) - 1) % 3 + 1 as weight, 3 * source_size as most from by_source),
+ranked as (
+  select *, sum(source_size) over () - coalesce(sum(most) over before, 0) as lft,
+    sum(weight) over () - coalesce(sum(weight) over before, 0) as weights,
+    row_number() over (order by most / weight, source nulls last) as rnk
+  from weighed
+  window before as (order by most / weight, source nulls last rows between unbounded preceding and 1 preceding)),
+free as (select lft as l, weights as w from ranked where most * weights > weight * lft order by rnk limit 1),
+targets as (
+  select source, source_size, documents,
+    case when most * weights <= weight * lft then cast(most as double) else weight * l / w end as target
+  from ranked left join free on true),
+seats as (select cast(floor(sum(source_size) / 16 + 0.5) as bigint) as n from targets),
+source_seats as (
+  select source, target / (2 * k + 1) as q, k
+  from targets, unnest(range(0, cast(3 * ceil(source_size / 16) as bigint))) as t(k)),
+quotas as (
+  select source, count(*) as quota
+  from (select source from source_seats where q > 0 order by q desc, source nulls last, k limit (select n from seats))
+  group by source),
+laid as (
+  select s.*, t.source_size, t.target, h.key,
+    cast('0x' || h.key[1:8] as bigint) % cast(ceil(t.documents / 8192) as bigint) as shard
+  from sizes s join targets t on s.source is not distinct from t.source,
+    lateral (select md5('mix-1|' || coalesce(cast(s.doc_id as varchar), 'null')) as key) h),
+shards as (select source, shard, sum(size) as size from laid group by all),
+shard_seats as (
+  select source, shard, size / (2 * k + 1) as q, k from shards, unnest(range(0, cast(3 * ceil(size / 16) as bigint))) as t(k)),
+shard_quotas as (
+  select source, shard, count(*) filter (where place <= quota) as quota
+  from (
+    select s.source, s.shard, q.quota, row_number() over (partition by s.source order by s.q desc, s.shard, s.k) as place
+    from shard_seats s join quotas q on s.source is not distinct from q.source)
+  group by all),
+shares as (
+  select s.source, s.shard, greatest(cast(ceil(s.size / 16) as bigint), 1) as n, coalesce(q.quota, 0) as quota,
+    cast('0x' || md5('mix-1|' || coalesce(s.source, 'null') || '|' || s.shard)[1:8] as bigint) as h
+  from shards s left join shard_quotas q on s.source is not distinct from q.source and s.shard = q.shard),
+met as (
+  select l.*, h.n, h.quota // h.n as copies, (h.h % h.n) * 16 as a, (h.h % h.n + h.quota % h.n) * 16 as b,
+    sum(l.size) over (partition by l.source, l.shard order by l.key, l.doc_id, l.size rows unbounded preceding) as e
+  from laid l join shares h on l.source is not distinct from h.source and l.shard = h.shard)
+select doc_id, source, cast(size as bigint) as size, cast(source_size as bigint) as source_size, target,
+  cast(copies * size + greatest(least(e, b) - greatest(e - size, a), 0) + greatest(least(e, b - n * 16) - (e - size), 0) as bigint) as taken
+from met
+"""
+
+
+@query(SQL_MIX)
+def op8_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents"))
