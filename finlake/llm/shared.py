@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,42 @@ def small_batches(spark: SparkSession, size: str = "8m", rows: int = 2000) -> No
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+#: An id set of at most this many rows (8 bytes each) is broadcast; a larger one is joined by exchange.
+BROADCAST_IDS = 2_000_000
+
+
+def rows_with_ids(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows whose ``column`` is in the one column of the stored table ``ids``. Few ids go to the rows, so texts stay in place."""
+    small = ids.count() <= BROADCAST_IDS
+    named = ids.toDF(column)
+    return df.join(F.broadcast(named) if small else named, column, "left_semi")
+
+
+def grouped(df: DataFrame, keys: Sequence[str], fn: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``fn`` over the rows of each key (all integers, not null), one group in memory at a time."""
+    keys = list(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys], 1)
+            cuts = [0, *(np.flatnonzero((values[1:] != values[:-1]).any(1)) + 1).tolist(), batch.num_rows]
+            for start, end in zip(cuts, cuts[1:]):
+                key = tuple(values[start].tolist())
+                if held and key != now:
+                    yield from fn(pa.Table.from_batches(held))
+                    held = []
+                now = key
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield from fn(pa.Table.from_batches(held))
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
