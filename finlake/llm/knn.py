@@ -133,8 +133,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     )
     asked = queries.withColumn("own", piece(parts)).join(frame(by_query, "cell"), "cell").select(
         F.col("cell").alias("qc"), F.col("own").alias("qp"), F.col("other").alias("dc"), F.col("piece").alias("db"), "vec_id", "v",
-    )
-    key = ["qc", "qp", "dc", "db"]
+    ).toDF("asked_qc", "asked_qp", "asked_dc", "asked_db", "query_id", "q")
 
     def solve(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         right = right.sort_values("vec_id", kind="stable")
@@ -142,8 +141,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
         found: list[tuple[int, int, int]] = []
         for start in range(0, len(left), 512):
             some = left.iloc[start: start + 512]
-            scores = _products(_matrix(some["v"].tolist()), x) if len(ids) else np.zeros((len(some), 0), np.int64)
-            for query, row in zip(some["vec_id"].tolist(), scores):
+            scores = _products(_matrix(some["q"].tolist()), x) if len(ids) else np.zeros((len(some), 0), np.int64)
+            for query, row in zip(some["query_id"].tolist(), scores):
                 other = np.flatnonzero(ids != query)
                 row = row[other]
                 if len(row) > k:
@@ -155,6 +154,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
                 found.extend((query, int(ids[other[n]]), int(row[n])) for n in keep)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
 
-    solved = asked.groupBy(*key).cogroup(data.groupBy(*key)).applyInPandas(solve, result)
+    of_query = asked.groupBy("asked_qc", "asked_qp", "asked_dc", "asked_db")
+    solved = of_query.cogroup(data.groupBy("qc", "qp", "dc", "db")).applyInPandas(solve, result)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return solved.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

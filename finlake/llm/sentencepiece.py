@@ -1,12 +1,14 @@
 """SentencePiece encoding by a streaming Viterbi search, and decoding.
 
-The pieces and scores are those of a SentencePiece model file; of all ways to cut a text into pieces the one with the
-greatest sum of scores is taken (the unigram rule), ties going to the longer last piece. Characters outside the vocabulary
-become byte pieces.
+The pieces are those of a SentencePiece model file; of all ways to cut a text into pieces the one with the greatest sum of
+scores is taken (the unigram rule), ties going to the longer last piece. A unigram model's scores are log probabilities. A BPE
+model's are negative ranks, from which Zipf's law gives log probabilities up to a constant: ``-log(1 + rank)``. Characters
+outside the vocabulary become byte pieces.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -24,7 +26,8 @@ SPACE = "▁"
 #: Score of a character outside the vocabulary, below the lowest piece.
 UNKNOWN_PENALTY = 10.0
 MEMO_SEGMENTS = 200_000
-NORMAL, UNKNOWN, BYTE = 1, 2, 6
+NORMAL, BYTE = 1, 6
+BPE = 2
 
 
 @dataclass
@@ -49,12 +52,14 @@ class Vocabulary:
             model.ParseFromString(file.read())
         pieces: dict[str, tuple[float | None, int | None]] = {}
         byte_ids, texts, lowest = [-1] * 256, [], 0.0
+        ranked = model.trainer_spec.model_type == BPE
         for i, p in enumerate(model.pieces):
             if p.type == NORMAL:
                 for end in range(1, len(p.piece)):
                     pieces.setdefault(p.piece[:end], (None, None))
-                pieces[p.piece] = (p.score, i)
-                lowest = min(lowest, p.score)
+                score = -math.log(1 - p.score) if ranked else p.score
+                pieces[p.piece] = (score, i)
+                lowest = min(lowest, score)
                 texts.append(p.piece.replace(SPACE, " ").encode())
             elif p.type == BYTE:
                 byte_ids[int(p.piece[1:-1], 16)] = i
