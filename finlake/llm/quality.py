@@ -135,7 +135,7 @@ def fit(rows: DataFrame, labels: DataFrame) -> Model:
     scale = np.where(scale > 1e-6, scale, 1.0)
     share = 0.5 if sums[1] is None else sums[1]
     if share in (0.0, 1.0) or not sums[0]:
-        return Model(mean, scale, np.zeros(FEATURES + 1), np.array([0.0]), np.array([share]))
+        return Model(mean, scale, np.append(share, np.zeros(FEATURES)), np.array([0.0]), np.array([share]))
     width = FEATURES + 2
 
     def equations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
