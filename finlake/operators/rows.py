@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from finlake.functions.text import quoted
 
-# A key row is an identifier and a count, well under 100 bytes: at most 100 MB is ever broadcast.
+# A dimension with more rows than this is never broadcast; callers also check its bytes.
 BROADCAST_ROWS = 1_000_000
-SALTS = 16
 
 
 def newest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -31,50 +30,32 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def key_multiplicity(dimension: DataFrame, key: str) -> DataFrame:
-    """``(key, vezes)``: how many dimension rows carry each key."""
-    return dimension.where(quoted(key).isNotNull()).groupBy(quoted(key)).agg(F.count(F.lit(1)).alias("vezes"))
-
-
-def _join_on_key(fact: DataFrame, fact_key: str, keys: DataFrame, how: str, broadcast: bool, salts: int) -> DataFrame:
-    """Join on ``__key``. Without a broadcast, rows of one key are spread over ``salts`` groups.
-
-    Each key then meets its rows in that many tasks, and since both sides are exchanged right before the
-    join, Spark can split groups that are still too big at run time. The salt comes from the number of the
-    row's input partition: a key with many rows has them in many partitions, and a task that is run again
-    sends every row to the same place.
+def _join_on_key(fact: DataFrame, fact_key: str, keys: DataFrame, how: str, broadcast: bool) -> DataFrame:
+    """Join on ``__key``. Without a broadcast both sides are exchanged right before the join, so Spark splits the
+    partitions of keys with many rows at run time and leaves the others alone.
     """
-    if broadcast:
-        return fact.join(F.broadcast(keys), quoted(fact_key) == F.col("__key"), how)
-    spread = keys.withColumn("__of", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    known = fact.where(quoted(fact_key).isNotNull())
-    salted = known.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    joined = salted.join(spread, (quoted(fact_key) == F.col("__key")) & (F.col("__salt") == F.col("__of")), how)
-    return joined.drop("__salt", "__of")
+    return fact.join(F.broadcast(keys) if broadcast else keys, quoted(fact_key) == F.col("__key"), how)
 
 
 def repeat_per_match(
     fact: DataFrame, fact_key: str, dimension: DataFrame, key: str, dimension_rows: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Fact rows whose key is in the dimension, once per matching dimension row.
 
-    An inner join of which only the dimension's key is kept, so the dimension shrinks to one short row per key
-    first and repeats are made afterwards. It is broadcast only when the caller knows it has at most
+    Only the dimension's key column takes part. It is broadcast only when the caller knows it has at most
     ``broadcast_rows`` rows.
     """
-    keys = key_multiplicity(dimension, key).withColumnRenamed(key, "__key")
+    keys = dimension.select(quoted(key).alias("__key")).where("__key is not null")
     small = dimension_rows is not None and dimension_rows <= broadcast_rows
-    joined = _join_on_key(fact, fact_key, keys, "inner", small, salts)
-    repeated = joined.withColumn("__copy", F.explode(F.expr("sequence(1L, vezes)")))
-    return repeated.drop("__key", "vezes", "__copy")
+    return _join_on_key(fact, fact_key, keys, "inner", small).drop("__key")
 
 
 def with_match(
     fact: DataFrame, fact_key: str, dimension: DataFrame, key: str, dimension_rows: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Fact rows whose key is in the dimension, each once whatever the dimension repeats."""
     keys = dimension.select(quoted(key).alias("__key")).where("__key is not null")
     small = dimension_rows is not None and dimension_rows <= broadcast_rows
-    return _join_on_key(fact, fact_key, keys, "left_semi", small, salts)
+    return _join_on_key(fact, fact_key, keys, "left_semi", small)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -33,32 +36,42 @@ def get_session(app: str = "finlake", master: str | None = None, **extra: str) -
     return builder.getOrCreate()
 
 
+@lru_cache
+def _local_scratch() -> str:
+    """One machine-local folder per process, removed when it ends."""
+    folder = tempfile.mkdtemp(prefix="finlake-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only where that setting is absent and the session itself is local.
+    A folder set by ``SparkContext.setCheckpointDir`` counts as well. A machine-local one is used only where both are absent
+    and the session itself is local.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="finlake-")
+        shared = _local_scratch()
     return f"{shared.rstrip('/')}/finlake-{purpose}-{uuid.uuid4().hex}"
 
 
-# One shuffle partition per this many bytes of input, up to a number the driver still tracks with ease. Run-time
-# coalescing merges the small ones, so too many cost little and too few spill.
+# One shuffle partition per this many bytes of input. Run-time coalescing merges the small ones, so too many cost little
+# and too few spill.
 BYTES_PER_PARTITION = 256 * 1024 * 1024
-MAX_PARTITIONS = 50_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 @contextmanager
-def shuffles_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+def shuffles_sized_for(
+    spark: SparkSession, input_bytes: int, bytes_per_partition: int = BYTES_PER_PARTITION
+) -> Iterator[int]:
     """Exchanges planned inside start with enough partitions for the input; never fewer than the session's own."""
     before = spark.conf.get(INITIAL_PARTITIONS, None)
     configured = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(configured, min(MAX_PARTITIONS, input_bytes // BYTES_PER_PARTITION))
+    wanted = max(configured, input_bytes // bytes_per_partition)
     if wanted == configured:
         yield configured
         return
@@ -70,3 +83,15 @@ def shuffles_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[int]:
             spark.conf.unset(INITIAL_PARTITIONS)
         else:
             spark.conf.set(INITIAL_PARTITIONS, before)
+
+
+@contextmanager
+def unsorted_writes(spark: SparkSession, open_files: int) -> Iterator[None]:
+    """Writes inside may keep up to ``open_files`` files of a task open instead of sorting its rows by folder first."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(open_files))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

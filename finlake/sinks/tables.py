@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 YEAR = "ano_referencia"
-OBSERVED_YEARS = 16
 
 
 def path_exists(spark: SparkSession, pattern: str) -> bool:
@@ -29,6 +28,26 @@ def stored_bytes(spark: SparkSession, *paths: str) -> int:
     return total
 
 
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders that exist."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored_years(spark: SparkSession, path: str, year: str = YEAR) -> set[int]:
+    """The years a partitioned table has a folder for, from one listing."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{year}=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    names = [status.getPath().getName().partition("=")[2] for status in found]
+    return {int(name) for name in names if name.lstrip("-").isdigit()}
+
+
+def years_in(df: DataFrame, year: str = YEAR) -> list[int]:
+    """The years that occur in ``df`` (one short row per year comes to the driver)."""
+    return sorted(r[0] for r in df.select(F.col(year).cast("int")).distinct().collect() if r[0] is not None)
+
+
 def layout(spark: SparkSession, path: str, year: str = YEAR) -> str:
     """``absent``, ``by_year`` or ``flat``."""
     if path_exists(spark, f"{path}/{year}=*"):
@@ -55,10 +74,10 @@ def replace_years(
 ) -> dict[int, int]:
     """Replace exactly ``years`` of a table partitioned by year; returns the rows written per year.
 
-    One job writes all years and counts them. A row of any other year fails the job. A year that came out
-    empty is cleared, and an unpartitioned table at ``path`` is replaced as a whole. ``rebalance`` spends one
-    exchange on even files (a hot year is split over many tasks); leave it off when the input already comes
-    in whole files per year.
+    One job writes all years and counts them, at one comparison per row and year. A row of any other year fails the
+    job. A year that came out empty is cleared, and an unpartitioned table at ``path`` is replaced as a whole.
+    ``rebalance`` spends one exchange on even files (a hot year is split over many tasks); leave it off when the input
+    already comes in whole files per year.
     """
     spark = df.sparkSession
     years = sorted({int(y) for y in years})
@@ -68,29 +87,21 @@ def replace_years(
     )
     if rebalance:
         rows = rows.hint("rebalance", year)
-    # A count per year costs a comparison per row and year. For a long list the write only notes which years came,
-    # and their rows are counted from the footers of the files just written.
-    few = len(years) <= OBSERVED_YEARS
-    noted = [F.count_if(F.col(year) == y).alias(str(y)) for y in years] if few else [F.collect_set(year).alias("came")]
+    before = stored_years(spark, path, year)
+    flat = not before and path_exists(spark, f"{path}/*.parquet")
     seen = Observation()
-    mode = "static" if layout(spark, path, year) == "flat" else "dynamic"
     (
-        rows.observe(seen, *noted)
-        .write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(year).parquet(path)
+        rows.observe(seen, *[F.count_if(F.col(year) == y).alias(str(y)) for y in years])
+        .write.mode("overwrite").option("partitionOverwriteMode", "static" if flat else "dynamic")
+        .partitionBy(year).parquet(path)
     )
-    if few:
-        written = {int(y): n for y, n in seen.get.items()}
-    else:
-        came = sorted(seen.get["came"])
-        stored = spark.read.parquet(path).where(F.col(year).isin(came)) if came else None
-        counts = dict(stored.groupBy(year).count().collect()) if came else {}  # one row per year
-        written = {y: counts.get(y, 0) for y in years}
-    stale = [y for y, n in written.items() if n == 0 and path_exists(spark, f"{path}/{year}={y}")]
-    if not stale and not any(written.values()) and layout(spark, path, year) != "by_year":
-        stale = years[:1]  # a new table without any row still needs its columns on file
-    nothing = spark.createDataFrame([], df.drop(year).schema)
-    for y in stale:
-        nothing.write.mode("overwrite").parquet(f"{path}/{year}={y}")
+    written = {int(y): n for y, n in seen.get.items()}
+    filled = {y for y, n in written.items() if n}
+    stale = before.intersection(years) - filled
+    remove(spark, *[f"{path}/{year}={y}" for y in sorted(stale)])
+    if years and not filled and not before - stale:
+        # A table without any row still needs its columns on file.
+        spark.createDataFrame([], df.drop(year).schema).write.mode("overwrite").parquet(f"{path}/{year}={years[0]}")
     return written
 
 

@@ -70,6 +70,17 @@ def test_dimension_is_broadcast_only_when_known_small(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_large_dimension_is_not_multiplied(spark):
+    fact = spark.range(1000).select(F.col("id").cast("string").alias("cnpj"), "id")
+    dim = spark.range(100_000).select(F.col("id").cast("string").alias("cnpj"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for join in (repeat_per_match, with_match):
+            assert "Generate" not in physical(join(fact, "cnpj", dim, "cnpj"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_a_hot_company_is_split_over_tasks(spark):
     """Half the fact belongs to one company and the dimension is too big to broadcast."""
     fact = spark.range(0, 200_000, numPartitions=4).selectExpr(
@@ -88,7 +99,7 @@ def test_a_hot_company_is_split_over_tasks(spark):
         spark.conf.set(k, v)
     try:
         for join in (repeat_per_match, with_match):
-            df = join(fact, "cnpj", dim, "cnpj", salts=2)
+            df = join(fact, "cnpj", dim, "cnpj")
             assert df.agg(F.count("*"), F.count_distinct("id")).first() == (100_000 + 25_000, 125_000)
             df.write.format("noop").mode("overwrite").save()
             df.collect()

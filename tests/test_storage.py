@@ -2,9 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from finlake.operators.rows import duplicate_groups, newest, one_row_per_key, repeat_per_match, with_match
-from finlake.session import INITIAL_PARTITIONS, MAX_PARTITIONS, scratch_dir, shuffles_sized_for
+from finlake.session import INITIAL_PARTITIONS, scratch_dir, shuffles_sized_for
 from finlake.sinks.exports import export_table
-from finlake.sinks.tables import append_rows, layout, migrate_to_years, overwrite_table, replace_years, stored_bytes
+from finlake.sinks.tables import append_rows, layout, migrate_to_years, overwrite_table, replace_years, stored_bytes, stored_years, years_in
 from finlake.sources.tables import read_table
 
 
@@ -47,6 +47,21 @@ def test_long_lists_of_years(spark, folder):
     assert counts(spark, path) == {}
 
 
+def test_years_of_rows_and_of_folders(spark, folder):
+    replace_years(years(spark), f"{folder}/t", range(2000, 2004))
+    assert stored_years(spark, f"{folder}/t") == set(years_in(years(spark))) == {2000, 2001, 2002, 2003}
+    assert stored_years(spark, f"{folder}/none") == set()
+
+
+def test_a_year_is_written_and_counted_in_one_job(spark, folder):
+    replace_years(years(spark), f"{folder}/t", range(1990, 2030))
+    spark.sparkContext.setJobGroup("write", "write")
+    replace_years(years(spark).where("ano_referencia <> 2001"), f"{folder}/t", range(1990, 2030), rebalance=False)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("write")) == 1
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert counts(spark, f"{folder}/t") == {2000: 25, 2002: 25, 2003: 25}
+
+
 def test_a_row_of_another_year_fails_the_write(spark, folder):
     path = f"{folder}/t"
     replace_years(years(spark), path, range(2000, 2004))
@@ -88,10 +103,10 @@ def test_overwrite_and_append_count(spark, folder):
     assert spark.read.parquet(f"{folder}/t").count() == 3
 
 
-def test_big_exports_are_split(spark, folder):
+def test_exports_are_split_unless_one_file_is_asked_for(spark, folder):
     overwrite_table(spark.range(0, 1000, numPartitions=2), f"{folder}/t")
-    export_table(spark, f"{folder}/t", f"{folder}/one", "csv")
-    export_table(spark, f"{folder}/t", f"{folder}/many", "csv", single_file_bytes=10, rows_per_file=100)
+    export_table(spark, f"{folder}/t", f"{folder}/one", "csv", single_file=True, rows_per_file=100)
+    export_table(spark, f"{folder}/t", f"{folder}/many", "csv", rows_per_file=100)
     files = {k: len(spark.read.text(f"{folder}/{k}").inputFiles()) for k in ("one", "many")}
     assert files["one"] == 1 and files["many"] >= 10
     assert spark.read.option("header", "true").csv(f"{folder}/many").count() == 1000
@@ -132,7 +147,7 @@ def test_stored_bytes(spark, folder):
     assert stored_bytes(spark, f"{folder}/none") == 0
 
 
-@pytest.mark.parametrize("size, partitions", [(0, 8), (10 * 2**30, 40), (100 * 10**12, MAX_PARTITIONS)])
+@pytest.mark.parametrize("size, partitions", [(0, 8), (10 * 2**30, 40), (100 * 10**12, 372_529)])
 def test_shuffles_grow_with_the_input(spark, size, partitions):
     with shuffles_sized_for(spark, size) as n:
         assert n == partitions
