@@ -18,6 +18,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--documents", nargs="*", default=["CAD", "DFP", "FRE", "FCA"])
     parser.add_argument("--unique-companies", action="store_true")
     parser.add_argument("--target", help="export folder")
+    parser.add_argument("--single-file", action="store_true", help="export each table as one file, through one task")
     args = parser.parse_args(argv)
     if args.step.startswith("export") and not args.target:
         parser.error("--target is required for exports")
@@ -31,9 +32,9 @@ def main(argv: list[str] | None = None) -> int:
     elif args.step == "quality":
         outcomes = builds.run_quality(spark, lake, args.years)
     elif args.step == "export-silver":
-        builds.export_silver(spark, lake, args.target)
+        builds.export_silver(spark, lake, args.target, single_file=args.single_file)
     else:
-        builds.export_gold(spark, lake, args.target)
+        builds.export_gold(spark, lake, args.target, single_file=args.single_file)
     for o in outcomes:
         print(f"{o.step} {o.table} {o.year or 'all'}: {'ok' if o.ok else 'FAILED'} {o.rows if o.ok else o.error}")
     return 0 if all(o.ok for o in outcomes) else 1

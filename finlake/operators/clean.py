@@ -83,8 +83,7 @@ def typed(df: DataFrame, spec: TableSpec) -> DataFrame:
     exprs: dict[str, Column] = {c: quoted(c) for c in df.columns}
     exprs |= {c: to_double(quoted(c)) for c in spec.doubles if c in present}
     exprs |= {c: parse_date(quoted(c)) for c in spec.dates if c in present}
-    if present.issuperset(spec.bigints):
-        exprs |= {c: to_bigint(quoted(c)) for c in spec.bigints}
+    exprs |= {c: to_bigint(quoted(c)) for c in spec.bigints if c in present}
     if spec.unit and present.issuperset((spec.unit.value, spec.unit.unit)):
         exempt = spec.unit.except_when() if spec.unit.except_when else None
         exprs[spec.unit.value] = scale_units(exprs[spec.unit.value], quoted(spec.unit.unit).cast("string"), exempt)

@@ -24,13 +24,17 @@ from finlake.plans.specs import DOCUMENT_FOLDERS, PROFILED, SOURCE_SYSTEM, SPECS
 from finlake.plans.star import CALENDAR_NAME, COMPANY, FACTS, SECURITY, STANDARD_FACTS
 from finlake.sinks.exports import export_table
 from finlake.session import shuffles_sized_for
-from finlake.sinks.tables import YEAR, append_rows, overwrite_table, path_exists, replace_years, stored_bytes
-from finlake.sources.archives import column_names, land, landed_status, landed_table, read_archives, unpack
+from finlake.sinks.tables import (
+    YEAR, append_rows, overwrite_table, path_exists, remove, replace_years, stored_bytes, stored_years,
+)
+from finlake.sources.archives import ARCHIVE_BYTES, land, landed_status, landed_table, read_archives, unpack
 from finlake.sources.bronze import latest_path, list_objects
 from finlake.sources.tables import calendar, read_csv, read_table
 
 # Rough growth of the data from a compressed archive, or a stored table, to rows in an exchange.
 ARCHIVE_EXPANSION = 10
+# Stored bytes of a company dimension up to which its keys are broadcast.
+BROADCAST_BYTES = 256 * 1024 * 1024
 TABLE_EXPANSION = 4
 
 RUN_LOG_SCHEMA = (
@@ -62,7 +66,7 @@ def _attempt(step: str, table: str, years: Iterable[int | None], job: Callable[[
         written = job()
     except Exception as error:  # noqa: BLE001 - isolation of one table is the feature
         seconds = time.monotonic() - started
-        return [Outcome(step, table, y, False, None, seconds, str(error)[:2000]) for y in years]
+        return [Outcome(step, table, y, False, None, seconds, str(error)) for y in years]
     seconds = time.monotonic() - started
     return [Outcome(step, table, y, True, n, seconds) for y, n in written.items()]
 
@@ -94,20 +98,26 @@ def build_register(spark: SparkSession, lake: Lake, run_ts: datetime | None = No
         newest = latest_path(list_objects(spark, f"{lake.bronze}/{SOURCE_SYSTEM}", ".csv")).first()["path"]
         if newest is None:
             raise FileNotFoundError("no register file")
-        return {None: overwrite_table(clean(read_csv(spark, newest), spec), lake.silver(spec.name))}
+        rows = read_csv(spark, newest, multi_line=True)  # one file, whose names may hold line breaks
+        return {None: overwrite_table(clean(rows, spec), lake.silver(spec.name))}
 
     return log_outcomes(spark, lake, run_ts or _now(), _attempt("silver", spec.name, [None], job))
 
 
-def silver_table(landed: DataFrame, status: Mapping[int, tuple[str, ...]], spec: TableSpec, run_ts) -> DataFrame:
-    """Cleaned rows of one table for all given years; years with the same header are cleaned together."""
+def silver_table(
+    landed: DataFrame, headers: Mapping[int, Iterable[tuple[str, ...]]], spec: TableSpec, run_ts
+) -> DataFrame:
+    """Cleaned rows of one table for all given years; members with the same header are cleaned together."""
     by_header: dict[tuple[str, ...], list[int]] = {}
-    for year, header in status.items():
-        by_header.setdefault(header, []).append(year)
+    for year, found in headers.items():
+        for header in found:
+            by_header.setdefault(header, []).append(year)
     parts = [
         clean(landed_table(landed, spec.name, years, header), spec) for header, years in sorted(by_header.items())
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if spec.distinct and len(parts) > 1:
+        rows = rows.dropDuplicates()
     return with_lineage(rows, spec, run_ts)
 
 
@@ -120,40 +130,76 @@ def newest_archives(spark: SparkSession, lake: Lake, document: str, years: Itera
     return {r["ano"]: r["path"] for r in latest_path(objects, "ano").collect()}  # one row per year
 
 
+def _landed_headers(landed: DataFrame) -> tuple[dict, dict]:
+    """Headers per table and year, and what is wrong with a table and year."""
+    found: dict[str, dict[int, list[tuple[str, ...]]]] = {}
+    broken: dict[tuple[str, int], str] = {}
+    for r in landed_status(landed).collect():  # one row per table, year and header
+        if r["defeito"]:
+            broken[r["tabela"], r["ano"]] = r["defeito"]
+        elif r["colunas"]:
+            found.setdefault(r["tabela"], {}).setdefault(r["ano"], []).append(tuple(r["colunas"]))
+    return found, broken
+
+
 def silver_from_archives(
     archives: DataFrame | None, lake: Lake, document: str, years: Iterable[int], tables: Iterable[str],
     run_ts: datetime, specs: Mapping[str, TableSpec] = SPECS,
 ) -> list[Outcome]:
-    """Unpack ``documento, ano, content`` once, then clean and store each table for all years in one job."""
+    """Unpack ``documento, ano, content``, then clean and store each table for all years in one job.
+
+    An archive that cannot be read fails its year; archives of a year not asked for are recorded and not stored. The
+    landed rows are removed at the end.
+    """
     names, years = tuple(tables), sorted({int(y) for y in years})
-    found: dict[str, dict[int, tuple[str, ...]]] = {}
+    found: dict[str, dict[int, list[tuple[str, ...]]]] = {}
     broken: dict[tuple[str, int], str] = {}
-    if archives is not None:
-        spark = archives.sparkSession
-        landing = f"{lake.landing}/{document}-{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-        land(unpack(archives, {document: {n: specs[n].member for n in names}}), landing)
+    outcomes: list[Outcome] = []
+    if archives is None:
+        return [Outcome("silver", name, y, False, error="not found") for name in names for y in years]
+    spark = archives.sparkSession
+    landing = f"{lake.landing}/{document}-{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    stems = {document: {n: specs[n].member for n in names}}
+
+    def unpack_all() -> Mapping:
+        land(unpack(archives, stems), landing)
+        return {}
+
+    def unpack_year(year: int) -> Mapping:
+        land(unpack(archives.where(F.col("ano") == year), stems), landing)
+        return {}
+
+    try:
+        if _attempt("silver", document, [None], unpack_all):
+            # Something could not be read at all; year by year, the others get through.
+            for y in years:
+                for failure in _attempt("silver", document, [y], lambda y=y: unpack_year(y)):
+                    broken |= {(name, y): failure.error for name in names}
+        landed = None
         if path_exists(spark, f"{landing}/tabela=*"):
             landed = spark.read.parquet(landing)
-            for r in landed_status(landed).collect():  # one row per table and year
-                if r["defeito"]:
-                    broken[r["tabela"], r["ano"]] = r["defeito"]
-                else:
-                    found.setdefault(r["tabela"], {})[r["ano"]] = column_names(r["colunas"])
-    outcomes: list[Outcome] = []
-    for name in names:
-        good = {y: header for y, header in found.get(name, {}).items() if y in years}
-        if good:
-
-            def job(name=name, good=good) -> Mapping:
-                rows = silver_table(landed, good, specs[name], run_ts)
-                # Removing copies already leaves even partitions; for a single year that layout is kept.
-                spread = len(good) > 1 or not specs[name].distinct
-                return replace_years(rows, lake.silver(name), sorted(good), rebalance=spread)
-
-            outcomes += _attempt("silver", name, sorted(good), job)
-        outcomes += [
-            Outcome("silver", name, y, False, error=broken.get((name, y), "not found")) for y in years if y not in good
-        ]
+            found, defects = _landed_headers(landed)
+            broken |= defects
+        for name in names:
+            good = {y: h for y, h in found.get(name, {}).items() if y in years and (name, y) not in broken}
+            if good:
+
+                def job(name=name, good=good) -> Mapping:
+                    rows = silver_table(landed, good, specs[name], run_ts)
+                    # Landed rows lie in whole files per year, and removing copies leaves even partitions; those of
+                    # several years need an exchange to become whole files again.
+                    return replace_years(rows, lake.silver(name), sorted(good), rebalance=specs[name].distinct and len(good) > 1)
+
+                outcomes += _attempt("silver", name, sorted(good), job)
+            outcomes += [
+                Outcome("silver", name, y, False, error=broken.get((name, y), "not found")) for y in years if y not in good
+            ]
+            others = {*found.get(name, {}), *(y for n, y in broken if n == name)}.difference(years)
+            outcomes += [
+                Outcome("silver", name, y, False, error="archive of a year that was not asked for") for y in sorted(others)
+            ]
+    finally:
+        remove(spark, landing)
     return outcomes
 
 
@@ -166,15 +212,30 @@ def build_silver(
     if document == "CAD":
         return build_register(spark, lake, run_ts)
     newest = newest_archives(spark, lake, document, years)
-    archives = read_archives(spark, document, newest.values()) if newest else None
-    with shuffles_sized_for(spark, stored_bytes(spark, *newest.values()) * ARCHIVE_EXPANSION):
-        outcomes = silver_from_archives(archives, lake, document, years, names, run_ts)
+    sizes = {y: stored_bytes(spark, path) for y, path in newest.items()}
+    too_large = [y for y, size in sizes.items() if size > ARCHIVE_BYTES]
+    paths = [path for y, path in newest.items() if y not in too_large]
+    archives = read_archives(spark, document, paths) if paths else None
+    with shuffles_sized_for(spark, sum(sizes.values()) * ARCHIVE_EXPANSION):
+        outcomes = silver_from_archives(archives, lake, document, [y for y in years if y not in too_large], names, run_ts)
+    reason = f"archive of more than {ARCHIVE_BYTES} bytes: land its members unzipped"
+    outcomes += [Outcome("silver", name, y, False, error=reason) for name in names for y in too_large]
     return log_outcomes(spark, lake, run_ts, outcomes)
 
 
 # Cleaned to star schema ---------------------------------------------------------------------------------------
 
 
+def _stored_in(spark: SparkSession, path: str, columns: Iterable[str], years: Iterable[int] | None = None) -> None:
+    """Raise unless every year's files at ``path`` have all ``columns``; a declared schema would read NULL instead."""
+    stored = sorted(stored_years(spark, path))
+    parts = [f"{path}/{YEAR}={y}" for y in stored if years is None or y in years] if stored else [path]
+    for part in parts:
+        lacking = set(columns) - {YEAR} - set(spark.read.parquet(part).columns)
+        if lacking:
+            raise ValueError(f"{part} has no column {', '.join(sorted(lacking))}")
+
+
 def build_gold(
     spark: SparkSession, lake: Lake, years: Iterable[int] = YEARS, facts: Iterable[str] = STANDARD_FACTS,
     unique_companies: bool = False, run_ts: datetime | None = None,
@@ -182,7 +243,8 @@ def build_gold(
     """Dimensions once per run, then every fact for all years.
 
     ``unique_companies`` keeps one row per company and counts each quote and dividend once; otherwise a
-    company registered twice repeats them, as a plain join on the register does.
+    company registered twice repeats them, as a plain join on the register does. A source that lacks a column fails
+    its table, and a company dimension that failed fails the facts joined to it; what is stored of them stays.
     """
     run_ts, years = run_ts or _now(), sorted({int(y) for y in years})
     company_path = lake.dimension(COMPANY.name)
@@ -193,12 +255,14 @@ def build_gold(
         return {None: overwrite_table(rows, company_path)}
 
     def securities() -> Mapping:
+        _stored_in(spark, lake.silver(SECURITY.source), SECURITY.columns.values())
         schema = cleaned_schema(SPECS[SECURITY.source], SECURITY.columns.values())
         listed = read_table(spark, lake.silver(SECURITY.source), schema=schema)
         return {None: overwrite_table(build_dimension(listed, SECURITY), lake.dimension(SECURITY.name))}
 
     outcomes = _attempt("gold", COMPANY.name, [None], companies)
-    company_rows = outcomes[0].rows
+    company = outcomes[0]
+    small = company.ok and stored_bytes(spark, company_path) <= BROADCAST_BYTES
     outcomes += _attempt(
         "gold", CALENDAR_NAME, [None],
         lambda: {None: overwrite_table(calendar(spark).coalesce(1), lake.dimension(CALENDAR_NAME))},
@@ -208,13 +272,17 @@ def build_gold(
         fact = FACTS[name]
 
         def job(fact=fact) -> Mapping:
+            if fact.company and not company.ok:
+                raise RuntimeError(f"{COMPANY.name} failed: {company.error}")
+            for t in fact.sources:
+                _stored_in(spark, lake.silver(t), fact.columns.values(), years)
             schemas = {t: cleaned_schema(SPECS[t], fact.columns.values()) for t in fact.sources}
             tables = {
                 t: read_table(spark, lake.silver(t), schema=schema).where(F.col(YEAR).isin(years))
                 for t, schema in schemas.items()
             }
             dim = read_table(spark, company_path) if fact.company else None
-            rows = build_fact(tables, fact, dim, company_rows, fan_out=not unique_companies)
+            rows = build_fact(tables, fact, dim, company.rows if small else None, fan_out=not unique_companies)
             # Sources are stored in whole files per year. A fact projected from them keeps that layout, so only
             # one that was joined spends an exchange on it.
             size = stored_bytes(spark, *[lake.silver(t) for t in fact.sources]) if fact.company else 0
@@ -281,14 +349,20 @@ def quality_summary(spark: SparkSession, lake: Lake, run_ts: datetime) -> DataFr
 # Exports ------------------------------------------------------------------------------------------------------
 
 
-def export_silver(spark: SparkSession, lake: Lake, target: str, tables: Iterable[str] | None = None) -> dict[str, int]:
+def export_silver(
+    spark: SparkSession, lake: Lake, target: str, tables: Iterable[str] | None = None, single_file: bool = False
+) -> dict[str, int]:
     """Every cleaned table, all years, as CSV with a header."""
     names = tables or [n for d in ("DFP", "FRE", "FCA", "CAD") for n in tables_of(d)]
-    return {n: export_table(spark, lake.silver(n), f"{target}/{n}", "csv", merge_schema=True) for n in names}
+    return {
+        n: export_table(spark, lake.silver(n), f"{target}/{n}", "csv", single_file, merge_schema=True) for n in names
+    }
 
 
-def export_gold(spark: SparkSession, lake: Lake, target: str, facts: Iterable[str] = STANDARD_FACTS) -> dict[str, int]:
+def export_gold(
+    spark: SparkSession, lake: Lake, target: str, facts: Iterable[str] = STANDARD_FACTS, single_file: bool = False
+) -> dict[str, int]:
     """Dimensions and facts as Parquet for BI tools."""
     paths = {n: lake.dimension(n) for n in (COMPANY.name, CALENDAR_NAME, SECURITY.name)}
     paths |= {n: lake.fact(n) for n in facts}
-    return {n: export_table(spark, p, f"{target}/{n}.parquet", "parquet") for n, p in paths.items()}
+    return {n: export_table(spark, p, f"{target}/{n}.parquet", "parquet", single_file) for n, p in paths.items()}

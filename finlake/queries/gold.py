@@ -19,7 +19,7 @@ from finlake.queries import filings
 from finlake.queries.filings import raw
 from finlake.queries.registry import query, table
 from finlake.session import scratch_dir
-from finlake.sinks.tables import YEAR, overwrite_table, replace_years
+from finlake.sinks.tables import YEAR, overwrite_table, replace_years, years_in
 from finlake.sources.tables import calendar_between, read_table
 
 _RAW_OF = {
@@ -38,10 +38,14 @@ def company(spark: SparkSession, sf: str, unique: bool = False) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf: str, name: str, fan_out: bool = True) -> DataFrame:
+    """A fact as the gold build makes it: the company dimension is stored first, so its row count is known."""
     described = FACTS[name]
     tables = {t: cleaned(spark, sf, t) for t in described.sources}
-    dim = company(spark, sf) if described.company else None
-    return build_fact(tables, described, dim, fan_out=fan_out)
+    if not described.company:
+        return build_fact(tables, described)
+    path = scratch_dir(spark, "companies")
+    company_rows = overwrite_table(company(spark, sf), path)
+    return build_fact(tables, described, read_table(spark, path), company_rows, fan_out=fan_out)
 
 
 @lru_cache
@@ -253,10 +257,7 @@ def current_ratio(spark: SparkSession, sf: str) -> DataFrame:
     group by all
 """)
 def dividends_by_quarter(spark: SparkSession, sf: str) -> DataFrame:
-    """Dividends per sector and quarter: fact joined to the company and calendar dimensions.
-
-    The calendar has one row per day of the orders' span, so it is always small enough to broadcast.
-    """
+    """Dividends per sector and quarter: fact joined to the company and calendar dimensions."""
     paid = fact(spark, sf, "FATO_DIVIDENDOS", fan_out=False)
     day = F.col("o_orderdate").cast("date")
     span = table(spark, sf, "orders").agg(F.min(day).alias("first"), F.max(day).alias("last"))
@@ -265,53 +266,67 @@ def dividends_by_quarter(spark: SparkSession, sf: str) -> DataFrame:
     per_day = paid.groupBy("cnpj", "data_exercicio_social").agg(
         F.sum("dividendo_total").alias("valor"), F.count(F.lit(1)).alias("n")
     )
-    joined = per_day.join(sectors, "cnpj").join(F.broadcast(days), F.col("data_exercicio_social") == F.col("data"))
+    joined = per_day.join(sectors, "cnpj").join(days, F.col("data_exercicio_social") == F.col("data"))
     return joined.groupBy("ano_trimestre", "setor").agg(
         F.round(F.sum("valor"), 2).alias("dividendos"), F.sum("n").alias("pagamentos")
     )
 
 
-GOLD_YEARS = range(1995, 2051)
-
-
-def _count_sql(name: str, sql: str) -> str:
-    return f"select '{name}' as tabela, ano_referencia as ano, count(*) as linhas from ({sql}) group by all"
+def _count_sql(name: str, value: str, sql: str) -> str:
+    return f"""
+    select '{name}' as tabela, ano_referencia as ano, count(*) as linhas,
+           cast(sum(cast(round({value} * 100) as bigint)) as bigint) as centavos
+    from ({sql}) group by all"""
 
 
+# Per fact: the amount that is summed, under its source's name and its own, and the rows in SQL.
 _FACT_SQL = {
-    "FATO_DMPL": filings.statement_sql("DFC_DMPL_con"),
-    "FATO_BALANCO": _BALANCE_SQL,
-    "FATO_DRE": f"select * from ({filings.statement_sql('DRE_con')}) where VL_CONTA is not null",
-    "FATO_COTACAO": f"""select q.* from ({filings.QUOTES_SQL}) q join ({_company_sql()}) d on q.CNPJ = d.cnpj
-                        where Valor_Cotacao_Media is not null""",
-    "FATO_DIVIDENDOS": f"select v.* from ({filings.DIVIDENDS_SQL}) v join ({_company_sql()}) d on v.CNPJ = d.cnpj",
-    "FATO_CAPITAL_SOCIAL": filings.CAPITAL_SQL,
+    "FATO_DMPL": ("VL_CONTA", "valor", filings.statement_sql("DFC_DMPL_con")),
+    "FATO_BALANCO": ("valor", "valor", _BALANCE_SQL),
+    "FATO_DRE": ("VL_CONTA", "valor", f"select * from ({filings.statement_sql('DRE_con')}) where VL_CONTA is not null"),
+    "FATO_COTACAO": (
+        "Valor_Cotacao_Media", "valor_cotacao_media",
+        f"""select q.* from ({filings.QUOTES_SQL}) q join ({_company_sql()}) d on q.CNPJ = d.cnpj
+            where Valor_Cotacao_Media is not null""",
+    ),
+    "FATO_DIVIDENDOS": (
+        "Dividendo_Distribuido_Total", "dividendo_total",
+        f"select v.* from ({filings.DIVIDENDS_SQL}) v join ({_company_sql()}) d on v.CNPJ = d.cnpj",
+    ),
+    "FATO_CAPITAL_SOCIAL": ("Quantidade_Total_Acoes", "qt_acao_total", filings.CAPITAL_SQL),
 }
 
 
 @query(f"""
-    {' union all '.join(_count_sql(n, q) for n, q in _FACT_SQL.items())}
-    union all select 'DIM_EMPRESA', null, count(*) from ({_company_sql()})
-    union all select 'DIM_TIPO_ACAO', null, count(*) from (select distinct * from ({filings.SECURITIES_SQL}))
+    {' union all '.join(_count_sql(n, value, q) for n, (value, _, q) in _FACT_SQL.items())}
+    union all select 'DIM_EMPRESA', null, count(*), null from ({_company_sql()})
+    union all select 'DIM_TIPO_ACAO', null, count(*), null from (select distinct * from ({filings.SECURITIES_SQL}))
 """)
 def gold_build(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole star schema built and stored from stored cleaned tables; rows per table and year read back."""
+    """The whole star schema built and stored from stored cleaned tables; rows and amounts per table and year read back."""
     lake = Lake(scratch_dir(spark, "gold"))
     sources = dict.fromkeys([SECURITY.source, *[t for f in STANDARD_FACTS for t in FACTS[f].sources]])
-    for name in sources:
-        replace_years(cleaned(spark, sf, name), lake.silver(name), GOLD_YEARS)
+    years: set[int] = set()
+    for kind in dict.fromkeys(_RAW_OF[name] for name in sources):
+        of_kind = years_in(raw(spark, sf, kind))
+        years.update(of_kind)
+        for name in sources:
+            if _RAW_OF[name] == kind:
+                replace_years(cleaned(spark, sf, name), lake.silver(name), of_kind)
     overwrite_table(cleaned(spark, sf, COMPANY.source), lake.silver(COMPANY.source))
-    failed = [o for o in build_gold(spark, lake, GOLD_YEARS) if not o.ok]
+    failed = [o for o in build_gold(spark, lake, years) if not o.ok]
     if failed:
         raise RuntimeError(f"{failed[0].table} {failed[0].year}: {failed[0].error}")
+    cents = lambda c: F.sum(F.round(F.col(c) * 100).cast("bigint"))
     counted = [
-        read_table(spark, lake.fact(n)).groupBy(F.col(YEAR).alias("ano")).agg(F.count(F.lit(1)).alias("linhas"))
-        .select(F.lit(n).alias("tabela"), "ano", "linhas")
-        for n in STANDARD_FACTS
+        read_table(spark, lake.fact(n)).groupBy(F.col(YEAR).alias("ano"))
+        .agg(F.count(F.lit(1)).alias("linhas"), cents(value).alias("centavos"))
+        .select(F.lit(n).alias("tabela"), "ano", "linhas", "centavos")
+        for n, (_, value, _) in _FACT_SQL.items()
     ]
     counted += [
         read_table(spark, lake.dimension(n)).agg(F.count(F.lit(1)).alias("linhas"))
-        .select(F.lit(n).alias("tabela"), F.lit(None).cast("int").alias("ano"), "linhas")
+        .select(F.lit(n).alias("tabela"), F.lit(None).cast("int").alias("ano"), "linhas", F.lit(None).cast("bigint").alias("centavos"))
         for n in (COMPANY.name, SECURITY.name)
     ]
     return reduce(DataFrame.unionByName, counted)

@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finlake.lake import Lake
 from finlake.operators.quality import Checks, error_totals, errors, profile, summary
 from finlake.operators.rows import duplicate_groups
 from finlake.plans.builds import sweep
+from finlake.plans.specs import PROFILED
 from finlake.queries import filings
 from finlake.queries.gold import cleaned
 from finlake.queries.registry import query, table
+from finlake.session import scratch_dir
+from finlake.sinks.tables import YEAR, overwrite_table, years_in
+from finlake.sources.tables import read_table
 
 AS_OF = date(2001, 1, 1)
 
@@ -185,32 +191,58 @@ def quality_summary(spark: SparkSession, sf: str) -> DataFrame:
                         "future_dates", "high_null_columns")
 
 
-_SWEPT = ("DRE_con", "BPA_con", "BPP_con", "distribuicao_dividendos")
+# Per profiled table: its rows, key, company column, amount that may be invalid, and date that may lie ahead.
+_SWEPT = {
+    **{
+        t: (filings.statement_sql(t), "CNPJ_CIA, CD_CONTA, DT_REFER", "CNPJ_CIA", "VL_CONTA", "DT_REFER")
+        for t in ("DRE_con", "BPA_con", "BPP_con")
+    },
+    "DFC_DMPL_con": (
+        filings.statement_sql("DFC_DMPL_con"), "CNPJ_CIA, COLUNA_DF, DT_REFER", "CNPJ_CIA", "VL_CONTA", "DT_REFER",
+    ),
+    "volume_valor_mobiliario": (
+        filings.QUOTES_SQL, "Nome_Companhia, Especie_Acao, Data_Fim_Trimestre", "CNPJ_Companhia", "Valor_Cotacao_Media",
+        "Data_Fim_Trimestre",
+    ),
+    "distribuicao_dividendos": (
+        filings.DIVIDENDS_SQL, "Nome_Companhia, Data_Fim_Exercicio_Social", "CNPJ_Companhia", "Dividendo_Distribuido_Total",
+        "Data_Fim_Exercicio_Social",
+    ),
+    "capital_social": (filings.CAPITAL_SQL, "", "CNPJ_Companhia", "", ""),
+}
+_SWEPT_YEARS = " union ".join(f"select ano_referencia as ano from ({source})" for source, *_ in _SWEPT.values())
 
 
 def _sweep_sql(name: str, source: str, key: str, company_column: str, value: str, future: str) -> str:
+    count = lambda condition, given: f"coalesce(count(*) filter ({condition}), 0)" if given else "cast(null as bigint)"
+    invalid = "coalesce(s.invalid_values, 0)" if value else "null"
+    duplicates = f"""
+        (select ano, count(*) filter (n > 1) as duplicates
+         from (select ano_referencia as ano, count(*) as n from ({source}) group by ano_referencia, {key}) group by all)""" if key else "(select cast(null as int) as ano, null as duplicates)"
     return f"""
     select '{name}' as tabela, y.ano, coalesce(s.total_rows, 0) as total_rows,
-           coalesce(s.unique_companies, 0) as unique_companies, coalesce(s.invalid, 0) as invalid_values,
-           coalesce(s.future_dates, 0) as future_dates, coalesce(k.duplicates, 0) as duplicates
-    from (select cast(unnest([1995, 1996, 1997, 1998, 1999, 2000, 2001, 2002]) as int) as ano) y
+           coalesce(s.unique_companies, 0) as unique_companies, cast({invalid} as bigint) as invalid_values,
+           cast(coalesce(s.future_dates, 0) as bigint) as future_dates,
+           cast({'coalesce(k.duplicates, 0)' if key else 'null'} as bigint) as duplicates
+    from ({_SWEPT_YEARS}) y
     left join (select ano_referencia as ano, count(*) as total_rows, count(distinct {company_column}) as unique_companies,
-                      count(*) filter ({value} is null) as invalid,
-                      count(*) filter ({future} > date '2001-01-01') as future_dates
+                      {count(f'{value} is null', value)} as invalid_values,
+                      {count(f"{future} > date '2001-01-01'", future)} as future_dates
                from ({source}) group by all) s using (ano)
-    left join (select ano, count(*) filter (n > 1) as duplicates from (
-                   select ano_referencia as ano, count(*) as n from ({source}) group by ano_referencia, {key})
-               group by all) k using (ano)"""
+    left join {duplicates} k using (ano)"""
 
 
-@query(" union all ".join(
-    [_sweep_sql(n, filings.statement_sql(n), "CNPJ_CIA, CD_CONTA, DT_REFER", "CNPJ_CIA", "VL_CONTA", "DT_REFER")
-     for n in _SWEPT[:3]]
-    + [_sweep_sql("distribuicao_dividendos", filings.DIVIDENDS_SQL, "Nome_Companhia, Data_Fim_Exercicio_Social",
-                  "CNPJ_Companhia", "Dividendo_Distribuido_Total", "Data_Fim_Exercicio_Social")]
-))
+@query(" union all ".join(_sweep_sql(name, *described) for name, described in _SWEPT.items()))
 def quality_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    """Every check of several tables for all years at once, years without rows included."""
-    found = summary(sweep({n: cleaned(spark, sf, n) for n in _SWEPT}, range(1995, 2003), AS_OF))
-    invalid = F.coalesce("invalid_monetary_values", "invalid_dividend_values").alias("invalid_values")
+    """Every check of all profiled tables for all years of any of them, years without rows included.
+
+    Each table is cleaned once and stored, as the silver build leaves it, and then read by both passes of its profile.
+    """
+    lake = Lake(scratch_dir(spark, "sweep"))
+    for name in PROFILED:
+        overwrite_table(cleaned(spark, sf, name), lake.silver(name))
+    tables = {name: read_table(spark, lake.silver(name)) for name in PROFILED}
+    years = years_in(reduce(DataFrame.unionByName, [t.select(YEAR) for t in tables.values()]))
+    found = summary(sweep(tables, years, AS_OF))
+    invalid = F.coalesce("invalid_monetary_values", "invalid_dividend_values", "invalid_stock_price_values").alias("invalid_values")
     return found.select("tabela", "ano", "total_rows", "unique_companies", invalid, "future_dates", "duplicates")

@@ -9,7 +9,7 @@ from finlake.functions.dates import parse_date
 from finlake.functions.numbers import scale_units, to_bigint, to_double
 from finlake.functions.predicates import has_text, matches, same_text
 from finlake.functions.text import account_level, fold_text, null_if_token, strip_id, tidy_strings
-from finlake.operators.clean import RowRule, TableSpec, UnitRule, clean, keep_rows, with_lineage
+from finlake.operators.clean import RowRule, TableSpec, UnitRule, clean, drop_empty, keep_rows, with_lineage
 from finlake.plans.specs import SPECS, per_share_unscaled
 from finlake.queries import filings
 from finlake.queries.filings import raw
@@ -56,6 +56,18 @@ def silver_capital(spark: SparkSession, sf: str) -> DataFrame:
     return clean(raw(spark, sf, "capital"), SPECS["capital_social"])
 
 
+@query(f"""
+    select distinct * replace (case when ano_referencia % 2 = 0 then null else Quantidade_Acoes_Preferenciais end
+                               as Quantidade_Acoes_Preferenciais)
+    from ({filings.CAPITAL_SQL})
+""")
+def silver_capital_short_header(spark: SparkSession, sf: str) -> DataFrame:
+    """Years whose header lacks one share count: the others stay typed, and all years go together."""
+    rows, spec = raw(spark, sf, "capital"), SPECS["capital_social"]
+    short = clean(rows.where("ano_referencia % 2 = 0").drop("Quantidade_Acoes_Preferenciais"), spec)
+    return clean(rows.where("ano_referencia % 2 <> 0"), spec).unionByName(short, allowMissingColumns=True)
+
+
 @query(filings.SECURITIES_SQL)
 def silver_securities(spark: SparkSession, sf: str) -> DataFrame:
     return clean(raw(spark, sf, "securities"), SPECS["cad_valor_mobiliario"])
@@ -169,7 +181,11 @@ def drop_all_null(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "events").selectExpr(
         "nullif(event_type, 'view') as event_type", "case when event_type <> 'view' then value end as value"
     )
-    return rows.dropna(how="all")
+    spec = TableSpec(
+        name="events", document="CAD", member="events", doubles=("value",),
+        rules=(RowRule(("value",), lambda: F.lit(True), proves=("value",)), RowRule(("absent",), lambda: F.lit(False), proves=("event_type",))),
+    )
+    return drop_empty(rows, spec)
 
 
 @query("select c_custkey, replace(c_name, '#', '') as c_name from customer", name="strip_id")

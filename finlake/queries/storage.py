@@ -10,6 +10,7 @@ import sys
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,19 +21,18 @@ from pyspark.sql import functions as F
 
 from finlake.lake import Lake
 from finlake.plans.builds import log_outcomes, silver_from_archives
+from finlake.plans.specs import SPECS
 from finlake.queries import filings
 from finlake.queries.filings import raw
 from finlake.queries.registry import query, table
 from finlake.session import scratch_dir
 from finlake.sinks.exports import export_table
-from finlake.sinks.tables import YEAR, migrate_to_years, overwrite_table, replace_years
+from finlake.sinks.tables import YEAR, migrate_to_years, overwrite_table, replace_years, years_in
 from finlake.sources.bronze import bronze_path, latest_path, manifest_summary, read_manifest
 from finlake.sources.tables import read_csv, read_table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ORDER_YEARS = range(1995, 2002)
-
 
 def _orders_by_year(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(
@@ -93,11 +93,12 @@ def manifest_json(spark: SparkSession, sf: str) -> DataFrame:
 
 # Archives -------------------------------------------------------------------------------------------------------
 
-_MEMBERS = {"DRE_con": "dfp_cia_aberta_DRE_con", "BPA_con": "dfp_cia_aberta_BPA_con"}
+_TABLES = ("DRE_con", "BPA_con", "BPP_con", "DFC_DMPL_con")
+_MEMBERS = {name: SPECS[name].member for name in _TABLES}
 
 
-def _zip_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One archive per input batch and year, its members holding the batch's rows as windows-1252 CSV."""
+def _zip_batches(batches: Iterator[pa.RecordBatch], members: dict[str, str]) -> Iterator[pa.RecordBatch]:
+    """One archive per input batch and year, its members holding the batch's rows as CSV, in UTF-8 or windows-1252."""
     for batch in batches:
         rows = pa.Table.from_batches([batch])
         years = rows.column("ano_referencia")
@@ -106,12 +107,12 @@ def _zip_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = rows.filter(pc.equal(years, year)).drop_columns(["ano_referencia"])
             text = io.BytesIO()
             pacsv.write_csv(part, text, pacsv.WriteOptions(delimiter=";", quoting_style="needed"))
-            content = text.getvalue().decode("utf-8").encode("cp1252")
+            contents = [text.getvalue(), text.getvalue().decode("utf-8").encode("cp1252")]
             packed = io.BytesIO()
             with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-                for stem in _MEMBERS.values():
+                for i, stem in enumerate(members.values()):
                     archive.writestr(f"{stem}_ind_{year}.csv", b"CNPJ_CIA\n")
-                    archive.writestr(f"{stem}_{year}.csv", content)
+                    archive.writestr(f"{stem}_{year}.csv", contents[(i + year) % 2])
             archives.append(("DFP", year, packed.getvalue()))
         yield pa.RecordBatch.from_pylist(
             [dict(documento=d, ano=y, content=c) for d, y, c in archives],
@@ -119,25 +120,51 @@ def _zip_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-@query(f"""
-    select 'DRE_con' as tabela, * from ({filings.statement_sql('DRE_con')})
-    union all select 'BPA_con', * from ({filings.statement_sql('BPA_con')})
-""")
-def silver_from_zip(spark: SparkSession, sf: str) -> DataFrame:
-    """Filings packed into archives, then unpacked, decoded, cleaned, stored by year and read back."""
+def _silver_built(spark: SparkSession, sf: str, tables: tuple[str, ...], run_ts: datetime) -> Lake:
+    """Filings packed into stored archives, then unpacked, decoded, cleaned, stored by year, with the run logged."""
     lake = Lake(scratch_dir(spark, "archives"))
-    archives = raw(spark, sf, "statements").mapInArrow(_zip_batches, "documento string, ano int, content binary")
-    run_ts = datetime(2024, 1, 1)
-    outcomes = silver_from_archives(archives, lake, "DFP", range(1995, 2002), _MEMBERS, run_ts)
+    members, filed = {t: _MEMBERS[t] for t in tables}, raw(spark, sf, "statements")
+    archives = filed.mapInArrow(lambda batches: _zip_batches(batches, members), "documento string, ano int, content binary")
+    archives.write.parquet(lake.bronze)
+    outcomes = silver_from_archives(spark.read.parquet(lake.bronze), lake, "DFP", years_in(filed), tables, run_ts)
     log_outcomes(spark, lake, run_ts, outcomes)
     failed = [o for o in outcomes if not o.ok]
     if failed:
         raise RuntimeError(f"{failed[0].table} {failed[0].year}: {failed[0].error}")
+    return lake
+
+
+@query(" union all ".join(f"select '{t}' as tabela, * from ({filings.statement_sql(t)})" for t in _TABLES))
+def silver_from_zip(spark: SparkSession, sf: str) -> DataFrame:
+    """All tables of one document type from archives whose members are in UTF-8 or windows-1252."""
+    lake = _silver_built(spark, sf, _TABLES, datetime(2024, 1, 1))
     parts = [
         read_table(spark, lake.silver(t)).withColumn("tabela", F.lit(t)).drop("data_processamento", "document_type")
-        for t in _MEMBERS
+        for t in _TABLES
     ]
-    return parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(f"""
+    with s as ({filings.statement_sql('BPP_con')}), y as (select distinct cast(year(l_shipdate) as int) as ano from lineitem)
+    select 'silver' as step, 'BPP_con' as tabela, ano, true as ok, count(s.CNPJ_CIA) as linhas, true as medido,
+           '2024-01-01 00:00:00' as processado, count(s.CNPJ_CIA) as linhas_com_linhagem
+    from y left join s on s.ano_referencia = y.ano group by ano
+""")
+def run_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The run log of a silver build, its seconds measured, next to the rows that carry the run's timestamp."""
+    run_ts = datetime(2024, 1, 1)
+    lake = _silver_built(spark, sf, ("BPP_con",), run_ts)
+    log = spark.read.parquet(lake.log("runs"))
+    stamped = read_table(spark, lake.silver("BPP_con")).where(
+        (F.col("data_processamento") == F.lit(run_ts)) & (F.col("document_type") == "DFP")
+    )
+    traced = stamped.groupBy(F.col(YEAR).alias("ano")).agg(F.count(F.lit(1)).alias("linhas_com_linhagem"))
+    return log.join(traced, "ano", "left").select(
+        "step", "tabela", "ano", "ok", "linhas", (F.col("segundos") > 0).alias("medido"),
+        F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss").alias("processado"),
+        F.coalesce("linhas_com_linhagem", F.lit(0)).alias("linhas_com_linhagem"),
+    )
 
 
 # Delimited text -------------------------------------------------------------------------------------------------
@@ -145,13 +172,26 @@ def silver_from_zip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("select cast(c_custkey as varchar) as c_custkey, c_name, concat('Ação – ', c_mktsegment) as segmento from customer")
 def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Semicolon-separated windows-1252 text, its encoding found out, every column read as text."""
+    """Semicolon-separated text in two encodings and two column orders, found out per file, every column read as text."""
     path = scratch_dir(spark, "csv")
-    rows = table(spark, sf, "customer").select(
-        "c_custkey", "c_name", F.concat(F.lit("Ação \u0096 "), "c_mktsegment").alias("segmento")
-    )
-    rows.write.option("header", "true").option("sep", ";").option("encoding", "ISO-8859-1").csv(path)
-    return read_csv(spark, path)
+    dash = {"ISO-8859-1": "\u0096", "UTF-8": "–"}
+    orders = {"ISO-8859-1": ["c_custkey", "c_name", "segmento"], "UTF-8": ["segmento", "c_custkey", "c_name"]}
+    for i, (encoding, columns) in enumerate(orders.items()):
+        rows = table(spark, sf, "customer").where(F.col("c_custkey") % 2 == i).select(
+            "c_custkey", "c_name", F.concat(F.lit(f"Ação {dash[encoding]} "), "c_mktsegment").alias("segmento")
+        )
+        writer = rows.select(*columns).write.option("header", "true").option("sep", ";").option("encoding", encoding)
+        writer.csv(f"{path}/{i}")
+    return read_csv(spark, [f"{path}/{i}" for i in range(len(orders))])
+
+
+@query("select cast(c_custkey as varchar) as c_custkey, concat(c_name, chr(10), 'S.A.') as nome, c_mktsegment from customer")
+def register_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """A register whose names hold quoted line breaks."""
+    path = scratch_dir(spark, "register")
+    rows = table(spark, sf, "customer").select("c_custkey", F.concat("c_name", F.lit("\nS.A.")).alias("nome"), "c_mktsegment")
+    rows.write.option("header", "true").option("sep", ";").option("quoteAll", "true").option("escape", '"').csv(path)
+    return read_csv(spark, path, multi_line=True)
 
 
 # Partitioned tables ---------------------------------------------------------------------------------------------
@@ -160,7 +200,8 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"select * from ({_ORDERS_SQL}) where ano_referencia = 1998")
 def year_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "years")
-    replace_years(_orders_by_year(spark, sf), path, ORDER_YEARS)
+    orders = _orders_by_year(spark, sf)
+    replace_years(orders, path, years_in(orders))
     return read_table(spark, path, "1998")
 
 
@@ -168,7 +209,7 @@ def year_scan(spark: SparkSession, sf: str) -> DataFrame:
 def replace_year(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "replace")
     orders = _orders_by_year(spark, sf)
-    replace_years(orders, path, ORDER_YEARS)
+    replace_years(orders, path, years_in(orders))
     replace_years(orders.where((F.col(YEAR) == 1997) & (F.col("o_orderstatus") == "F")), path, [1997])
     return read_table(spark, path)
 
@@ -177,17 +218,17 @@ def replace_year(spark: SparkSession, sf: str) -> DataFrame:
 def replace_year_empty(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "empty")
     orders = _orders_by_year(spark, sf)
-    replace_years(orders, path, ORDER_YEARS)
+    replace_years(orders, path, years_in(orders))
     replace_years(orders.where((F.col(YEAR) == 1996) & (F.col("o_orderstatus") == "none")), path, [1996])
     return read_table(spark, path)
 
 
-@query("select c_custkey, c_name, c_nationkey from customer where c_acctbal >= 0")
+@query("select c_custkey, c_name, c_nationkey from customer")
 def overwrite_dim(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "dim")
     customers = table(spark, sf, "customer")
     overwrite_table(customers.select("c_custkey", "c_name"), path)
-    overwrite_table(customers.where("c_acctbal >= 0").select("c_custkey", "c_name", "c_nationkey"), path)
+    overwrite_table(customers.select("c_custkey", "c_name", "c_nationkey"), path)
     return read_table(spark, path)
 
 
@@ -195,8 +236,9 @@ def overwrite_dim(spark: SparkSession, sf: str) -> DataFrame:
 def layout_migration(spark: SparkSession, sf: str) -> DataFrame:
     """An unpartitioned table rewritten by year with its rows kept."""
     flat, by_year = scratch_dir(spark, "flat"), scratch_dir(spark, "by-year")
-    overwrite_table(_orders_by_year(spark, sf), flat)
-    migrate_to_years(spark, flat, by_year, ORDER_YEARS)
+    orders = _orders_by_year(spark, sf)
+    overwrite_table(orders, flat)
+    migrate_to_years(spark, flat, by_year, years_in(orders))
     return read_table(spark, by_year)
 
 
@@ -220,15 +262,16 @@ def schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "evolution")
     orders = table(spark, sf, "orders").withColumn(YEAR, F.year("o_orderdate"))
     early, late = orders.where(F.col(YEAR) < 1998), orders.where(F.col(YEAR) >= 1998)
-    replace_years(early.select("o_orderkey", "o_totalprice", YEAR), path, range(1995, 1998))
-    replace_years(late.select("o_orderkey", "o_totalprice", "o_orderpriority", YEAR), path, range(1998, 2002))
+    replace_years(early.select("o_orderkey", "o_totalprice", YEAR), path, years_in(early))
+    replace_years(late.select("o_orderkey", "o_totalprice", "o_orderpriority", YEAR), path, years_in(late))
     return read_table(spark, path, merge_schema=True)
 
 
-@query("select cast(year(o_orderdate) as int) as ano_referencia, count(*) as linhas from orders group by all")
+@query("select cast(2000 + p_size as int) as ano_referencia, count(*) as linhas from part group by all")
 def write_count(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per year as counted by the job that wrote them (one row per year comes back)."""
-    written = replace_years(_orders_by_year(spark, sf), scratch_dir(spark, "count"), ORDER_YEARS)
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", (F.lit(2000) + F.col("p_size")).cast("int").alias(YEAR))
+    written = replace_years(parts, scratch_dir(spark, "count"), years_in(parts))
     return spark.createDataFrame(sorted(written.items()), f"{YEAR} int, linhas bigint")
 
 
@@ -248,5 +291,5 @@ def export_csv(spark: SparkSession, sf: str) -> DataFrame:
 @query(_CUSTOMER_SQL)
 def export_parquet(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "export-parquet")
-    export_table(spark, f"{sf}/customer.parquet", path, "parquet", single_file_bytes=0)
+    export_table(spark, f"{sf}/customer.parquet", path, "parquet")
     return read_table(spark, path)

@@ -1,6 +1,6 @@
 """Unpacking ZIP archives into landed rows, and reading landed rows back as tables.
 
-An archive cannot be split, so one task unpacks it, streaming: members are decoded and parsed in bounded
+A member of an archive cannot be split, so one task unpacks it, streaming: it is decoded and parsed in bounded
 batches and never held whole. Everything after landing is ordinary columnar data that splits freely.
 """
 
@@ -14,6 +14,7 @@ import sys
 import zipfile
 import zlib
 from collections.abc import Iterable, Iterator, Mapping
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,21 +23,28 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finlake.session import unsorted_writes
 from finlake.sources.bronze import PATH_PARTS
-from finlake.sources.tables import SEPARATOR
+from finlake.sources.tables import SEPARATOR, column_names
 
 # Tasks get these functions by value, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Largest archive that fits one binary value; its members have to be landed unzipped otherwise.
+ARCHIVE_BYTES = (1 << 31) - 1
+#: Files of one landing task that may be open at a time; rows come table by table and year by year.
+LANDING_FILES = 8
+HEADER_MARK = "\x1f"
 CHUNK_BYTES = 1 << 20
 BLOCK_BYTES = 8 << 20
 
 LANDED_SCHEMA = (
-    "documento string, tabela string, ano int, membro string, linha bigint, campos array<string>, defeito string"
+    "documento string, tabela string, ano int, membro string, cabecalho string, linha bigint, campos array<string>, "
+    "defeito string"
 )
 _LANDED_ARROW = pa.schema([
     ("documento", pa.string()), ("tabela", pa.string()), ("ano", pa.int32()), ("membro", pa.string()),
-    ("linha", pa.int64()), ("campos", pa.list_(pa.string())), ("defeito", pa.string()),
+    ("cabecalho", pa.string()), ("linha", pa.int64()), ("campos", pa.list_(pa.string())), ("defeito", pa.string()),
 ])
 
 
@@ -59,12 +67,25 @@ def _encoding(archive: zipfile.ZipFile, member: str) -> str:
     return "utf-8-sig"
 
 
-def _header(archive: zipfile.ZipFile, member: str, encoding: str) -> tuple[list[str], bool]:
-    """Column names, and whether any record follows them."""
-    with archive.open(member) as raw:
-        text = io.TextIOWrapper(raw, encoding=encoding, newline="")
-        records = (r for r in csv.reader(text, delimiter=SEPARATOR) if r)
-        return next(records, []), next(records, None) is not None
+def _header(raw: zipfile.ZipExtFile, encoding: str) -> tuple[list[str], bool]:
+    """Column names, and whether any record follows; the stream is left right behind the header record.
+
+    Blank lines before the header are passed over, and quoted line breaks belong to it.
+    """
+    record = b""
+    while line := raw.readline():
+        record += line
+        if record.count(b'"') % 2:
+            continue
+        names = next(csv.reader(io.StringIO(record.decode(encoding), newline=""), delimiter=SEPARATOR), [])
+        if names:
+            break
+        record = b""
+    else:
+        return [], False
+    while (ahead := raw.peek(1)[:1]) and ahead in b"\r\n":
+        raw.read(1)
+    return names, bool(ahead)
 
 
 def _rows_of(batch: pa.RecordBatch) -> pa.ListArray:
@@ -76,17 +97,11 @@ def _rows_of(batch: pa.RecordBatch) -> pa.ListArray:
     )
 
 
-def _parsed(archive: zipfile.ZipFile, member: str) -> Iterator[tuple[pa.ListArray, list[str | None] | None]]:
-    """Batches of field arrays, header first, with the defects of a batch if any.
+def _parsed(raw: zipfile.ZipExtFile, encoding: str, header: list[str]) -> Iterator[tuple[pa.ListArray, list[str | None] | None]]:
+    """Batches of field arrays of the records behind the header, with the defects of a batch if any.
 
     A short record keeps the fields it has. A record longer than the header is a defect.
     """
-    encoding = _encoding(archive, member)
-    header, more = _header(archive, member, encoding)
-    if header:
-        yield pa.array([header], pa.list_(pa.string())), None
-    if not more:
-        return
     uneven: list[list[str]] = []
 
     def kept() -> tuple[pa.ListArray, list[str | None]]:
@@ -101,67 +116,75 @@ def _parsed(archive: zipfile.ZipFile, member: str) -> Iterator[tuple[pa.ListArra
 
     names = [f"f{i}" for i in range(len(header))]
     read = pacsv.ReadOptions(
-        use_threads=False, block_size=BLOCK_BYTES, skip_rows=1, column_names=names,
+        use_threads=False, block_size=BLOCK_BYTES, column_names=names,
         encoding="utf8" if encoding == "utf-8-sig" else encoding,
     )
     parse = pacsv.ParseOptions(delimiter=SEPARATOR, newlines_in_values=True, invalid_row_handler=keep_uneven)
     text = pacsv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), strings_can_be_null=False)
-    with archive.open(member) as raw:
-        for batch in pacsv.open_csv(pa.PythonFile(raw, mode="r"), read, parse, text):
-            if batch.num_rows:
-                yield _rows_of(batch), None
-            if uneven:
-                yield kept()
+    for batch in pacsv.open_csv(pa.PythonFile(raw, mode="r"), read, parse, text):
+        if batch.num_rows:
+            yield _rows_of(batch), None
+        if uneven:
+            yield kept()
     if uneven:
         yield kept()
 
 
-def _landed(document, table, year, member, first, fields, defects=None) -> pa.RecordBatch:
+def _landed(document, table, year, member, header, first, fields, defects=None) -> pa.RecordBatch:
     n = len(fields)
+    texts = [pa.repeat(pa.scalar(v, pa.string()), n) for v in (document, table)]
     columns = [
-        pa.repeat(pa.scalar(document, pa.string()), n), pa.repeat(pa.scalar(table, pa.string()), n),
-        pa.repeat(pa.scalar(year, pa.int32()), n), pa.repeat(pa.scalar(member, pa.string()), n),
-        pa.array(np.arange(first, first + n), pa.int64()), fields,
+        *texts, pa.repeat(pa.scalar(year, pa.int32()), n), pa.repeat(pa.scalar(member, pa.string()), n),
+        pa.repeat(pa.scalar(header, pa.string()), n), pa.array(np.arange(first, first + n), pa.int64()), fields,
         pa.array(defects, pa.string()) if defects else pa.nulls(n, pa.string()),
     ]
     return pa.RecordBatch.from_arrays(columns, schema=_LANDED_ARROW)
 
 
-def _unpack_one(document, year, content, stems) -> Iterator[pa.RecordBatch]:
+def _unpack_one(document, year, content, table, stem) -> Iterator[pa.RecordBatch]:
+    """One member of one archive. What cannot be read is a defect of that table and year alone."""
+    empty, member, line, key = pa.array([[]], pa.list_(pa.string())), None, 0, ""
     try:
-        archive = zipfile.ZipFile(pa.BufferReader(content))
-    except zipfile.BadZipFile:
-        return  # nothing lands, so every table of this archive is reported as missing
-    with archive:
-        for table, stem in stems.items():
+        with zipfile.ZipFile(pa.BufferReader(content)) as archive:
             member = _member_for(archive.namelist(), stem)
             if member is None:
-                continue
-            line = 0
-            try:
-                for fields, defects in _parsed(archive, member):
-                    yield _landed(document, table, year, member, line, fields, defects)
+                return
+            encoding = _encoding(archive, member)
+            with archive.open(member) as raw:
+                header, more = _header(raw, encoding)
+                key = HEADER_MARK.join(header)
+                if header:
+                    yield _landed(document, table, year, member, key, 0, pa.array([header], pa.list_(pa.string())))
+                line = 1
+                for fields, defects in _parsed(raw, encoding, header) if more else ():
+                    yield _landed(document, table, year, member, key, line, fields, defects)
                     line += len(fields)
-            except (zipfile.BadZipFile, zlib.error, csv.Error, pa.ArrowInvalid, EOFError, OSError, ValueError) as error:
-                empty = pa.array([[]], pa.list_(pa.string()))
-                yield _landed(document, table, year, member, max(line, 1), empty, [f"unreadable: {error}"])
+    except (zipfile.BadZipFile, zlib.error, csv.Error, pa.ArrowInvalid, EOFError, OSError, ValueError, NotImplementedError, RuntimeError) as error:
+        what = "unreadable" if member else "unreadable archive"
+        yield _landed(document, table, year, member, key, max(line, 1), empty, [f"{what}: {error}"])
 
 
 def unpack(archives: DataFrame, stems: Mapping[str, Mapping[str, str]]) -> DataFrame:
     """Rows of the wanted members of every archive.
 
-    ``archives`` has ``documento, ano, content``; ``stems`` maps a document type to its tables and member
-    stems. Row 0 of a member is its header. Rows that cannot be trusted carry ``defeito``.
+    ``archives`` has ``documento, ano, content``; ``stems`` maps a document type to its tables and member stems. Each
+    table reads the archives by itself, so members are unpacked side by side. Row 0 of a member is its header, which
+    every row names. Rows that cannot be trusted carry ``defeito``.
     """
-    stems = {document: dict(tables) for document, tables in stems.items()}
+    wanted = [(document, table, stem) for document, tables in stems.items() for table, stem in tables.items()]
 
     def unpack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                document, year = batch["documento"][i].as_py(), batch["ano"][i].as_py()
-                yield from _unpack_one(document, year, batch["content"][i].as_buffer(), stems.get(document, {}))
+                document, year, table, stem = (batch[c][i].as_py() for c in ("documento", "ano", "tabela", "stem"))
+                yield from _unpack_one(document, year, batch["content"][i].as_buffer(), table, stem)
 
-    return archives.select("documento", "ano", "content").mapInArrow(unpack_batches, LANDED_SCHEMA)
+    parts = [
+        archives.where(F.col("documento") == document)
+        .select("documento", "ano", "content", F.lit(table).alias("tabela"), F.lit(stem).alias("stem"))
+        for document, table, stem in wanted
+    ]
+    return reduce(DataFrame.unionByName, parts).mapInArrow(unpack_batches, LANDED_SCHEMA)
 
 
 def read_archives(spark: SparkSession, document: str, paths: Iterable[str]) -> DataFrame:
@@ -172,38 +195,28 @@ def read_archives(spark: SparkSession, document: str, paths: Iterable[str]) -> D
 
 
 def land(landed: DataFrame, path: str) -> None:
-    """Store unpacked rows, one folder per table and year, replacing those that arrive."""
-    (
-        landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("tabela", "ano").parquet(path)
-    )
+    """Store unpacked rows, one folder per table and year, replacing those that arrive. Rows are stored as they come."""
+    with unsorted_writes(landed.sparkSession, LANDING_FILES):
+        (
+            landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("tabela", "ano").parquet(path)
+        )
 
 
 def landed_status(landed: DataFrame) -> DataFrame:
-    """Header and defect per table and year. Reads header rows and flagged rows only."""
+    """Header and defect per table, year and header. Reads header rows and flagged rows only."""
     flagged = landed.where((F.col("linha") == 0) | F.col("defeito").isNotNull())
-    return flagged.groupBy("tabela", "ano").agg(
+    return flagged.groupBy("tabela", "ano", "cabecalho").agg(
         F.max(F.when(F.col("linha") == 0, F.col("campos"))).alias("colunas"), F.max("defeito").alias("defeito")
     )
 
 
-def column_names(header: Iterable[str]) -> tuple[str, ...]:
-    """Header cells as usable column names: blanks are numbered, repeats get a counter."""
-    names: list[str] = []
-    for i, cell in enumerate(header):
-        base, n = cell or f"_c{i}", 0
-        name = base
-        while name in names:
-            n += 1
-            name = f"{base}.{n}"
-        names.append(name)
-    return tuple(names)
-
-
 def landed_table(landed: DataFrame, table: str, years: Iterable[int], columns: Iterable[str]) -> DataFrame:
-    """Landed rows of one table whose files share a header, as string columns plus ``ano_referencia``."""
+    """Landed rows of the members of one table that have these ``columns``, as strings plus ``ano_referencia``."""
+    columns = tuple(columns)
     rows = landed.where(
         (F.col("tabela") == table) & F.col("ano").isin([int(y) for y in years]) & (F.col("linha") > 0)
+        & (F.col("cabecalho") == HEADER_MARK.join(columns))
     )
-    fields = [F.get("campos", F.lit(i)).alias(name) for i, name in enumerate(columns)]
+    fields = [F.get("campos", F.lit(i)).alias(name) for i, name in enumerate(column_names(columns))]
     return rows.select(*fields, F.col("ano").alias("ano_referencia"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Iterable
 from datetime import date
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from finlake.functions.dates import calendar_attributes
 from finlake.functions.text import quoted
@@ -26,39 +28,74 @@ def _windows_1252_pairs() -> tuple[str, str]:
     return "".join(p[0] for p in pairs), "".join(p[1] for p in pairs)
 
 
+def column_names(header: Iterable[str]) -> tuple[str, ...]:
+    """Header cells as usable column names: blanks are numbered, repeats get a counter."""
+    names: list[str] = []
+    for i, cell in enumerate(header):
+        base, n = cell or f"_c{i}", 0
+        name = base
+        while name in names:
+            n += 1
+            name = f"{base}.{n}"
+        names.append(name)
+    return tuple(names)
+
+
 def file_encodings(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(path, is_utf8)`` per file: UTF-8 only if every line of the file is valid UTF-8."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), "value")
-    return lines.groupBy("path").agg(F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"))
+    """``(path, is_utf8, header)`` per file: UTF-8 only if every line is valid UTF-8; the first line that is not blank."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value",
+        F.monotonically_increasing_id().alias("place"),
+    )
+    filled = F.when(F.length(F.trim("value")) > 0, F.struct("block", "place"))
+    first = F.min_by(F.col("value").cast("binary"), filled)
+    return lines.groupBy("path").agg(F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"), first.alias("header"))
+
+
+def _reader(spark: SparkSession, separator: str, multi_line: bool):
+    return (
+        spark.read.option("sep", separator).option("header", "true").option("escape", '"')
+        .option("multiLine", str(multi_line).lower())
+    )
+
+
+def _decoded(reader, path: str | list[str], is_utf8: bool) -> DataFrame:
+    if is_utf8:
+        return reader.csv(path)
+    latin, letters = _windows_1252_pairs()
+    raw = reader.option("encoding", "ISO-8859-1").csv(path)
+    return raw.select(*[F.translate(quoted(c), latin, letters).alias(c) for c in raw.columns], "_metadata")
 
 
 def read_csv(
     spark: SparkSession, path: str | list[str], separator: str = SEPARATOR, encoding: str | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Delimited text with a header, every column a string named by the header.
+    """Delimited text with a header, every column a string named by the header of its file.
 
-    Without ``encoding``, a file that is not valid UTF-8 throughout is read as windows-1252. Files are split
-    over tasks unless ``multi_line`` is set, which quoted line breaks need.
+    Without ``encoding``, a file that is not valid UTF-8 throughout is read as windows-1252. Files are grouped by
+    encoding and header, so their columns may come in any order; the driver sees one row per group, not per file, and
+    each group reads its own files. Files are split over tasks unless ``multi_line`` is set, which quoted line breaks
+    need; such files are expected to share one header.
     """
-    reader = (
-        spark.read.option("sep", separator).option("header", "true").option("escape", '"')
-        .option("multiLine", str(multi_line).lower())
-    )
     if encoding:
-        return reader.option("encoding", encoding).csv(path)
-    kinds: dict[bool, list[str]] = {}
-    for row in file_encodings(spark, path).collect():  # one short row per input file
-        kinds.setdefault(row["is_utf8"], []).append(unquote(row["path"]))
+        return _reader(spark, separator, multi_line).option("encoding", encoding).csv(path)
+    files = file_encodings(spark, path)
+    if multi_line:
+        plain = files.agg(F.bool_and("is_utf8")).first()[0]
+        return _decoded(_reader(spark, separator, True), path, plain is not False).drop("_metadata")
+    groups = files.where("header is not null").select("is_utf8", "header").distinct().collect()
     parts = []
-    if True in kinds:
-        parts.append(reader.csv(kinds[True]))
-    if False in kinds:
-        latin, letters = _windows_1252_pairs()
-        raw = reader.option("encoding", "ISO-8859-1").csv(kinds[False])
-        parts.append(raw.select(*[F.translate(quoted(c), latin, letters).alias(c) for c in raw.columns]))
+    for is_utf8, header in groups:
+        text = bytes(header).decode("utf-8-sig" if is_utf8 else "cp1252", "replace")
+        names = column_names(next(csv.reader([text], delimiter=separator)))
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        rows = _decoded(_reader(spark, separator, False).schema(schema), path, is_utf8)
+        own = files.where((F.col("is_utf8") == is_utf8) & (F.col("header") == F.lit(header))).select(F.col("path").alias("__file"))
+        whole = rows if len(groups) == 1 else rows.join(own, F.col("_metadata.file_path") == F.col("__file"), "left_semi")
+        parts.append(whole.select(*[quoted(n) for n in names]))
     if not parts:
-        return reader.csv(path)
+        return _reader(spark, separator, False).csv(path)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

@@ -129,7 +129,7 @@ def test_broken_inputs_fail_their_year_only(spark, folder):
     assert by["DRE_con", 2020].ok and by["BPA_con", 2020].ok
     assert "fields for 15 columns" in by["DRE_con", 2022].error
     assert by["BPA_con", 2022].error == "not found"
-    assert by["DRE_con", 2023].error == "not found"
+    assert "unreadable archive" in by["DRE_con", 2023].error and "unreadable archive" in by["BPA_con", 2023].error
 
 
 def test_no_archives_at_all(spark, folder):
@@ -252,7 +252,7 @@ def test_exports(spark, folder):
     lake, _ = build_all(spark, folder)
     builds.build_gold(spark, lake, [2020, 2021])
     out = f"{folder}/out"
-    builds.export_silver(spark, lake, f"{out}/csv")
+    builds.export_silver(spark, lake, f"{out}/csv", single_file=True)
     builds.export_gold(spark, lake, f"{out}/gold")
     files = [f for f in os.listdir(f"{out}/csv/DRE_con") if f.endswith(".csv")]
     assert len(files) == 1
@@ -268,3 +268,126 @@ def test_command_line(spark, folder, capsys):
     assert main(["quality", "--root", folder, "--years", "2020"]) == 0
     assert main(["export-gold", "--root", folder, "--target", f"{folder}/out"]) == 0
     assert "gold FATO_BALANCO 2020: ok 5" in capsys.readouterr().out
+
+
+# Broken inputs must not lose or change data -------------------------------------------------------------------
+
+
+def rename_stored(spark, path, column):
+    rows = spark.read.parquet(path)
+    kept = rows.withColumnRenamed(column, f"{column}_X").collect()
+    schema = rows.withColumnRenamed(column, f"{column}_X").schema
+    spark.createDataFrame(kept, schema).write.mode("overwrite").parquet(path)
+
+
+def test_a_renamed_column_fails_its_fact_and_leaves_the_stored_year(spark, folder):
+    lake, _ = build_all(spark, folder)
+    assert all(o.ok for o in builds.build_gold(spark, lake, [2020, 2021], facts=["FATO_DRE"]))
+    before = read_table(spark, lake.fact("FATO_DRE")).count()
+    rename_stored(spark, f"{lake.silver('DRE_con')}/ano_referencia=2021", "VL_CONTA")
+    outcomes = [o for o in builds.build_gold(spark, lake, [2020, 2021], facts=["FATO_DRE"]) if o.table == "FATO_DRE"]
+    assert not any(o.ok for o in outcomes) and "VL_CONTA" in outcomes[0].error
+    assert read_table(spark, lake.fact("FATO_DRE")).count() == before
+
+
+def test_a_failed_dimension_fails_its_facts(spark, folder):
+    lake, _ = build_all(spark, folder)
+    assert all(o.ok for o in builds.build_gold(spark, lake, [2020]))
+    rename_stored(spark, lake.silver("cad_cia_aberta"), "SIT")
+    ok = builds.results(builds.build_gold(spark, lake, [2020]))
+    assert ok["DIM_EMPRESA"] == {None: False}
+    assert ok["FATO_COTACAO"] == {2020: False} and ok["FATO_DIVIDENDOS"] == {2020: False}
+    assert ok["FATO_DRE"] == {2020: True}
+    assert read_table(spark, lake.fact("FATO_COTACAO")).count() == 3
+
+
+def test_gold_takes_few_jobs(spark, folder):
+    lake, _ = build_all(spark, folder)
+    spark.sparkContext.setJobGroup("gold", "gold")
+    builds.build_gold(spark, lake, [2020, 2021])
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("gold"))
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert jobs <= 60, jobs
+
+
+def test_register_names_with_line_breaks(spark, folder):
+    root = fx.write_bronze(folder)
+    (root / "bronze" / fx.ROOT / "cad_cia_aberta.csv").write_bytes(
+        f'CNPJ_CIA;SETOR_ATIV;DENOM_SOCIAL;DENOM_COMERC;SIT\n{fx.A};Bancos;"Cia\nB;x";A;ATIVO\n{fx.B};Energia;C;C;ATIVO\n'.encode("cp1252")
+    )
+    assert builds.build_register(spark, Lake(str(root)))[0].rows == 2
+    rows = {r["CNPJ"]: r["DENOM_SOCIAL"] for r in read_table(spark, Lake(str(root)).silver("cad_cia_aberta")).collect()}
+    assert set(rows) == {"00000000000191", "00000208000100"} and "\n" in rows["00000000000191"]
+
+
+@pytest.mark.parametrize("text, header", [
+    ("\r\n\r\nA;B\r\n1;2\r\n", ["A", "B"]), ('"x\r\ny";B\r\n\r\n1;2\r\n', ["x\r\ny", "B"]), ("A;B\n\n", ["A", "B"]), ("A;B", ["A", "B"]),
+])
+def test_headers_after_blank_lines_and_with_line_breaks(spark, folder, text, header):
+    path = fx.snapshot(Path(folder), fx.DFP, 2020, "2024-01-01", "00-00-00", "dfp")
+    fx.write_zip(path, {"stem_2020.csv": text.encode("utf-8-sig")})
+    landed = unpack(read_archives(spark, "DFP", [str(path)]), {"DFP": {"T": "stem"}})
+    assert landed_status(landed).first()["colunas"] == header
+    rows = [r["campos"] for r in landed.where("linha > 0").collect()]
+    assert rows == ([["1", "2"]] if "1;2" in text else [])
+
+
+def test_column_orders_are_told_apart(spark, folder):
+    Path(folder, "a.csv").write_text("A;B\n1;2\n")
+    Path(folder, "b.csv").write_text("\nB;A\n3;4\n")
+    Path(folder, "c.csv").write_bytes("B;Ã;A\n5;é;6\n".encode("cp1252"))
+    rows = read_csv(spark, [f"{folder}/{n}.csv" for n in "abc"]).collect()
+    assert sorted((r["A"], r["B"], r["Ã"]) for r in rows) == [("1", "2", None), ("4", "3", None), ("6", "5", "é")]
+
+
+def test_two_archives_of_a_year_with_different_headers(spark, folder):
+    swapped = ";".join(["DENOM_CIA", *[c for c in fx.STATEMENT_HEADER.split(";") if c != "DENOM_CIA"]])
+    first, second = fx.DRE_2020[0].split(";"), fx.DRE_2020[1].split(";")
+    other = ";".join([second[3], *second[:3], *second[4:]])
+    paths = []
+    for day, header, row in (("01", fx.STATEMENT_HEADER, ";".join(first)), ("02", swapped, other)):
+        path = fx.snapshot(Path(folder), fx.DFP, 2020, f"2024-01-{day}", "00-00-00", "dfp")
+        fx.write_zip(path, {"dfp_cia_aberta_DRE_con_2020.csv": fx.csv_text(header, [row]).encode("utf-8")})
+        paths.append(str(path))
+    lake = Lake(folder)
+    outcomes = builds.silver_from_archives(read_archives(spark, "DFP", paths), lake, "DFP", [2020], ["DRE_con"], RUN)
+    assert [o.error for o in outcomes] == [None]
+    rows = read_table(spark, lake.silver("DRE_con")).collect()
+    assert {(r["CNPJ_CIA"], r["DENOM_CIA"]) for r in rows} == {(fx.A, "CIA – €"), (fx.B, "CIA – €")}
+    assert not Path(lake.landing).exists() or not any(Path(lake.landing).iterdir())
+
+
+def test_an_unreadable_archive_and_a_year_not_asked_for_are_outcomes(spark, folder, monkeypatch):
+    root = fx.write_bronze(folder)
+    lake = Lake(str(root))
+    archives = read_archives(spark, "DFP", builds.newest_archives(spark, lake, "DFP", [2020, 2021]).values())
+    by = {(o.table, o.year): o for o in builds.silver_from_archives(archives, lake, "DFP", [2020], ["DRE_con"], RUN)}
+    assert by["DRE_con", 2020].ok and "not asked for" in by["DRE_con", 2021].error
+    size = fx.snapshot(root, fx.DFP, 2020, "2024-01-01", "10-00-00", "dfp").stat().st_size
+    monkeypatch.setattr(builds, "ARCHIVE_BYTES", size - 1)
+    by = {(o.table, o.year): o for o in builds.build_silver(spark, lake, "DFP", [2020, 2021], ["DRE_con"], RUN)}
+    assert by["DRE_con", 2021].ok and "unzipped" in by["DRE_con", 2020].error
+
+    def failing(landed, path, land=builds.land):
+        if "2020" in landed._jdf.queryExecution().toString() or not failing.split:
+            failing.split = True
+            raise OSError("lost")
+        land(landed, path)
+
+    failing.split = False
+    monkeypatch.setattr(builds, "ARCHIVE_BYTES", 10**9)
+    monkeypatch.setattr(builds, "land", failing)
+    by = {(o.table, o.year): o for o in builds.build_silver(spark, lake, "DFP", [2020, 2021], ["DRE_con"], RUN)}
+    assert by["DRE_con", 2021].ok and by["DRE_con", 2020].error == "lost"
+
+
+def test_a_year_without_one_share_count(spark, folder):
+    root = fx.write_bronze(folder)
+    header = fx.CAPITAL_HEADER.replace(";Quantidade_Acoes_Preferenciais", "")
+    rows = [f"{fx.A};Cia A;Capital Integralizado;2021-01-01;2019-06-30;7;9"]
+    fx.write_zip(fx.snapshot(root, fx.FRE, 2021, "2024-01-01", "10-00-00", "fre"), {"fre_cia_aberta_capital_social_2021.csv": fx.csv_text(header, rows).encode()})
+    lake = Lake(str(root))
+    ok = builds.results(builds.build_silver(spark, lake, "FRE", [2020, 2021], ["capital_social"], RUN))
+    assert ok == {"capital_social": {2020: True, 2021: True}}
+    got = {r["ano_referencia"]: r["Quantidade_Acoes_Ordinarias"] for r in read_table(spark, lake.silver("capital_social"), merge_schema=True).where("CNPJ = '00000000000191'").collect()}
+    assert got == {2020: 13044496930, 2021: 7}
