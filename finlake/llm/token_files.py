@@ -14,8 +14,11 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,7 @@ PLACE_BITS = 17
 #: Symbols are 16-bit, which bounds the rules of a shard.
 SYMBOLS = 1 << 16
 SAMPLE = 1024
-MEMO_WORDS = 600_000
+MEMO_WORDS = 800_000
 END = 0
 
 
@@ -50,11 +53,22 @@ UNSURE_RANGES = (
 UNSURE = "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in UNSURE_RANGES) + "]"
 
 
+SPACES = "[\t\r\x0b\x0c]"
+MARK = "\x1f"
+
+
+def worker_memo(name: str) -> dict[str, bytes]:
+    """A table that stays with this worker process from task to task."""
+    return sys.modules.setdefault("_finlake_memo", ModuleType("_finlake_memo")).__dict__.setdefault(name, {})
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library.
 
-    Words (the pre-tokenizer's pieces) are encoded by themselves in the library too, so each distinct word goes through it once
-    and is remembered, up to a bounded number. A text with characters on which the two engines could differ goes whole.
+    Its pre-tokenizer encodes each of its pieces by itself, and no piece goes across a single space or line feed. So a text is
+    looked up by stretches between those, a new stretch by its pieces, and each new piece goes through the library. Stretches
+    and pieces are remembered, up to a bounded number. A text with spaces together is looked up by pieces, and one with
+    characters that the two engines could class differently goes through the library whole.
     """
 
     def __init__(self, definition: str):
@@ -63,25 +77,39 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
-        self.words = re.compile(PATTERN).findall
+        self.cut = re.compile(PATTERN).findall
         self.unsure = re.compile(UNSURE).search
-        self.memo: dict[str, bytes] = {}
+        self.spaces = re.compile(SPACES).search
+        name = f"{zlib.crc32(definition.encode())}-{len(definition)}"
+        self.stretches, self.pieces = worker_memo(f"{name}-stretches"), worker_memo(f"{name}-pieces")
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.int32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("i", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _stretches(self, text: str) -> list[str]:
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or self.spaces(text):
+            return self.cut(text)
+        return text.replace("\n", f"{MARK}\n{MARK}").replace(" ", f"{MARK} ").split(MARK)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
+        known = self.stretches
+        for memo in (known, self.pieces):
+            if len(memo) > MEMO_WORDS:
+                memo.clear()
         odd = [i for i, t in enumerate(texts) if self.unsure(t)]
         out = dict(zip(odd, self.whole([texts[i] for i in odd])))
-        for i, text in enumerate(texts):
-            if i not in out:
-                words = self.words(text)
-                new = list(set(words).difference(self.memo))
-                self.memo.update(zip(new, self.whole(new)))
-                out[i] = b"".join(map(self.memo.__getitem__, words))
+        parts = {i: self._stretches(t) for i, t in enumerate(texts) if i not in out}
+        found = {i: list(map(known.get, words)) for i, words in parts.items()}
+        new = {w for i, words in parts.items() if None in found[i] for w, ids in zip(words, found[i]) if ids is None}
+        cut = {w: self.cut(w) for w in new}
+        fresh = list({p for pieces in cut.values() for p in pieces}.difference(self.pieces))
+        self.pieces.update(zip(fresh, self.whole(fresh)))
+        known.update((w, b"".join(map(self.pieces.__getitem__, pieces))) for w, pieces in cut.items())
+        for i, ids in found.items():
+            if None in ids:
+                ids = [got if got is not None else known[w] for w, got in zip(parts[i], ids)]
+            out[i] = b"".join(ids)
         return [out[i] for i in range(len(texts))]
 
 
@@ -91,36 +119,46 @@ class Encoder:
 def compress(tokens: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray]:
     """Rules (pairs of symbols; rule r is symbol ``terminals + r``) and the remaining sequence.
 
-    In each round every pair of neighbours is hashed into a table, one pair per place is counted exactly, and the frequent ones
-    are replaced from left to right. A pair that shares its place with another has its turn in a later round.
+    In each round the pairs of neighbours are counted in a table of hashes. In every place of it that is nearly as full as the
+    fullest, one pair is counted exactly, and if frequent it is replaced from left to right. A pair that shares its place
+    with another has its turn in a later round, under another hash.
     """
     sequence, rules = tokens.astype(np.int32), np.zeros((0, 2), np.int32)
-    places, turn = 1 << PLACE_BITS, 0
-    while len(sequence) > 1:
-        left, right = sequence[:-1], sequence[1:]
+    places, turn, share = 1 << PLACE_BITS, 0, ROUND_SHARE
+    while len(sequence) > 1 and terminals + len(rules) < SYMBOLS:
         turn += 1
-        mixed = (left.view(np.uint32) * np.uint32(0x9E3779B1 + 2 * turn)) ^ (right.view(np.uint32) * np.uint32(0x85EBCA77))
-        place = ((mixed * np.uint32(0xC2B2AE3D)) >> np.uint32(32 - PLACE_BITS)).astype(np.int32)
-        holder = np.zeros(places, np.int32)
-        holder[place] = np.arange(len(left), dtype=np.int32)
+        place = sequence[:-1].view(np.uint32) * np.uint32(0x9E3779B1 + 2 * turn)
+        place ^= sequence[1:].view(np.uint32) * np.uint32(0x85EBCA77)
+        place *= np.uint32(0xC2B2AE3D)
+        place = (place >> np.uint32(32 - PLACE_BITS)).astype(np.int64)
+        filled = np.bincount(place, minlength=places)
+        least = max(LEAST_COUNT, int(filled.max() * share))
+        at = np.flatnonzero((filled >= least)[place])
+        of = place[at]
+        holder = np.zeros(places, np.int64)
+        holder[of] = at
         one, two = sequence[holder], sequence[holder + 1]
-        mine = (one[place] == left) & (two[place] == right)
-        counts = np.bincount(place[mine], minlength=places)
-        most = int(counts.max())
-        if most < LEAST_COUNT or terminals + len(rules) >= SYMBOLS:
-            break
-        chosen = np.flatnonzero(counts >= max(LEAST_COUNT, most * ROUND_SHARE))
+        mine = (one[of] == sequence[at]) & (two[of] == sequence[at + 1])
+        at, of = at[mine], of[mine]
+        counts = np.bincount(of, minlength=places)
+        chosen = np.flatnonzero(counts >= LEAST_COUNT)
+        if not len(chosen):
+            if least == LEAST_COUNT:
+                break
+            share /= 8
+            continue
         chosen = chosen[np.argsort(-counts[chosen], kind="stable")][: SYMBOLS - terminals - len(rules)]
         symbol = np.zeros(places, np.int32)
         symbol[chosen] = terminals + len(rules) + np.arange(len(chosen))
-        new = symbol[place]
-        at = np.flatnonzero(mine & (new > 0))
+        new = symbol[of]
+        at, new = at[new > 0], new[new > 0]
         number = np.arange(len(at))
         first = np.ones(len(at), bool)
         first[1:] = at[1:] != at[:-1] + 1
-        at = at[(number - np.maximum.accumulate(np.where(first, number, 0))) % 2 == 0]
+        kept = (number - np.maximum.accumulate(np.where(first, number, 0))) % 2 == 0
+        at, new = at[kept], new[kept]
         rules = np.vstack([rules, np.stack([one[chosen], two[chosen]], 1)])
-        sequence[at] = new[at]
+        sequence[at] = new
         stays = np.ones(len(sequence), bool)
         stays[at + 1] = False
         sequence = sequence[stays]
@@ -217,7 +255,7 @@ def write(docs: DataFrame, tokenizer_path: str, purpose: str = "token-files") ->
     follow each other in an order set by their texts. A text is spread over nothing: a shard ends after the document that
     fills it.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, "4m")
     with open(tokenizer_path, encoding="utf-8") as file:
         definition = file.read()
     shipped = docs.sparkSession.sparkContext.broadcast(definition)

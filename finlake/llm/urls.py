@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from finlake.llm.shared import stored
+
 SWEEP_ROWS = 20_000
 DEFAULT_VERDICT = "allow"
 
@@ -44,7 +46,7 @@ def _keyed(rules: DataFrame) -> DataFrame:
     return starts.join(outer, "outer").groupBy("label", "key").agg(F.sort_array(F.collect_list("entry"), asc=False).alias("stack"))
 
 
-def judged(addresses: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDICT) -> DataFrame:
+def judged(addresses: DataFrame, rules: DataFrame) -> DataFrame:
     """``(host, path, rule, verdict)`` for every distinct ``(host, path)`` of ``addresses`` that a rule fits."""
     distinct = addresses.where("host <> ''").select("host", "path").distinct()
     labels = F.split("host", r"\.")
@@ -52,9 +54,10 @@ def judged(addresses: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDIC
     asked = distinct.withColumn("labels", labels).select(
         "host", "path", F.element_at("labels", -1).alias("label"), F.explode(F.transform(F.sequence(F.lit(1), F.size("labels")), key_of)).alias("key"),
     )
-    keyed = _keyed(rules)
+    keyed = stored(_keyed(rules), "rules")
     asked = asked.join(keyed.select("label").distinct(), "label", "left_semi")
     sweeps = asked.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / SWEEP_ROWS).alias("sweeps"))
+    sweeps = stored(sweeps, "sweeps")  # its size is then known: short tables go to the questions, which stay where they are
     asked = asked.join(sweeps, "label").withColumn("sweep", F.pmod(F.xxhash64("host", "path"), F.col("sweeps"))).drop("sweeps")
     opened = keyed.join(sweeps, "label").withColumn("sweep", F.explode(F.expr("sequence(0L, sweeps - 1)"))).drop("sweeps")
     both = opened.withColumn("asks", F.lit(0)).unionByName(asked.withColumn("asks", F.lit(1)), allowMissingColumns=True)
