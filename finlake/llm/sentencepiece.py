@@ -11,8 +11,9 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finlake.llm.shared import small_batches
+from finlake.llm.shared import small_batches, trim, worker_memo
 
 SPACE = "▁"
 #: Score of a character outside the vocabulary, below the lowest piece.
 UNKNOWN_PENALTY = 10.0
-MEMO_SEGMENTS = 200_000
+MEMO_SEGMENTS = 400_000
+#: Letters that a stretch may end after: ASCII and U+00C0 to U+024F without the two signs among them.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 NORMAL, BYTE = 1, 6
 BPE = 2
 
@@ -40,8 +43,10 @@ class Vocabulary:
     texts: list[bytes]
     unknown_score: float
     longest: int
-    words_apart: bool
+    #: A pattern whose matches meet where no piece of the vocabulary spans the place; None if it has no such places.
+    cuts: str | None
     dummy_prefix: bool
+    name: str
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -49,7 +54,8 @@ class Vocabulary:
 
         model = sentencepiece_model_pb2.ModelProto()
         with open(path, "rb") as file:
-            model.ParseFromString(file.read())
+            content = file.read()
+        model.ParseFromString(content)
         pieces: dict[str, tuple[float | None, int | None]] = {}
         byte_ids, texts, lowest = [-1] * 256, [], 0.0
         ranked = model.trainer_spec.model_type == BPE
@@ -67,8 +73,45 @@ class Vocabulary:
             else:
                 texts.append(b"")
         normal = [p.piece for p in model.pieces if p.type == NORMAL]
-        apart = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in normal)
-        return cls(pieces, byte_ids, texts, lowest - UNKNOWN_PENALTY, max(map(len, normal)), apart, model.normalizer_spec.add_dummy_prefix)
+        spans = lambda pattern: any(re.search(pattern, p) for p in normal)
+        if spans(f"[^{SPACE}]{SPACE}"):
+            cuts = None
+        elif spans("\n") or spans(f"[{LETTERS}][^{LETTERS}]"):
+            cuts = f"{SPACE}*[^{SPACE}]+|{SPACE}+"
+        else:
+            sign = f"[^{SPACE}\n{LETTERS}]"
+            cuts = f"\n|{SPACE}*{sign}*[{LETTERS}]+|{SPACE}*{sign}+|{SPACE}+"
+        return cls(
+            pieces, byte_ids, texts, lowest - UNKNOWN_PENALTY, max(map(len, normal)), cuts, model.normalizer_spec.add_dummy_prefix,
+            f"sentencepiece-{zlib.crc32(content)}-{len(content)}",
+        )
+
+
+def short_cut(v: Vocabulary, text: str) -> list[int]:
+    """The search over a text that fits the window of a stream: nothing is committed before its end."""
+    n, longest, find = len(text), v.longest, v.pieces.get
+    best, back = [0.0] + [float("-inf")] * n, [(0, -1)] * (n + 1)
+    for i in range(n):
+        here, single = best[i], False
+        for end in range(i + 1, min(n, i + longest) + 1):
+            found = find(text[i:end])
+            if found is None:
+                break
+            score, piece = found
+            if piece is not None:
+                if end == i + 1:
+                    single = True
+                if here + score > best[end]:
+                    best[end], back[end] = here + score, (i, piece)
+        if not single and here + v.unknown_score > best[i + 1]:
+            best[i + 1], back[i + 1] = here + v.unknown_score, (i, -1)
+    ids: list[int] = []
+    while n:
+        start, piece = back[n]
+        ids.extend([piece] if piece >= 0 else [v.byte_ids[b] for b in reversed(text[start:n].encode())])
+        n = start
+    ids.reverse()
+    return ids
 
 
 class Stream:
@@ -159,39 +202,37 @@ def encode_stream(vocabulary: Vocabulary, chunks: Iterable[str]) -> Iterator[int
     yield from stream.finish()
 
 
-@dataclass
 class Encoder:
-    """Whole texts to ids. Where no piece of the vocabulary spans the start of a word, all paths meet there, so words are
-    encoded one by one and common ones are remembered, a bounded number of them."""
-
-    vocabulary: Vocabulary
-    memo: dict[str, bytes] = field(default_factory=dict)
+    """Whole texts to ids. Where no piece of the vocabulary spans a place (the start of a word, the end of its letters), all
+    paths meet there, so the stretches between are encoded one by one; a bounded number of them is remembered, from task to
+    task of a worker."""
 
-    def __post_init__(self):
-        vocabulary = self.vocabulary
-
-        class Memo(dict):
-            def __missing__(self, segment: str) -> bytes:
-                stream = Stream(vocabulary)
-                ids = [*stream.feed(segment), *stream.finish()]
-                got = np.array(ids, np.int32).tobytes()
-                if len(segment) <= 64:
-                    self[segment] = got
-                return got
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.memo = worker_memo(vocabulary.name)
+        trim(self.memo, MEMO_SEGMENTS)
+        self.segments = re.compile(vocabulary.cuts or "(?s:.+)").findall
 
-        self.memo = Memo()
-        self.segments = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+    def _segment(self, text: str) -> bytes:
+        if len(text) <= 4 * self.vocabulary.longest:
+            return array("i", short_cut(self.vocabulary, text)).tobytes()
+        stream = Stream(self.vocabulary)
+        return array("i", [*stream.feed(text), *stream.finish()]).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers; of a text without characters, none."""
         if not text:
             return b""
-        if not self.vocabulary.words_apart:
-            return np.fromiter(encode_stream(self.vocabulary, [text]), np.int32).tobytes()
-        if len(self.memo) > MEMO_SEGMENTS:
-            self.memo.clear()
         marked = (SPACE if self.vocabulary.dummy_prefix else "") + text.replace(" ", SPACE)
-        return b"".join(map(self.memo.__getitem__, self.segments.findall(marked)))
+        segments = self.segments(marked)
+        ids = list(map(self.memo.get, segments))
+        if None in ids:
+            for i, segment in enumerate(segments):
+                if ids[i] is None:
+                    ids[i] = self.memo.get(segment) or self._segment(segment)
+                    if len(segment) <= 4 * self.vocabulary.longest and len(self.memo) < MEMO_SEGMENTS:
+                        self.memo[segment] = ids[i]
+        return b"".join(ids)
 
 
 def decode(vocabulary: Vocabulary, ids: Iterable[int]) -> str:
@@ -202,7 +243,7 @@ def decode(vocabulary: Vocabulary, ids: Iterable[int]) -> str:
 
 def encoded(docs: DataFrame, model_path: str, column: str = "token_ids") -> DataFrame:
     """``docs`` with the ids of each whole text as array<int>; null and empty texts have none."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, "4m")
     shipped = docs.sparkSession.sparkContext.broadcast(vars(Vocabulary.load(model_path)))
     place = docs.columns.index("text")
     schema = T.StructType([*docs.schema.fields, T.StructField(column, T.ArrayType(T.IntegerType()))])
@@ -225,7 +266,7 @@ def round_trips(docs: DataFrame, model_path: str) -> DataFrame:
     text, ``same``: it is the text given (its own marks of a space read as spaces). Null texts are empty; repeated rows and null
     ids are kept; an empty table gives an empty result. Other columns are not read.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, "4m")
     shipped = docs.sparkSession.sparkContext.broadcast(vars(Vocabulary.load(model_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +68,18 @@ def grouped(df: DataFrame, keys: Sequence[str], fn: Callable[[pa.Table], Iterato
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
+def worker_memo(name: str) -> dict:
+    """A table that stays with this worker process from task to task."""
+    return sys.modules.setdefault("_finlake_memo", ModuleType("_finlake_memo")).__dict__.setdefault(name, {})
+
+
+def trim(memo: dict, most: int) -> None:
+    """Make room in a full table: the half that came first, which holds the most frequent keys, stays."""
+    if len(memo) >= most:
+        for key in list(islice(memo, most // 2, None)):
+            del memo[key]
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
