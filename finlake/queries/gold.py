@@ -257,17 +257,14 @@ def current_ratio(spark: SparkSession, sf: str) -> DataFrame:
     group by all
 """)
 def dividends_by_quarter(spark: SparkSession, sf: str) -> DataFrame:
-    """Dividends per sector and quarter: fact joined to the company and calendar dimensions."""
+    """Dividends per sector and quarter, the quarter taken from the payment's date as the calendar dimension has it."""
     paid = fact(spark, sf, "FATO_DIVIDENDOS", fan_out=False)
-    day = F.col("o_orderdate").cast("date")
-    span = table(spark, sf, "orders").agg(F.min(day).alias("first"), F.max(day).alias("last"))
-    days = calendar_between(span, "first", "last").select("data", "ano_trimestre")
     sectors = company(spark, sf, unique=True).select("cnpj", "setor")
-    per_day = paid.groupBy("cnpj", "data_exercicio_social").agg(
+    quarter = calendar_attributes(F.col("data_exercicio_social"))["ano_trimestre"]
+    per_quarter = paid.groupBy("cnpj", quarter.alias("ano_trimestre")).agg(
         F.sum("dividendo_total").alias("valor"), F.count(F.lit(1)).alias("n")
     )
-    joined = per_day.join(sectors, "cnpj").join(days, F.col("data_exercicio_social") == F.col("data"))
-    return joined.groupBy("ano_trimestre", "setor").agg(
+    return per_quarter.join(sectors, "cnpj").groupBy("ano_trimestre", "setor").agg(
         F.round(F.sum("valor"), 2).alias("dividendos"), F.sum("n").alias("pagamentos")
     )
 
