@@ -16,23 +16,22 @@ def components(edges: DataFrame) -> DataFrame:
     combine before their exchange and by joins that Spark may split. Rows with a null end, loops and repeats change nothing.
     """
     left = stored(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    labels = None
+    steps: list[DataFrame] = []
     while left.take(1):
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        near = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("to")), "near")
+        near = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("to"))
         step = near
         for _ in range(2):
             ahead = near.select(F.col("node").alias("to"), F.col("to").alias("next"))
             step = step.join(ahead, "to").select("node", F.col("next").alias("to"))
-        step = stored(step, "pointers")
-        if labels is None:
-            labels = step.select("node", F.col("to").alias("component"))
-        else:
-            moved = labels.join(step.withColumnRenamed("node", "component"), "component", "left")
-            labels = stored(moved.select("node", F.coalesce("to", "component").alias("component")), "labels")
+        steps.append(step := stored(step, "pointers"))
         ends = left.join(step.select(F.col("node").alias("a"), F.col("to").alias("c")), "a")
         ends = ends.join(step.select(F.col("node").alias("b"), F.col("to").alias("d")), "b").where("c <> d")
         left = stored(ends.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct(), "edges")
-    if labels is None:
+    if not steps:
         return left.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    labels = steps[0].select("node", F.col("to").alias("component"))
+    for step in steps[1:]:
+        moved = step.select(F.col("node").alias("component"), F.col("to").alias("next"))
+        labels = labels.join(moved, "component", "left").select("node", F.coalesce("next", "component").alias("component"))
     return labels
