@@ -9,7 +9,7 @@ taken in part.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finlake.llm.shared import stored
@@ -22,11 +22,11 @@ CYCLE = 3
 SEED = "mix-1"
 
 
-def _hash(*parts: F.Column) -> F.Column:
+def _hash(*parts: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(SEED), *[F.coalesce(p.cast("string"), F.lit("null")) for p in parts]))
 
 
-def _number(md5: F.Column) -> F.Column:
+def _number(md5: Column) -> Column:
     return F.conv(F.substring(md5, 1, 8), 16, 10).cast("long")
 
 

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finlake.llm.graph import components
@@ -242,7 +242,7 @@ def _blocks(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
 
 
-def _block(blocks: str) -> F.Column:
+def _block(blocks: str) -> Column:
     return F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int")
 
 
