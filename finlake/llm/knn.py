@@ -122,18 +122,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     needed = _needed(pivots, data_cells.set_index("cell"), nearest, query_cells, k)
     blocks = {int(c): -(-int(n) // BLOCK_ROWS) for c, n in zip(data_cells["cell"], data_cells["n"])}
     parts = {int(c): -(-int(n) // BLOCK_ROWS) for c, n in zip(query_cells["cell"], query_cells["n"])}
-    # A task per query part and data block: the lists are as long as there are cells and blocks, not rows.
-    by_data = [(j, i, p) for i, j in needed for p in range(parts[i])]
-    by_query = [(i, j, b) for i, j in needed for b in range(blocks[j])]
-    frame = lambda pairs, of: spark.createDataFrame(pairs or [(-1, -1, -1)], f"{of} int, other int, piece int").where(f"{of} >= 0")
-    number = lambda many: F.element_at(F.create_map(*[F.lit(x) for c, n in (many or {-1: 1}).items() for x in (c, n)]), F.col("cell"))
-    piece = lambda many: F.pmod(F.xxhash64("vec_id"), number(many)).cast("int")
-    data = cells.withColumn("own", piece(blocks)).join(frame(by_data, "cell"), "cell").select(
-        F.col("other").alias("qc"), F.col("piece").alias("qp"), F.col("cell").alias("dc"), F.col("own").alias("db"), "vec_id", "v",
+    # A task per query part and data block. The driver makes a row per pair of cells; parts and blocks are numbered by Spark.
+    pairs = [(i, j, parts[i], blocks[j]) for i, j in needed]
+    pairs = spark.createDataFrame(pairs, "qc int, dc int, parts int, blocks int")
+    met = lambda rows, of: rows.join(pairs, rows["cell"] == pairs[of]).drop("cell")
+    own = lambda many: F.pmod(F.xxhash64("vec_id"), F.col(many)).cast("int")
+    every = lambda many: F.explode(F.expr(f"sequence(0, {many} - 1)"))
+    data = met(cells.select("cell", "vec_id", "v"), "dc").select("qc", every("parts").alias("qp"), "dc", own("blocks").alias("db"), "vec_id", "v")
+    asked = met(queries.select("cell", "vec_id", "v"), "qc").select(
+        F.col("qc").alias("asked_qc"), own("parts").alias("asked_qp"), F.col("dc").alias("asked_dc"), every("blocks").alias("asked_db"),
+        F.col("vec_id").alias("query_id"), F.col("v").alias("q"),
     )
-    asked = queries.withColumn("own", piece(parts)).join(frame(by_query, "cell"), "cell").select(
-        F.col("cell").alias("qc"), F.col("own").alias("qp"), F.col("other").alias("dc"), F.col("piece").alias("db"), "vec_id", "v",
-    ).toDF("asked_qc", "asked_qp", "asked_dc", "asked_db", "query_id", "q")
 
     def solve(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         right = right.sort_values("vec_id", kind="stable")
