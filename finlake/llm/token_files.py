@@ -12,21 +12,22 @@ tokens before it (64-bit).
 
 from __future__ import annotations
 
+import gc
 import os
 import re
-import sys
 import zlib
 from array import array
 from collections.abc import Iterator
-from types import ModuleType
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.shared import small_batches, stored
+from finlake.llm.shared import mix, small_batches, stored, text_bytes, trim, worker_memo
 
 MAGIC = b"RPT1"
 SHARD_TOKENS = 1 << 20
@@ -37,7 +38,7 @@ PLACE_BITS = 17
 #: Symbols are 16-bit, which bounds the rules of a shard.
 SYMBOLS = 1 << 16
 SAMPLE = 1024
-MEMO_WORDS = 800_000
+MEMO_PIECES = 800_000
 END = 0
 
 
@@ -53,22 +54,24 @@ UNSURE_RANGES = (
 UNSURE = "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in UNSURE_RANGES) + "]"
 
 
-SPACES = "[\t\r\x0b\x0c]"
-MARK = "\x1f"
-
-
-def worker_memo(name: str) -> dict[str, bytes]:
-    """A table that stays with this worker process from task to task."""
-    return sys.modules.setdefault("_finlake_memo", ModuleType("_finlake_memo")).__dict__.setdefault(name, {})
+#: Bytes of texts that are not cut by bytes: other spaces, apostrophes (contractions), and characters beyond ASCII that are
+#: not in U+00C0 to U+023F, which are letters but for two signs.
+ODD = np.zeros(256, bool)
+ODD[[9, 11, 12, 13, 39, *range(0x1C, 0x20), 0xC2, *range(0xC9, 0x100)]] = True
+SIGNS = (0x97, 0xB7)  # second bytes of the two, after 0xC3
+SPACE, BREAK, LETTER, DIGIT, OTHER = range(5)
+KIND = np.full(256, OTHER, np.uint8)
+KIND[32], KIND[10], KIND[48:58] = SPACE, BREAK, DIGIT
+KIND[65:91] = KIND[97:123] = KIND[128:] = LETTER
 
 
 class Encoder:
     """Ids of whole texts by the tokenizers library.
 
-    Its pre-tokenizer encodes each of its pieces by itself, and no piece goes across a single space or line feed. So a text is
-    looked up by stretches between those, a new stretch by its pieces, and each new piece goes through the library. Stretches
-    and pieces are remembered, up to a bounded number. A text with spaces together is looked up by pieces, and one with
-    characters that the two engines could class differently goes through the library whole.
+    Its pre-tokenizer encodes each of its pieces by itself, so each new piece goes through the library and is remembered, up to
+    a bounded number. Texts of letters, digits, signs, and single spaces and line feeds are cut into pieces by bytes, many texts
+    at a time; pieces are told apart by 64-bit hashes. Other texts are cut by the pre-tokenizer's pattern, and those with
+    characters that the two engines could class differently go through the library whole.
     """
 
     def __init__(self, definition: str):
@@ -79,38 +82,89 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.cut = re.compile(PATTERN).findall
         self.unsure = re.compile(UNSURE).search
-        self.spaces = re.compile(SPACES).search
         name = f"{zlib.crc32(definition.encode())}-{len(definition)}"
-        self.stretches, self.pieces = worker_memo(f"{name}-stretches"), worker_memo(f"{name}-pieces")
+        self.hashed, self.pieces = worker_memo(f"{name}-hashed"), worker_memo(f"{name}-pieces")
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [array("i", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _stretches(self, text: str) -> list[str]:
-        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or self.spaces(text):
-            return self.cut(text)
-        return text.replace("\n", f"{MARK}\n{MARK}").replace(" ", f"{MARK} ").split(MARK)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        known = self.stretches
-        for memo in (known, self.pieces):
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
-        odd = [i for i, t in enumerate(texts) if self.unsure(t)]
-        out = dict(zip(odd, self.whole([texts[i] for i in odd])))
-        parts = {i: self._stretches(t) for i, t in enumerate(texts) if i not in out}
-        found = {i: list(map(known.get, words)) for i, words in parts.items()}
-        new = {w for i, words in parts.items() if None in found[i] for w, ids in zip(words, found[i]) if ids is None}
-        cut = {w: self.cut(w) for w in new}
-        fresh = list({p for pieces in cut.values() for p in pieces}.difference(self.pieces))
+        gc.disable()  # the lists of ids live for a moment and hold no cycles
+        try:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        finally:
+            gc.enable()
+        ends = (4 * np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))).tolist()
+        flat = array("i", chain.from_iterable(ids)).tobytes()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _by_bytes(self, raw: np.ndarray, at: np.ndarray, kind: np.ndarray) -> list[bytes]:
+        if not len(raw):
+            return [b""] * (len(at) - 1)
+        begins = kind <= BREAK
+        before = kind[:-1]
+        begins[1:] |= (before == BREAK) | ((before != SPACE) & (before != kind[1:]))
+        begins[at[:-1][at[:-1] < len(raw)]] = True
+        first = np.flatnonzero(begins)
+        sizes = np.diff(np.append(first, len(raw)))
+        place = np.arange(len(raw), dtype=np.int32) - np.repeat(first.astype(np.int32), sizes)
+        power = np.full(int(sizes.max()), 0x9E3779B97F4A7C15, np.uint64)
+        power[0] = 1
+        power = np.multiply.accumulate(power)
+        hashes = mix(np.add.reduceat((raw.astype(np.uint64) + np.uint64(1)) * power[place], first) + sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        codes, distinct = pd.factorize(hashes)
+        keys = distinct.tolist()
+        known = list(map(self.hashed.get, keys))
+        if None in known:
+            new = [i for i, ids in enumerate(known) if ids is None]
+            sample = np.empty(len(keys), np.int64)
+            sample[codes] = np.arange(len(codes))
+            joined, of = raw.tobytes(), sample[new]
+            ids = self.whole([joined[a:b].decode() for a, b in zip(first[of].tolist(), (first[of] + sizes[of]).tolist())])
+            self.hashed.update(zip((keys[i] for i in new), ids))
+            for i, got in zip(new, ids):
+                known[i] = got
+        widths = np.fromiter(map(len, known), np.int32, len(known)) // 4
+        flat = np.frombuffer(b"".join(known), np.int32)
+        starts = np.cumsum(widths, dtype=np.int32) - widths
+        width = widths[codes]
+        ends = np.cumsum(width, dtype=np.int32)
+        out = flat[np.arange(ends[-1], dtype=np.int32) + np.repeat(starts[codes] - (ends - width), width)].tobytes()
+        cuts = (4 * np.append(0, ends.astype(np.int64))[np.searchsorted(first, at)]).tolist()
+        return [out[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _by_pattern(self, texts: list[str]) -> list[bytes]:
+        parts = [self.cut(t) for t in texts]
+        fresh = list({p for pieces in parts for p in pieces}.difference(self.pieces))
         self.pieces.update(zip(fresh, self.whole(fresh)))
-        known.update((w, b"".join(map(self.pieces.__getitem__, pieces))) for w, pieces in cut.items())
-        for i, ids in found.items():
-            if None in ids:
-                ids = [got if got is not None else known[w] for w, got in zip(parts[i], ids)]
-            out[i] = b"".join(ids)
-        return [out[i] for i in range(len(texts))]
+        return [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in parts]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers; null is empty."""
+        for memo in (self.hashed, self.pieces):
+            trim(memo, MEMO_PIECES)
+        raw, at = text_bytes(texts)
+        kind, odd = KIND[raw], ODD[raw]
+        blank = kind <= BREAK
+        together = blank[1:] & blank[:-1]
+        together[at[1:-1][(at[1:-1] > 0) & (at[1:-1] < len(raw))] - 1] = False
+        odd[1:] |= together
+        lead = np.flatnonzero(raw[:-1] == 0xC3)
+        second = raw[lead + 1]
+        odd[lead[(second == SIGNS[0]) | (second == SIGNS[1])]] = True
+        other = np.unique(np.searchsorted(at, np.flatnonzero(odd), "right") - 1)
+        if not len(other):
+            return self._by_bytes(raw, at, kind)
+        sizes = np.diff(at)
+        plain = np.ones(len(sizes), bool)
+        plain[other] = False
+        out: list[bytes] = [b""] * len(sizes)
+        bytes_kept = np.repeat(plain, sizes)
+        ids = self._by_bytes(raw[bytes_kept], np.cumsum([0, *sizes[plain]]), kind[bytes_kept])
+        for i, got in zip(np.flatnonzero(plain).tolist(), ids):
+            out[i] = got
+        rest = {i: texts[i].as_py() for i in other.tolist()}
+        for run, mine in ((self.whole, [i for i, t in rest.items() if self.unsure(t)]), (self._by_pattern, [i for i, t in rest.items() if not self.unsure(t)])):
+            for i, got in zip(mine, run([rest[i] for i in mine]) if mine else []):
+                out[i] = got
+        return out
 
 
 # ---- one shard ----
@@ -119,45 +173,38 @@ class Encoder:
 def compress(tokens: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray]:
     """Rules (pairs of symbols; rule r is symbol ``terminals + r``) and the remaining sequence.
 
-    In each round the pairs of neighbours are counted in a table of hashes. In every place of it that is nearly as full as the
-    fullest, one pair is counted exactly, and if frequent it is replaced from left to right. A pair that shares its place
-    with another has its turn in a later round, under another hash.
+    In each round the pairs of neighbours are first counted roughly, in a table of hashes; those in places nearly as full as the
+    fullest are counted exactly, and all that are frequent are replaced from left to right. Rounds go on until no pair is.
     """
-    sequence, rules = tokens.astype(np.int32), np.zeros((0, 2), np.int32)
-    places, turn, share = 1 << PLACE_BITS, 0, ROUND_SHARE
+    sequence, rules = tokens.astype(np.int32), np.zeros((0, 2), np.int64)
+    share = ROUND_SHARE
     while len(sequence) > 1 and terminals + len(rules) < SYMBOLS:
-        turn += 1
-        place = sequence[:-1].view(np.uint32) * np.uint32(0x9E3779B1 + 2 * turn)
-        place ^= sequence[1:].view(np.uint32) * np.uint32(0x85EBCA77)
-        place *= np.uint32(0xC2B2AE3D)
-        place = (place >> np.uint32(32 - PLACE_BITS)).astype(np.int64)
-        filled = np.bincount(place, minlength=places)
+        place = sequence[:-1].view(np.uint32) * np.uint32(0x9E3779B1)
+        place += sequence[1:].view(np.uint32) * np.uint32(0x85EBCA77)
+        place >>= np.uint32(32 - PLACE_BITS)
+        place = place.astype(np.int64)
+        filled = np.bincount(place, minlength=1 << PLACE_BITS)
         least = max(LEAST_COUNT, int(filled.max() * share))
         at = np.flatnonzero((filled >= least)[place])
-        of = place[at]
-        holder = np.zeros(places, np.int64)
-        holder[of] = at
-        one, two = sequence[holder], sequence[holder + 1]
-        mine = (one[of] == sequence[at]) & (two[of] == sequence[at + 1])
-        at, of = at[mine], of[mine]
-        counts = np.bincount(of, minlength=places)
-        chosen = np.flatnonzero(counts >= LEAST_COUNT)
+        codes, pairs = pd.factorize((sequence[at].astype(np.int64) << 17) | sequence[at + 1])
+        counts = np.bincount(codes, minlength=1)
+        chosen = np.flatnonzero(counts >= least)
         if not len(chosen):
             if least == LEAST_COUNT:
                 break
             share /= 8
             continue
         chosen = chosen[np.argsort(-counts[chosen], kind="stable")][: SYMBOLS - terminals - len(rules)]
-        symbol = np.zeros(places, np.int32)
+        symbol = np.zeros(len(pairs), np.int32)
         symbol[chosen] = terminals + len(rules) + np.arange(len(chosen))
-        new = symbol[of]
+        new = symbol[codes]
         at, new = at[new > 0], new[new > 0]
         number = np.arange(len(at))
         first = np.ones(len(at), bool)
         first[1:] = at[1:] != at[:-1] + 1
         kept = (number - np.maximum.accumulate(np.where(first, number, 0))) % 2 == 0
         at, new = at[kept], new[kept]
-        rules = np.vstack([rules, np.stack([one[chosen], two[chosen]], 1)])
+        rules = np.vstack([rules, np.stack([pairs[chosen] >> 17, pairs[chosen] & 0x1FFFF], 1)])
         sequence[at] = new
         stays = np.ones(len(sequence), bool)
         stays[at + 1] = False
@@ -175,11 +222,19 @@ def expansions(rules: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarra
     return flat, np.cumsum(lengths) - lengths, lengths
 
 
+def rule_lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
+    """How many tokens each rule expands to."""
+    lengths: list[int] = []
+    for left, right in rules.tolist():
+        lengths.append((1 if left < terminals else lengths[left - terminals]) + (1 if right < terminals else lengths[right - terminals]))
+    return np.array(lengths, np.int64)
+
+
 def pack(ids: list[int | None], parts: list[bytes], terminals: int) -> bytes:
     """A shard of documents, each given by its id and its tokens."""
     tokens = np.frombuffer(b"".join(parts), np.int32)
     rules, sequence = compress(tokens, terminals)
-    _, _, lengths = expansions(rules, terminals)
+    lengths = rule_lengths(rules, terminals)
     widths = np.concatenate([np.ones(terminals, np.int64), lengths])[sequence]
     before = np.cumsum(widths) - widths
     starts = np.cumsum([0, *(len(p) // 4 for p in parts)])
@@ -216,7 +271,7 @@ class Shard:
         self.samples = take("<i8", n_samples)
         self.flat, self.begin, _ = expansions(self.rules, self.terminals)
         # Terminals expand to themselves, stored behind the rules' tokens.
-        self.table = np.concatenate([self.flat, np.arange(self.terminals)])
+        self.table = np.concatenate([self.flat, np.arange(self.terminals)]).astype(np.uint32)
         self.width = np.concatenate([np.ones(self.terminals, np.int64), self.lengths])
         self.place = np.concatenate([np.arange(self.terminals) + len(self.flat), self.begin])
 
@@ -224,7 +279,7 @@ class Shard:
         widths = self.width[symbols]
         ends = np.cumsum(widths)
         if not len(ends):
-            return np.zeros(0, np.int64)
+            return np.zeros(0, np.uint32)
         return self.table[np.arange(ends[-1]) + np.repeat(self.place[symbols] - (ends - widths), widths)]
 
     def tokens(self) -> np.ndarray:
@@ -234,7 +289,7 @@ class Shard:
         """Tokens of one document: from the last sample before it, only the symbols that cover it are expanded."""
         start, end = int(self.starts[i]), int(self.starts[i + 1])
         if start == end:
-            return np.zeros(0, np.int64)
+            return np.zeros(0, np.uint32)
         sample = int(np.searchsorted(self.samples, start, "right")) - 1
         upto = int(np.searchsorted(self.samples, end, "left"))
         symbols = self.symbols[sample * SAMPLE: upto * SAMPLE]
@@ -255,7 +310,7 @@ def write(docs: DataFrame, tokenizer_path: str, purpose: str = "token-files") ->
     follow each other in an order set by their texts. A text is spread over nothing: a shard ends after the document that
     fills it.
     """
-    small_batches(docs.sparkSession, "4m")
+    small_batches(docs.sparkSession, "2m")
     with open(tokenizer_path, encoding="utf-8") as file:
         definition = file.read()
     shipped = docs.sparkSession.sparkContext.broadcast(definition)
@@ -276,8 +331,7 @@ def write(docs: DataFrame, tokenizer_path: str, purpose: str = "token-files") ->
             )
 
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc_id, got in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
+            for doc_id, got in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
                 ids.append(doc_id)
                 parts.append(got + end)
                 size += len(got) // 4 + 1
@@ -298,9 +352,9 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, number, data in zip(*(batch.column(c).to_pylist() for c in ("part", "number", "data"))):
             shard = Shard(data)
-            tokens = shard.tokens().astype("<u4")
+            tokens = memoryview(shard.tokens().astype("<u4", copy=False)).cast("B")
             starts = shard.starts.tolist()
-            sums = [zlib.crc32(tokens[a:b].tobytes()) for a, b in zip(starts, starts[1:])]
+            sums = [zlib.crc32(tokens[4 * a: 4 * b]) for a, b in zip(starts, starts[1:])]
             n = len(sums)
             yield pa.RecordBatch.from_arrays([
                 pa.array([part] * n, pa.int32()), pa.array([number] * n, pa.int32()), pa.array(shard.ids, mask=~shard.has_id),

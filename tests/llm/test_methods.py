@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece as library
 from hypothesis import given, settings
@@ -65,8 +66,10 @@ def test_ids_by_word_are_the_ids_of_the_whole_text():
         encoder = token_files.Encoder(file.read())
     tokenizer = Tokenizer.from_file(BYTES)
     tokenizer.encode_special_tokens = True
-    some = [*texts(1500, 3), *(chr(c) + "a" + chr(c) + " " + chr(c) for c in range(0x20, 0x3100, 7))]
-    for text, got in zip(some, encoder.encode(some)):
+    plain = ["", " ", "a", "\n", " a", "a ", "\na", "Ä é.ß1 2x\ny__ (z)\n", "×a ÷b", "a\u0241 b", "don't", "a\x00b \x7f"]
+    some = [*plain, *texts(1500, 3), *(chr(c) + "a" + chr(c) + " " + chr(c) for c in [*range(0x20, 0x300), *range(0x300, 0x3100, 7)])]
+    assert encoder.encode(pa.array([None, *plain[:6]], pa.string())) == [b"", *encoder.encode(pa.array(plain[:6]))]
+    for text, got in zip(some, encoder.encode(pa.array(some))):
         assert np.frombuffer(got, np.int32).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
