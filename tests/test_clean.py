@@ -66,9 +66,9 @@ def test_rules_for_absent_columns_are_skipped(spark):
     assert [r["Nome_Companhia"] for r in rows.collect()] == ["Cia A"]
 
 
-def test_share_counts_stay_text_unless_all_three_arrive(spark):
+def test_share_counts_are_typed_one_by_one(spark):
     df = frame(spark, "Tipo_Capital;Quantidade_Total_Acoes", ["Capital Integralizado;5"])
-    assert dict(clean(df, SPECS["capital_social"]).dtypes)["Quantidade_Total_Acoes"] == "string"
+    assert dict(clean(df, SPECS["capital_social"]).dtypes)["Quantidade_Total_Acoes"] == "bigint"
 
 
 def test_rows_without_any_value_are_dropped(spark):
