@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from finlake.session import scratch_dir
 
 WHITE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
