@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 from functools import reduce
@@ -35,6 +36,7 @@ from finlake.sources.tables import calendar, read_csv, read_table
 ARCHIVE_EXPANSION = 10
 # Stored bytes of a company dimension up to which its keys are broadcast.
 BROADCAST_BYTES = 256 * 1024 * 1024
+FOOTER_READERS = 8
 TABLE_EXPANSION = 4
 
 RUN_LOG_SCHEMA = (
@@ -230,8 +232,10 @@ def _stored_in(spark: SparkSession, path: str, columns: Iterable[str], years: It
     """Raise unless every year's files at ``path`` have all ``columns``; a declared schema would read NULL instead."""
     stored = sorted(stored_years(spark, path))
     parts = [f"{path}/{YEAR}={y}" for y in stored if years is None or y in years] if stored else [path]
-    for part in parts:
-        lacking = set(columns) - {YEAR} - set(spark.read.parquet(part).columns)
+    with ThreadPoolExecutor(FOOTER_READERS) as pool:  # one footer each
+        found = list(pool.map(lambda part: set(spark.read.parquet(part).columns), parts))
+    for part, there in zip(parts, found):
+        lacking = set(columns) - {YEAR} - there
         if lacking:
             raise ValueError(f"{part} has no column {', '.join(sorted(lacking))}")
 
