@@ -25,7 +25,9 @@ from finlake.llm.shared import small_batches, trim, worker_memo
 
 SPACE = "▁"
 #: Score of a character outside the vocabulary, below the lowest piece.
-UNKNOWN_PENALTY = 10.0
+UNKNOWN_PENALTY = 10
+#: Scores are integers of this many to one, so sums are exact and ties are ties wherever in a text they stand.
+UNIT = 1 << 20
 MEMO_SEGMENTS = 200_000
 #: Letters that a stretch may end after: ASCII and U+00C0 to U+024F without the two signs among them.
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
@@ -38,10 +40,10 @@ class Vocabulary:
     """What encoding and decoding need of a model file; small enough to go to every task."""
 
     #: Score and id of each piece; (None, None) for a proper prefix of one.
-    pieces: dict[str, tuple[float | None, int | None]]
+    pieces: dict[str, tuple[int | None, int | None]]
     byte_ids: list[int]
     texts: list[bytes]
-    unknown_score: float
+    unknown_score: int
     longest: int
     #: A pattern whose matches meet where no piece of the vocabulary spans the place; None if it has no such places.
     cuts: str | None
@@ -56,14 +58,14 @@ class Vocabulary:
         with open(path, "rb") as file:
             content = file.read()
         model.ParseFromString(content)
-        pieces: dict[str, tuple[float | None, int | None]] = {}
-        byte_ids, texts, lowest = [-1] * 256, [], 0.0
+        pieces: dict[str, tuple[int | None, int | None]] = {}
+        byte_ids, texts, lowest = [-1] * 256, [], 0
         ranked = model.trainer_spec.model_type == BPE
         for i, p in enumerate(model.pieces):
             if p.type == NORMAL:
                 for end in range(1, len(p.piece)):
                     pieces.setdefault(p.piece[:end], (None, None))
-                score = -math.log(1 - p.score) if ranked else p.score
+                score = round(UNIT * (-math.log(1 - p.score) if ranked else p.score))
                 pieces[p.piece] = (score, i)
                 lowest = min(lowest, score)
                 texts.append(p.piece.replace(SPACE, " ").encode())
@@ -82,7 +84,7 @@ class Vocabulary:
             sign = f"[^{SPACE}\n{LETTERS}]"
             cuts = f"\n|{SPACE}*{sign}*[{LETTERS}]+|{SPACE}*{sign}+|{SPACE}+"
         return cls(
-            pieces, byte_ids, texts, lowest - UNKNOWN_PENALTY, max(map(len, normal)), cuts, model.normalizer_spec.add_dummy_prefix,
+            pieces, byte_ids, texts, lowest - UNKNOWN_PENALTY * UNIT, max(map(len, normal)), cuts, model.normalizer_spec.add_dummy_prefix,
             f"sentencepiece-{zlib.crc32(content)}-{len(content)}",
         )
 
@@ -90,7 +92,7 @@ class Vocabulary:
 def short_cut(v: Vocabulary, text: str) -> list[int]:
     """The search over a text that fits the window of a stream: nothing is committed before its end."""
     n, longest, find = len(text), v.longest, v.pieces.get
-    best, back = [0.0] + [float("-inf")] * n, [(0, -1)] * (n + 1)
+    best, back = [0] + [float("-inf")] * n, [(0, -1)] * (n + 1)
     for i in range(n):
         here, single = best[i], False
         for end in range(i + 1, min(n, i + longest) + 1):
@@ -125,7 +127,7 @@ class Stream:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.text = ""
-        self.best: list[float] = [0.0]
+        self.best: list[float] = [0]
         self.back: list[tuple[int, int]] = [(0, -1)]
         self.done = 0  # positions whose outgoing pieces are all known
 

@@ -36,7 +36,7 @@ def test_viterbi_agrees_with_the_unigram_library(vocabulary):
     model.trainer_spec.model_type = 1
     for p in model.pieces:
         if p.type == sentencepiece.NORMAL:
-            p.score = vocabulary.pieces[p.piece][0]
+            p.score = vocabulary.pieces[p.piece][0] / sentencepiece.UNIT
     unigram = library.SentencePieceProcessor(model_proto=model.SerializeToString())
     encoder = sentencepiece.Encoder(vocabulary)
     for text in [*texts(600, 1), "internationalization of houses", "x" * 50]:
@@ -48,7 +48,7 @@ def test_viterbi_agrees_with_the_unigram_library(vocabulary):
 
 
 def test_stream_is_the_same_however_the_text_arrives_and_memory_is_bounded(vocabulary):
-    for text in [*texts(100, 2), "abcdefgh" * 2000, "▁" * 300, "", " "]:
+    for text in [*texts(100, 2), "hahahahah " * 300 + "tentententen, " * 300, "abcdefgh" * 2000, "▁" * 300, "", " "]:
         whole = list(sentencepiece.encode_stream(vocabulary, [text]))
         bits = list(sentencepiece.encode_stream(vocabulary, list(text)))
         memo = np.frombuffer(sentencepiece.Encoder(vocabulary).encode(text), np.int32).tolist()
