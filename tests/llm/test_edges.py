@@ -244,6 +244,29 @@ def test_bounded_windows_still_find_nearly_all_links(spark, vectors):
     assert few >= 0.9 * ((unit @ unit.T >= 0.9).sum() - len(x))
 
 
+def test_dense_groups_keep_all_their_links(spark):
+    """One group of distinct vectors, all linked: more partners than the windows of all passes hold."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal(16) + 1e-5 * rng.standard_normal((900, 16))
+    y = rng.standard_normal((700, 16))
+    y[:300] = y[0] + 0.02 * rng.standard_normal((300, 16))
+    unit = np.vstack([x, y])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.9).sum(1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(unit)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in near_vectors.near_duplicates(df, window=40).collect()}
+    assert [got[i]["n_links"] for i in range(900)] == want[:900].tolist()
+    assert {got[i]["component_id"] for i in range(900)} == {got[0]["component_id"]}
+    assert [got[i]["n_links"] for i in range(900, 1200)] == want[900:1200].tolist()
+
+
+def test_passes_grow_with_the_rows():
+    plans = [near_vectors.planned(n) for n in (1, 512, 50_000, 5_000_000)]
+    assert [leading for leading, _ in plans] == [0, 0, 7, 14]
+    for leading, passes in plans:
+        assert (1 - (1 - np.arccos(0.9) / np.pi) ** leading) ** passes <= 1e-4
+
+
 def test_top_k(spark, vectors, monkeypatch):
     x, df = vectors
     monkeypatch.setattr(knn, "BLOCK_ROWS", 64)
