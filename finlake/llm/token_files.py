@@ -23,6 +23,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,17 +73,22 @@ class Encoder:
     a bounded number. Texts of letters, digits, signs, and single spaces and line feeds are cut into pieces by bytes, many texts
     at a time; pieces are told apart by 64-bit hashes. Other texts are cut by the pre-tokenizer's pattern, and those with
     characters that the two engines could class differently go through the library whole.
+
+    With ``added``, the strings of the tokenizer's added tokens (``<|endoftext|>``) become those tokens, as in a plain call of
+    the library, and texts that hold one go through it whole; without, they are text like any other.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        strings = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content] if added else []
+        self.added = "|".join(map(re.escape, strings))
         self.cut = re.compile(PATTERN).findall
         self.unsure = re.compile(UNSURE).search
-        name = f"{zlib.crc32(definition.encode())}-{len(definition)}"
+        name = f"{zlib.crc32(definition.encode())}-{len(definition)}-{added}"
         self.hashed, self.pieces = worker_memo(f"{name}-hashed"), worker_memo(f"{name}-pieces")
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -149,7 +155,10 @@ class Encoder:
         lead = np.flatnonzero(raw[:-1] == 0xC3)
         second = raw[lead + 1]
         odd[lead[(second == SIGNS[0]) | (second == SIGNS[1])]] = True
-        other = np.unique(np.searchsorted(at, np.flatnonzero(odd), "right") - 1)
+        held = np.zeros(len(at) - 1, bool)
+        if self.added:
+            held = pc.match_substring_regex(texts, self.added).fill_null(False).to_numpy(zero_copy_only=False)
+        other = np.union1d(np.searchsorted(at, np.flatnonzero(odd), "right") - 1, np.flatnonzero(held))
         if not len(other):
             return self._by_bytes(raw, at, kind)
         sizes = np.diff(at)
@@ -161,7 +170,8 @@ class Encoder:
         for i, got in zip(np.flatnonzero(plain).tolist(), ids):
             out[i] = got
         rest = {i: texts[i].as_py() for i in other.tolist()}
-        for run, mine in ((self.whole, [i for i, t in rest.items() if self.unsure(t)]), (self._by_pattern, [i for i, t in rest.items() if not self.unsure(t)])):
+        entire = {i for i, t in rest.items() if held[i] or self.unsure(t)}
+        for run, mine in ((self.whole, [i for i in rest if i in entire]), (self._by_pattern, [i for i in rest if i not in entire])):
             for i, got in zip(mine, run([rest[i] for i in mine]) if mine else []):
                 out[i] = got
         return out
@@ -316,7 +326,7 @@ def write(docs: DataFrame, tokenizer_path: str, purpose: str = "token-files") ->
     shipped = docs.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shipped.value)
+        encoder = Encoder(shipped.value, added=True)
         terminals = encoder.tokenizer.get_vocab_size()
         end = np.array([END], np.int32).tobytes()
         part, number = TaskContext.get().partitionId(), 0

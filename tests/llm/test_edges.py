@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from finlake.llm import chat, graph, knn, mixing, near_text, near_vectors, pages, quality, sentencepiece, token_files, urls
@@ -160,6 +161,15 @@ def test_token_files(spark, docs):
     assert token_files.written_and_read(docs.limit(0), BYTES).count() == 0
 
 
+def test_token_files_take_added_tokens_as_the_library_does(spark):
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "été <|endoftext|> don't<|endoftext|>", "a<|endoftext|", "plain text", None]
+    tokenizer = Tokenizer.from_file(BYTES)
+    want = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
+    assert want[0] == [64, 50256, 65, 0]
+    rows = token_files.written_and_read(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), BYTES).orderBy("doc_id").collect()
+    assert [(r["n_tokens"], r["ids_crc32"]) for r in rows] == [(len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for ids in want]
+
+
 def test_pages(spark):
     rows = [(1, "u", None), (None, None, ""), (2, "u", "<p>Hello there.</p>"), (2, "u", "<p>Hello there.</p>"), (3, "u", "<article><p>" + "the word of it " * 50_000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({k: F.lit(v) for k, v in EXTRA.items()})
