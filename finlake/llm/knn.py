@@ -1,7 +1,7 @@
 """Exact top-k by inner product: a Voronoi join of queries and data grouped by pivots.
 
 Vectors fall into the cells of a bounded number of pivots. From a summary of each cell (its size, radius, norms, and the
-``k + 1`` distances nearest its pivot) follow, for each cell of queries, a score that every one of its queries surely reaches
+``k + 1`` ids nearest its pivot) follow, for each cell of queries, a score that every one of its queries surely reaches
 k times and the most that any vector of a data cell can score. Data goes only to the query cells whose bound it can
 reach, in blocks of bounded size, so a cell that holds a third of all rows is many tasks; each block is solved by itself
 and the blocks' results are merged.
@@ -85,11 +85,13 @@ def _needed(pivots: np.ndarray, data: pd.DataFrame, nearest: pd.DataFrame, queri
     for i, radius, low2, high2 in queries[["cell", "radius", "low2", "high2"]].itertuples(index=False):
         gap = np.sqrt(((pivots - pivots[int(i)]) ** 2).sum(1))
         least = []
-        for j, away in nearest[["cell", "away"]].itertuples(index=False):
+        for j, vec_id, away in nearest[["cell", "vec_id", "away"]].itertuples(index=False):
             x2 = data.loc[j, "low2"]
-            least.append((low2 + x2 - (radius + gap[int(j)] + away) ** 2) / 2)
-        least.sort(reverse=True)
-        reached = least[k] if len(least) > k else -np.inf  # k + 1 vectors: one may be the query itself
+            least.append(((low2 + x2 - (radius + gap[int(j)] + away) ** 2) / 2, vec_id))
+        of_id: dict[int, float] = {}
+        for score, vec_id in sorted(least, reverse=True):
+            of_id.setdefault(vec_id, score)
+        reached = list(of_id.values())[k] if len(of_id) > k else -np.inf  # k + 1 ids: one may be the query's own
         for j, r in data["radius"].items():
             most = (high2 + data.loc[j, "high2"] - max(0.0, gap[int(j)] - radius - r) ** 2) / 2
             dot = pivots[int(i)] @ pivots[int(j)] + radius * np.linalg.norm(pivots[int(j)]) + (np.linalg.norm(pivots[int(i)]) + radius) * r
@@ -111,14 +113,16 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     taken = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(PIVOTS).collect()
     result = "query_id long, vec_id long, score long"
     pivots = np.unique(_matrix([r["v"] for r in taken]), axis=0) if taken else np.zeros((1, 1))
-    cells = stored(_cells(rows, pivots), "cells")
-    queries = cells.where(is_query).withColumn("first", F.row_number().over(Window.partitionBy("vec_id").orderBy("v"))).where("first = 1").drop("first")
+    cells = stored(_cells(rows, pivots).withColumn("place", F.monotonically_increasing_id()), "cells")
+    asking = cells.where(is_query).groupBy("vec_id").agg(F.min(F.struct("v", "cell", "away", "norm2", "place")).alias("first"))
+    queries = stored(asking.select("vec_id", "first.*"), "queries")
     summary = lambda df: df.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"), F.min("norm2").alias("low2"), F.max("norm2").alias("high2"),
     ).toPandas()
     data_cells, query_cells = summary(cells), summary(queries)
     place = F.row_number().over(Window.partitionBy("cell").orderBy("away"))
-    nearest = cells.select("cell", "away").withColumn("place", place).where(F.col("place") <= k + 1).toPandas()
+    ids = cells.groupBy("cell", "vec_id").agg(F.min("away").alias("away"))  # rows that repeat an id are one
+    nearest = ids.withColumn("place", place).where(F.col("place") <= k + 1).toPandas()
     needed = _needed(pivots, data_cells.set_index("cell"), nearest, query_cells, k)
     blocks = {int(c): -(-int(n) // BLOCK_ROWS) for c, n in zip(data_cells["cell"], data_cells["n"])}
     parts = {int(c): -(-int(n) // BLOCK_ROWS) for c, n in zip(query_cells["cell"], query_cells["n"])}
@@ -126,10 +130,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     pairs = [(i, j, parts[i], blocks[j]) for i, j in needed]
     pairs = spark.createDataFrame(pairs, "qc int, dc int, parts int, blocks int")
     met = lambda rows, of: rows.join(pairs, rows["cell"] == pairs[of]).drop("cell")
-    own = lambda many: F.pmod(F.xxhash64("vec_id"), F.col(many)).cast("int")
+    # A row's place salts its block, so rows that repeat an id are dealt over all blocks.
+    own = lambda many: F.pmod(F.xxhash64("vec_id", "place"), F.col(many)).cast("int")
     every = lambda many: F.explode(F.expr(f"sequence(0, {many} - 1)"))
-    data = met(cells.select("cell", "vec_id", "v"), "dc").select("qc", every("parts").alias("qp"), "dc", own("blocks").alias("db"), "vec_id", "v")
-    asked = met(queries.select("cell", "vec_id", "v"), "qc").select(
+    data = met(cells.select("cell", "vec_id", "v", "place"), "dc").select("qc", every("parts").alias("qp"), "dc", own("blocks").alias("db"), "vec_id", "v")
+    asked = met(queries.select("cell", "vec_id", "v", "place"), "qc").select(
         F.col("qc").alias("asked_qc"), own("parts").alias("asked_qp"), F.col("dc").alias("asked_dc"), every("blocks").alias("asked_db"),
         F.col("vec_id").alias("query_id"), F.col("v").alias("q"),
     )
