@@ -35,9 +35,13 @@ el los las un una y en es que por con para se del al lo como más pero sus su le
 está cuando muy sin sobre ser tiene también me hasta hay donde han quien están
 """.split())
 
-#: Elements that never hold main text, and words of a class, id or role that say so.
-DROPPED = frozenset("nav footer aside form select button menu dialog datalist label fieldset figcaption".split())
-RAW = frozenset("script style noscript template svg math iframe object canvas audio video textarea title head-extra".split())
+#: Elements that never hold main text (a caption only inside an article), and words of a class, id or role that
+#: say so.
+DROPPED = frozenset("nav footer aside form select button menu dialog datalist label fieldset".split())
+RAW = frozenset("script style noscript template svg iframe object canvas audio video textarea title head-extra".split())
+#: Raw elements that only their own end tag ends, and start tags that end an svg which is still open.
+RAW_TO_END = frozenset("script style textarea".split())
+BREAKOUT = re.compile(r"<(?:article|b|big|blockquote|body|br|center|code|dd|div|dl|dt|em|h[1-6]|hr|i|img|li|main|menu|ol|p|pre|ruby|s|section|small|span|strike|strong|sub|sup|table|tt|u|ul|var)(?=[\s/>])", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form"
@@ -80,7 +84,7 @@ class Block:
 
 
 def _boilerplate(name: str, attributes: str, in_article: bool) -> bool:
-    if name in DROPPED or (name == "header" and not in_article):
+    if name in DROPPED or (name in ("header", "figcaption") and not in_article):
         return True
     if not attributes:
         return False
@@ -88,6 +92,32 @@ def _boilerplate(name: str, attributes: str, in_article: bool) -> bool:
     return (bool(hints) and not HINTS.isdisjoint(TOKEN.split(hints))) or bool(HIDDEN.search(attributes))
 
 
+def _raw_end(html: str, at: int, name: str, parent: str | None) -> int:
+    """Where the raw element opened before ``at`` ends: behind its end tag, or where its parent ends without one."""
+    if name in RAW_TO_END or parent is None:
+        end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
+        if end or name in RAW_TO_END:
+            return end.end() if end else len(html)
+    own, inner, implied = 1, 0, None
+    for tag in re.compile(rf"<(/?)({re.escape(name)}|{re.escape(parent or name)})(?=[\s/>])[^>]*>", re.I).finditer(html, at):
+        if tag[2].lower() == name:
+            own += -1 if tag[1] else not tag[0].endswith("/>")
+            if not own:
+                return tag.end()
+        elif not tag[1]:
+            if implied is None and parent in CLOSED_BY_NEXT:
+                implied = tag.start()
+            inner += 1
+        elif inner:
+            inner -= 1
+        else:
+            implied = tag.start() if implied is None else implied
+            break
+    end = len(html) if implied is None else implied
+    out = BREAKOUT.search(html, at, end) if name == "svg" else None
+    return out.start() if out else end
+
+
 def blocks_of(html: str) -> list[Block]:
     """Candidate blocks in page order, boilerplate parts left out."""
     out: list[Block] = []
@@ -151,8 +181,8 @@ def blocks_of(html: str) -> list[Block]:
                 close(name)
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
-            at = end.end() if end else size
+            if name != "svg" or not found.group().endswith("/>"):
+                at = _raw_end(html, at, name, stack[-1][0] if stack else None)
             continue
         if name == "a":
             anchors = 1
