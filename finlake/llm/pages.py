@@ -3,7 +3,8 @@
 A page is cut into blocks at block elements. Parts that are boilerplate by their element or by their class, id or role are
 left out. The other blocks are judged by length, stop-word density and link density; short and undecided ones take
 the label of the nearest decided block of their region (the article, or the rest of the page). Where a page marks its
-article, only blocks inside are candidates.
+article, only blocks inside are candidates. On pages in none of the languages with stop words, length and link density decide
+alone.
 """
 
 from __future__ import annotations
@@ -24,16 +25,17 @@ STOPS_LOW, STOPS_HIGH = 0.20, 0.32
 LINKS_MOST = 0.5
 
 #: Frequent function words of English, German, French and Spanish.
-STOP_WORDS = frozenset("""
-the of and to a in is it that for was on are as with his they be at one have this from or had by not but what all were we
-when your can said there an which their if will how about out them these so her would him has more no
-der die das und in zu den von mit ist des im für auf dem nicht ein eine als auch es an werden aus er hat dass sie nach wird
-bei einer um am sind noch wie einem über so zum war haben nur oder aber vor zur bis mehr durch man sein sich
-le la les de des du un une et est en que qui dans pour pas au sur plus par ce il elle ne se avec son sont ou mais nous vous
-leur aux comme été cette ces même si tout fait
-el los las un una y en es que por con para se del al lo como más pero sus su le ya o fue este ha sí porque esta son entre
-está cuando muy sin sobre ser tiene también me hasta hay donde han quien están
-""".split())
+LANGUAGES = tuple(frozenset(words.split()) for words in (
+    """the of and to a in is it that for was on are as with his they be at one have this from or had by not but what all were we
+when your can said there an which their if will how about out them these so her would him has more no""",
+    """der die das und in zu den von mit ist des im für auf dem nicht ein eine als auch es an werden aus er hat dass sie nach wird
+bei einer um am sind noch wie einem über so zum war haben nur oder aber vor zur bis mehr durch man sein sich""",
+    """le la les de des du un une et est en que qui dans pour pas au sur plus par ce il elle ne se avec son sont ou mais nous vous
+leur aux comme été cette ces même si tout fait""",
+    """el los las un una y en es que por con para se del al lo como más pero sus su le ya o fue este ha sí porque esta son entre
+está cuando muy sin sobre ser tiene también me hasta hay donde han quien están""",
+))
+STOP_WORDS = frozenset().union(*LANGUAGES)
 
 #: Elements that never hold main text (a caption only inside an article), and words of a class, id or role that
 #: say so.
@@ -69,15 +71,29 @@ class Block:
     links: int
     inside: bool
 
-    def label(self) -> bool | None:
-        """Main text or not; None if its own length, stop words and links do not decide."""
-        size = max(len(self.text), 1)
-        if self.links / size > LINKS_MOST:
+    def words(self) -> list[str]:
+        return [w.strip(".,;:!?\"'()") for w in self.text.lower().split()]
+
+    def linked(self) -> bool:
+        return self.links / max(len(self.text), 1) > LINKS_MOST
+
+    def reads(self) -> bool:
+        """Whether it is text in one of the languages with stop words."""
+        if len(self.text) < SHORT or self.linked():
+            return False
+        words = self.words()
+        return any(sum(w in language for w in words) >= STOPS_LOW * len(words) for language in LANGUAGES)
+
+    def label(self, known: bool = True) -> bool | None:
+        """Main text or not; None if its own length, stop words (if the page's language is known) and links do not decide."""
+        if self.linked():
             return False
         if len(self.text) < SHORT:
             return None
-        words = self.text.lower().split()
-        stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+        if not known:
+            return True if len(self.text) >= LONG else None
+        words = self.words()
+        stops = sum(w in STOP_WORDS for w in words) / len(words)
         if stops >= STOPS_HIGH or (stops >= STOPS_LOW and (len(self.text) >= LONG or self.inside)):
             return True
         return None if self.inside or stops >= STOPS_LOW or len(self.text) < LONG else False
@@ -206,7 +222,11 @@ def extract(html: str) -> str:
     blocks = blocks_of(html)
     if any(b.inside for b in blocks):
         blocks = [b for b in blocks if b.inside]
-    labels = [b.label() for b in blocks]
+    known = any(b.reads() for b in blocks)
+    labels = [b.label(known) for b in blocks]
+    if not known and True not in labels:
+        # No long block in an unknown language: those of middle length are its text.
+        labels = [True if d is None and len(b.text) >= SHORT else d for b, d in zip(blocks, labels)]
     decided = [i for i, d in enumerate(labels) if d is not None]
     if not decided:
         return "\n\n".join(b.text for b in blocks)

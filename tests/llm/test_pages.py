@@ -1,10 +1,14 @@
-"""Main text of pages with unusual markup."""
+"""Main text of pages with unusual markup, and in languages without stop words."""
 
 import pytest
 
 from finlake.llm import pages
 from tests.llm.test_methods import LONG, page
 
+ITALIAN = "Questa mattina il sindaco della nostra piccola citta ha presentato ai cittadini riuniti nella piazza grande tutte le opere previste dal bilancio comunale: strade, scuole, giardini pubblici, illuminazione nuova, tetti riparati."
+CHINESE = "今天上午市政府在中心广场向市民介绍了明年的预算和全部工程计划。" * 8
+RUSSIAN = "Сегодня утром глава города рассказал жителям о планах строительства новых школ и дорог, которые появятся через год. " * 3
+
 
 @pytest.mark.parametrize("body, want", [
     (f"<article><svg class=icon/><p>{LONG}</p></article>", [LONG]),
@@ -20,3 +24,14 @@ from tests.llm.test_methods import LONG, page
 ])
 def test_markup(body, want):
     assert pages.extract(page(body)) == "\n\n".join(" ".join(w.split()) for w in want)
+
+
+@pytest.mark.parametrize("text", [ITALIAN, CHINESE, RUSSIAN])
+def test_languages_without_stop_words(text):
+    body = f"<ul><li><a href=a>Home page of all things</a></li></ul><div><p>{text}</p><p>{text}</p></div>"
+    assert pages.extract(page(body)) == "\n\n".join([text.strip()] * 2)
+
+
+def test_junk_is_left_out_where_the_language_is_known():
+    junk = "zzkx qwrt plmk vbnh " * 20
+    assert pages.extract(page(f"<div><p>{LONG}</p><p>{junk}</p></div>")) == " ".join(LONG.split())
