@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as queries over whole tables."""
+"""The operators as queries over whole tables."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import chat, knn, mixing, near_text, near_vectors, pages, quality, sentencepiece, token_files, urls
+from finlake.llm import alignment, bpe_stream, chat, knn, lexical, mixing, near_text, near_vectors, pages, quality, sentencepiece, token_files, urls
 from finlake.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -237,3 +237,50 @@ from embeddings e left join degrees d using (vec_id)
 @query(SQL_NEAR_VECTORS)
 def op10_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, sf, "embeddings"))
+
+
+@query()
+def op11_bpe_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe_stream.round_trips(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+SQL_LEXICAL = r"""
+with doc_terms as (
+  select row_number() over () as d, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents where text is not null),
+sized as (select d, doc_id, terms, len(terms) as n from doc_terms where len(terms) > 0),
+corpus as (select count(*) as docs, sum(n) as words from sized),
+frequencies as (select d, term, count(*) as tf from (select d, unnest(terms) as term from sized) group by all),
+item_terms as (
+  select item, term, count(*) as times
+  from (
+    select row_number() over () as item, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark)
+  group by all),
+items as (select row_number() over () as item, item_id from benchmark),
+weights as (
+  select term, cast(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) as bigint) as w
+  from frequencies, corpus where term in (select term from item_terms) group by term, docs),
+scored as (
+  select i.item, f.d, sum(i.times * w.w * cast((1000000000 * f.tf) // (1000 * f.tf + 12 * (75 + (25 * s.n * c.docs) // c.words)) as bigint)) as score
+  from item_terms i join weights w using (term) join frequencies f using (term) join sized s using (d), corpus c
+  group by all),
+best as (
+  select item, doc_id, score, row_number() over (partition by item order by score desc, doc_id) as rank
+  from scored join sized using (d) where score > 0)
+select item_id, cast(rank as integer) as rank, doc_id, cast(score as bigint) as score from best join items using (item) where rank <= 20
+"""
+
+
+@query(SQL_LEXICAL)
+def op12_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.alignments(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), PIECES)

@@ -97,6 +97,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Masks that keep the first 0 to 8 bytes of eight.
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+STEP = np.uint64(0x9E3779B97F4A7C15)
+LENGTHS = np.uint64(0xD6E8FEB86659FD93)
+
+
+def stretch_hashes(raw: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the stretches of ``raw`` that begin at ``first`` and have ``sizes`` bytes, none empty.
+
+    Every eight bytes are mixed with their place in the stretch before they are summed, so no regular pattern of bytes, such as
+    a word and its mirror image, makes sums meet.
+    """
+    if not len(first):
+        return np.zeros(0, np.uint64)
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    lanes = (sizes + 7) >> 3
+    ends = np.cumsum(lanes)
+    nth = np.arange(ends[-1]) - np.repeat(ends - lanes, lanes)
+    eight = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))[np.repeat(first, lanes) + 8 * nth]
+    eight &= MASKS[np.minimum(np.repeat(sizes, lanes) - 8 * nth, 8)]
+    salted = mix(eight ^ mix((nth + 1).astype(np.uint64) * STEP))
+    return mix(np.add.reduceat(salted, ends - lanes) + sizes.astype(np.uint64) * LENGTHS)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts of a batch, one after the other, and the offsets of each text. Nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -126,11 +150,14 @@ IS_WORD[list(WHITE)] = False
 
 
 class Words:
-    """Words of a block of texts: 64-bit hashes in text order (A-Z lower-cased), lengths, and word counts per text."""
+    """Words of a block of texts: 64-bit hashes in text order (A-Z lower-cased), lengths, and word counts per text.
+
+    ``letters`` marks the bytes that words are made of.
+    """
 
-    def __init__(self, raw: np.ndarray, at: np.ndarray):
+    def __init__(self, raw: np.ndarray, at: np.ndarray, letters: np.ndarray = IS_WORD):
         n = len(at) - 1
-        inside = IS_WORD[raw]
+        inside = letters[raw]
         starts = inside.copy()
         starts[1:] &= ~inside[:-1]
         edge = at[:-1][at[:-1] < len(raw)]
@@ -140,13 +167,4 @@ class Words:
         first = np.flatnonzero(starts[inside])
         self.lengths = np.diff(np.append(first, len(chars)))
         self.counts = np.diff(np.searchsorted(np.flatnonzero(starts), at)) if n else np.zeros(0, np.int64)
-        if not len(first):
-            self.hashes = np.zeros(0, np.uint64)
-            return
-        place = np.arange(len(chars)) - np.repeat(first, self.lengths)
-        longest = int(self.lengths.max())
-        power = np.empty(longest, np.uint64)
-        power[0], power[1:] = 1, np.uint64(0x9E3779B97F4A7C15)
-        power = np.multiply.accumulate(power)
-        sums = np.add.reduceat((chars.astype(np.uint64) + np.uint64(1)) * power[place], first)
-        self.hashes = mix(sums + self.lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        self.hashes = stretch_hashes(chars, first, self.lengths)

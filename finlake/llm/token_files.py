@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.shared import mix, small_batches, stored, text_bytes, trim, worker_memo
+from finlake.llm.shared import small_batches, stored, stretch_hashes, text_bytes, trim, worker_memo
 
 MAGIC = b"RPT1"
 SHARD_TOKENS = 1 << 20
@@ -110,11 +110,7 @@ class Encoder:
         begins[at[:-1][at[:-1] < len(raw)]] = True
         first = np.flatnonzero(begins)
         sizes = np.diff(np.append(first, len(raw)))
-        place = np.arange(len(raw), dtype=np.int32) - np.repeat(first.astype(np.int32), sizes)
-        power = np.full(int(sizes.max()), 0x9E3779B97F4A7C15, np.uint64)
-        power[0] = 1
-        power = np.multiply.accumulate(power)
-        hashes = mix(np.add.reduceat((raw.astype(np.uint64) + np.uint64(1)) * power[place], first) + sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        hashes = stretch_hashes(raw, first, sizes)
         codes, distinct = pd.factorize(hashes)
         keys = distinct.tolist()
         known = list(map(self.hashed.get, keys))
