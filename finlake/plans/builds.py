@@ -28,9 +28,10 @@ from finlake.session import shuffles_sized_for
 from finlake.sinks.tables import (
     YEAR, append_rows, overwrite_table, path_exists, remove, replace_years, stored_bytes, stored_years,
 )
-from finlake.sources.archives import ARCHIVE_BYTES, land, landed_status, landed_table, read_archives, unpack
+from finlake.sources.archives import ARCHIVE_BYTES, Layout, land, landed_status, landed_table, read_archives, unpack
 from finlake.sources.bronze import latest_path, list_objects
 from finlake.sources.tables import calendar, read_csv, read_table
+from finlake.sources.zip_source import reachable, read_members
 
 # Rough growth of the data from a compressed archive, or a stored table, to rows in an exchange.
 ARCHIVE_EXPANSION = 10
@@ -107,16 +108,15 @@ def build_register(spark: SparkSession, lake: Lake, run_ts: datetime | None = No
 
 
 def silver_table(
-    landed: DataFrame, headers: Mapping[int, Iterable[tuple[str, ...]]], spec: TableSpec, run_ts
+    landed: DataFrame, members: Mapping[int, Iterable[tuple[Layout, str]]], spec: TableSpec, run_ts
 ) -> DataFrame:
-    """Cleaned rows of one table for all given years; members with the same header are cleaned together."""
-    by_header: dict[tuple[str, ...], list[int]] = {}
-    for year, found in headers.items():
-        for header in found:
-            by_header.setdefault(header, []).append(year)
-    parts = [
-        clean(landed_table(landed, spec.name, years, header), spec) for header, years in sorted(by_header.items())
-    ]
+    """Cleaned rows of one table for all given years; members, each a layout and an archive, are cleaned together when they
+    have the same layout."""
+    alike: dict[Layout, list[tuple[int, str]]] = {}
+    for year, found in members.items():
+        for layout, file in found:
+            alike.setdefault(layout, []).append((year, file))
+    parts = [clean(landed_table(landed, spec.name, layout, files), spec) for layout, files in sorted(alike.items())]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if spec.distinct and len(parts) > 1:
         rows = rows.dropDuplicates()
@@ -132,15 +132,16 @@ def newest_archives(spark: SparkSession, lake: Lake, document: str, years: Itera
     return {r["ano"]: r["path"] for r in latest_path(objects, "ano").collect()}  # one row per year
 
 
-def _landed_headers(landed: DataFrame) -> tuple[dict, dict]:
-    """Headers per table and year, and what is wrong with a table and year."""
-    found: dict[str, dict[int, list[tuple[str, ...]]]] = {}
+def _landed_members(landed: DataFrame) -> tuple[dict, dict]:
+    """Layout and archive of the members per table and year, and what is wrong with a table and year."""
+    found: dict[str, dict[int, list[tuple[Layout, str]]]] = {}
     broken: dict[tuple[str, int], str] = {}
     for r in landed_status(landed).collect():  # one row per table, year and header
         if r["defeito"]:
             broken[r["tabela"], r["ano"]] = r["defeito"]
         elif r["colunas"]:
-            found.setdefault(r["tabela"], {}).setdefault(r["ano"], []).append(tuple(r["colunas"]))
+            layout = Layout(r["cabecalho"], tuple(r["colunas"]), r["codificacao"])
+            found.setdefault(r["tabela"], {}).setdefault(r["ano"], []).append((layout, r["arquivo"]))
     return found, broken
 
 
@@ -148,42 +149,65 @@ def silver_from_archives(
     archives: DataFrame | None, lake: Lake, document: str, years: Iterable[int], tables: Iterable[str],
     run_ts: datetime, specs: Mapping[str, TableSpec] = SPECS,
 ) -> list[Outcome]:
-    """Unpack ``documento, ano, content``, then clean and store each table for all years in one job.
+    """``silver_from_landed`` for archives that are values of a frame, ``documento, ano, content``."""
+    names = tuple(tables)
+    stems = {document: {n: specs[n].member for n in names}}
+
+    def unpacked(year: int | None) -> DataFrame:
+        return unpack(archives if year is None else archives.where(F.col("ano") == year), stems)
+
+    spark = None if archives is None else archives.sparkSession
+    return silver_from_landed(spark, unpacked, lake, document, years, names, run_ts, specs)
+
+
+def silver_from_files(
+    spark: SparkSession, paths: Iterable[tuple[int, str]], lake: Lake, document: str, years: Iterable[int],
+    tables: Iterable[str], run_ts: datetime, specs: Mapping[str, TableSpec] = SPECS,
+) -> list[Outcome]:
+    """``silver_from_landed`` for archives of any size, given by year and path, that tasks reach by themselves."""
+    names, paths = tuple(tables), list(paths)
+    stems = {n: specs[n].member for n in names}
+
+    def unpacked(year: int | None) -> DataFrame:
+        return read_members(spark, document, [(y, path) for y, path in paths if year in (None, y)], stems)
+
+    return silver_from_landed(spark if paths else None, unpacked, lake, document, years, names, run_ts, specs)
+
+
+def silver_from_landed(
+    spark: SparkSession | None, unpacked: Callable[[int | None], DataFrame], lake: Lake, document: str, years: Iterable[int],
+    tables: Iterable[str], run_ts: datetime, specs: Mapping[str, TableSpec] = SPECS,
+) -> list[Outcome]:
+    """Land the ``unpacked`` rows (of all years, or of one), then clean and store each table for all years in one job.
 
     An archive that cannot be read fails its year; archives of a year not asked for are recorded and not stored. The
-    landed rows are removed at the end.
+    landed rows are removed at the end. Without a session there are no archives.
     """
     names, years = tuple(tables), sorted({int(y) for y in years})
-    found: dict[str, dict[int, list[tuple[str, ...]]]] = {}
+    found: dict[str, dict[int, list[tuple[Layout, str]]]] = {}
     broken: dict[tuple[str, int], str] = {}
     outcomes: list[Outcome] = []
-    if archives is None:
+    if spark is None:
         return [Outcome("silver", name, y, False, error="not found") for name in names for y in years]
-    spark = archives.sparkSession
     landing = f"{lake.landing}/{document}-{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    stems = {document: {n: specs[n].member for n in names}}
-
-    def unpack_all() -> Mapping:
-        land(unpack(archives, stems), landing)
-        return {}
 
-    def unpack_year(year: int) -> Mapping:
-        land(unpack(archives.where(F.col("ano") == year), stems), landing)
+    def unpack_part(year: int | None) -> Mapping:
+        land(unpacked(year), landing)
         return {}
 
     try:
-        if _attempt("silver", document, [None], unpack_all):
+        if _attempt("silver", document, [None], lambda: unpack_part(None)):
             # Something could not be read at all; year by year, the others get through.
             for y in years:
-                for failure in _attempt("silver", document, [y], lambda y=y: unpack_year(y)):
+                for failure in _attempt("silver", document, [y], lambda y=y: unpack_part(y)):
                     broken |= {(name, y): failure.error for name in names}
         landed = None
         if path_exists(spark, f"{landing}/tabela=*"):
             landed = spark.read.parquet(landing)
-            found, defects = _landed_headers(landed)
+            found, defects = _landed_members(landed)
             broken |= defects
         for name in names:
-            good = {y: h for y, h in found.get(name, {}).items() if y in years and (name, y) not in broken}
+            good = {y: m for y, m in found.get(name, {}).items() if y in years and (name, y) not in broken}
             if good:
 
                 def job(name=name, good=good) -> Mapping:
@@ -215,12 +239,16 @@ def build_silver(
         return build_register(spark, lake, run_ts)
     newest = newest_archives(spark, lake, document, years)
     sizes = {y: stored_bytes(spark, path) for y, path in newest.items()}
-    too_large = [y for y, size in sizes.items() if size > ARCHIVE_BYTES]
-    paths = [path for y, path in newest.items() if y not in too_large]
-    archives = read_archives(spark, document, paths) if paths else None
+    too_large: list[int] = []
     with shuffles_sized_for(spark, sum(sizes.values()) * ARCHIVE_EXPANSION):
-        outcomes = silver_from_archives(archives, lake, document, [y for y in years if y not in too_large], names, run_ts)
-    reason = f"archive of more than {ARCHIVE_BYTES} bytes: land its members unzipped"
+        if all(map(reachable, newest.values())):
+            outcomes = silver_from_files(spark, newest.items(), lake, document, years, names, run_ts)
+        else:
+            too_large = [y for y, size in sizes.items() if size > ARCHIVE_BYTES]
+            paths = [path for y, path in newest.items() if y not in too_large]
+            archives = read_archives(spark, document, paths) if paths else None
+            outcomes = silver_from_archives(archives, lake, document, [y for y in years if y not in too_large], names, run_ts)
+    reason = f"archive of more than {ARCHIVE_BYTES} bytes on a file system that only Spark reads"
     outcomes += [Outcome("silver", name, y, False, error=reason) for name in names for y in too_large]
     return log_outcomes(spark, lake, run_ts, outcomes)
 

@@ -15,12 +15,12 @@ from functools import reduce
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.csv as pacsv
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.lake import Lake
-from finlake.plans.builds import log_outcomes, silver_from_archives
+from finlake.plans.builds import log_outcomes, silver_from_files
 from finlake.plans.specs import SPECS
 from finlake.queries import filings
 from finlake.queries.filings import raw
@@ -30,6 +30,7 @@ from finlake.sinks.exports import export_table
 from finlake.sinks.tables import YEAR, migrate_to_years, overwrite_table, replace_years, years_in
 from finlake.sources.bronze import bronze_path, latest_path, manifest_summary, read_manifest
 from finlake.sources.tables import read_csv, read_table
+from finlake.sources.zip_source import file_system
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -97,36 +98,51 @@ _TABLES = ("DRE_con", "BPA_con", "BPP_con", "DFC_DMPL_con")
 _MEMBERS = {name: SPECS[name].member for name in _TABLES}
 
 
-def _zip_batches(batches: Iterator[pa.RecordBatch], members: dict[str, str]) -> Iterator[pa.RecordBatch]:
-    """One archive per input batch and year, its members holding the batch's rows as CSV, in UTF-8 or windows-1252."""
+#: CSV text that one archive of the query holds at least, but for the last of a task and year.
+_ARCHIVE_TEXT = 32 << 20
+
+
+def _zip_files(batches: Iterator[pa.RecordBatch], members: dict[str, str], folder: str) -> Iterator[pa.RecordBatch]:
+    """Rows stored as archives of one year, their members holding them as CSV, in UTF-8 or windows-1252; year and path of each."""
+    system, inner = file_system(folder)
+    system.create_dir(inner)
+    part, number, held = TaskContext.get().partitionId(), 0, {}
+
+    def packed(year: int) -> dict:
+        nonlocal number
+        header, text = f"{held[year][0]}\n", held.pop(year)[1].getvalue()
+        contents = [header.encode() + text, (header.encode() + text).decode().encode("cp1252")]
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
+            for i, stem in enumerate(members.values()):
+                archive.writestr(f"{stem}_ind_{year}.csv", b"CNPJ_CIA\n")
+                archive.writestr(f"{stem}_{year}.csv", contents[(i + year) % 2])
+        name, number = f"{year}-{part}-{number}.zip", number + 1
+        with system.open_output_stream(f"{inner}/{name}") as file:
+            file.write(packed.getvalue())
+        return {"ano": year, "path": f"{folder}/{name}"}
+
+    def done(years: list[int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([packed(y) for y in years], schema=pa.schema([("ano", pa.int32()), ("path", pa.string())]))
+
     for batch in batches:
         rows = pa.Table.from_batches([batch])
         years = rows.column("ano_referencia")
-        archives = []
         for year in years.unique().to_pylist():
-            part = rows.filter(pc.equal(years, year)).drop_columns(["ano_referencia"])
-            text = io.BytesIO()
-            pacsv.write_csv(part, text, pacsv.WriteOptions(delimiter=";", quoting_style="needed"))
-            contents = [text.getvalue(), text.getvalue().decode("utf-8").encode("cp1252")]
-            packed = io.BytesIO()
-            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-                for i, stem in enumerate(members.values()):
-                    archive.writestr(f"{stem}_ind_{year}.csv", b"CNPJ_CIA\n")
-                    archive.writestr(f"{stem}_{year}.csv", contents[(i + year) % 2])
-            archives.append(("DFP", year, packed.getvalue()))
-        yield pa.RecordBatch.from_pylist(
-            [dict(documento=d, ano=y, content=c) for d, y, c in archives],
-            schema=pa.schema([("documento", pa.string()), ("ano", pa.int32()), ("content", pa.binary())]),
-        )
+            one = rows.filter(pc.equal(years, year)).drop_columns(["ano_referencia"])
+            _, text = held.setdefault(year, (";".join(one.column_names), io.BytesIO()))
+            pacsv.write_csv(one, text, pacsv.WriteOptions(delimiter=";", quoting_style="needed", include_header=False))
+        yield done([y for y, (_, text) in held.items() if text.tell() >= _ARCHIVE_TEXT])
+    yield done(list(held))
 
 
 def _silver_built(spark: SparkSession, sf: str, tables: tuple[str, ...], run_ts: datetime) -> Lake:
-    """Filings packed into stored archives, then unpacked, decoded, cleaned, stored by year, with the run logged."""
+    """Filings packed into archives, then unpacked, decoded, cleaned, stored by year, with the run logged."""
     lake = Lake(scratch_dir(spark, "archives"))
-    members, filed = {t: _MEMBERS[t] for t in tables}, raw(spark, sf, "statements")
-    archives = filed.mapInArrow(lambda batches: _zip_batches(batches, members), "documento string, ano int, content binary")
-    archives.write.parquet(lake.bronze)
-    outcomes = silver_from_archives(spark.read.parquet(lake.bronze), lake, "DFP", years_in(filed), tables, run_ts)
+    members, filed, folder = {t: _MEMBERS[t] for t in tables}, raw(spark, sf, "statements"), lake.bronze
+    written = filed.mapInArrow(lambda batches: _zip_files(batches, members, folder), "ano int, path string")
+    paths = sorted((r["ano"], r["path"]) for r in written.collect())  # one row per archive
+    outcomes = silver_from_files(spark, paths, lake, "DFP", sorted({y for y, _ in paths}), tables, run_ts)
     log_outcomes(spark, lake, run_ts, outcomes)
     failed = [o for o in outcomes if not o.ok]
     if failed:

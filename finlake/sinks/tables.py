@@ -75,20 +75,26 @@ def replace_years(
     """Replace exactly ``years`` of a table partitioned by year; returns the rows written per year.
 
     One job writes all years and counts them, at one comparison per row and year. A row of any other year fails the
-    job. A year that came out empty is cleared, and an unpartitioned table at ``path`` is replaced as a whole.
+    job. A year that came out empty is cleared, and an unpartitioned table at ``path`` is replaced as a whole. Without
+    years nothing is replaced; a table that is absent becomes an empty one.
     ``rebalance`` spends one exchange on even files (a hot year is split over many tasks); leave it off when the input
     already comes in whole files per year.
     """
     spark = df.sparkSession
     years = sorted({int(y) for y in years})
-    wanted = ",".join(str(y) for y in years)
+    wanted = F.col(year).isin(years) if years else F.lit(False)
     rows = df.withColumn(year, F.col(year).cast("int")).where(
-        F.expr(f"assert_true(coalesce({year} in ({wanted}), false), 'row outside the replaced years') is null")
+        F.assert_true(F.coalesce(wanted, F.lit(False)), "row outside the replaced years").isNull()
     )
     if rebalance:
         rows = rows.hint("rebalance", year)
     before = stored_years(spark, path, year)
     flat = not before and path_exists(spark, f"{path}/*.parquet")
+    if not years:
+        rows.write.format("noop").mode("overwrite").save()  # a row, of whatever year, fails the job
+        if not before and not path_exists(spark, f"{path}/*.parquet"):
+            spark.createDataFrame([], rows.schema).write.mode("overwrite").parquet(path)
+        return {}
     seen = Observation()
     (
         rows.observe(seen, *[F.count_if(F.col(year) == y).alias(str(y)) for y in years])
@@ -99,7 +105,7 @@ def replace_years(
     filled = {y for y, n in written.items() if n}
     stale = before.intersection(years) - filled
     remove(spark, *[f"{path}/{year}={y}" for y in sorted(stale)])
-    if years and not filled and not before - stale:
+    if not filled and not before - stale:
         # A table without any row still needs its columns on file.
         spark.createDataFrame([], df.drop(year).schema).write.mode("overwrite").parquet(f"{path}/{year}={years[0]}")
     return written

@@ -1,7 +1,9 @@
 """Unpacking ZIP archives into landed rows, and reading landed rows back as tables.
 
-A member of an archive cannot be split, so one task unpacks it, streaming: it is decoded and parsed in bounded
-batches and never held whole. Everything after landing is ordinary columnar data that splits freely.
+A member of an archive cannot be split, so one task unpacks it, streaming: it is inflated once, parsed in bounded
+batches and never held whole. Whether a member is UTF-8 is known at its end only, so its rows land byte for byte (as
+ISO-8859-1) and are decoded when they are read, by the encoding that its last record names. Everything after landing is
+ordinary columnar data that splits freely.
 """
 
 from __future__ import annotations
@@ -14,61 +16,106 @@ import sys
 import zipfile
 import zlib
 from collections.abc import Iterable, Iterator, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.csv as pacsv
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.session import unsorted_writes
 from finlake.sources.bronze import PATH_PARTS
-from finlake.sources.tables import SEPARATOR, column_names
+from finlake.sources.tables import SEPARATOR, column_names, windows_1252_pairs
 
 # Tasks get these functions by value, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Largest archive that fits one binary value; its members have to be landed unzipped otherwise.
+#: Largest archive that fits one binary value; a larger one needs a file system that tasks read by themselves.
 ARCHIVE_BYTES = (1 << 31) - 1
 #: Files of one landing task that may be open at a time; rows come table by table and year by year.
 LANDING_FILES = 8
 HEADER_MARK = "\x1f"
-CHUNK_BYTES = 1 << 20
 BLOCK_BYTES = 8 << 20
+#: Row number of a member's last record, which names its encoding: one of these.
+LAST = -1
+ASCII, UTF8, WINDOWS_1252 = "ascii", "utf-8", "windows-1252"
 
 LANDED_SCHEMA = (
-    "documento string, tabela string, ano int, membro string, cabecalho string, linha bigint, campos array<string>, "
-    "defeito string"
+    "documento string, tabela string, ano int, arquivo string, membro string, cabecalho string, linha bigint, "
+    "campos array<string>, codificacao string, defeito string"
 )
 _LANDED_ARROW = pa.schema([
-    ("documento", pa.string()), ("tabela", pa.string()), ("ano", pa.int32()), ("membro", pa.string()),
-    ("cabecalho", pa.string()), ("linha", pa.int64()), ("campos", pa.list_(pa.string())), ("defeito", pa.string()),
+    ("documento", pa.string()), ("tabela", pa.string()), ("ano", pa.int32()), ("arquivo", pa.string()),
+    ("membro", pa.string()), ("cabecalho", pa.string()), ("linha", pa.int64()), ("campos", pa.list_(pa.string())),
+    ("codificacao", pa.string()), ("defeito", pa.string()),
 ])
 
 
-def _member_for(names: Iterable[str], stem: str) -> str | None:
+@dataclass(frozen=True)
+class Wanted:
+    """One member of one archive, and the table it belongs to."""
+
+    document: str
+    table: str
+    year: int | None
+    file: str
+
+
+@dataclass(frozen=True, order=True)
+class Layout:
+    """Columns of landed members that are read alike: their header as it landed, their names, and their encoding."""
+
+    header: str
+    columns: tuple[str, ...]
+    encoding: str
+
+
+def member_for(names: Iterable[str], stem: str) -> str | None:
     """The archive entry ``stem.csv`` or ``stem_<year>.csv`` in any folder; a longer sibling does not count."""
     wanted = re.compile(rf"(^|/){re.escape(stem)}(_\d{{4}})?\.csv$")
     return next((n for n in names if wanted.search(n)), None)
 
 
-def _encoding(archive: zipfile.ZipFile, member: str) -> str:
-    """UTF-8 when every byte of the member decodes as such, else windows-1252."""
-    decoder = codecs.getincrementaldecoder("utf-8")()
-    with archive.open(member) as raw:
-        try:
-            while chunk := raw.read(CHUNK_BYTES):
-                decoder.decode(chunk)
-            decoder.decode(b"", final=True)
-        except UnicodeDecodeError:
-            return "cp1252"
-    return "utf-8-sig"
+class Watched(io.RawIOBase):
+    """A stream that finds out, as it is read, whether its bytes are ASCII or else valid UTF-8."""
+
+    def __init__(self, raw: zipfile.ZipExtFile):
+        self._raw = raw
+        self._decoder = codecs.getincrementaldecoder("utf-8")()
+        self._ascii = self._utf8 = True
+
+    def _seen(self, data: bytes, final: bool = False) -> bytes:
+        if self._utf8 and not (self._ascii and data.isascii()):
+            self._ascii = self._ascii and not data
+            try:
+                self._decoder.decode(data, final)
+            except UnicodeDecodeError:
+                self._utf8 = False
+        return data
+
+    def readable(self) -> bool:
+        return True
+
+    def read(self, size: int = -1) -> bytes:
+        return self._seen(self._raw.read(size))
+
+    def readline(self, size: int = -1) -> bytes:
+        return self._seen(self._raw.readline(size))
+
+    def peek(self, size: int = 1) -> bytes:
+        return self._raw.peek(size)
 
+    def encoding(self) -> str:
+        """The encoding of all that was read."""
+        self._seen(b"", final=True)
+        return ASCII if self._ascii else UTF8 if self._utf8 else WINDOWS_1252
 
-def _header(raw: zipfile.ZipExtFile, encoding: str) -> tuple[list[str], bool]:
-    """Column names, and whether any record follows; the stream is left right behind the header record.
+
+def _header(raw: Watched) -> tuple[list[str], bool]:
+    """Column names as they land, and whether any record follows; the stream is left right behind the header record.
 
     Blank lines before the header are passed over, and quoted line breaks belong to it.
     """
@@ -77,7 +124,8 @@ def _header(raw: zipfile.ZipExtFile, encoding: str) -> tuple[list[str], bool]:
         record += line
         if record.count(b'"') % 2:
             continue
-        names = next(csv.reader(io.StringIO(record.decode(encoding), newline=""), delimiter=SEPARATOR), [])
+        text = record.removeprefix(codecs.BOM_UTF8).decode("latin-1")
+        names = next(csv.reader(io.StringIO(text, newline=""), delimiter=SEPARATOR), [])
         if names:
             break
         record = b""
@@ -97,7 +145,7 @@ def _rows_of(batch: pa.RecordBatch) -> pa.ListArray:
     )
 
 
-def _parsed(raw: zipfile.ZipExtFile, encoding: str, header: list[str]) -> Iterator[tuple[pa.ListArray, list[str | None] | None]]:
+def _parsed(raw: Watched, header: list[str]) -> Iterator[tuple[pa.ListArray, list[str | None] | None]]:
     """Batches of field arrays of the records behind the header, with the defects of a batch if any.
 
     A short record keeps the fields it has. A record longer than the header is a defect.
@@ -115,10 +163,7 @@ def _parsed(raw: zipfile.ZipExtFile, encoding: str, header: list[str]) -> Iterat
         return "skip"
 
     names = [f"f{i}" for i in range(len(header))]
-    read = pacsv.ReadOptions(
-        use_threads=False, block_size=BLOCK_BYTES, column_names=names,
-        encoding="utf8" if encoding == "utf-8-sig" else encoding,
-    )
+    read = pacsv.ReadOptions(use_threads=False, block_size=BLOCK_BYTES, column_names=names, encoding="latin-1")
     parse = pacsv.ParseOptions(delimiter=SEPARATOR, newlines_in_values=True, invalid_row_handler=keep_uneven)
     text = pacsv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), strings_can_be_null=False)
     for batch in pacsv.open_csv(pa.PythonFile(raw, mode="r"), read, parse, text):
@@ -130,44 +175,64 @@ def _parsed(raw: zipfile.ZipExtFile, encoding: str, header: list[str]) -> Iterat
         yield kept()
 
 
-def _landed(document, table, year, member, header, first, fields, defects=None) -> pa.RecordBatch:
+def _landed(wanted: Wanted, member, header, first, fields, defects=None, encoding=None) -> pa.RecordBatch:
     n = len(fields)
-    texts = [pa.repeat(pa.scalar(v, pa.string()), n) for v in (document, table)]
+    same = lambda value: pa.repeat(pa.scalar(value, pa.string()), n)
     columns = [
-        *texts, pa.repeat(pa.scalar(year, pa.int32()), n), pa.repeat(pa.scalar(member, pa.string()), n),
-        pa.repeat(pa.scalar(header, pa.string()), n), pa.array(np.arange(first, first + n), pa.int64()), fields,
+        same(wanted.document), same(wanted.table), pa.repeat(pa.scalar(wanted.year, pa.int32()), n), same(wanted.file),
+        same(member), same(header), pa.array(np.arange(first, first + n), pa.int64()), fields, same(encoding),
         pa.array(defects, pa.string()) if defects else pa.nulls(n, pa.string()),
     ]
     return pa.RecordBatch.from_arrays(columns, schema=_LANDED_ARROW)
 
 
-def _unpack_one(document, year, content, table, stem) -> Iterator[pa.RecordBatch]:
-    """One member of one archive. What cannot be read is a defect of that table and year alone."""
-    empty, member, line, key = pa.array([[]], pa.list_(pa.string())), None, 0, ""
+_EMPTY = pa.array([[]], pa.list_(pa.string()))
+#: What an archive or member that cannot be read raises.
+UNREADABLE = (
+    zipfile.BadZipFile, zlib.error, csv.Error, pa.ArrowInvalid, EOFError, OSError, ValueError, NotImplementedError, RuntimeError,
+)
+
+
+def unreadable(wanted: Wanted, error: Exception, member: str | None = None, header: str = "", line: int = 1) -> pa.RecordBatch:
+    """The record of a member, or a whole archive, that cannot be read: a defect of that table and year alone."""
+    what = "unreadable" if member else "unreadable archive"
+    return _landed(wanted, member, header, max(line, 1), _EMPTY, [f"{what}: {error}"])
+
+
+def member_rows(wanted: Wanted, member: str, raw: zipfile.ZipExtFile) -> Iterator[pa.RecordBatch]:
+    """Landed rows of one member, read once from its beginning to its end."""
+    line, key = 0, ""
+    try:
+        watched = Watched(raw)
+        header, more = _header(watched)
+        key = HEADER_MARK.join(header)
+        if header:
+            yield _landed(wanted, member, key, 0, pa.array([header], pa.list_(pa.string())))
+        line = 1
+        for fields, defects in _parsed(watched, header) if more else ():
+            yield _landed(wanted, member, key, line, fields, defects)
+            line += len(fields)
+        if header:
+            yield _landed(wanted, member, key, LAST, _EMPTY, encoding=watched.encoding())
+    except UNREADABLE as error:
+        yield unreadable(wanted, error, member, key, line)
+
+
+def _unpack_one(wanted: Wanted, content, stem: str) -> Iterator[pa.RecordBatch]:
     try:
         with zipfile.ZipFile(pa.BufferReader(content)) as archive:
-            member = _member_for(archive.namelist(), stem)
-            if member is None:
-                return
-            encoding = _encoding(archive, member)
-            with archive.open(member) as raw:
-                header, more = _header(raw, encoding)
-                key = HEADER_MARK.join(header)
-                if header:
-                    yield _landed(document, table, year, member, key, 0, pa.array([header], pa.list_(pa.string())))
-                line = 1
-                for fields, defects in _parsed(raw, encoding, header) if more else ():
-                    yield _landed(document, table, year, member, key, line, fields, defects)
-                    line += len(fields)
-    except (zipfile.BadZipFile, zlib.error, csv.Error, pa.ArrowInvalid, EOFError, OSError, ValueError, NotImplementedError, RuntimeError) as error:
-        what = "unreadable" if member else "unreadable archive"
-        yield _landed(document, table, year, member, key, max(line, 1), empty, [f"{what}: {error}"])
+            member = member_for(archive.namelist(), stem)
+            if member is not None:
+                with archive.open(member) as raw:
+                    yield from member_rows(wanted, member, raw)
+    except UNREADABLE as error:
+        yield unreadable(wanted, error)
 
 
 def unpack(archives: DataFrame, stems: Mapping[str, Mapping[str, str]]) -> DataFrame:
     """Rows of the wanted members of every archive.
 
-    ``archives`` has ``documento, ano, content``; ``stems`` maps a document type to its tables and member stems. Each
+    ``archives`` has ``documento, ano, content`` and may name its ``arquivo``; ``stems`` maps a document type to its tables and member stems. Each
     table reads the archives by itself, so members are unpacked side by side. Row 0 of a member is its header, which
     every row names. Rows that cannot be trusted carry ``defeito``.
     """
@@ -176,22 +241,23 @@ def unpack(archives: DataFrame, stems: Mapping[str, Mapping[str, str]]) -> DataF
     def unpack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                document, year, table, stem = (batch[c][i].as_py() for c in ("documento", "ano", "tabela", "stem"))
-                yield from _unpack_one(document, year, batch["content"][i].as_buffer(), table, stem)
+                document, table, year, file, stem = (batch[c][i].as_py() for c in ("documento", "tabela", "ano", "arquivo", "stem"))
+                yield from _unpack_one(Wanted(document, table, year, file), batch["content"][i].as_buffer(), stem)
 
+    file = F.col("arquivo") if "arquivo" in archives.columns else F.lit("")
     parts = [
         archives.where(F.col("documento") == document)
-        .select("documento", "ano", "content", F.lit(table).alias("tabela"), F.lit(stem).alias("stem"))
+        .select("documento", "ano", "content", file.alias("arquivo"), F.lit(table).alias("tabela"), F.lit(stem).alias("stem"))
         for document, table, stem in wanted
     ]
     return reduce(DataFrame.unionByName, parts).mapInArrow(unpack_batches, LANDED_SCHEMA)
 
 
 def read_archives(spark: SparkSession, document: str, paths: Iterable[str]) -> DataFrame:
-    """``documento, ano, content`` of known archives, the year taken from the path; no other file is opened."""
+    """``documento, ano, arquivo, content`` of known archives of at most ``ARCHIVE_BYTES``, the year taken from the path; no other file is opened."""
     files = spark.read.format("binaryFile").load(list(paths))
     year = F.regexp_extract("path", PATH_PARTS["ano"], 1).cast("int")
-    return files.select(F.lit(document).alias("documento"), year.alias("ano"), "content")
+    return files.select(F.lit(document).alias("documento"), year.alias("ano"), F.col("path").alias("arquivo"), "content")
 
 
 def land(landed: DataFrame, path: str) -> None:
@@ -203,20 +269,40 @@ def land(landed: DataFrame, path: str) -> None:
         )
 
 
+def _decoded(cell: Column, encoding: Column | str) -> Column:
+    """The text of a cell that landed byte for byte."""
+    latin, letters = windows_1252_pairs()
+    by = {
+        UTF8: F.decode(F.encode(cell, "ISO-8859-1"), "UTF-8"), WINDOWS_1252: F.translate(cell, latin, letters), ASCII: cell,
+    }
+    if isinstance(encoding, str):
+        return by[encoding]
+    return F.when(encoding == UTF8, by[UTF8]).when(encoding == WINDOWS_1252, by[WINDOWS_1252]).otherwise(cell)
+
+
 def landed_status(landed: DataFrame) -> DataFrame:
-    """Header and defect per table, year and header. Reads header rows and flagged rows only."""
-    flagged = landed.where((F.col("linha") == 0) | F.col("defeito").isNotNull())
-    return flagged.groupBy("tabela", "ano", "cabecalho").agg(
-        F.max(F.when(F.col("linha") == 0, F.col("campos"))).alias("colunas"), F.max("defeito").alias("defeito")
+    """Header, encoding and defect per table, year, archive and header. Reads header, last and flagged records only."""
+    flagged = landed.where((F.col("linha") <= 0) | F.col("defeito").isNotNull())
+    per_member = flagged.groupBy("tabela", "ano", "arquivo", "cabecalho").agg(
+        F.max(F.when(F.col("linha") == 0, F.col("campos"))).alias("colunas"), F.max("codificacao").alias("codificacao"),
+        F.count_distinct("codificacao").alias("codificacoes"), F.max("defeito").alias("defeito"),
+    )
+    names = F.transform("colunas", lambda cell: _decoded(cell, F.col("codificacao")))
+    mixed = F.when(F.col("codificacoes") > 1, F.lit("members in two encodings"))
+    return per_member.select(
+        "tabela", "ano", "arquivo", "cabecalho", names.alias("colunas"), "codificacao", F.coalesce("defeito", mixed).alias("defeito")
     )
 
 
-def landed_table(landed: DataFrame, table: str, years: Iterable[int], columns: Iterable[str]) -> DataFrame:
-    """Landed rows of the members of one table that have these ``columns``, as strings plus ``ano_referencia``."""
-    columns = tuple(columns)
+def landed_table(landed: DataFrame, table: str, layout: Layout, parts: Iterable[tuple[int, str]]) -> DataFrame:
+    """Landed rows of one table from the members of this layout in the given years and archives, as strings plus
+    ``ano_referencia``."""
+    parts = sorted(set(parts))
     rows = landed.where(
-        (F.col("tabela") == table) & F.col("ano").isin([int(y) for y in years]) & (F.col("linha") > 0)
-        & (F.col("cabecalho") == HEADER_MARK.join(columns))
+        (F.col("tabela") == table) & F.col("ano").isin(sorted({int(y) for y, _ in parts})) & (F.col("linha") > 0)
+        & (F.col("cabecalho") == layout.header) & F.col("arquivo").isin(sorted({f for _, f in parts}))
     )
-    fields = [F.get("campos", F.lit(i)).alias(name) for i, name in enumerate(column_names(columns))]
+    fields = [
+        _decoded(F.get("campos", F.lit(i)), layout.encoding).alias(name) for i, name in enumerate(column_names(layout.columns))
+    ]
     return rows.select(*fields, F.col("ano").alias("ano_referencia"))

@@ -21,7 +21,7 @@ CALENDAR_START = date(2019, 1, 1)
 CALENDAR_END = date(2030, 12, 31)
 
 
-def _windows_1252_pairs() -> tuple[str, str]:
+def windows_1252_pairs() -> tuple[str, str]:
     """Control characters that ISO-8859-1 gives for bytes 0x80-0x9F, and the windows-1252 letters meant."""
     pairs = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)]
     pairs = [(latin, letter) for latin, letter in pairs if letter]
@@ -62,7 +62,7 @@ def _reader(spark: SparkSession, separator: str, multi_line: bool):
 def _decoded(reader, path: str | list[str], is_utf8: bool) -> DataFrame:
     if is_utf8:
         return reader.csv(path)
-    latin, letters = _windows_1252_pairs()
+    latin, letters = windows_1252_pairs()
     raw = reader.option("encoding", "ISO-8859-1").csv(path)
     return raw.select(*[F.translate(quoted(c), latin, letters).alias(c) for c in raw.columns], "_metadata")
 

@@ -153,3 +153,15 @@ def test_shuffles_grow_with_the_input(spark, size, partitions):
         assert n == partitions
         assert int(spark.conf.get(INITIAL_PARTITIONS, "8")) == partitions
     assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+
+
+def test_no_years_at_all(spark, folder):
+    path = f"{folder}/t"
+    nothing = years(spark).where("false")
+    assert replace_years(nothing, path, []) == {}
+    assert read_table(spark, path).columns == ["id", "ano_referencia"] and read_table(spark, path).count() == 0
+    replace_years(years(spark), path, range(2000, 2004))
+    assert replace_years(nothing, path, []) == {}
+    assert counts(spark, path) == {2000: 25, 2001: 25, 2002: 25, 2003: 25}
+    with pytest.raises(Exception, match="row outside the replaced years"):
+        replace_years(years(spark), path, [])
