@@ -1,10 +1,13 @@
 """Main text of web pages by two-pass block rules.
 
-A page is cut into blocks at block elements. Parts that are boilerplate by their element or by their class, id or role are
-left out. The other blocks are judged by length, stop-word density and link density; short and undecided ones take
-the label of the nearest decided block of their region (the article, or the rest of the page). Where a page marks its
-article, only blocks inside are candidates. On pages in none of the languages with stop words, length and link density decide
-alone.
+A page is cut into blocks at block elements, in one pass with a stack of open elements. Parts that are boilerplate by their
+element or by their class, id or role are left out, but never the page itself, its article, or a part that holds most of what
+there is to read. The other blocks are judged by length, stop-word density and link density; short and undecided ones take
+the label of the nearest decided block. Where a page marks its article, only blocks inside are candidates, unless the greater
+part of its main text stands outside. On pages in none of the languages with stop words, length and link density decide alone.
+
+Every step takes time in proportion to the page: tags are found from left to right, each element is opened and closed once,
+and where something unclosed is looked for in vain, that is remembered.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,30 +41,41 @@ está cuando muy sin sobre ser tiene también me hasta hay donde han quien está
 ))
 STOP_WORDS = frozenset().union(*LANGUAGES)
 
-#: Elements that never hold main text (a caption only inside an article), and words of a class, id or role that
-#: say so.
+#: Elements that never hold main text (a caption only inside an article), those of them that whole
+#: pages are put into, those whose content is no text of the page, and those whose content is not markup.
 DROPPED = frozenset("nav footer aside form select button menu dialog datalist label fieldset".split())
-RAW = frozenset("script style noscript template svg iframe object canvas audio video textarea title head-extra".split())
-#: Raw elements that only their own end tag ends, and start tags that end an svg which is still open.
-RAW_TO_END = frozenset("script style textarea".split())
-BREAKOUT = re.compile(r"<(?:article|b|big|blockquote|body|br|center|code|dd|div|dl|dt|em|h[1-6]|hr|i|img|li|main|menu|ol|p|pre|ruby|s|section|small|span|strike|strong|sub|sup|table|tt|u|ul|var)(?=[\s/>])", re.I)
+FRAMES = frozenset("form fieldset label".split())
+EMBEDDED = frozenset("noscript template svg object canvas audio video head".split())
+RAW = frozenset("script style textarea title iframe".split())
+#: Parts that are never boilerplate as a whole, and that end a navigation which is still open.
+KEPT = frozenset("html body main article".split())
+#: Start tags that end an svg which is still open.
+BREAKOUT = frozenset(
+    "article b big blockquote body br center code dd div dl dt em h1 h2 h3 h4 h5 h6 hr i img li main menu ol p pre ruby s section"
+    " small span strike strong sub sup table tt u ul var".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option optgroup p pre section summary table tbody td"
     " tfoot th thead title tr ul".split())
 CLOSED_BY_NEXT = frozenset("p li dt dd tr td th option thead tbody tfoot".split())
+#: Words that a class, id or role of boilerplate is, begins or ends with; those of readers' comments; and first
+#: parts of a name that say something else about the word that follows.
 HINTS = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr"
     " notice notices alert newsletter subscribe subscription signup login paywall popup modal overlay sidebar sidebars rail menu menus"
     " nav navbar navigation breadcrumb breadcrumbs pager pagination footer masthead comment comments disqus respond reply replies"
     " share sharing social related recommended recommendations widget widgets toolbar search skip complementary contentinfo"
     .split())
-
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
-TOKEN = re.compile(r"[^a-z0-9]+")
+COMMENTS = frozenset("comment comments disqus respond reply replies".split())
+OTHERWISE = frozenset(
+    "no not non without has have with is hide category cat tag tags type format term topic post-type single page-template".split())
+
+NAME = re.compile(r"[A-Za-z][^\s/>]*+")
+PLAIN = re.compile(r"[^>\"']*+")
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?+")
+HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 SPACES = re.compile(r"\s+")
 BREAK = "\x00"
 
@@ -99,131 +114,268 @@ class Block:
         return None if self.inside or stops >= STOPS_LOW or len(self.text) < LONG else False
 
 
-def _boilerplate(name: str, attributes: str, in_article: bool) -> bool:
-    if name in DROPPED or (name in ("header", "figcaption") and not in_article):
-        return True
-    if not attributes:
-        return False
-    hints = " ".join(a or b or c for a, b, c in ATTRIBUTE.findall(attributes)).lower()
-    return (bool(hints) and not HINTS.isdisjoint(TOKEN.split(hints))) or bool(HIDDEN.search(attributes))
-
-
-def _raw_end(html: str, at: int, name: str, parent: str | None) -> int:
-    """Where the raw element opened before ``at`` ends: behind its end tag, or where its parent ends without one."""
-    if name in RAW_TO_END or parent is None:
-        end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
-        if end or name in RAW_TO_END:
-            return end.end() if end else len(html)
-    own, inner, implied = 1, 0, None
-    for tag in re.compile(rf"<(/?)({re.escape(name)}|{re.escape(parent or name)})(?=[\s/>])[^>]*>", re.I).finditer(html, at):
-        if tag[2].lower() == name:
-            own += -1 if tag[1] else not tag[0].endswith("/>")
-            if not own:
-                return tag.end()
-        elif not tag[1]:
-            if implied is None and parent in CLOSED_BY_NEXT:
-                implied = tag.start()
-            inner += 1
-        elif inner:
-            inner -= 1
-        else:
-            implied = tag.start() if implied is None else implied
-            break
-    end = len(html) if implied is None else implied
-    out = BREAKOUT.search(html, at, end) if name == "svg" else None
-    return out.start() if out else end
+def hinted(name: str) -> str | None:
+    """The word of boilerplate that one class or id is, begins or ends with; None where another word turns it."""
+    if name.lower() in HINTS:
+        return name.lower()
+    parts = [p.lower() for p in PARTS.findall(name)]
+    if len(parts) < 2 or parts[0] in OTHERWISE:
+        return None
+    return next((p for p in (parts[0], parts[-1]) if p in HINTS), None)
+
+
+def _hints(attributes: str) -> tuple[bool, set[str]]:
+    """Whether an element is hidden, and the words of boilerplate in its class, id and role."""
+    hidden, words = False, set()
+    for found in ATTRIBUTE.finditer(attributes):
+        name, value = found[1].lower(), found[2] or found[3] or found[4] or ""
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and HIDING.search(value):
+            hidden = True
+        elif name in ("class", "id", "role"):
+            words.update(filter(None, map(hinted, value.split())))
+    return hidden, words
+
+
+@dataclass
+class Part:
+    """An open or closed element that may be boilerplate with all it holds."""
+
+    parent: Part | None
+    first: int  # blocks before it
+    frame: bool  # may be the frame of a page that marks no article
+    plain: int  # characters outside of links before it; when it is closed, inside
+    closed: bool = False  # by its own end tag
+    main: int | None = None  # blocks before the article that begins inside
+    drops: bool = False  # with all it holds
+    upto: int = 0  # or else up to that block
+
+    def decide(self, whole: int, marked: bool) -> None:
+        """Left out, unless it holds the greater part of the page's plain text and the article, or that part of a page which marks no
+        article: then it is the page's frame. What was never closed ends where an article begins."""
+        frame = 2 * self.plain > whole and (self.main is not None or self.frame and not marked)
+        half = self.main is not None and not self.closed
+        above = self.parent
+        self.drops = not frame and not half or above is not None and above.drops
+        self.upto = max(self.main if half and not frame else 0, above.upto if above is not None else 0)
+
+
+class _Tags:
+    """Tags of a page from left to right."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.lacking: set[str] = set()  # ends that do not occur behind some place already passed
+
+    def find(self, what: str, at: int) -> int:
+        """The next place of ``what``, or -1."""
+        if what in self.lacking:
+            return -1
+        found = self.html.find(what, at)
+        if found < 0:
+            self.lacking.add(what)
+        return found
+
+    def end_of(self, at: int) -> int:
+        """Behind the ``>`` that ends the tag whose attributes begin at ``at``; a quote that never closes is a character."""
+        html, size = self.html, len(self.html)
+        while True:
+            at = PLAIN.match(html, at).end()
+            if at >= size:
+                return size
+            if html[at] == ">":
+                return at + 1
+            close = self.find(html[at], at + 1)
+            at = at + 1 if close < 0 else close + 1
+
+    def behind(self, what: str, at: int) -> int:
+        """Behind ``what``, or where it never comes, behind the next ``>``."""
+        found = self.find(what, at)
+        if found >= 0:
+            return found + len(what)
+        found = self.find(">", at)
+        return found + 1 if found >= 0 else len(self.html)
+
+    def raw_end(self, name: str, at: int) -> int:
+        """Behind the end tag of a raw element; a script or style without one takes the rest, another is empty."""
+        key = f"</{name}"
+        if key not in self.lacking:
+            found = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(self.html, at)
+            if found:
+                return self.end_of(found.end())
+            self.lacking.add(key)
+        return len(self.html) if name in ("script", "style", "textarea") else at
+
+
+class _Page:
+    """The blocks of a page, as its tags go by."""
+
+    def __init__(self):
+        self.blocks: list[tuple[Block, Part | None]] = []
+        self.text: list[str] = []
+        self.links = self.breaks = self.anchors = self.articles = self.embedded = 0
+        self.plain = 0  # characters outside of links so far
+        # Open elements: name, the part they belong to, whether they are an article, embedded content or a block.
+        self.stack: list[tuple[str, Part | None, bool, bool, bool]] = []
+        self.places: dict[str, list[int]] = {}
+        self.open_blocks: list[int] = []
+        self.parts: list[Part] = []
+        self.part: Part | None = None
+
+    def say(self, said: str) -> None:
+        if not said or self.embedded:
+            return
+        self.text.append(said)
+        size = len(said) if said.isspace() else len(SPACES.sub(" ", said))
+        if not said.isspace():
+            self.breaks = 0
+            self.plain += 0 if self.anchors else size
+        if self.anchors:
+            self.links += size
+
+    def line(self) -> None:
+        if not self.embedded:
+            self.breaks += 1
+            self.text.append(" " if self.breaks < 2 else BREAK)
+
+    def flush(self) -> None:
+        whole = "".join(self.text)
+        self.text.clear()
+        for piece in whole.split(BREAK):
+            clean = SPACES.sub(" ", entities.unescape(piece)).strip()
+            if clean:
+                self.blocks.append((Block(clean, min(self.links, len(clean)), self.articles > 0), self.part))
+        self.links = self.breaks = 0
+
+    def open(self, name: str, attributes: str) -> None:
+        if self.embedded and name in BREAKOUT:
+            svg, foreign = self.places.get("svg"), self.places.get("foreignobject")
+            if svg and not (foreign and foreign[-1] > svg[-1]):
+                self.close("svg", False)
+        if self.open_blocks and name in BLOCK:
+            top = self.stack[self.open_blocks[-1]][0]
+            if top == "p" or top == name and name in CLOSED_BY_NEXT:
+                self.close(top, False)
+        if name == "body" and self.places.get("head"):
+            self.close("head", False)
+        main = name in ("article", "main") and not self.embedded
+        if main:
+            part = self.part
+            while part is not None and part.main is None:
+                part.main = len(self.blocks)
+                part = part.parent
+        elif name not in KEPT and not self.embedded:
+            hidden, words = _hints(attributes) if attributes else (False, set())
+            by_name = name in DROPPED or name in ("header", "figcaption") and not self.articles
+            if hidden or words or by_name:
+                frame = not hidden and words.isdisjoint(COMMENTS) and (name in FRAMES or not by_name)
+                self.part = Part(self.part, len(self.blocks), frame, self.plain)
+                self.parts.append(self.part)
+        embedded = name in EMBEDDED
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name in BLOCK:
+            self.open_blocks.append(len(self.stack))
+        self.stack.append((name, self.part, main, embedded, name in BLOCK))
+        self.articles += main
+        self.embedded += embedded
+
+    def close(self, name: str, tag: bool = True) -> None:
+        """Close the innermost element of that name, and all inside of it; without one nothing happens."""
+        place = self.places.get(name)
+        if not place:
+            return
+        for i in range(len(self.stack) - 1, place[-1] - 1, -1):
+            inner, part, main, embedded, block = self.stack.pop()
+            self.places[inner].pop()
+            if block:
+                self.open_blocks.pop()
+            self.articles -= main
+            self.embedded -= embedded
+            outer = self.stack[-1][1] if self.stack else None
+            if part is not outer:
+                part.plain = self.plain - part.plain
+                part.closed = tag and inner == name and not self.stack[len(self.stack):]
+            self.part = outer
+
+    def kept(self) -> list[Block]:
+        """Blocks outside of boilerplate, once the page is over."""
+        self.flush()
+        while self.stack:
+            self.close(self.stack[-1][0], False)
+        marked = any(b.inside and part is None for b, part in self.blocks)
+        for part in self.parts:  # those around a part come before it
+            part.decide(self.plain, marked)
+        return [b for i, (b, part) in enumerate(self.blocks) if part is None or not (part.drops or i < part.upto)]
 
 
 def blocks_of(html: str) -> list[Block]:
     """Candidate blocks in page order, boilerplate parts left out."""
-    out: list[Block] = []
-    text: list[str] = []
-    links = 0
-    stack: list[tuple[str, bool, bool]] = []  # element, boilerplate, article
-    dropped = article = anchors = breaks = 0
-
-    def flush() -> None:
-        nonlocal links
-        whole = "".join(text)
-        text.clear()
-        for part in whole.split(BREAK):
-            clean = SPACES.sub(" ", entities.unescape(part)).strip()
-            if clean:
-                out.append(Block(clean, min(links, len(clean)), article > 0))
-        links = 0
-
-    def close(name: str) -> None:
-        nonlocal dropped, article
-        at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-        if at is not None:
-            for _, bad, main in stack[at:]:
-                dropped -= bad
-                article -= main
-            del stack[at:]
-
-    def say(part: str) -> None:
-        nonlocal links, breaks
-        if part and not dropped:
-            text.append(part)
-            if not part.isspace():
-                breaks = 0
-            if anchors:
-                links += len(SPACES.sub(" ", part))
-
-    at, size = 0, len(html)
-    while at < size:
-        found = TAG.search(html, at)
+    page, tags = _Page(), _Tags(html)
+    at, start, size = 0, 0, len(html)
+    while (at := html.find("<", at)) >= 0:
+        following = html[at + 1: at + 2]
+        closing = following == "/"
+        found = NAME.match(html, at + 1 + closing)
+        if not found and following not in ("!", "?"):
+            at += 1
+            continue
+        page.say(html[start: at])
         if not found:
-            say(html[at:])
-            break
-        say(html[at: found.start()])
-        at = found.end()
-        name = (found.group(2) or "").lower()
-        if not name:
+            if html.startswith("<!--", at):
+                at = tags.behind("-->", at + 4)
+            elif html.startswith("<![CDATA[", at):
+                at = tags.behind("]]>", at + 9)
+            else:
+                at = tags.behind(">", at)
+            start = at
             continue
-        closing = bool(found.group(1))
+        name, at = found[0].lower(), tags.end_of(found.end())
+        attributes = html[found.end(): at].removesuffix(">")
+        start = at
         if name == "br":
-            if not dropped:
-                breaks += 1
-                text.append(" " if breaks < 2 else BREAK)
+            page.line()
             continue
         if name in BLOCK:
-            flush()
-            breaks = 0
+            page.flush()
         if closing:
             if name == "a":
-                anchors = max(0, anchors - 1)
-            elif name in BLOCK or any(s[0] == name for s in stack):
-                close(name)
-            continue
-        if name in RAW:
-            if name != "svg" or not found.group().endswith("/>"):
-                at = _raw_end(html, at, name, stack[-1][0] if stack else None)
-            continue
-        if name == "a":
-            anchors = 1
-            continue
-        if name in VOID or found.group(3).rstrip().endswith("/"):
-            continue
-        if name in CLOSED_BY_NEXT and stack and stack[-1][0] == name:
-            close(name)
-        bad = _boilerplate(name, found.group(3), article > 0)
-        main = name in ("article", "main") and not dropped
-        if bad or main or name in BLOCK or stack and dropped:
-            stack.append((name, bad, main))
-            dropped += bad
-            article += main
-    flush()
-    return out
+                page.anchors = 0
+            else:
+                page.close(name)
+        elif name in RAW:
+            at = start = tags.raw_end(name, at)
+        elif name == "a":
+            page.anchors = 1
+        elif name not in VOID and not (attributes.rstrip().endswith("/") and name not in KEPT):
+            page.open(name, attributes)
+    if start < size:
+        page.say(html[start:])
+    return page.kept()
+
+
+def _articles(blocks: list[Block], known: bool) -> bool:
+    """Whether the blocks inside articles are the page's text: not where most of what reads as text stands outside."""
+    inside = sum(len(b.text) - b.links for b in blocks if b.inside)
+    return inside > 0 and 2 * inside >= sum(len(b.text) for b in blocks if not b.inside and b.label(known))
+
+
+#: So many blocks of links one after the other are a menu, also inside an article; fewer are paragraphs.
+MENU = 3
 
 
 def extract(html: str) -> str:
     """The main text: its blocks joined by two line feeds."""
     blocks = blocks_of(html)
-    if any(b.inside for b in blocks):
+    if _articles(blocks, any(b.reads() for b in blocks)):
         blocks = [b for b in blocks if b.inside]
+    else:
+        blocks = [Block(b.text, b.links, False) for b in blocks]
     known = any(b.reads() for b in blocks)
     labels = [b.label(known) for b in blocks]
+    for linked, run in groupby(range(len(blocks)), lambda i: blocks[i].inside and blocks[i].linked()):
+        places = list(run)
+        if linked and len(places) < MENU:
+            for i in places:
+                labels[i] = None
     if not known and True not in labels:
         # No long block in an unknown language: those of middle length are its text.
         labels = [True if d is None and len(b.text) >= SHORT else d for b, d in zip(blocks, labels)]
