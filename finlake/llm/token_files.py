@@ -4,8 +4,9 @@ Documents are laid out in ascending id order. Each shard is one byte string that
 replaced by nonterminals again and again (Re-Pair), and the rules, their expansion lengths and the places of the documents
 are stored with the remaining sequence, so a document is decoded without the others.
 
-Shard format, little-endian: magic ``RPT1``; five 32-bit counts (terminals, rules, symbols, documents, samples); rules as pairs
-of 32-bit symbols; expansion lengths of the rules, 32-bit; symbols, 16-bit; for each document its id (64-bit), whether it has
+Shard format, little-endian: magic ``RPT2``; six 32-bit counts (terminals, rules, symbols, documents, samples, bits of a symbol);
+rules as pairs of 32-bit symbols; expansion lengths of the rules, 32-bit; symbols, each in as few bits as the greatest needs, lowest
+bit first; for each document its id (64-bit), whether it has
 one (8-bit) and its first token in the shard (64-bit, one more for the end); for every ``SAMPLE``-th symbol the number of
 tokens before it (64-bit).
 """
@@ -30,15 +31,16 @@ from pyspark.sql import functions as F
 
 from finlake.llm.shared import small_batches, stored, stretch_hashes, text_bytes, trim, worker_memo
 
-MAGIC = b"RPT1"
+MAGIC = b"RPT2"
 SHARD_TOKENS = 1 << 20
-LEAST_COUNT = 64
+#: A rule takes 96 bits and each replacement saves one symbol of 16 bits or a few more, so a pair pays from 7 occurrences on.
+LEAST_COUNT = 7
 #: Pairs at least this share as frequent as the most frequent one are replaced in the same round.
 ROUND_SHARE = 0.03
 PLACE_BITS = 17
-#: Symbols are 16-bit, which bounds the rules of a shard.
-SYMBOLS = 1 << 16
 SAMPLE = 1024
+#: Symbols packed at a time; eight of them fill whole bytes.
+PACKED = 1 << 16
 MEMO_PIECES = 800_000
 END = 0
 
@@ -184,7 +186,7 @@ def compress(tokens: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray
     """
     sequence, rules = tokens.astype(np.int32), np.zeros((0, 2), np.int64)
     share = ROUND_SHARE
-    while len(sequence) > 1 and terminals + len(rules) < SYMBOLS:
+    while len(sequence) > 1:
         place = sequence[:-1].view(np.uint32) * np.uint32(0x9E3779B1)
         place += sequence[1:].view(np.uint32) * np.uint32(0x85EBCA77)
         place >>= np.uint32(32 - PLACE_BITS)
@@ -192,7 +194,7 @@ def compress(tokens: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray
         filled = np.bincount(place, minlength=1 << PLACE_BITS)
         least = max(LEAST_COUNT, int(filled.max() * share))
         at = np.flatnonzero((filled >= least)[place])
-        codes, pairs = pd.factorize((sequence[at].astype(np.int64) << 17) | sequence[at + 1])
+        codes, pairs = pd.factorize((sequence[at].astype(np.int64) << 32) | sequence[at + 1])
         counts = np.bincount(codes, minlength=1)
         chosen = np.flatnonzero(counts >= least)
         if not len(chosen):
@@ -200,7 +202,7 @@ def compress(tokens: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray
                 break
             share /= 8
             continue
-        chosen = chosen[np.argsort(-counts[chosen], kind="stable")][: SYMBOLS - terminals - len(rules)]
+        chosen = chosen[np.argsort(-counts[chosen], kind="stable")]
         symbol = np.zeros(len(pairs), np.int32)
         symbol[chosen] = terminals + len(rules) + np.arange(len(chosen))
         new = symbol[codes]
@@ -210,7 +212,7 @@ def compress(tokens: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray
         first[1:] = at[1:] != at[:-1] + 1
         kept = (number - np.maximum.accumulate(np.where(first, number, 0))) % 2 == 0
         at, new = at[kept], new[kept]
-        rules = np.vstack([rules, np.stack([pairs[chosen] >> 17, pairs[chosen] & 0x1FFFF], 1)])
+        rules = np.vstack([rules, np.stack([pairs[chosen] >> 32, pairs[chosen] & 0xFFFFFFFF], 1)])
         sequence[at] = new
         stays = np.ones(len(sequence), bool)
         stays[at + 1] = False
@@ -236,18 +238,40 @@ def rule_lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
     return np.array(lengths, np.int64)
 
 
+def packed_bits(symbols: np.ndarray, bits: int) -> bytes:
+    """Symbols of so many bits each, one after the other."""
+    parts = [
+        np.packbits((symbols[i: i + PACKED, None] >> np.arange(bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+        for i in range(0, len(symbols), PACKED)
+    ]
+    return b"".join(parts)
+
+
+def unpacked_bits(data: np.ndarray, bits: int, count: int) -> np.ndarray:
+    """The first ``count`` symbols of so many bits each."""
+    out = np.empty(count, np.int64)
+    for i in range(0, count, PACKED):
+        n = min(PACKED, count - i)
+        rows = np.unpackbits(data[i * bits // 8:], count=n * bits, bitorder="little").reshape(n, bits)
+        out[i: i + n] = rows @ (1 << np.arange(bits))
+    return out
+
+
 def pack(ids: list[int | None], parts: list[bytes], terminals: int) -> bytes:
     """A shard of documents, each given by its id and its tokens."""
     tokens = np.frombuffer(b"".join(parts), np.int32)
+    if len(tokens) and int(tokens.max()) >= terminals:
+        raise ValueError(f"id {tokens.max()} is beyond the {terminals} of the vocabulary")
     rules, sequence = compress(tokens, terminals)
     lengths = rule_lengths(rules, terminals)
     widths = np.concatenate([np.ones(terminals, np.int64), lengths])[sequence]
     before = np.cumsum(widths) - widths
     starts = np.cumsum([0, *(len(p) // 4 for p in parts)])
     samples = before[::SAMPLE]
-    head = np.array([terminals, len(rules), len(sequence), len(parts), len(samples)], "<u4")
+    bits = max(1, int(sequence.max()).bit_length()) if len(sequence) else 1
+    head = np.array([terminals, len(rules), len(sequence), len(parts), len(samples), bits], "<u4")
     return b"".join([
-        MAGIC, head.tobytes(), rules.astype("<u4").tobytes(), lengths.astype("<u4").tobytes(), sequence.astype("<u2").tobytes(),
+        MAGIC, head.tobytes(), rules.astype("<u4").tobytes(), lengths.astype("<u4").tobytes(), packed_bits(sequence, bits),
         np.array([i or 0 for i in ids], "<i8").tobytes(), np.array([i is not None for i in ids], "u1").tobytes(),
         starts.astype("<i8").tobytes(), samples.astype("<i8").tobytes(),
     ])
@@ -259,8 +283,8 @@ class Shard:
     def __init__(self, data: bytes):
         if data[:4] != MAGIC:
             raise ValueError("not a shard")
-        self.terminals, n_rules, n_symbols, n_docs, n_samples = np.frombuffer(data, "<u4", 5, 4).tolist()
-        at = 24
+        self.terminals, n_rules, self.n_symbols, n_docs, n_samples, self.bits = np.frombuffer(data, "<u4", 6, 4).tolist()
+        at = 28
 
         def take(kind: str, n: int) -> np.ndarray:
             nonlocal at
@@ -270,7 +294,7 @@ class Shard:
 
         self.rules = take("<u4", 2 * n_rules).reshape(-1, 2).astype(np.int64)
         self.lengths = take("<u4", n_rules).astype(np.int64)
-        self.symbols = take("<u2", n_symbols)
+        self.packed = take("u1", -(-self.n_symbols * self.bits // 8))
         self.ids = take("<i8", n_docs)
         self.has_id = take("u1", n_docs).astype(bool)
         self.starts = take("<i8", n_docs + 1)
@@ -281,6 +305,11 @@ class Shard:
         self.width = np.concatenate([np.ones(self.terminals, np.int64), self.lengths])
         self.place = np.concatenate([np.arange(self.terminals) + len(self.flat), self.begin])
 
+    def symbols(self, start: int, end: int) -> np.ndarray:
+        """Symbols from a sampled place on."""
+        end = min(end, self.n_symbols)
+        return unpacked_bits(self.packed[start * self.bits // 8:], self.bits, end - start)
+
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
         widths = self.width[symbols]
         ends = np.cumsum(widths)
@@ -289,7 +318,7 @@ class Shard:
         return self.table[np.arange(ends[-1]) + np.repeat(self.place[symbols] - (ends - widths), widths)]
 
     def tokens(self) -> np.ndarray:
-        return self._expand(self.symbols)
+        return self._expand(self.symbols(0, self.n_symbols))
 
     def document(self, i: int) -> np.ndarray:
         """Tokens of one document: from the last sample before it, only the symbols that cover it are expanded."""
@@ -298,7 +327,7 @@ class Shard:
             return np.zeros(0, np.uint32)
         sample = int(np.searchsorted(self.samples, start, "right")) - 1
         upto = int(np.searchsorted(self.samples, end, "left"))
-        symbols = self.symbols[sample * SAMPLE: upto * SAMPLE]
+        symbols = self.symbols(sample * SAMPLE, upto * SAMPLE)
         offset = int(self.samples[sample])
         ends = offset + np.cumsum(self.width[symbols])
         a, b = int(np.searchsorted(ends, start, "right")), int(np.searchsorted(ends, end, "left")) + 1
@@ -309,8 +338,9 @@ class Shard:
 # ---- tables ----
 
 
-def write(docs: DataFrame, tokenizer_path: str, purpose: str = "token-files") -> DataFrame:
-    """Encode ``docs (doc_id, text)``, end each document with id 0, and store the shards: ``(part, number, data)``.
+def write(docs: DataFrame, tokenizer_path: str, path: str | None = None) -> DataFrame:
+    """Encode ``docs (doc_id, text)``, end each document with id 0, and store the shards: ``(part, number, data)``, as a Parquet
+    table at ``path``, which must not exist, or else in the scratch folder. ``read`` takes the table again.
 
     Shards of ascending ``(part, number)`` hold documents of ascending id; rows without an id come first, rows that repeat one
     follow each other in an order set by their texts. A text is spread over nothing: a shard ends after the document that
@@ -351,17 +381,19 @@ def write(docs: DataFrame, tokenizer_path: str, purpose: str = "token-files") ->
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    return stored(rows.select("doc_id", "text").mapInArrow(run, "part int, number int, data binary"), purpose)
+    shards = rows.select("doc_id", "text").mapInArrow(run, "part int, number int, data binary")
+    if path is None:
+        return stored(shards, "token-files")
+    shards.write.parquet(path)
+    return docs.sparkSession.read.schema(shards.schema).parquet(path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, number, data in zip(*(batch.column(c).to_pylist() for c in ("part", "number", "data"))):
             shard = Shard(data)
-            tokens = memoryview(shard.tokens().astype("<u4", copy=False)).cast("B")
-            starts = shard.starts.tolist()
-            sums = [zlib.crc32(tokens[4 * a: 4 * b]) for a, b in zip(starts, starts[1:])]
-            n = len(sums)
+            starts, n = shard.starts.tolist(), len(shard.ids)
+            sums = [zlib.crc32(shard.document(i).astype("<u4", copy=False)) for i in range(n)]
             yield pa.RecordBatch.from_arrays([
                 pa.array([part] * n, pa.int32()), pa.array([number] * n, pa.int32()), pa.array(shard.ids, mask=~shard.has_id),
                 pa.array(starts[:-1], pa.int64()), pa.array(np.diff(shard.starts)), pa.array(sums, pa.int64()),

@@ -25,7 +25,6 @@ def test_query_gives_the_rows_of_its_sql(spark, sf, con, name):
 
 def test_token_files_hold_the_ids_of_the_library(spark, sf, con):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     want, start = {}, 0
     for doc_id, text in con.execute("select doc_id, coalesce(text, '') from documents order by doc_id").fetchall():
         ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4")
