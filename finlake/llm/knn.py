@@ -1,6 +1,6 @@
 """Exact top-k by inner product: a Voronoi join of queries and data grouped by pivots.
 
-Vectors fall into the cells of a bounded number of pivots. From a summary of each cell (its size, radius, norms, and the
+Vectors fall into the cells of a bounded number of pivots for each length. From a summary of each cell (its size, radius, norms, and the
 ``k + 1`` ids nearest its pivot) follow, for each cell of queries, a score that every one of its queries surely reaches
 k times and the most that any vector of a data cell can score. Data goes only to the query cells whose bound it can
 reach, in blocks of bounded size, so a cell that holds a third of all rows is many tasks; each block is solved by itself
@@ -38,14 +38,9 @@ def _integers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def integers(vectors: DataFrame) -> DataFrame:
-    """``(vec_id, v)``: floor(256 x) of each component, as doubles in binary; only whole finite vectors with an id.
-
-    Vectors of another length than the most frequent one (the smaller, of two as frequent) take no part.
-    """
+    """``(vec_id, v)``: floor(256 x) of each component, as doubles in binary; only whole finite vectors with an id."""
     ids = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    rows = stored(ids.mapInArrow(_integers, "vec_id long, v binary"), "vectors")
-    length = rows.groupBy(F.length("v").alias("n")).count().orderBy(F.desc("count"), "n").head()
-    return rows.where(F.length("v") == (length["n"] if length else 0))
+    return stored(ids.mapInArrow(_integers, "vec_id long, v binary"), "vectors")
 
 
 def _matrix(column: list[bytes]) -> np.ndarray:
@@ -53,66 +48,102 @@ def _matrix(column: list[bytes]) -> np.ndarray:
 
 
 def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact integer inner products (of at most 63 bits)."""
+    """Exact integer inner products; one of more than 63 bits is an error."""
     if not q.size or not x.size:
         return np.zeros((len(q), len(x)), np.int64)
-    if np.abs(q).max() * np.abs(x).max() * q.shape[1] < 2**53:
+    most = float(np.abs(q).max()) * float(np.abs(x).max()) * q.shape[1]
+    if most < 2**53:
         return (q @ x.T).astype(np.int64)
-    return q.astype(np.int64) @ x.astype(np.int64).T
+    if most < 2**62:
+        return q.astype(np.int64) @ x.astype(np.int64).T
+    whole = np.vectorize(int, otypes=[object])
+    exact = whole(q) @ whole(x).T
+    if max(abs(int(exact.max())), abs(int(exact.min()))) >= 2**63:
+        raise OverflowError("an inner product does not fit 64 bits")
+    return exact.astype(np.int64)
+
+
+class Pivots:
+    """The centres of all cells. Vectors meet vectors of their own length only, so each length has pivots of its own."""
+
+    def __init__(self, vectors: list[bytes]):
+        found = sorted({(len(v), v) for v in vectors})
+        self.centres = [np.frombuffer(v, np.float64) for _, v in found]
+        self.of_length: dict[int, list[int]] = {}
+        for cell, (size, _) in enumerate(found):
+            self.of_length.setdefault(size, []).append(cell)
+
+    def alike(self, cell: int) -> list[int]:
+        """The cells of vectors as long as this one's."""
+        return self.of_length[self.centres[cell].nbytes]
 
 
-def _cells(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
+def _cells(rows: DataFrame, pivots: Pivots) -> DataFrame:
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column("v").to_pylist()) if batch.num_rows else np.zeros((0, pivots.shape[1]))
-            away = np.sqrt(np.maximum((x**2).sum(1)[:, None] + (pivots**2).sum(1) - 2 * x @ pivots.T, 0))
-            cell = away.argmin(1) if len(x) else np.zeros(0, int)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("vec_id"), batch.column("v"), pa.array(cell.astype(np.int32)),
-                pa.array(away[np.arange(len(x)), cell]), pa.array((x**2).sum(1)),
-            ], names=["vec_id", "v", "cell", "away", "norm2"])
+            vectors = batch.column("v").to_pylist()
+            cell, away, norm2 = np.zeros(len(vectors), np.int32), np.zeros(len(vectors)), np.zeros(len(vectors))
+            sizes = np.fromiter(map(len, vectors), np.int64, len(vectors))
+            for size in np.unique(sizes).tolist():
+                at = np.flatnonzero(sizes == size)
+                own = pivots.of_length[size]
+                x, p = _matrix([vectors[i] for i in at.tolist()]), np.stack([pivots.centres[c] for c in own])
+                norm2[at] = (x**2).sum(1)
+                far = np.sqrt(np.maximum(norm2[at][:, None] + (p**2).sum(1) - 2 * x @ p.T, 0))
+                best = far.argmin(1)
+                cell[at], away[at] = np.array(own)[best], far[np.arange(len(at)), best]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec_id"), batch.column("v"), pa.array(cell), pa.array(away), pa.array(norm2)],
+                names=["vec_id", "v", "cell", "away", "norm2"],
+            )
 
     return rows.mapInArrow(assign, "vec_id long, v binary, cell int, away double, norm2 double")
 
 
-def _needed(pivots: np.ndarray, data: pd.DataFrame, nearest: pd.DataFrame, queries: pd.DataFrame, k: int) -> list[tuple[int, int]]:
+def _needed(pivots: Pivots, data: pd.DataFrame, nearest: pd.DataFrame, queries: pd.DataFrame, k: int) -> list[tuple[int, int]]:
     """Pairs (query cell, data cell) in which a query may have one of its k best.
 
     With 2 <q, x> = |q|^2 + |x|^2 - |q - x|^2 and triangles through the pivots.
     """
     slack = 1e-6
     out = []
+    close = {int(cell): rows[["vec_id", "away"]].values.tolist() for cell, rows in nearest.groupby("cell")}
     for i, radius, low2, high2 in queries[["cell", "radius", "low2", "high2"]].itertuples(index=False):
-        gap = np.sqrt(((pivots - pivots[int(i)]) ** 2).sum(1))
+        own = pivots.centres[int(i)]
+        alike = [j for j in pivots.alike(int(i)) if j in data.index]
+        gap = {j: float(np.sqrt(((pivots.centres[j] - own) ** 2).sum())) for j in alike}
         least = []
-        for j, vec_id, away in nearest[["cell", "vec_id", "away"]].itertuples(index=False):
-            x2 = data.loc[j, "low2"]
-            least.append(((low2 + x2 - (radius + gap[int(j)] + away) ** 2) / 2, vec_id))
+        for j in alike:
+            for vec_id, away in close.get(j, []):
+                least.append(((low2 + data.loc[j, "low2"] - (radius + gap[j] + away) ** 2) / 2, vec_id))
         of_id: dict[int, float] = {}
         for score, vec_id in sorted(least, reverse=True):
             of_id.setdefault(vec_id, score)
         reached = list(of_id.values())[k] if len(of_id) > k else -np.inf  # k + 1 ids: one may be the query's own
-        for j, r in data["radius"].items():
-            most = (high2 + data.loc[j, "high2"] - max(0.0, gap[int(j)] - radius - r) ** 2) / 2
-            dot = pivots[int(i)] @ pivots[int(j)] + radius * np.linalg.norm(pivots[int(j)]) + (np.linalg.norm(pivots[int(i)]) + radius) * r
+        for j in alike:
+            r = data.loc[j, "radius"]
+            most = (high2 + data.loc[j, "high2"] - max(0.0, gap[j] - radius - r) ** 2) / 2
+            dot = own @ pivots.centres[j] + radius * np.linalg.norm(pivots.centres[j]) + (np.linalg.norm(own) + radius) * r
             if min(most, dot) * (1 + slack) + 1 >= reached or not np.isfinite(reached):
-                out.append((int(i), int(j)))
+                out.append((int(i), j))
     return out
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k best of all other rows for each query row, ties to the smaller id.
 
-    Null vectors and those that hold null or non-finite components take no part, nor do rows without an id. Rows that
+    Null vectors and those that hold null or non-finite components take no part, nor do rows without an id. Vectors of
+    different length do not meet. Rows that
     repeat an id are candidates each, but never of a query with that id; such a query asks once, with the smallest of its
     vectors. With fewer than k candidates all are returned; an empty table gives an empty result. Other columns are not read.
     """
     small_batches(vectors.sparkSession)
     spark = vectors.sparkSession
     rows = integers(vectors)
-    taken = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(PIVOTS).collect()
+    some = F.row_number().over(Window.partitionBy(F.length("v")).orderBy(F.xxhash64("vec_id"), "vec_id", "v"))
+    taken = rows.withColumn("n", some).where(F.col("n") <= PIVOTS).select("v").collect()
     result = "query_id long, vec_id long, score long"
-    pivots = np.unique(_matrix([r["v"] for r in taken]), axis=0) if taken else np.zeros((1, 1))
+    pivots = Pivots([r["v"] for r in taken])
     cells = stored(_cells(rows, pivots).withColumn("place", F.monotonically_increasing_id()), "cells")
     asking = cells.where(is_query).groupBy("vec_id").agg(F.min(F.struct("v", "cell", "away", "norm2", "place")).alias("first"))
     queries = stored(asking.select("vec_id", "first.*"), "queries")
