@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.shared import stored
+from finlake.llm.shared import BROADCAST_IDS, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 16
@@ -132,32 +132,34 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as it is taken, with all its columns.
+    """The mix itself: each row of ``docs`` as often as it is taken, with all its columns and its whole text.
 
-    A document at an end of its shard's run comes once more with only the words taken, joined by single spaces.
+    At the two ends of a shard's run, a document is taken when at least half of it is, so each shard is within a document of its
+    quota. Null and empty texts have no words and are never taken; a null source is a source; rows that agree in id, source and
+    size, null ids too, share what the plan takes of them in the order of their texts. Columns may have any names and types; an
+    empty table gives an empty result.
+
+    Only ids, sources, sizes and numbers are exchanged. The rows themselves stay where they are, unless more than
+    ``BROADCAST_IDS`` of them are taken, or they repeat an id.
     """
-    columns = docs.columns
-    size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    same = lambda: Window.partitionBy("__id", "__source", "__size")
-    rows = docs.select("*", F.col("doc_id").cast("long").alias("__id"), F.col("source").cast("string").alias("__source"), size.alias("__size"))
-    chosen = stored(plan(stored(words(docs), "sizes")).where("taken > 0"), "chosen").select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"),
-        F.struct("copies", "first", "last", "wrapped").alias("__take"),
-    )
-    # Rows that agree in id, source and size are paired by number.
-    rows = rows.withColumn("__n", F.row_number().over(same().orderBy("text")))
-    chosen = chosen.withColumn("__m", F.row_number().over(same().orderBy("__take")))
-    chosen = chosen.toDF("__i", "__s", "__z", "__take", "__m")
-    met = rows.join(
-        chosen, F.col("__id").eqNullSafe(F.col("__i")) & F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__size") == F.col("__z"))
-        & (F.col("__n") <= F.col("__m")) & (F.col("__n") >= F.col("__m")),
-    )
-    full = F.col("__take.copies") + F.when(F.col("__take.last") - F.col("__take.first") == F.col("__size"), 1).otherwise(0) + F.when(F.col("__take.wrapped") == F.col("__size"), 1).otherwise(0)
-    found = F.regexp_extract_all(F.col("text").cast("string"), F.lit(WORD), F.lit(0))
-    cut = lambda a, b: F.when((b > a) & (b - a < F.col("__size")), F.array(F.concat_ws(" ", F.slice(found, (a + 1).cast("int"), (b - a).cast("int"))))).otherwise(F.array().cast("array<string>"))
-    texts = F.concat(
-        F.array_repeat(F.col("text").cast("string"), full.cast("int")),
-        cut(F.col("__take.first"), F.col("__take.last")), cut(F.lit(0), F.col("__take.wrapped")),
-    )
-    out = met.withColumn("__text", F.explode(texts))
-    return out.select(*[F.col("__text").alias("text") if c == "text" else F.col(c) for c in columns])
+    names = docs.columns
+    rows = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    of = dict(zip(names, rows.columns))
+    size = F.coalesce(F.regexp_count(F.col(of["text"]).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+    key = [F.col(of["doc_id"]).cast("long").alias("id"), F.col(of["source"]).cast("string").alias("source"), size.alias("size")]
+    # Sums of integers keep halves exact.
+    part = F.col("last") - F.col("first") + F.col("wrapped")
+    times = (F.col("copies") + F.when(F.col("size") > 0, F.floor((2 * part + F.col("size")) / (2 * F.col("size")))).otherwise(0)).cast("int")
+    planned = plan(stored(words(docs), "sizes")).select(F.col("doc_id").alias("id"), "source", "size", times.alias("times"))
+    takes = planned.groupBy("id", "source", "size").agg(F.count(F.lit(1)).alias("rows"), F.sort_array(F.collect_list(
+        F.when(F.col("times") > 0, F.col("times"))), False).alias("times")).where(F.size("times") > 0)
+    takes = stored(takes, "takes").toDF("of_id", "of_source", "of_size", "rows", "times")
+    keyed = rows.select("*", *key)
+    match = F.col("id").eqNullSafe(F.col("of_id")) & F.col("source").eqNullSafe(F.col("of_source")) & (F.col("size") == F.col("of_size"))
+    once, several = takes.where("rows = 1"), takes.where("rows > 1")
+    small = once.count() <= BROADCAST_IDS
+    alone = keyed.join(F.broadcast(once) if small else once, match).withColumn("taken", F.get("times", F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("id", "source", "size").orderBy(of["text"]))
+    shared = keyed.join(several, match).withColumn("taken", F.get("times", place - 1)).where("taken is not null")
+    out = alone.unionByName(shared).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("taken"))))
+    return out.select(*rows.columns).toDF(*names)

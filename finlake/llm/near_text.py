@@ -327,12 +327,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each group of near duplicates, all its columns.
 
-    Of rows that repeat an id, one stays (the smallest by its columns); rows without an id stay as they are.
+    Of rows that repeat an id, one stays (the smallest by its columns as JSON); rows without an id stay as they are. Columns may
+    have any names and types.
     """
-    kept = near_duplicates(docs).where("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows"))
-    columns = docs.columns
-    chosen = docs.join(kept.withColumnRenamed("doc_id", "__id"), docs["doc_id"].cast("long") == F.col("__id"))
-    single = chosen.where(F.col("__rows") == 1).select(*[chosen[c] for c in columns])
-    rest = [c for c in columns if c != "doc_id"]
-    several = chosen.where(F.col("__rows") > 1).groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("__row")).select("doc_id", "__row.*").select(*columns)
-    return single.unionByName(several).unionByName(docs.where(F.col("doc_id").isNull()))
+    names = docs.columns
+    rows = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    own = rows.columns[names.index("doc_id")]
+    kept = near_duplicates(docs).where("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    chosen = rows.join(kept.withColumnRenamed("doc_id", "of_id"), F.col(own).cast("long") == F.col("of_id"))
+    single = chosen.where("rows = 1").select(*rows.columns)
+    rest = F.struct(*[c for c in rows.columns if c != own])
+    several = chosen.where("rows > 1").groupBy(own).agg(F.min_by(rest, F.to_json(rest)).alias("row")).select(own, "row.*")
+    out = single.unionByName(several.select(*rows.columns)).unionByName(rows.where(F.col(own).isNull()))
+    return out.toDF(*names)

@@ -244,11 +244,16 @@ def decode(vocabulary: Vocabulary, ids: Iterable[int]) -> str:
 
 
 def encoded(docs: DataFrame, model_path: str, column: str = "token_ids") -> DataFrame:
-    """``docs`` with the ids of each whole text as array<int>; null and empty texts have none."""
+    """``docs`` with the ids of each whole text as array<int> in ``column``, which replaces one of that name.
+
+    Null and empty texts have no ids; rows are kept as they are, repeated ones and those with nulls elsewhere too.
+    """
     small_batches(docs.sparkSession, "4m")
     shipped = docs.sparkSession.sparkContext.broadcast(vars(Vocabulary.load(model_path)))
-    place = docs.columns.index("text")
-    schema = T.StructType([*docs.schema.fields, T.StructField(column, T.ArrayType(T.IntegerType()))])
+    kept = [c for c in docs.columns if c != column]
+    rows = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).select(*[f"c{i}" for i, c in enumerate(docs.columns) if c != column])
+    place = kept.index("text")
+    schema = T.StructType([*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(**shipped.value))
@@ -256,9 +261,9 @@ def encoded(docs: DataFrame, model_path: str, column: str = "token_ids") -> Data
             parts = [encoder.encode(t.as_py() or "") for t in batch.column(place)]
             ends = np.cumsum([0, *map(len, parts)]) // 4
             ids = pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(np.frombuffer(b"".join(parts), np.int32)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, column])
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).toDF(*kept, column)
 
 
 def round_trips(docs: DataFrame, model_path: str) -> DataFrame:
