@@ -1,6 +1,6 @@
 """All queries and the SQL that checks them."""
 
-from finlake.queries import gold, quality, silver, storage  # noqa: F401 - registration
+from finlake.queries import gold, growth, quality, silver, storage  # noqa: F401 - registration
 from finlake.queries.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
