@@ -6,7 +6,9 @@ last rule that began and the rules whose keys its own begins with. An address as
 parent domain, with its path. Rules and questions are sorted together; each question gets the stack open at its place and
 keeps the longest rule that its key begins with.
 
-Sweeps run per top-level label, and a label with many questions is split into several, each with that label's rules.
+Both are cut into ranges of the sort, of about as many rows each, and every range is swept by itself: it begins with the stack
+that is open at its start, the stack of the last rule before it. So no rule is copied, and equal keys, asked for by many
+addresses, are spread over ranges too.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 
 from finlake.llm.shared import stored
 
+#: Rules and questions of one range, on average.
 SWEEP_ROWS = 20_000
 DEFAULT_VERDICT = "allow"
 
@@ -55,20 +58,33 @@ def judged(addresses: DataFrame, rules: DataFrame) -> DataFrame:
         "host", "path", F.element_at("labels", -1).alias("label"), F.explode(F.transform(F.sequence(F.lit(1), F.size("labels")), key_of)).alias("key"),
     )
     keyed = stored(_keyed(rules), "rules")
-    asked = asked.join(keyed.select("label").distinct(), "label", "left_semi")
-    sweeps = asked.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / SWEEP_ROWS).alias("sweeps"))
-    sweeps = stored(sweeps, "sweeps")  # its size is then known: short tables go to the questions, which stay where they are
-    asked = asked.join(sweeps, "label").withColumn("sweep", F.pmod(F.xxhash64("host", "path"), F.col("sweeps"))).drop("sweeps")
-    opened = keyed.join(sweeps, "label").withColumn("sweep", F.explode(F.expr("sequence(0L, sweeps - 1)"))).drop("sweeps")
-    both = opened.withColumn("asks", F.lit(0)).unionByName(asked.withColumn("asks", F.lit(1)), allowMissingColumns=True)
-    order = Window.partitionBy("label", "sweep").orderBy("key", "asks").rowsBetween(Window.unboundedPreceding, 0)
-    swept = both.withColumn("open", F.last("stack", ignorenulls=True).over(order)).where("asks = 1")
+    asked = stored(asked.join(keyed.select("label").distinct(), "label", "left_semi").drop("label"), "questions")
+    both = ranged(keyed.drop("label"), asked)
+    order = Window.partitionBy("range").orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, 0)
+    last = both.groupBy("range").agg(F.max_by("stack", F.when(F.col("stack").isNotNull(), F.col("key"))).alias("last"))
+    # A row per range; all of them are a table many thousand times shorter than the questions.
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    started = last.select(F.col("range").alias("of"), F.last("last", ignorenulls=True).over(before).alias("start"))
+    swept = both.withColumn("own", F.last("stack", ignorenulls=True).over(order)).where("host is not null")
+    swept = swept.join(started, F.col("range") == F.col("of")).withColumn("open", F.coalesce("own", "start"))
     fits = F.expr("filter(open, r -> startswith(key, r.key))")
     hits = swept.select("host", "path", fits.alias("fits")).where(F.size("fits") > 0).select("host", "path", F.element_at("fits", 1).alias("hit"))
     best = hits.groupBy("host", "path").agg(F.max(F.struct("hit.size", "hit.rule", "hit.verdict")).alias("hit"))
     return best.select("host", "path", "hit.rule", "hit.verdict")
 
 
+def ranged(keyed: DataFrame, asked: DataFrame) -> DataFrame:
+    """Rules ``(key, stack)`` and questions ``(host, path, key)`` as one stored table with the ``range`` of the sort each is in.
+
+    A rule stands before the questions of its key, and those in the order of a hash, by which a frequent key is divided.
+    """
+    rules = keyed.select("key", "stack", F.lit(-(2**63)).cast("long").alias("tie"))
+    questions = asked.select("host", "path", "key", F.greatest(F.xxhash64("host", "path"), F.lit(1 - 2**63)).alias("tie"))
+    both = rules.unionByName(questions, allowMissingColumns=True)
+    ranges = max(1, -(-(keyed.count() + asked.count()) // SWEEP_ROWS))
+    return stored(both.repartitionByRange(ranges, "key", "tie").withColumn("range", F.spark_partition_id()), "ranges")
+
+
 def filtered(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDICT) -> DataFrame:
     """``(page_id, host, path, rule, verdict)`` for every row of ``pages (page_id, url)``.
 

@@ -319,3 +319,32 @@ def test_pipeline(spark, sf):
     assert out and {r["doc_id"] for r in out} <= {r["doc_id"] for r in single.collect()}
     vocabulary = sentencepiece.Vocabulary.load(PIECES)
     assert all(sentencepiece.decode(vocabulary, r["token_ids"]) == r["text"] for r in out)
+
+
+@pytest.mark.parametrize("rows", [20_000, 20])
+def test_ranges_hold_each_rule_once_however_many_questions(spark, monkeypatch, rows):
+    monkeypatch.setattr(urls, "SWEEP_ROWS", rows)
+    seen, ranged = [], urls.ranged
+
+    def watched(keyed, asked):
+        both = ranged(keyed, asked)
+        seen.append((both.where("stack is not null").count(), both.select("range").distinct().count()))
+        return both
+
+    monkeypatch.setattr(urls, "ranged", watched)
+    rng = random.Random(6)
+    hosts = ["com", "a.com", "b.a.com", "net", "x.net"] + [f"h{i}.com" for i in range(200)]
+    rules = {(rng.choice(hosts), rng.choice(["", "/", "/a", "/a/", "/a/b", f"/{i}"])): rng.choice(["allow", "block"]) for i in range(150)}
+    rules[("com", "/")] = "block"
+    table = urls.rule_table(spark, [(v, h, p) for (h, p), v in rules.items()])
+    asked = [(i, f"s://{rng.choice(['', 'www.', 'b.'])}{rng.choice(hosts)}{rng.choice(['/', '/a/b/c', '/a', '', f'/{i % 150}'])}") for i in range(1500)]
+
+    def plain(url):
+        rest = url.split("://")[1]
+        host, path = rest.partition("/")[0], "/" + rest.partition("/")[2] if "/" in rest else ""
+        fit = [(len(h + p), h + p, v) for (h, p), v in rules.items() if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fit)[1:] if fit else (None, "allow")
+
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.filtered(spark.createDataFrame(asked, "page_id long, url string"), table).collect()}
+    assert got == {i: plain(u) for i, u in asked}
+    assert seen[0][0] == len(rules) and (rows > 20 or seen[0][1] > 50)
