@@ -89,33 +89,6 @@ class Vocabulary:
         )
 
 
-def short_cut(v: Vocabulary, text: str) -> list[int]:
-    """The search over a text that fits the window of a stream: nothing is committed before its end."""
-    n, longest, find = len(text), v.longest, v.pieces.get
-    best, back = [0] + [float("-inf")] * n, [(0, -1)] * (n + 1)
-    for i in range(n):
-        here, single = best[i], False
-        for end in range(i + 1, min(n, i + longest) + 1):
-            found = find(text[i:end])
-            if found is None:
-                break
-            score, piece = found
-            if piece is not None:
-                if end == i + 1:
-                    single = True
-                if here + score > best[end]:
-                    best[end], back[end] = here + score, (i, piece)
-        if not single and here + v.unknown_score > best[i + 1]:
-            best[i + 1], back[i + 1] = here + v.unknown_score, (i, -1)
-    ids: list[int] = []
-    while n:
-        start, piece = back[n]
-        ids.extend([piece] if piece >= 0 else [v.byte_ids[b] for b in reversed(text[start:n].encode())])
-        n = start
-    ids.reverse()
-    return ids
-
-
 class Stream:
     """Viterbi over characters that arrive bit by bit.
 
@@ -126,42 +99,58 @@ class Stream:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
+        self._begin()
+
+    def _begin(self) -> None:
         self.text = ""
         self.best: list[float] = [0]
         self.back: list[tuple[int, int]] = [(0, -1)]
         self.done = 0  # positions whose outgoing pieces are all known
-
-    def feed(self, chars: str) -> Iterator[int]:
-        for start in range(0, len(chars), 4 * self.v.longest):
-            self.text += chars[start: start + 4 * self.v.longest]
-            self._extend(len(self.text) - self.v.longest)
-            yield from self._commit(self._meeting())
-
-    def finish(self) -> Iterator[int]:
+        self.look = 0  # characters from which paths are followed back again; twice as many after each time in vain
+
+    def feed(self, chars: str) -> list[int]:
+        """Take characters; the ids that have become final."""
+        out: list[int] = []
+        step = 4 * self.v.longest
+        for start in range(0, len(chars), step):
+            self.text += chars[start: start + step]
+            if len(self.text) - self.v.longest > self.done:
+                self._extend(len(self.text) - self.v.longest)
+                if len(self.text) >= self.look:
+                    boundary = self._meeting()
+                    out += self._commit(boundary)
+                    self.look = 0 if boundary else 2 * len(self.text)
+        return out
+
+    def finish(self) -> list[int]:
+        """The ids of what is left; the next text begins."""
         self._extend(len(self.text))
-        yield from self._commit(len(self.text))
-
-    def _reach(self, end: int, score: float, start: int, piece: int) -> None:
-        while len(self.best) <= end:
-            self.best.append(float("-inf"))
-            self.back.append((-1, -1))
-        if score > self.best[end]:
-            self.best[end], self.back[end] = score, (start, piece)
+        out = self._path(len(self.text))
+        self._begin()
+        return out
 
     def _extend(self, until: int) -> None:
         """Take all pieces that start before ``until``; their characters are all there."""
-        pieces, text = self.v.pieces, self.text
+        find, text, best, back = self.v.pieces.get, self.text, self.best, self.back
+        size, longest, unknown = len(text), self.v.longest, self.v.unknown_score
+        lacking = min(size, until - 1 + longest) + 1 - len(best)
+        if lacking > 0:
+            best.extend([float("-inf")] * lacking)
+            back.extend([(-1, -1)] * lacking)
         for i in range(self.done, until):
-            here, single = self.best[i], False
-            for end in range(i + 1, min(len(text), i + self.v.longest) + 1):
-                found = pieces.get(text[i:end])
+            here, single = best[i], False
+            for end in range(i + 1, min(size, i + longest) + 1):
+                found = find(text[i:end])
                 if found is None:
                     break
-                if found[1] is not None:
-                    single = single or end == i + 1
-                    self._reach(end, here + found[0], i, found[1])
-            if not single:
-                self._reach(i + 1, here + self.v.unknown_score, i, -1)
+                score, piece = found
+                if piece is not None:
+                    if end == i + 1:
+                        single = True
+                    if here + score > best[end]:
+                        best[end], back[end] = here + score, (i, piece)
+            if not single and here + unknown > best[i + 1]:
+                best[i + 1], back[i + 1] = here + unknown, (i, -1)
         self.done = max(self.done, until)
 
     def _meeting(self) -> int:
@@ -173,24 +162,29 @@ class Stream:
             open_ends.add(self.back[last][0])
         return open_ends.pop() if open_ends else 0
 
-    def _commit(self, boundary: int) -> Iterator[int]:
-        if not boundary:
-            return
-        path, end = [], boundary
+    def _path(self, end: int) -> list[int]:
+        """The ids of the best path to a position."""
+        out: list[int] = []
+        back = self.back
         while end:
-            start, piece = self.back[end]
-            path.append((start, end, piece))
-            end = start
-        for start, end, piece in reversed(path):
+            start, piece = back[end]
             if piece >= 0:
-                yield piece
+                out.append(piece)
             else:
-                for byte in self.text[start:end].encode():
-                    yield self.v.byte_ids[byte]
-        self.text = self.text[boundary:]
-        self.best = self.best[boundary:]
-        self.back = [(max(start - boundary, 0), piece) for start, piece in self.back[boundary:]]
-        self.done -= boundary
+                out.extend([self.v.byte_ids[b] for b in reversed(self.text[start:end].encode())])
+            end = start
+        out.reverse()
+        return out
+
+    def _commit(self, boundary: int) -> list[int]:
+        """The ids up to a boundary, which leave memory."""
+        out = self._path(boundary)
+        if boundary:
+            self.text = self.text[boundary:]
+            self.best = self.best[boundary:]
+            self.back = [(max(start - boundary, 0), piece) for start, piece in self.back[boundary:]]
+            self.done -= boundary
+        return out
 
 
 def encode_stream(vocabulary: Vocabulary, chunks: Iterable[str]) -> Iterator[int]:
@@ -205,21 +199,19 @@ def encode_stream(vocabulary: Vocabulary, chunks: Iterable[str]) -> Iterator[int
 
 
 class Encoder:
-    """Whole texts to ids. Where no piece of the vocabulary spans a place (the start of a word, the end of its letters), all
+    """Whole texts to ids, each new stretch by the stream. Where no piece of the vocabulary spans a place (the start of a word, the end of its letters), all
     paths meet there, so the stretches between are encoded one by one; a bounded number of them is remembered, from task to
     task of a worker."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        self.stream = Stream(vocabulary)
         self.memo = worker_memo(vocabulary.name)
         trim(self.memo, MEMO_SEGMENTS)
         self.segments = re.compile(vocabulary.cuts or "(?s:.+)").findall
 
     def _segment(self, text: str) -> bytes:
-        if len(text) <= 4 * self.vocabulary.longest:
-            return array("i", short_cut(self.vocabulary, text)).tobytes()
-        stream = Stream(self.vocabulary)
-        return array("i", [*stream.feed(text), *stream.finish()]).tobytes()
+        return array("i", self.stream.feed(text) + self.stream.finish()).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers; of a text without characters, none."""
