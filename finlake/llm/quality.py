@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.shared import Words, blocks, held_out, small_batches, stored, text_bytes
+from finlake.llm.shared import BROADCAST_IDS, Words, blocks, held_out, rows_with_ids, small_batches, stored, text_bytes
 
 FEATURES = 256
 BANDWIDTH = 4.0
@@ -205,10 +205,23 @@ def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` predicted 1, with all their columns, judged where they are read: no text is exchanged."""
+    """The rows of ``docs`` predicted 1, with all their columns, judged where they are read: no text is exchanged.
+
+    The model is fitted on the labelled rows alone, so each text's statistics are made once for its verdict and, if it is labelled,
+    once for the fit. Null and empty texts are judged by statistics of zero; null ids and repeated rows are judged each by its own
+    text; without labels all scores are 0.5, which counts as 1. Columns may have any names and types; an empty table gives an empty
+    result.
+    """
     small_batches(docs.sparkSession)
-    model = fit(stored(measured(docs), "statistics"), labels)
-    place = docs.columns.index("text")
+    known = labels.where(F.col("quality").isin(0, 1) & ~held_out("doc_id") & F.col("doc_id").isNotNull())
+    ids = stored(known.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "labelled")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # Many labels would move the texts; then all are measured instead.
+    few = ids.count() <= BROADCAST_IDS
+    model = fit(stored(measured(rows_with_ids(texts, "doc_id", ids) if few else texts), "statistics"), labels)
+    names = docs.columns
+    place = names.index("text")
+    rows = docs.toDF(*[f"c{i}" for i in range(len(names))])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,4 +229,4 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
             good = [model.scores(statistics(part, part_at)) >= 0.5 for _, _, part, part_at in blocks(raw, at)]
             yield batch.filter(pa.array(np.concatenate(good) if good else np.zeros(0, bool)))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return rows.mapInArrow(keep, rows.schema).toDF(*names)
