@@ -38,7 +38,7 @@ STAGES = [
     ("SentencePiece encoding", token_ids),
 ]
 
-#: Neither the classifier nor SentencePiece can be said in SQL; tests compare the stages with brute-force versions.
+#: Neither the classifier nor SentencePiece can be said in SQL; tests/llm/test_brute_force.py holds every stage against a plain version.
 ORACLE_SQL = None
 
 
