@@ -9,6 +9,8 @@ taken in part.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -140,7 +142,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     empty table gives an empty result.
 
     Only ids, sources, sizes and numbers are exchanged. The rows themselves stay where they are, unless more than
-    ``BROADCAST_IDS`` of them are taken, or they repeat an id.
+    ``BROADCAST_IDS`` of them are taken, or their id is null or repeats.
     """
     names = docs.columns
     rows = docs.toDF(*[f"c{i}" for i in range(len(names))])
@@ -151,15 +153,24 @@ def mixed(docs: DataFrame) -> DataFrame:
     part = F.col("last") - F.col("first") + F.col("wrapped")
     times = (F.col("copies") + F.when(F.col("size") > 0, F.floor((2 * part + F.col("size")) / (2 * F.col("size")))).otherwise(0)).cast("int")
     planned = plan(stored(words(docs), "sizes")).select(F.col("doc_id").alias("id"), "source", "size", times.alias("times"))
-    takes = planned.groupBy("id", "source", "size").agg(F.count(F.lit(1)).alias("rows"), F.sort_array(F.collect_list(
-        F.when(F.col("times") > 0, F.col("times"))), False).alias("times")).where(F.size("times") > 0)
-    takes = stored(takes, "takes").toDF("of_id", "of_source", "of_size", "rows", "times")
-    keyed = rows.select("*", *key)
-    match = F.col("id").eqNullSafe(F.col("of_id")) & F.col("source").eqNullSafe(F.col("of_source")) & (F.col("size") == F.col("of_size"))
-    once, several = takes.where("rows = 1"), takes.where("rows > 1")
+    planned = stored(planned, "takes")
+    per_id = planned.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.max("times").alias("taken"))
+    unique = F.col("id").isNotNull() & (F.col("rows") == 1)
+    once = stored(per_id.where(unique & (F.col("taken") > 0)).select(F.col("id").alias("of_id"), "taken"), "once")
     small = once.count() <= BROADCAST_IDS
-    alone = keyed.join(F.broadcast(once) if small else once, match).withColumn("taken", F.get("times", F.lit(0)))
-    place = F.row_number().over(Window.partitionBy("id", "source", "size").orderBy(of["text"]))
-    shared = keyed.join(several, match).withColumn("taken", F.get("times", place - 1)).where("taken is not null")
-    out = alone.unionByName(shared).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("taken"))))
+    keyed = rows.select("*", *key)
+    alone = keyed.join(F.broadcast(once) if small else once, F.col("id") == F.col("of_id")).select(*rows.columns, "taken")
+    # Rows of an id that is null or repeats are told apart by source and size, and shared by the order of their texts.
+    again = stored(per_id.where(~unique).select(F.col("id").alias("of_id")), "again")
+    parts = [alone]
+    if not again.isEmpty():
+        takes = planned.join(again, F.col("id").eqNullSafe(F.col("of_id"))).groupBy("id", "source", "size").agg(
+            F.sort_array(F.collect_list(F.when(F.col("times") > 0, F.col("times"))), False).alias("times")
+        )
+        several = stored(takes.where(F.size("times") > 0), "several").toDF("of_id", "of_source", "of_size", "times")
+        match = F.col("id").eqNullSafe(F.col("of_id")) & F.col("source").eqNullSafe(F.col("of_source")) & (F.col("size") == F.col("of_size"))
+        place = F.row_number().over(Window.partitionBy("id", "source", "size").orderBy(of["text"]))
+        met = keyed.join(F.broadcast(several) if several.count() <= BROADCAST_IDS else several, match)
+        parts.append(met.withColumn("taken", F.get("times", place - 1)).where("taken is not null").select(*rows.columns, "taken"))
+    out = reduce(DataFrame.unionByName, parts).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("taken"))))
     return out.select(*rows.columns).toDF(*names)
