@@ -41,6 +41,8 @@ PLACE_BITS = 17
 SAMPLE = 1024
 #: Symbols packed at a time; eight of them fill whole bytes.
 PACKED = 1 << 16
+#: One document of so many is read by itself.
+ALONE = 16
 MEMO_PIECES = 800_000
 END = 0
 
@@ -221,21 +223,41 @@ def compress(tokens: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray
 
 
 def expansions(rules: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of all rules one after the other, where each rule's begin, and how many there are."""
-    parts: list[np.ndarray] = []
-    for left, right in rules.tolist():
-        parts.append(np.concatenate([np.array([s]) if s < terminals else parts[s - terminals] for s in (left, right)]))
-    lengths = np.array([len(p) for p in parts], np.int64)
-    flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    return flat, np.cumsum(lengths) - lengths, lengths
+    """Tokens of all rules one after the other, where each rule's begin, and how many there are.
+
+    Rules are filled in level by level: those of terminals first, then those whose parts are there already.
+    """
+    lengths, levels = _measures(rules, terminals)
+    begin = np.cumsum(lengths) - lengths
+    flat = np.zeros(int(lengths.sum()), np.int64)
+    for level in range(1, int(levels.max(initial=0)) + 1):
+        chosen = np.flatnonzero(levels == level)
+        at = begin[chosen]
+        for side in (0, 1):
+            symbol = rules[chosen, side]
+            plain = symbol < terminals
+            flat[at[plain]] = symbol[plain]
+            part, to = symbol[~plain] - terminals, at[~plain]
+            sizes = lengths[part]
+            inside = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            flat[np.repeat(to, sizes) + inside] = flat[np.repeat(begin[part], sizes) + inside]
+            at = at + np.where(plain, 1, lengths[np.maximum(symbol - terminals, 0)])
+    return flat, begin, lengths
+
+
+def _measures(rules: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many tokens each rule expands to, and how many rules lie above each other in it."""
+    lengths: list[int] = []
+    levels: list[int] = []
+    for left, right in (rules - terminals).tolist():
+        lengths.append((1 if left < 0 else lengths[left]) + (1 if right < 0 else lengths[right]))
+        levels.append(1 + max(0 if left < 0 else levels[left], 0 if right < 0 else levels[right]))
+    return np.array(lengths, np.int64), np.array(levels, np.int64)
 
 
 def rule_lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
     """How many tokens each rule expands to."""
-    lengths: list[int] = []
-    for left, right in rules.tolist():
-        lengths.append((1 if left < terminals else lengths[left - terminals]) + (1 if right < terminals else lengths[right - terminals]))
-    return np.array(lengths, np.int64)
+    return _measures(rules, terminals)[0]
 
 
 def packed_bits(symbols: np.ndarray, bits: int) -> bytes:
@@ -393,7 +415,12 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, number, data in zip(*(batch.column(c).to_pylist() for c in ("part", "number", "data"))):
             shard = Shard(data)
             starts, n = shard.starts.tolist(), len(shard.ids)
-            sums = [zlib.crc32(shard.document(i).astype("<u4", copy=False)) for i in range(n)]
+            whole = shard.tokens().astype("<u4", copy=False)
+            # Some documents come by random access, which decodes them without the others.
+            sums = [
+                zlib.crc32(whole[a:b] if i % ALONE else shard.document(i).astype("<u4", copy=False))
+                for i, (a, b) in enumerate(zip(starts, starts[1:]))
+            ]
             yield pa.RecordBatch.from_arrays([
                 pa.array([part] * n, pa.int32()), pa.array([number] * n, pa.int32()), pa.array(shard.ids, mask=~shard.has_id),
                 pa.array(starts[:-1], pa.int64()), pa.array(np.diff(shard.starts)), pa.array(sums, pa.int64()),
