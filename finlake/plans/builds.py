@@ -26,7 +26,7 @@ from finlake.plans.star import CALENDAR_NAME, COMPANY, FACTS, SECURITY, STANDARD
 from finlake.sinks.exports import export_table
 from finlake.session import shuffles_sized_for
 from finlake.sinks.tables import (
-    YEAR, append_rows, overwrite_table, path_exists, remove, replace_years, stored_bytes, stored_years,
+    YEAR, append_rows, overwrite_table, path_exists, remove, replace_years, stored_bytes, stored_columns, stored_years,
 )
 from finlake.sources.archives import ARCHIVE_BYTES, Layout, land, landed_status, landed_table, read_archives, unpack
 from finlake.sources.bronze import latest_path, list_objects
@@ -261,7 +261,7 @@ def _stored_in(spark: SparkSession, path: str, columns: Iterable[str], years: It
     stored = sorted(stored_years(spark, path))
     parts = [f"{path}/{YEAR}={y}" for y in stored if years is None or y in years] if stored else [path]
     with ThreadPoolExecutor(FOOTER_READERS) as pool:  # one footer each
-        found = list(pool.map(lambda part: set(spark.read.parquet(part).columns), parts))
+        found = list(pool.map(lambda part: stored_columns(spark, part), parts))
     for part, there in zip(parts, found):
         lacking = set(columns) - {YEAR} - there
         if lacking:

@@ -35,6 +35,21 @@ def remove(spark: SparkSession, *paths: str) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def stored_columns(spark: SparkSession, path: str) -> set[str]:
+    """Columns of the files in one folder, from the footer of the first of them; no job is run."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsc.hadoopConfiguration()
+    files = folder.getFileSystem(conf).globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "*.parquet"))
+    if not files:
+        raise FileNotFoundError(f"{path} holds no files")
+    parquet = spark._jvm.org.apache.parquet
+    reader = parquet.hadoop.ParquetFileReader.open(parquet.hadoop.util.HadoopInputFile.fromStatus(files[0], conf))
+    try:
+        return {field.getName() for field in reader.getFileMetaData().getSchema().getFields()}
+    finally:
+        reader.close()
+
+
 def stored_years(spark: SparkSession, path: str, year: str = YEAR) -> set[int]:
     """The years a partitioned table has a folder for, from one listing."""
     pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{year}=*")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterable
 from datetime import date
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,7 +66,12 @@ def _decoded(reader, path: str | list[str], is_utf8: bool) -> DataFrame:
         return reader.csv(path)
     latin, letters = windows_1252_pairs()
     raw = reader.option("encoding", "ISO-8859-1").csv(path)
-    return raw.select(*[F.translate(quoted(c), latin, letters).alias(c) for c in raw.columns], "_metadata")
+    return raw.select(*[F.translate(quoted(c), latin, letters).alias(c) for c in raw.columns])
+
+
+def _literal(path: str) -> str:
+    """A file's address, as its metadata gives it, as a path that is read as it stands."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(path))
 
 
 def read_csv(
@@ -74,8 +81,9 @@ def read_csv(
     """Delimited text with a header, every column a string named by the header of its file.
 
     Without ``encoding``, a file that is not valid UTF-8 throughout is read as windows-1252. Files are grouped by
-    encoding and header, so their columns may come in any order; the driver sees one row per group, not per file, and
-    each group reads its own files. Files are split over tasks unless ``multi_line`` is set, which quoted line breaks
+    encoding and header, so their columns may come in any order, and each group reads its own files: all are read
+    once to be told apart and once for their rows, however many groups there are. The driver sees the names of the
+    files, which it lists anyway. Files are split over tasks unless ``multi_line`` is set, which quoted line breaks
     need; such files are expected to share one header.
     """
     if encoding:
@@ -83,17 +91,15 @@ def read_csv(
     files = file_encodings(spark, path)
     if multi_line:
         plain = files.agg(F.bool_and("is_utf8")).first()[0]
-        return _decoded(_reader(spark, separator, True), path, plain is not False).drop("_metadata")
-    groups = files.where("header is not null").select("is_utf8", "header").distinct().collect()
+        return _decoded(_reader(spark, separator, True), path, plain is not False)
+    groups = files.where("header is not null").groupBy("is_utf8", "header").agg(F.array_sort(F.collect_list("path"))).collect()
     parts = []
-    for is_utf8, header in groups:
+    for is_utf8, header, own in groups:
         text = bytes(header).decode("utf-8-sig" if is_utf8 else "cp1252", "replace")
         names = column_names(next(csv.reader([text], delimiter=separator)))
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        rows = _decoded(_reader(spark, separator, False).schema(schema), path, is_utf8)
-        own = files.where((F.col("is_utf8") == is_utf8) & (F.col("header") == F.lit(header))).select(F.col("path").alias("__file"))
-        whole = rows if len(groups) == 1 else rows.join(own, F.col("_metadata.file_path") == F.col("__file"), "left_semi")
-        parts.append(whole.select(*[quoted(n) for n in names]))
+        reader = _reader(spark, separator, False).schema(schema)
+        parts.append(_decoded(reader, path if len(groups) == 1 else list(map(_literal, own)), is_utf8))
     if not parts:
         return _reader(spark, separator, False).csv(path)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -340,6 +340,19 @@ def test_column_orders_are_told_apart(spark, folder):
     assert sorted((r["A"], r["B"], r["Ã"]) for r in rows) == [("1", "2", None), ("4", "3", None), ("6", "5", "é")]
 
 
+def test_each_group_of_files_reads_its_own(spark, folder):
+    for i in range(4):
+        Path(folder, f"a {i}.csv").write_text(f"A;B\n{i};x\n")
+        Path(folder, f"b[{i}]+%41{{}}.csv").write_bytes(f"B;A\né;{i}\n".encode("cp1252"))
+        Path(folder, f"c{i}.csv").write_text(f"A;C\n{i};z\n")
+    rows = read_csv(spark, folder)
+    want = [(str(i), *v) for i in range(4) for v in (("x", None), ("é", None), (None, "z"))]
+    assert sorted(((r["A"], r["B"], r["C"]) for r in rows.collect()), key=repr) == sorted(want, key=repr)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 3 and "Join" not in plan
+    assert sorted(rows.inputFiles()) == sorted(set(rows.inputFiles())) and len(rows.inputFiles()) == 12
+
+
 def test_two_archives_of_a_year_with_different_headers(spark, folder):
     swapped = ";".join(["DENOM_CIA", *[c for c in fx.STATEMENT_HEADER.split(";") if c != "DENOM_CIA"]])
     first, second = fx.DRE_2020[0].split(";"), fx.DRE_2020[1].split(";")

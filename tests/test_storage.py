@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from finlake.operators.rows import duplicate_groups, newest, one_row_per_key, repeat_per_match, with_match
 from finlake.session import INITIAL_PARTITIONS, scratch_dir, shuffles_sized_for
 from finlake.sinks.exports import export_table
-from finlake.sinks.tables import append_rows, layout, migrate_to_years, overwrite_table, replace_years, stored_bytes, stored_years, years_in
+from finlake.sinks.tables import append_rows, layout, migrate_to_years, overwrite_table, replace_years, stored_bytes, stored_columns, stored_years, years_in
 from finlake.sources.tables import read_table
 
 
@@ -165,3 +165,15 @@ def test_no_years_at_all(spark, folder):
     assert counts(spark, path) == {2000: 25, 2001: 25, 2002: 25, 2003: 25}
     with pytest.raises(Exception, match="row outside the replaced years"):
         replace_years(years(spark), path, [])
+
+
+def test_columns_of_a_folder_come_from_a_footer_without_a_job(spark, folder):
+    path = f"{folder}/t"
+    replace_years(years(spark), path, range(2000, 2004))
+    replace_years(years(spark).where("ano_referencia = 2001").withColumn("x y", F.lit(1)), path, [2001])
+    spark.sparkContext.setJobGroup("footer", "footer")
+    assert stored_columns(spark, f"{path}/ano_referencia=2000") == {"id"}
+    assert stored_columns(spark, f"{path}/ano_referencia=2001") == {"id", "x y"}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("footer")) == 0
+    with pytest.raises(FileNotFoundError):
+        stored_columns(spark, f"{folder}/none")
