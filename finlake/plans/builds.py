@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from finlake.lake import Lake
 from finlake.operators.clean import TableSpec, clean, cleaned_schema, with_lineage
 from finlake.operators.quality import Checks, errors, measure, metrics_of, profile, report, summary
+from finlake.operators.sketches import SECONDS_BOUNDS, histogram
 from finlake.operators.star import build_dimension, build_fact
 from finlake.plans.specs import DOCUMENT_FOLDERS, PROFILED, SOURCE_SYSTEM, SPECS, YEARS, tables_of
 from finlake.plans.star import CALENDAR_NAME, COMPANY, FACTS, SECURITY, STANDARD_FACTS
@@ -82,6 +83,14 @@ def log_outcomes(spark: SparkSession, lake: Lake, run_ts: datetime, outcomes: li
     return outcomes
 
 
+def processing_seconds(spark: SparkSession, lake: Lake) -> DataFrame:
+    """``(step, tabela, ate, n, soma)``: how long tables took, as one histogram over all logged runs. A table's job is counted once
+    a run, not once a year."""
+    jobs = spark.read.schema(RUN_LOG_SCHEMA).parquet(lake.log("runs")).where("ok and segundos is not null")
+    jobs = jobs.groupBy("run_ts", "step", "tabela").agg(F.max("segundos").alias("segundos"))
+    return histogram(jobs, "segundos", SECONDS_BOUNDS, ["step", "tabela"])
+
+
 def results(outcomes: Iterable[Outcome]) -> dict[str, dict[int | None, bool]]:
     """``{table: {year: succeeded}}``."""
     table: dict[str, dict[int | None, bool]] = {}

@@ -37,6 +37,13 @@ def test_silver_outcomes(built):
         assert ok[name] == {2020: True, 2021: False}, name
 
 
+def test_processing_seconds(spark, built):
+    rows = builds.processing_seconds(spark, built[0]).where("step = 'silver'").collect()
+    good = {o.table for o in built[1] if o.ok}
+    assert {r["tabela"] for r in rows} == good and {r["n"] for r in rows} == {1}
+    assert all(r["soma"] <= r["ate"] for r in rows)
+
+
 def test_newest_snapshot_wins_and_text_is_decoded(spark, built):
     rows = read_table(spark, built[0].silver("DRE_con")).collect()
     assert sorted(r["ano_referencia"] for r in rows) == [2020] * 6 + [2021] * 2
