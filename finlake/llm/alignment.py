@@ -25,10 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.shared import blocks, stored, stretch_hashes, text_bytes, trim, worker_memo
+from finlake.llm.shared import blocks, small_batches, stored, stretch_hashes, text_bytes, trim, worker_memo
 from finlake.llm.token_files import Encoder
 
-MEMO_STRETCHES = 800_000
+#: Stretches that a worker remembers for either tokenizer, about 200 bytes each.
+MEMO_STRETCHES = 200_000
 #: Id pairs that one join inside a task may make, and distinct pairs a task counts before it hands them on.
 JOINED_PAIRS = 1 << 21
 COUNTED_PAIRS = 1 << 21
@@ -205,6 +206,8 @@ class Aligner:
         texts = texts.fill_null("")
         spaced = pc.binary_join_element_wise("", texts, " ")
         raw, at = text_bytes(spaced)
+        for memo in (self.encoder.hashed, self.encoder.pieces):
+            trim(memo, MEMO_STRETCHES)
         parts = self.encoder.encode(spaced)
         a, n_a = np.frombuffer(b"".join(parts), np.int32).astype(np.int64), np.array([len(p) // 4 for p in parts], np.int64)
         b, n_b = self.pieces.encode(raw, at)
@@ -251,6 +254,7 @@ class Aligner:
 def aligned(docs: DataFrame, bpe_path: str, pieces_path: str) -> DataFrame:
     """The stored alignment of ``docs (doc_id, text)``, a row per row: ``row`` numbers it, ``pairs`` are its linked id pairs (the
     byte-level id in the upper 32 bits), ``times`` the links of each."""
+    small_batches(docs.sparkSession, "4m")
     context = docs.sparkSession.sparkContext
     with open(bpe_path, encoding="utf-8") as file:
         definition = file.read()
