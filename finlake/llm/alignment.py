@@ -29,7 +29,7 @@ from finlake.llm.shared import blocks, small_batches, stored, stretch_hashes, te
 from finlake.llm.token_files import Encoder
 
 #: Stretches that a worker remembers for either tokenizer, about 200 bytes each.
-MEMO_STRETCHES = 200_000
+MEMO_STRETCHES = 400_000
 #: Id pairs that one join inside a task may make, and distinct pairs a task counts before it hands them on.
 JOINED_PAIRS = 1 << 21
 COUNTED_PAIRS = 1 << 21
