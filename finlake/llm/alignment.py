@@ -15,7 +15,9 @@ import hashlib
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -26,10 +28,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from finlake.llm.shared import blocks, small_batches, stored, stretch_hashes, text_bytes, trim, worker_memo
-from finlake.llm.token_files import Encoder
+from finlake.llm.token_files import KIND, Encoder
 
-#: Stretches that a worker remembers for either tokenizer, about 200 bytes each.
-MEMO_STRETCHES = 400_000
+#: Places for stretches that a worker remembers for either tokenizer, 16 bytes each, and room for their ids, 4 bytes each.
+MEMO_PLACES = 1 << 21
+MEMO_IDS = 1 << 23
+#: Pieces of texts with odd characters that a worker remembers for the byte-level tokenizer, about 200 bytes each.
+MEMO_PIECES = 200_000
 #: Id pairs that one join inside a task may make, and distinct pairs a task counts before it hands them on.
 JOINED_PAIRS = 1 << 21
 COUNTED_PAIRS = 1 << 21
@@ -45,6 +50,12 @@ ALIGNED = (
 _ALIGNED_NAMES = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"]
 
 
+def _slices(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` that begin at ``starts``, one after the other."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    return flat[np.arange(ends[-1]) + np.repeat(starts - (ends - sizes), sizes)] if len(ends) else flat[:0]
+
+
 class Spans:
     """The bytes that each id of a vocabulary stands for, one after the other."""
 
@@ -54,11 +65,64 @@ class Spans:
         self.flat = np.frombuffer(b"".join(parts), np.uint8)
 
     def joined(self, ids: np.ndarray) -> np.ndarray:
-        sizes = self.sizes[ids]
-        ends = np.cumsum(sizes)
-        if not len(ends):
-            return np.zeros(0, np.uint8)
-        return self.flat[np.arange(ends[-1]) + np.repeat(self.starts[ids] - (ends - sizes), sizes)]
+        return _slices(self.flat, self.starts[ids], self.sizes[ids])
+
+
+class Remembered:
+    """Ids of stretches of bytes by 64-bit hashes of the stretches, in arrays.
+
+    Each hash has one place, where the stretch that came last stays. When the room for ids is used up, the half that came first
+    is kept. What is forgotten is encoded anew, so ids do not depend on it.
+    """
+
+    def __init__(self, places: int, room: int):
+        self.keys = np.zeros(places, np.uint64)
+        self.starts, self.widths = np.zeros(places, np.int32), np.zeros(places, np.int32)
+        self.flat, self.used = np.zeros(room, np.int32), 0
+
+    @classmethod
+    def of_worker(cls, name: str) -> Remembered:
+        return worker_memo(name).setdefault("stretches", cls(MEMO_PLACES, MEMO_IDS))
+
+    def ids(self, raw: np.ndarray, first: np.ndarray, encode: Callable[[list[bytes]], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the stretches of ``raw`` that begin at ``first``, and the number of ids up to the end of each. ``encode`` gives
+        the ids of new ones as 32-bit integers."""
+        sizes = np.diff(np.append(first, len(raw)))
+        codes, distinct = pd.factorize(stretch_hashes(raw, first, sizes))
+        place = (distinct & np.uint64(len(self.keys) - 1)).astype(np.int64)
+        widths = np.where(self.keys[place] == distinct, self.widths[place], 0)
+        flat, starts = _slices(self.flat, self.starts[place], widths), np.cumsum(widths) - widths
+        new = np.flatnonzero(widths == 0)
+        if len(new):
+            sample = np.empty(len(distinct), np.int64)
+            sample[codes] = np.arange(len(codes))
+            of, data = sample[new], raw.tobytes()
+            got = encode([data[x:y] for x, y in zip(first[of].tolist(), (first[of] + sizes[of]).tolist())])
+            fresh = np.frombuffer(b"".join(got), np.int32)
+            widths[new] = np.fromiter(map(len, got), np.int32, len(got)) // 4
+            starts[new] = len(flat) + np.cumsum(widths[new]) - widths[new]
+            flat = np.concatenate([flat, fresh])
+            self._keep(distinct[new], place[new], widths[new], fresh)
+        return _slices(flat, starts[codes], widths[codes]).astype(np.int64), np.cumsum(widths[codes], dtype=np.int64)
+
+    def _keep(self, keys: np.ndarray, place: np.ndarray, widths: np.ndarray, ids: np.ndarray) -> None:
+        if self.used + len(ids) > len(self.flat):
+            self._halve()
+        if self.used + len(ids) > len(self.flat):
+            return
+        self.keys[place], self.widths[place], self.starts[place] = keys, widths, self.used + np.cumsum(widths) - widths
+        self.flat[self.used: self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def _halve(self) -> None:
+        held = np.flatnonzero(self.widths)
+        held = held[np.argsort(self.starts[held])]
+        early = np.cumsum(self.widths[held], dtype=np.int64) <= len(self.flat) // 2
+        self.widths[held[~early]] = 0
+        kept = held[early]
+        ids = _slices(self.flat, self.starts[kept], self.widths[kept])
+        self.starts[kept] = np.cumsum(self.widths[kept]) - self.widths[kept]
+        self.flat[: len(ids)], self.used = ids, len(ids)
 
 
 #: Fixed value: the byte-level alphabet shows printable bytes as themselves, the others from U+0100 on.
@@ -73,6 +137,27 @@ def byte_level_parts(encoder: Encoder) -> list[bytes]:
     return [bytes(SHOWN[c] for c in t) if all(c in SHOWN for c in t) else t.encode() for t in tokens]
 
 
+class ByteLevel(Encoder):
+    """Ids of whole texts by the tokenizers library, new pieces remembered in arrays."""
+
+    def __init__(self, definition: str):
+        super().__init__(definition)
+        self.known = Remembered.of_worker(f"bytes-{zlib.crc32(definition.encode())}-{len(definition)}")
+
+    def _by_bytes(self, raw: np.ndarray, at: np.ndarray, kind: np.ndarray) -> list[bytes]:
+        if not len(raw):
+            return [b""] * (len(at) - 1)
+        before, now = kind[:-1], kind[1:]
+        begins = (kind == KIND[SPACE]) | (kind == KIND[BREAK])
+        begins[1:] |= (before == KIND[BREAK]) | ((before != KIND[SPACE]) & (before != now))
+        begins[at[:-1][at[:-1] < len(raw)]] = True
+        first = np.flatnonzero(begins)
+        ids, ends = self.known.ids(raw, first, lambda new: self.whole([piece.decode() for piece in new]))
+        out = ids.astype(np.int32).tobytes()
+        cuts = (4 * np.append(0, ends)[np.searchsorted(first, at)]).tolist()
+        return [out[x:y] for x, y in zip(cuts, cuts[1:])]
+
+
 class Pieces:
     """Ids of whole texts by the sentencepiece library, which puts a space before each.
 
@@ -94,7 +179,7 @@ class Pieces:
         over = any(re.search(f"[^{MARK}]{MARK}|\n", p.piece) for p in spec.pieces if p.type in (normal, user_defined))
         self.apart = not over and all(p.type != user_defined for p in spec.pieces) and bool(spec.trainer_spec.byte_fallback)
         self.lead = 2  # the space put before the text, and the line feed that a stretch is encoded behind
-        self.memo = worker_memo(f"pieces-{zlib.crc32(model)}-{len(model)}")
+        self.known = Remembered.of_worker(f"pieces-{zlib.crc32(model)}-{len(model)}")
         self.parts = [
             bytes([int(p.piece[1:-1], 16)]) if p.type == byte else p.piece.replace(MARK, " ").encode() if p.type == normal else b""
             for p in spec.pieces
@@ -104,8 +189,8 @@ class Pieces:
         """Ids of texts, each given with a space before it, and how many each text has."""
         if not len(raw):
             return np.zeros(0, np.int64), np.zeros(len(at) - 1, np.int64)
-        data = raw.tobytes()
         if not self.apart:
+            data = raw.tobytes()
             lists = self.library.encode([data[a + 1: b].decode() for a, b in zip(at.tolist(), at[1:].tolist())], num_threads=1)
             return np.array([i for ids in lists for i in ids], np.int64), np.array(list(map(len, lists)), np.int64)
         begins = raw == BREAK
@@ -114,25 +199,15 @@ class Pieces:
         begins[1:] |= space[1:] & ~space[:-1]
         begins[at[:-1][at[:-1] < len(raw)]] = True
         first = np.flatnonzero(begins)
-        sizes = np.diff(np.append(first, len(raw)))
-        codes, distinct = pd.factorize(stretch_hashes(raw, first, sizes))
-        trim(self.memo, MEMO_STRETCHES)
-        keys = distinct.tolist()
-        known = list(map(self.memo.get, keys))
-        if None in known:
-            new = [i for i, ids in enumerate(known) if ids is None]
-            sample = np.empty(len(keys), np.int64)
-            sample[codes] = np.arange(len(codes))
-            of = sample[new]
-            texts = ["\n" + data[a: a + n].decode() for a, n in zip(first[of].tolist(), sizes[of].tolist())]
-            for i, ids in zip(new, self.library.encode(texts, num_threads=1)):
-                known[i] = self.memo[keys[i]] = np.array(ids[self.lead:], np.int32).tobytes()
-        widths = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        flat, starts = np.frombuffer(b"".join(known), np.int32), np.cumsum(widths) - widths
-        width = widths[codes]
-        ends = np.cumsum(width)
-        ids = flat[np.arange(ends[-1]) + np.repeat(starts[codes] - (ends - width), width)]
-        return ids.astype(np.int64), np.diff(np.append(0, ends)[np.searchsorted(first, at)])
+        ids, ends = self.known.ids(raw, first, self._stretches)
+        return ids, np.diff(np.append(0, ends)[np.searchsorted(first, at)])
+
+    def _stretches(self, new: list[bytes]) -> list[bytes]:
+        lists = self.library.encode(["\n" + stretch.decode() for stretch in new], num_threads=1)
+        widths = (4 * (np.fromiter(map(len, lists), np.int64, len(lists)))).tolist()
+        ends = np.cumsum(widths).tolist()
+        flat = array("i", chain.from_iterable(lists)).tobytes()
+        return [flat[end - width + 4 * self.lead: end] for end, width in zip(ends, widths)]
 
 
 def _lists(ids: np.ndarray, counts: np.ndarray) -> pa.ListArray:
@@ -152,12 +227,14 @@ def _same(spans: Spans, ids: np.ndarray, counts: np.ndarray, raw: np.ndarray, at
 
 
 def _ends(lists: pa.ListArray, sizes: pa.Array) -> pa.Table:
-    """One row per token: its text, its id, the byte where it ends within the text, and its place."""
+    """One row per token: its text, its id, a key of the text and the byte where the token ends within it, and its place."""
     row, ids = pc.list_parent_indices(lists), pc.list_flatten(lists)
     upto = pc.cumulative_sum(pc.take(sizes, ids))
     offsets = lists.offsets.to_numpy()
     before = pa.array(np.append(0, upto.to_numpy())[offsets[:-1]])  # bytes of all texts before
-    return pa.table({"row": row, "id": ids, "end": pc.subtract(upto, pc.take(before, row)), "place": pa.array(np.arange(len(ids)))})
+    end = pc.subtract(upto, pc.take(before, row))
+    key = pc.bit_wise_or(pc.shift_left(row.cast(pa.int64()), 32), end)
+    return pa.table({"row": row, "id": ids, "key": key, "place": pa.array(np.arange(len(ids), dtype=np.int32))})
 
 
 def _grouped(tokens: pa.Table, cuts: pa.Array) -> np.ndarray:
@@ -167,27 +244,43 @@ def _grouped(tokens: pa.Table, cuts: pa.Array) -> np.ndarray:
     return np.cumsum(flags) - flags
 
 
-def _numbers(group: np.ndarray, ids: pa.ChunkedArray, name: str) -> pa.Table:
+def _numbers(group: np.ndarray, ids: pa.Array, name: str) -> pa.Table:
     """Distinct ids of each group and how often they stand in it."""
     table = pa.table({"group": group, name: ids})
     return table.group_by(["group", name], use_threads=False).aggregate([([], "count_all")]).rename_columns(["group", name, f"n_{name}"])
 
 
-def _pairs(a: pa.Table, b: pa.Table, row_of: np.ndarray) -> pa.Table:
-    """Links per text and id pair: distinct ids of a group on either side joined, ``JOINED_PAIRS`` at a time."""
-    per_group = np.bincount(b["group"].to_numpy(), minlength=len(row_of))
+def _joined(a: pa.Table, b: pa.Table, groups: int) -> Iterator[pa.Table]:
+    """Id pairs of each group and their links: distinct ids of a group on either side joined, ``JOINED_PAIRS`` at a time."""
+    per_group = np.bincount(b["group"].to_numpy(), minlength=groups)
     made = np.cumsum(per_group[a["group"].to_numpy()])
     cuts = [0, *(np.flatnonzero(np.diff(made // JOINED_PAIRS)) + 1).tolist(), len(a)]
-    done = []
     for start, end in zip(cuts, cuts[1:]):
         joined = a.slice(start, end - start).join(b, "group", join_type="inner", use_threads=False)
-        pair = pc.bit_wise_or(pc.shift_left(joined["a"], 32), joined["b"])
-        table = pa.table({"row": row_of[joined["group"].to_numpy()], "pair": pair, "times": pc.multiply(joined["n_a"], joined["n_b"])})
-        done.append(table.group_by(["row", "pair"], use_threads=False).aggregate([("times", "sum")]))
-    whole = pa.concat_tables(done)
-    if len(done) > 1:
-        whole = whole.rename_columns(["row", "pair", "times"]).group_by(["row", "pair"], use_threads=False).aggregate([("times", "sum")])
-    return whole.rename_columns(["row", "pair", "times"]).sort_by([("row", "ascending"), ("pair", "ascending")])
+        yield joined.append_column("times", pc.multiply(joined["n_a"], joined["n_b"])).select(["group", "a", "b", "times"])
+
+
+def _pairs(left: pa.ChunkedArray, right: pa.ChunkedArray, group_a: np.ndarray, group_b: np.ndarray, row_of: np.ndarray, most: int) -> pa.Table:
+    """Links per text and id pair, in order. A group of one token on either side is a link as it stands; the others are joined.
+    ``most`` is greater than any id."""
+    groups = len(row_of)
+    one = (np.bincount(group_a, minlength=groups) == 1) & (np.bincount(group_b, minlength=groups) == 1)
+    alone_a, alone_b = one[group_a], one[group_b]
+    ids_a, ids_b = left.to_numpy(), right.to_numpy()
+    ones = np.ones(int(one.sum()), np.int64)
+    single = pa.table({"group": np.flatnonzero(one), "a": ids_a[alone_a], "b": ids_b[alone_b], "times": ones})
+    a = _numbers(group_a[~alone_a], pa.array(ids_a[~alone_a]), "a")
+    b = _numbers(group_b[~alone_b], pa.array(ids_b[~alone_b]), "b")
+    done = []
+    for links in chain([single], _joined(a, b, groups)):
+        key = (row_of[links["group"].to_numpy()] * most + links["a"].to_numpy()) * most + links["b"].to_numpy()
+        done.append(pa.table({"key": key, "times": links["times"]}).group_by("key", use_threads=False).aggregate([("times", "sum")]))
+    whole = pa.concat_tables(done).group_by("key", use_threads=False).aggregate([("times_sum", "sum")])
+    key = whole["key"].to_numpy()
+    order = np.argsort(key)
+    key = key[order]
+    pair = key % (most * most)
+    return pa.table({"row": key // (most * most), "pair": (pair // most) << 32 | pair % most, "times": whole["times_sum_sum"].to_numpy()[order]})
 
 
 class Aligner:
@@ -195,9 +288,9 @@ class Aligner:
 
     def __init__(self, definition: str, model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.encoder, self.pieces = Encoder(definition), Pieces(model)
+        self.encoder, self.pieces = ByteLevel(definition), Pieces(model)
         self.a, self.b = Spans(byte_level_parts(self.encoder)), Spans(self.pieces.parts)
-        most = max(len(self.a.sizes), len(self.b.sizes))
+        self.most = most = max(len(self.a.sizes), len(self.b.sizes))
         # Each id in decimal digits, followed by one of four marks.
         self.shown = Spans([f"{i}{mark}".encode() for i in range(most) for mark in (",", "|", ";", "")])
 
@@ -206,8 +299,7 @@ class Aligner:
         texts = texts.fill_null("")
         spaced = pc.binary_join_element_wise("", texts, " ")
         raw, at = text_bytes(spaced)
-        for memo in (self.encoder.hashed, self.encoder.pieces):
-            trim(memo, MEMO_STRETCHES)
+        trim(self.encoder.pieces, MEMO_PIECES)
         parts = self.encoder.encode(spaced)
         a, n_a = np.frombuffer(b"".join(parts), np.int32).astype(np.int64), np.array([len(p) // 4 for p in parts], np.int64)
         b, n_b = self.pieces.encode(raw, at)
@@ -215,8 +307,8 @@ class Aligner:
         a, b = a[np.repeat(kept, n_a)], b[np.repeat(kept, n_b)]
         n_a, n_b = n_a * kept, n_b * kept
         left, right = _ends(_lists(a, n_a), pa.array(self.a.sizes)), _ends(_lists(b, n_b), pa.array(self.b.sizes))
-        common = left.select(["row", "end", "place"]).join(
-            right.select(["row", "end", "place"]), ["row", "end"], join_type="inner", right_suffix="_b", use_threads=False
+        common = left.select(["key", "place"]).join(
+            right.select(["key", "place"]), "key", join_type="inner", right_suffix="_b", use_threads=False
         )
         group_a, group_b = _grouped(left, common["place"]), _grouped(right, common["place_b"])
         n = len(kept)
@@ -224,7 +316,7 @@ class Aligner:
         row_of[group_a] = left["row"].to_numpy()
         sizes_a, sizes_b = np.bincount(group_a, minlength=len(row_of)), np.bincount(group_b, minlength=len(row_of))
         per_row = lambda values: np.bincount(row_of, weights=values, minlength=n).astype(np.int64)
-        pairs = _pairs(_numbers(group_a, left["id"], "a"), _numbers(group_b, right["id"], "b"), row_of)
+        pairs = _pairs(left["id"], right["id"], group_a, group_b, row_of, self.most)
         offsets = pa.array(np.searchsorted(pairs["row"].to_numpy(), np.arange(n + 1)), pa.int32())
         return [
             pa.array(n_a), pa.array(n_b), pa.array(np.bincount(row_of, minlength=n)), pa.array(per_row(sizes_a * sizes_b)),

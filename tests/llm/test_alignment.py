@@ -113,3 +113,25 @@ def test_counts_handed_on_in_parts(spark, libraries, monkeypatch):
     whole = sorted(map(tuple, alignment.pair_counts(stored).collect()))
     monkeypatch.setattr(alignment, "COUNTED_PAIRS", 4)
     assert sorted(map(tuple, alignment.pair_counts(stored).collect())) == whole
+
+
+def test_forgotten_stretches_are_encoded_anew():
+    raw = np.frombuffer(b"".join(b"%04d" % (i * i % 700) for i in range(4000)), np.uint8)
+    first = np.arange(0, len(raw), 4)
+    asked = []
+
+    def encode(new):
+        asked.extend(new)
+        return [np.array([int(s), 7][: 1 + int(s) % 2], np.int32).tobytes() for s in new]
+
+    known = alignment.Remembered(places=64, room=100)
+    for begin in range(0, len(raw), 80):
+        part = raw[begin: begin + 80]
+        ids, ends = known.ids(part, first[:20], encode)
+        numbers = [int(bytes(part[i: i + 4])) for i in range(0, 80, 4)]
+        assert ids.tolist() == [x for n in numbers for x in [n, 7][: 1 + n % 2]]
+        assert ends.tolist() == np.cumsum([1 + n % 2 for n in numbers]).tolist()
+        assert known.used <= 100
+    assert len(set(asked)) < len(asked) < 4000
+    ids, _ = known.ids(raw, first, encode)  # more than the whole room at once
+    assert ids[0] == 0 and known.used <= 100
