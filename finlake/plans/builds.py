@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
@@ -117,14 +117,14 @@ def build_register(spark: SparkSession, lake: Lake, run_ts: datetime | None = No
 
 
 def silver_table(
-    landed: DataFrame, members: Mapping[int, Iterable[tuple[Layout, str]]], spec: TableSpec, run_ts
+    landed: DataFrame, members: Mapping[int, Iterable[tuple[Layout, str, Sequence[str]]]], spec: TableSpec, run_ts
 ) -> DataFrame:
-    """Cleaned rows of one table for all given years; members, each a layout and an archive, are cleaned together when they
-    have the same layout."""
-    alike: dict[Layout, list[tuple[int, str]]] = {}
+    """Cleaned rows of one table for all given years; members, each a layout, an archive and its files of records, are cleaned
+    together when they have the same layout."""
+    alike: dict[Layout, list[tuple[int, str, Sequence[str]]]] = {}
     for year, found in members.items():
-        for layout, file in found:
-            alike.setdefault(layout, []).append((year, file))
+        for layout, file, records in found:
+            alike.setdefault(layout, []).append((year, file, records))
     parts = [clean(landed_table(landed, spec.name, layout, files), spec) for layout, files in sorted(alike.items())]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if spec.distinct and len(parts) > 1:
@@ -142,15 +142,15 @@ def newest_archives(spark: SparkSession, lake: Lake, document: str, years: Itera
 
 
 def _landed_members(landed: DataFrame) -> tuple[dict, dict]:
-    """Layout and archive of the members per table and year, and what is wrong with a table and year."""
-    found: dict[str, dict[int, list[tuple[Layout, str]]]] = {}
+    """Layout, archive and files of records of the members per table and year, and what is wrong with a table and year."""
+    found: dict[str, dict[int, list[tuple[Layout, str, Sequence[str]]]]] = {}
     broken: dict[tuple[str, int], str] = {}
     for r in landed_status(landed).collect():  # one row per table, year and header
         if r["defeito"]:
             broken[r["tabela"], r["ano"]] = r["defeito"]
         elif r["colunas"]:
             layout = Layout(r["cabecalho"], tuple(r["colunas"]), r["codificacao"])
-            found.setdefault(r["tabela"], {}).setdefault(r["ano"], []).append((layout, r["arquivo"]))
+            found.setdefault(r["tabela"], {}).setdefault(r["ano"], []).append((layout, r["arquivo"], r["registros"]))
     return found, broken
 
 
@@ -162,7 +162,7 @@ def silver_from_archives(
     names = tuple(tables)
     stems = {document: {n: specs[n].member for n in names}}
 
-    def unpacked(year: int | None) -> DataFrame:
+    def unpacked(year: int | None, _: str) -> DataFrame:
         return unpack(archives if year is None else archives.where(F.col("ano") == year), stems)
 
     spark = None if archives is None else archives.sparkSession
@@ -177,31 +177,34 @@ def silver_from_files(
     names, paths = tuple(tables), list(paths)
     stems = {n: specs[n].member for n in names}
 
-    def unpacked(year: int | None) -> DataFrame:
-        return read_members(spark, document, [(y, path) for y, path in paths if year in (None, y)], stems)
+    def unpacked(year: int | None, records: str) -> DataFrame:
+        own = [(y, path) for y, path in paths if year in (None, y)]
+        return read_members(spark, document, own, stems, records if reachable(records) else None)
 
     return silver_from_landed(spark if paths else None, unpacked, lake, document, years, names, run_ts, specs)
 
 
 def silver_from_landed(
-    spark: SparkSession | None, unpacked: Callable[[int | None], DataFrame], lake: Lake, document: str, years: Iterable[int],
+    spark: SparkSession | None, unpacked: Callable[[int | None, str], DataFrame], lake: Lake, document: str, years: Iterable[int],
     tables: Iterable[str], run_ts: datetime, specs: Mapping[str, TableSpec] = SPECS,
 ) -> list[Outcome]:
-    """Land the ``unpacked`` rows (of all years, or of one), then clean and store each table for all years in one job.
+    """Land the ``unpacked`` rows (of all years, or of one), then clean and store each table for all years in one job. Records
+    may be unpacked into files in a folder beside them.
 
     An archive that cannot be read fails its year; archives of a year not asked for are recorded and not stored. The
     landed rows are removed at the end. Without a session there are no archives.
     """
     names, years = tuple(tables), sorted({int(y) for y in years})
-    found: dict[str, dict[int, list[tuple[Layout, str]]]] = {}
+    found: dict[str, dict[int, list[tuple[Layout, str, Sequence[str]]]]] = {}
     broken: dict[tuple[str, int], str] = {}
     outcomes: list[Outcome] = []
     if spark is None:
         return [Outcome("silver", name, y, False, error="not found") for name in names for y in years]
     landing = f"{lake.landing}/{document}-{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    records = f"{landing}-records"
 
     def unpack_part(year: int | None) -> Mapping:
-        land(unpacked(year), landing)
+        land(unpacked(year, records), landing)
         return {}
 
     try:
@@ -234,7 +237,7 @@ def silver_from_landed(
                 Outcome("silver", name, y, False, error="archive of a year that was not asked for") for y in sorted(others)
             ]
     finally:
-        remove(spark, landing)
+        remove(spark, landing, records)
     return outcomes
 
 

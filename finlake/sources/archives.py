@@ -2,8 +2,10 @@
 
 A member of an archive cannot be split, so one task unpacks it, streaming: it is inflated once, parsed in bounded
 batches and never held whole. Whether a member is UTF-8 is known at its end only, so its rows land byte for byte (as
-ISO-8859-1) and are decoded when they are read, by the encoding that its last record names. Everything after landing is
-ordinary columnar data that splits freely.
+ISO-8859-1) and are decoded when they are read, by the encoding that its last record names. Where tasks reach the landing
+folder by themselves, they store a member's records as columns of text in files of its own, and only its header, its last
+record, which names those files, and its defects are landed rows; a file that was taken for UTF-8 before its member turned out
+not to be is decoded anew. Everything after landing is ordinary columnar data that splits freely.
 """
 
 from __future__ import annotations
@@ -15,12 +17,13 @@ import re
 import sys
 import zipfile
 import zlib
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.csv as pacsv
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,10 +42,13 @@ ARCHIVE_BYTES = (1 << 31) - 1
 LANDING_FILES = 8
 HEADER_MARK = "\x1f"
 BLOCK_BYTES = 8 << 20
-#: Row number of a member's last record, which names its encoding: one of these.
+#: Row number of a member's last record, which names its encoding, one of these, and the files of its records if it has any.
 LAST = -1
 ASCII, UTF8, WINDOWS_1252 = "ascii", "utf-8", "windows-1252"
 
+#: Windows-1252 letters by the code point that ISO-8859-1 gives for their byte.
+LETTERS = str.maketrans(*windows_1252_pairs())
+
 LANDED_SCHEMA = (
     "documento string, tabela string, ano int, arquivo string, membro string, cabecalho string, linha bigint, "
     "campos array<string>, codificacao string, defeito string"
@@ -114,6 +120,11 @@ class Watched(io.RawIOBase):
         return ASCII if self._ascii else UTF8 if self._utf8 else WINDOWS_1252
 
 
+def cell_names(width: int) -> list[str]:
+    """Names of a record's cells while they are not decoded."""
+    return [f"f{i}" for i in range(width)]
+
+
 def _header(raw: Watched) -> tuple[list[str], bool]:
     """Column names as they land, and whether any record follows; the stream is left right behind the header record.
 
@@ -145,30 +156,36 @@ def _rows_of(batch: pa.RecordBatch) -> pa.ListArray:
     )
 
 
-def _parsed(raw: Watched, header: list[str]) -> Iterator[tuple[pa.ListArray, list[str | None] | None]]:
-    """Batches of field arrays of the records behind the header, with the defects of a batch if any.
+def _padded(rows: list[list[str]], width: int) -> pa.RecordBatch:
+    """Short records as columns, the cells they lack NULL; a record longer than that is cut, and is a defect."""
+    columns = [pa.array([r[i] if i < len(r) else None for r in rows], pa.string()) for i in range(width)]
+    return pa.RecordBatch.from_arrays(columns, names=cell_names(width))
+
+
+def _parsed(raw: Watched, header: list[str]) -> Iterator[tuple[pa.RecordBatch | list[list[str]], list[str | None] | None]]:
+    """Records behind the header: those of its length as columns, others as lists of their fields with the defects they have.
 
     A short record keeps the fields it has. A record longer than the header is a defect.
     """
     uneven: list[list[str]] = []
 
-    def kept() -> tuple[pa.ListArray, list[str | None]]:
+    def kept() -> tuple[list[list[str]], list[str | None]]:
         defects = [f"{len(r)} fields for {len(header)} columns" if len(r) > len(header) else None for r in uneven]
-        fields = pa.array(uneven, pa.list_(pa.string()))
+        rows = list(uneven)
         uneven.clear()
-        return fields, defects
+        return rows, defects
 
     def keep_uneven(row: pacsv.InvalidRow) -> str:
         uneven.append(next(csv.reader(io.StringIO(row.text, newline=""), delimiter=SEPARATOR), []))
         return "skip"
 
-    names = [f"f{i}" for i in range(len(header))]
+    names = cell_names(len(header))
     read = pacsv.ReadOptions(use_threads=False, block_size=BLOCK_BYTES, column_names=names, encoding="latin-1")
     parse = pacsv.ParseOptions(delimiter=SEPARATOR, newlines_in_values=True, invalid_row_handler=keep_uneven)
     text = pacsv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), strings_can_be_null=False)
     for batch in pacsv.open_csv(pa.PythonFile(raw, mode="r"), read, parse, text):
         if batch.num_rows:
-            yield _rows_of(batch), None
+            yield batch, None
         if uneven:
             yield kept()
     if uneven:
@@ -199,8 +216,11 @@ def unreadable(wanted: Wanted, error: Exception, member: str | None = None, head
     return _landed(wanted, member, header, max(line, 1), _EMPTY, [f"{what}: {error}"])
 
 
-def member_rows(wanted: Wanted, member: str, raw: zipfile.ZipExtFile) -> Iterator[pa.RecordBatch]:
-    """Landed rows of one member, read once from its beginning to its end."""
+def member_rows(wanted: Wanted, member: str, raw: zipfile.ZipExtFile, records=None) -> Iterator[pa.RecordBatch]:
+    """Landed rows of one member, read once from its beginning to its end.
+
+    With ``records``, which takes batches of columns and gives the files they are in when it is closed, its records go there.
+    """
     line, key = 0, ""
     try:
         watched = Watched(raw)
@@ -209,11 +229,19 @@ def member_rows(wanted: Wanted, member: str, raw: zipfile.ZipExtFile) -> Iterato
         if header:
             yield _landed(wanted, member, key, 0, pa.array([header], pa.list_(pa.string())))
         line = 1
-        for fields, defects in _parsed(watched, header) if more else ():
-            yield _landed(wanted, member, key, line, fields, defects)
-            line += len(fields)
+        for rows, defects in _parsed(watched, header) if more else ():
+            if records is not None:
+                records.add(rows if isinstance(rows, pa.RecordBatch) else _padded(rows, len(header)))
+                for i, defect in enumerate(defects or ()):
+                    if defect:
+                        yield _landed(wanted, member, key, line + i, _EMPTY, [defect])
+            else:
+                fields = _rows_of(rows) if isinstance(rows, pa.RecordBatch) else pa.array(rows, pa.list_(pa.string()))
+                yield _landed(wanted, member, key, line, fields, defects)
+            line += len(rows)
         if header:
-            yield _landed(wanted, member, key, LAST, _EMPTY, encoding=watched.encoding())
+            files = pa.array([records.close()], pa.list_(pa.string())) if records is not None else _EMPTY
+            yield _landed(wanted, member, key, LAST, files, encoding=watched.encoding())
     except UNREADABLE as error:
         yield unreadable(wanted, error, member, key, line)
 
@@ -270,39 +298,73 @@ def land(landed: DataFrame, path: str) -> None:
 
 
 def _decoded(cell: Column, encoding: Column | str) -> Column:
-    """The text of a cell that landed byte for byte."""
+    """The text of a cell that landed byte for byte. One of ASCII alone, as most are, is the same in every encoding."""
     latin, letters = windows_1252_pairs()
+    plain = F.when(F.octet_length(cell) == F.length(cell), cell)
     by = {
-        UTF8: F.decode(F.encode(cell, "ISO-8859-1"), "UTF-8"), WINDOWS_1252: F.translate(cell, latin, letters), ASCII: cell,
+        UTF8: plain.otherwise(F.decode(F.encode(cell, "ISO-8859-1"), "UTF-8")),
+        WINDOWS_1252: plain.otherwise(F.translate(cell, latin, letters)), ASCII: cell,
     }
     if isinstance(encoding, str):
         return by[encoding]
     return F.when(encoding == UTF8, by[UTF8]).when(encoding == WINDOWS_1252, by[WINDOWS_1252]).otherwise(cell)
 
 
+def decoded_cells(cells: pa.Array, encoding: str) -> pa.Array:
+    """The text of a batch's cells that are bytes given as ISO-8859-1; each distinct one is decoded once."""
+    if pc.sum(pc.binary_length(cells)).as_py() == pc.sum(pc.utf8_length(cells)).as_py():
+        return cells
+    found = cells.dictionary_encode()
+    text = (
+        [v.encode("latin-1").decode(UTF8) for v in found.dictionary.to_pylist()] if encoding == UTF8
+        else [v.translate(LETTERS) for v in found.dictionary.to_pylist()]
+    )
+    return pa.array(text, pa.string()).take(found.indices)
+
+
+def _decoded_anew(cell: Column) -> Column:
+    """The windows-1252 text of a cell that was read as UTF-8."""
+    return F.when(F.octet_length(cell) == F.length(cell), cell).otherwise(
+        _decoded(F.decode(F.encode(cell, "UTF-8"), "ISO-8859-1"), WINDOWS_1252)
+    )
+
+
 def landed_status(landed: DataFrame) -> DataFrame:
-    """Header, encoding and defect per table, year, archive and header. Reads header, last and flagged records only."""
+    """Header, encoding, files of records and defect per table, year, archive and header. Reads header, last and flagged
+    records only."""
     flagged = landed.where((F.col("linha") <= 0) | F.col("defeito").isNotNull())
     per_member = flagged.groupBy("tabela", "ano", "arquivo", "cabecalho").agg(
         F.max(F.when(F.col("linha") == 0, F.col("campos"))).alias("colunas"), F.max("codificacao").alias("codificacao"),
         F.count_distinct("codificacao").alias("codificacoes"), F.max("defeito").alias("defeito"),
+        F.flatten(F.collect_list(F.when(F.col("linha") == LAST, F.col("campos")))).alias("registros"),
     )
     names = F.transform("colunas", lambda cell: _decoded(cell, F.col("codificacao")))
     mixed = F.when(F.col("codificacoes") > 1, F.lit("members in two encodings"))
     return per_member.select(
-        "tabela", "ano", "arquivo", "cabecalho", names.alias("colunas"), "codificacao", F.coalesce("defeito", mixed).alias("defeito")
+        "tabela", "ano", "arquivo", "cabecalho", names.alias("colunas"), "codificacao", F.coalesce("defeito", mixed).alias("defeito"),
+        "registros",
     )
 
 
-def landed_table(landed: DataFrame, table: str, layout: Layout, parts: Iterable[tuple[int, str]]) -> DataFrame:
+def landed_table(landed: DataFrame, table: str, layout: Layout, parts: Iterable[tuple[int, str, Sequence[str]]]) -> DataFrame:
     """Landed rows of one table from the members of this layout in the given years and archives, as strings plus
-    ``ano_referencia``."""
-    parts = sorted(set(parts))
-    rows = landed.where(
-        (F.col("tabela") == table) & F.col("ano").isin(sorted({int(y) for y, _ in parts})) & (F.col("linha") > 0)
-        & (F.col("cabecalho") == layout.header) & F.col("arquivo").isin(sorted({f for _, f in parts}))
-    )
-    fields = [
-        _decoded(F.get("campos", F.lit(i)), layout.encoding).alias(name) for i, name in enumerate(column_names(layout.columns))
+    ``ano_referencia``. Records in files of their own are read from those files, which the members' last records name."""
+    parts, names = list(parts), column_names(layout.columns)
+    files = sorted({path for _, _, own in parts for path in own})
+
+    def named(rows: DataFrame, cells: Iterable[Column]) -> DataFrame:
+        return rows.select(*[cell.alias(name) for cell, name in zip(cells, names)], F.col("ano").alias("ano_referencia"))
+
+    if not files:
+        rows = landed.where(
+            (F.col("tabela") == table) & F.col("ano").isin(sorted({int(y) for y, *_ in parts})) & (F.col("linha") > 0)
+            & (F.col("cabecalho") == layout.header) & F.col("arquivo").isin(sorted({f for _, f, _ in parts}))
+        )
+        return named(rows, [_decoded(F.get("campos", F.lit(i)), layout.encoding) for i in range(len(names))])
+    anew = [path for path in files if layout.encoding == WINDOWS_1252 and path.endswith(f"-{UTF8}.parquet")]
+    schema = ", ".join([f"{cell} string" for cell in cell_names(len(names))] + ["ano int"])
+    read = [
+        named(landed.sparkSession.read.schema(schema).parquet(*own), [text(F.col(c)) for c in cell_names(len(names))])
+        for own, text in ((sorted(set(files).difference(anew)), lambda cell: cell), (anew, _decoded_anew)) if own
     ]
-    return rows.select(*fields, F.col("ano").alias("ano_referencia"))
+    return reduce(DataFrame.unionByName, read)

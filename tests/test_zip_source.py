@@ -5,11 +5,13 @@ import zipfile
 from pathlib import Path
 
 import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from finlake.lake import Lake
 from finlake.plans import builds
-from finlake.sources import zip_source
-from finlake.sources.archives import ASCII, UTF8, WINDOWS_1252, landed_status, read_archives, unpack
+from finlake.sources import archives, zip_source
+from finlake.sources.archives import ASCII, UTF8, WINDOWS_1252, Layout, landed_status, landed_table, read_archives, unpack
 from finlake.sources.tables import read_table
 from tests import bronze_fixture as fx
 
@@ -99,3 +101,44 @@ def test_file_systems(path, known):
     assert zip_source.reachable(path) is known
     if path.startswith(("/", "file")):
         assert zip_source.file_system(path)[1] == "/a"
+
+
+def test_records_land_as_columns_in_files_of_their_own(spark, folder):
+    text = 'A;B\n"x;1\ny";é\nshort\n1;2\n'
+    fx.write_zip(Path(folder, "a.zip"), {"stem.csv": text.encode("cp1252"), "other.csv": b"C\n"})
+    rows = zip_source.read_members(spark, "DFP", [(2020, f"{folder}/a.zip")], STEMS, f"{folder}/records").cache()
+    assert rows.where("linha > 0").count() == 0
+    status = {r["tabela"]: r for r in landed_status(rows).collect()}
+    assert status["U"]["registros"] == [] and len(status["T"]["registros"]) == 1
+    layout = Layout(status["T"]["cabecalho"], ("A", "B"), status["T"]["codificacao"])
+    Path(folder, "records", "lost-attempt.parquet").write_bytes(b"nobody reads this")
+    got = landed_table(rows, "T", layout, [(2020, f"{folder}/a.zip", status["T"]["registros"])])
+    assert sorted(map(tuple, got.collect())) == [("1", "2", 2020), ("short", None, 2020), ("x;1\ny", "é", 2020)]
+    rows.unpersist()
+
+
+def test_a_member_that_is_not_utf8_only_at_its_end(spark, folder):
+    lines = 2 * archives.BLOCK_BYTES // 64
+    content = "A;B\n".encode() + f"é;{'x' * 60}\n".encode() * lines + b"\xe9;y\n" + "é;\n".encode()
+    fx.write_zip(Path(folder, "a.zip"), {"stem.csv": content})
+    rows = zip_source.read_members(spark, "DFP", [(2020, f"{folder}/a.zip")], {"T": "stem"}, f"{folder}/records").cache()
+    status = landed_status(rows).first()
+    assert status["codificacao"] == WINDOWS_1252 and len(status["registros"]) == 2
+    layout = Layout(status["cabecalho"], ("A", "B"), status["codificacao"])
+    got = landed_table(rows, "T", layout, [(2020, f"{folder}/a.zip", status["registros"])])
+    assert {(r["A"], r["n"]) for r in got.groupBy("A").agg(F.count("*").alias("n")).collect()} == {("Ã©", lines + 1), ("é", 1)}
+    rows.unpersist()
+
+
+def test_a_long_record_in_a_file_is_a_defect(spark, folder):
+    fx.write_zip(Path(folder, "a.zip"), {"stem.csv": b"A;B\n1;2\n1;2;3\n4;5\n"})
+    rows = zip_source.read_members(spark, "DFP", [(2020, f"{folder}/a.zip")], {"T": "stem"}, f"{folder}/records")
+    assert landed_status(rows).first()["defeito"] == "3 fields for 2 columns"
+
+
+def test_a_planned_member_is_sent_as_its_values(folder):
+    fx.write_zip(Path(folder, "a.zip"), {"stem.csv": b"A\n1\n"})
+    planned = zip_source.ZipReader([["DFP", 2020, f"{folder}/a.zip"]], {"DFP": STEMS}).partitions()
+    sent = cloudpickle.dumps(planned[0])
+    assert len(sent) < 1000
+    assert zip_source.Member.of(cloudpickle.loads(sent)) == planned[0]
