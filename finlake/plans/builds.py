@@ -21,15 +21,15 @@ from finlake.lake import Lake
 from finlake.operators.clean import TableSpec, clean, cleaned_schema, with_lineage
 from finlake.operators.quality import Checks, errors, measure, metrics_of, profile, report, summary
 from finlake.operators.sketches import SECONDS_BOUNDS, histogram
-from finlake.operators.star import build_dimension, build_fact
+from finlake.operators.star import Fact, build_dimension, build_fact
 from finlake.plans.specs import DOCUMENT_FOLDERS, PROFILED, SOURCE_SYSTEM, SPECS, YEARS, tables_of
 from finlake.plans.star import CALENDAR_NAME, COMPANY, FACTS, SECURITY, STANDARD_FACTS
 from finlake.sinks.exports import export_table
-from finlake.session import shuffles_sized_for
+from finlake.session import at_once, shuffles_sized_for, unsorted_writes
 from finlake.sinks.tables import (
     YEAR, append_rows, overwrite_table, path_exists, remove, replace_years, stored_bytes, stored_columns, stored_years,
 )
-from finlake.sources.archives import ARCHIVE_BYTES, Layout, land, landed_status, landed_table, read_archives, unpack
+from finlake.sources.archives import ARCHIVE_BYTES, LANDING_FILES, Layout, land, landed_status, landed_table, read_archives, unpack
 from finlake.sources.bronze import latest_path, list_objects
 from finlake.sources.tables import calendar, read_csv, read_table
 from finlake.sources.zip_source import reachable, read_members
@@ -284,7 +284,7 @@ def build_gold(
     spark: SparkSession, lake: Lake, years: Iterable[int] = YEARS, facts: Iterable[str] = STANDARD_FACTS,
     unique_companies: bool = False, run_ts: datetime | None = None,
 ) -> list[Outcome]:
-    """Dimensions once per run, then every fact for all years.
+    """Dimensions once per run, then every fact for all years, a few facts at a time.
 
     ``unique_companies`` keeps one row per company and counts each quote and dividend once; otherwise a
     company registered twice repeats them, as a plain join on the register does. A source that lacks a column fails
@@ -312,28 +312,27 @@ def build_gold(
         lambda: {None: overwrite_table(calendar(spark).coalesce(1), lake.dimension(CALENDAR_NAME))},
     )
     outcomes += _attempt("gold", SECURITY.name, [None], securities)
-    for name in facts:
-        fact = FACTS[name]
-
-        def job(fact=fact) -> Mapping:
-            if fact.company and not company.ok:
-                raise RuntimeError(f"{COMPANY.name} failed: {company.error}")
-            for t in fact.sources:
-                _stored_in(spark, lake.silver(t), fact.columns.values(), years)
-            schemas = {t: cleaned_schema(SPECS[t], fact.columns.values()) for t in fact.sources}
-            tables = {
-                t: read_table(spark, lake.silver(t), schema=schema).where(F.col(YEAR).isin(years))
-                for t, schema in schemas.items()
-            }
-            dim = read_table(spark, company_path) if fact.company else None
-            rows = build_fact(tables, fact, dim, company.rows if small else None, fan_out=not unique_companies)
-            # Sources are stored in whole files per year. A fact projected from them keeps that layout, so only
-            # one that was joined spends an exchange on it.
-            size = stored_bytes(spark, *[lake.silver(t) for t in fact.sources]) if fact.company else 0
-            with shuffles_sized_for(spark, size * TABLE_EXPANSION):
-                return replace_years(rows, lake.fact(fact.name), years, rebalance=fact.company is not None)
-
-        outcomes += _attempt("gold", name, years, job)
+
+    def build(fact: Fact) -> Mapping:
+        if fact.company and not company.ok:
+            raise RuntimeError(f"{COMPANY.name} failed: {company.error}")
+        for t in fact.sources:
+            _stored_in(spark, lake.silver(t), fact.columns.values(), years)
+        schemas = {t: cleaned_schema(SPECS[t], fact.columns.values()) for t in fact.sources}
+        tables = {
+            t: read_table(spark, lake.silver(t), schema=schema).where(F.col(YEAR).isin(years))
+            for t, schema in schemas.items()
+        }
+        dim = read_table(spark, company_path) if fact.company else None
+        rows = build_fact(tables, fact, dim, company.rows if small else None, fan_out=not unique_companies)
+        # Sources are stored by year. A fact projected from them keeps their layout, so only one that was joined spends an
+        # exchange on it.
+        return replace_years(rows, lake.fact(fact.name), years, rebalance=fact.company is not None)
+
+    joined = [stored_bytes(spark, *[lake.silver(t) for t in FACTS[n].sources]) for n in facts if FACTS[n].company]
+    with shuffles_sized_for(spark, max(joined, default=0) * TABLE_EXPANSION), unsorted_writes(spark, LANDING_FILES):
+        for built in at_once(lambda name: _attempt("gold", name, years, lambda: build(FACTS[name])), facts):
+            outcomes += built
     return log_outcomes(spark, lake, run_ts, outcomes)
 
 

@@ -18,8 +18,9 @@ from finlake.plans.star import COMPANY, FACTS, SECURITY, STANDARD_FACTS
 from finlake.queries import filings
 from finlake.queries.filings import raw
 from finlake.queries.registry import query, table
-from finlake.session import scratch_dir
+from finlake.session import at_once, scratch_dir, unsorted_writes
 from finlake.sinks.tables import YEAR, overwrite_table, replace_years, years_in
+from finlake.sources.archives import LANDING_FILES
 from finlake.sources.tables import calendar_between, read_table
 
 _RAW_OF = {
@@ -303,14 +304,18 @@ def gold_build(spark: SparkSession, sf: str) -> DataFrame:
     """The whole star schema built and stored from stored cleaned tables; rows and amounts per table and year read back."""
     lake = Lake(scratch_dir(spark, "gold"))
     sources = dict.fromkeys([SECURITY.source, *[t for f in STANDARD_FACTS for t in FACTS[f].sources]])
-    years: set[int] = set()
-    for kind in dict.fromkeys(_RAW_OF[name] for name in sources):
-        of_kind = years_in(raw(spark, sf, kind))
-        years.update(of_kind)
-        for name in sources:
-            if _RAW_OF[name] == kind:
-                replace_years(cleaned(spark, sf, name), lake.silver(name), of_kind)
-    overwrite_table(cleaned(spark, sf, COMPANY.source), lake.silver(COMPANY.source))
+    kinds = list(dict.fromkeys(_RAW_OF[name] for name in sources))
+    of_kind = dict(zip(kinds, at_once(lambda kind: years_in(raw(spark, sf, kind)), kinds)))
+    years = {year for found in of_kind.values() for year in found}
+
+    def store(name: str) -> None:
+        if name == COMPANY.source:
+            overwrite_table(cleaned(spark, sf, name), lake.silver(name))
+        else:  # only a table whose copies were removed comes out of an exchange
+            replace_years(cleaned(spark, sf, name), lake.silver(name), of_kind[_RAW_OF[name]], rebalance=SPECS[name].distinct)
+
+    with unsorted_writes(spark, LANDING_FILES):
+        at_once(store, [*sources, COMPANY.source])
     failed = [o for o in build_gold(spark, lake, years) if not o.ok]
     if failed:
         raise RuntimeError(f"{failed[0].table} {failed[0].year}: {failed[0].error}")

@@ -1,4 +1,5 @@
 import os
+import threading
 from datetime import date, datetime
 from pathlib import Path
 
@@ -7,6 +8,7 @@ import pytest
 from finlake.__main__ import main
 from finlake.lake import Lake
 from finlake.plans import builds
+from finlake.session import at_once
 from finlake.sources.archives import column_names, landed_status, read_archives, unpack
 from finlake.sources.bronze import ingestion_records, latest_path, list_objects, manifest_summary, read_manifest
 from finlake.sources.tables import file_encodings, read_csv, read_table
@@ -412,3 +414,15 @@ def test_a_year_without_one_share_count(spark, folder):
     assert ok == {"capital_social": {2020: True, 2021: True}}
     got = {r["ano_referencia"]: r["Quantidade_Acoes_Ordinarias"] for r in read_table(spark, lake.silver("capital_social"), merge_schema=True).where("CNPJ = '00000000000191'").collect()}
     assert got == {2020: 13044496930, 2021: 7}
+
+
+def test_jobs_run_side_by_side_in_the_callers_group(spark):
+    together = threading.Barrier(2, timeout=60)
+    spark.sparkContext.setLocalProperty("finlake.test", "caller")
+
+    def job(n):
+        together.wait()
+        return n, spark.sparkContext.getLocalProperty("finlake.test")
+
+    assert at_once(job, [2, 1]) == [(2, "caller"), (1, "caller")]
+    spark.sparkContext.setLocalProperty("finlake.test", None)
