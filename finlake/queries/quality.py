@@ -16,7 +16,7 @@ from finlake.plans.specs import PROFILED
 from finlake.queries import filings
 from finlake.queries.gold import cleaned
 from finlake.queries.registry import query, table
-from finlake.session import scratch_dir
+from finlake.session import at_once, scratch_dir
 from finlake.sinks.tables import YEAR, overwrite_table, years_in
 from finlake.sources.tables import read_table
 
@@ -239,8 +239,7 @@ def quality_sweep(spark: SparkSession, sf: str) -> DataFrame:
     Each table is cleaned once and stored, as the silver build leaves it, and then read by both passes of its profile.
     """
     lake = Lake(scratch_dir(spark, "sweep"))
-    for name in PROFILED:
-        overwrite_table(cleaned(spark, sf, name), lake.silver(name))
+    at_once(lambda name: overwrite_table(cleaned(spark, sf, name), lake.silver(name)), PROFILED)
     tables = {name: read_table(spark, lake.silver(name)) for name in PROFILED}
     years = years_in(reduce(DataFrame.unionByName, [t.select(YEAR) for t in tables.values()]))
     found = summary(sweep(tables, years, AS_OF))
