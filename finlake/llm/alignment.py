@@ -20,19 +20,15 @@ from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.shared import blocks, small_batches, stored, stretch_hashes, text_bytes, trim, worker_memo
+from finlake.llm.shared import Remembered, blocks, slices, small_batches, stored, text_bytes, trim
 from finlake.llm.token_files import KIND, Encoder
 
-#: Places for stretches that a worker remembers for either tokenizer, 16 bytes each, and room for their ids, 4 bytes each.
-MEMO_PLACES = 1 << 21
-MEMO_IDS = 1 << 23
 #: Pieces of texts with odd characters that a worker remembers for the byte-level tokenizer, about 200 bytes each.
 MEMO_PIECES = 200_000
 #: Id pairs that one join inside a task may make, and distinct pairs a task counts before it hands them on.
@@ -50,12 +46,6 @@ ALIGNED = (
 _ALIGNED_NAMES = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"]
 
 
-def _slices(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The stretches of ``flat`` that begin at ``starts``, one after the other."""
-    ends = np.cumsum(sizes, dtype=np.int64)
-    return flat[np.arange(ends[-1]) + np.repeat(starts - (ends - sizes), sizes)] if len(ends) else flat[:0]
-
-
 class Spans:
     """The bytes that each id of a vocabulary stands for, one after the other."""
 
@@ -65,64 +55,7 @@ class Spans:
         self.flat = np.frombuffer(b"".join(parts), np.uint8)
 
     def joined(self, ids: np.ndarray) -> np.ndarray:
-        return _slices(self.flat, self.starts[ids], self.sizes[ids])
-
-
-class Remembered:
-    """Ids of stretches of bytes by 64-bit hashes of the stretches, in arrays.
-
-    Each hash has one place, where the stretch that came last stays. When the room for ids is used up, the half that came first
-    is kept. What is forgotten is encoded anew, so ids do not depend on it.
-    """
-
-    def __init__(self, places: int, room: int):
-        self.keys = np.zeros(places, np.uint64)
-        self.starts, self.widths = np.zeros(places, np.int32), np.zeros(places, np.int32)
-        self.flat, self.used = np.zeros(room, np.int32), 0
-
-    @classmethod
-    def of_worker(cls, name: str) -> Remembered:
-        return worker_memo(name).setdefault("stretches", cls(MEMO_PLACES, MEMO_IDS))
-
-    def ids(self, raw: np.ndarray, first: np.ndarray, encode: Callable[[list[bytes]], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the stretches of ``raw`` that begin at ``first``, and the number of ids up to the end of each. ``encode`` gives
-        the ids of new ones as 32-bit integers."""
-        sizes = np.diff(np.append(first, len(raw)))
-        codes, distinct = pd.factorize(stretch_hashes(raw, first, sizes))
-        place = (distinct & np.uint64(len(self.keys) - 1)).astype(np.int64)
-        widths = np.where(self.keys[place] == distinct, self.widths[place], 0)
-        flat, starts = _slices(self.flat, self.starts[place], widths), np.cumsum(widths) - widths
-        new = np.flatnonzero(widths == 0)
-        if len(new):
-            sample = np.empty(len(distinct), np.int64)
-            sample[codes] = np.arange(len(codes))
-            of, data = sample[new], raw.tobytes()
-            got = encode([data[x:y] for x, y in zip(first[of].tolist(), (first[of] + sizes[of]).tolist())])
-            fresh = np.frombuffer(b"".join(got), np.int32)
-            widths[new] = np.fromiter(map(len, got), np.int32, len(got)) // 4
-            starts[new] = len(flat) + np.cumsum(widths[new]) - widths[new]
-            flat = np.concatenate([flat, fresh])
-            self._keep(distinct[new], place[new], widths[new], fresh)
-        return _slices(flat, starts[codes], widths[codes]).astype(np.int64), np.cumsum(widths[codes], dtype=np.int64)
-
-    def _keep(self, keys: np.ndarray, place: np.ndarray, widths: np.ndarray, ids: np.ndarray) -> None:
-        if self.used + len(ids) > len(self.flat):
-            self._halve()
-        if self.used + len(ids) > len(self.flat):
-            return
-        self.keys[place], self.widths[place], self.starts[place] = keys, widths, self.used + np.cumsum(widths) - widths
-        self.flat[self.used: self.used + len(ids)] = ids
-        self.used += len(ids)
-
-    def _halve(self) -> None:
-        held = np.flatnonzero(self.widths)
-        held = held[np.argsort(self.starts[held])]
-        early = np.cumsum(self.widths[held], dtype=np.int64) <= len(self.flat) // 2
-        self.widths[held[~early]] = 0
-        kept = held[early]
-        ids = _slices(self.flat, self.starts[kept], self.widths[kept])
-        self.starts[kept] = np.cumsum(self.widths[kept]) - self.widths[kept]
-        self.flat[: len(ids)], self.used = ids, len(ids)
+        return slices(self.flat, self.starts[ids], self.sizes[ids])
 
 
 #: Fixed value: the byte-level alphabet shows printable bytes as themselves, the others from U+0100 on.

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.shared import small_batches, stored, stretch_hashes, text_bytes, trim, worker_memo
+from finlake.llm.shared import Remembered, small_batches, stored, text_bytes, trim, worker_memo
 
 MAGIC = b"RPT2"
 SHARD_TOKENS = 1 << 20
@@ -44,6 +44,8 @@ PACKED = 1 << 16
 #: One document of so many is read by itself.
 ALONE = 16
 MEMO_PIECES = 800_000
+#: New pieces that go through the library as one text.
+TOGETHER = 64
 END = 0
 
 
@@ -93,7 +95,11 @@ class Encoder:
         self.cut = re.compile(PATTERN).findall
         self.unsure = re.compile(UNSURE).search
         name = f"{zlib.crc32(definition.encode())}-{len(definition)}-{added}"
-        self.hashed, self.pieces = worker_memo(f"{name}-hashed"), worker_memo(f"{name}-pieces")
+        self.known, self.pieces = Remembered.of_worker(f"{name}-hashed"), worker_memo(f"{name}-pieces")
+        self.blank = dict(zip((b" ", b"\n"), self.whole([" ", "\n"])))
+        feed = np.frombuffer(self.blank[b"\n"], np.int32).tolist()
+        fed = any("\n" in t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.feed = feed[0] if len(feed) == 1 and not fed else None
 
     def whole(self, texts: list[str]) -> list[bytes]:
         gc.disable()  # the lists of ids live for a moment and hold no cycles
@@ -105,6 +111,21 @@ class Encoder:
         flat = array("i", chain.from_iterable(ids)).tobytes()
         return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
+    def new(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of pieces cut by bytes, ``TOGETHER`` of them in a text: the pre-tokenizer makes each line feed between them a piece.
+
+        Pieces that are blank would merge with it, and are known beforehand.
+        """
+        filled = [p for p in pieces if p not in self.blank]
+        texts = [(b"\n".join(filled[i: i + TOGETHER]) + b"\n").decode() for i in range(0, len(filled), TOGETHER)]
+        flat = np.frombuffer(b"".join(self.whole(texts)), np.int32) if self.feed is not None else np.zeros(0, np.int32)
+        ends = np.flatnonzero(flat == self.feed)
+        if len(ends) != len(filled):  # another kind of tokenizer
+            return self.whole([p.decode() for p in pieces])
+        data, ends = flat.tobytes(), (4 * ends).tolist()
+        ids = iter([data[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends)])
+        return [self.blank.get(p) or next(ids) for p in pieces]
+
     def _by_bytes(self, raw: np.ndarray, at: np.ndarray, kind: np.ndarray) -> list[bytes]:
         if not len(raw):
             return [b""] * (len(at) - 1)
@@ -113,27 +134,9 @@ class Encoder:
         begins[1:] |= (before == BREAK) | ((before != SPACE) & (before != kind[1:]))
         begins[at[:-1][at[:-1] < len(raw)]] = True
         first = np.flatnonzero(begins)
-        sizes = np.diff(np.append(first, len(raw)))
-        hashes = stretch_hashes(raw, first, sizes)
-        codes, distinct = pd.factorize(hashes)
-        keys = distinct.tolist()
-        known = list(map(self.hashed.get, keys))
-        if None in known:
-            new = [i for i, ids in enumerate(known) if ids is None]
-            sample = np.empty(len(keys), np.int64)
-            sample[codes] = np.arange(len(codes))
-            joined, of = raw.tobytes(), sample[new]
-            ids = self.whole([joined[a:b].decode() for a, b in zip(first[of].tolist(), (first[of] + sizes[of]).tolist())])
-            self.hashed.update(zip((keys[i] for i in new), ids))
-            for i, got in zip(new, ids):
-                known[i] = got
-        widths = np.fromiter(map(len, known), np.int32, len(known)) // 4
-        flat = np.frombuffer(b"".join(known), np.int32)
-        starts = np.cumsum(widths, dtype=np.int32) - widths
-        width = widths[codes]
-        ends = np.cumsum(width, dtype=np.int32)
-        out = flat[np.arange(ends[-1], dtype=np.int32) + np.repeat(starts[codes] - (ends - width), width)].tobytes()
-        cuts = (4 * np.append(0, ends.astype(np.int64))[np.searchsorted(first, at)]).tolist()
+        ids, ends = self.known.ids(raw, first, self.new)
+        out = ids.astype(np.int32).tobytes()
+        cuts = (4 * np.append(0, ends)[np.searchsorted(first, at)]).tolist()
         return [out[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def _by_pattern(self, texts: list[str]) -> list[bytes]:
@@ -144,8 +147,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers; null is empty."""
-        for memo in (self.hashed, self.pieces):
-            trim(memo, MEMO_PIECES)
+        trim(self.pieces, MEMO_PIECES)
         raw, at = text_bytes(texts)
         kind, odd = KIND[raw], ODD[raw]
         blank = kind <= BREAK
@@ -222,19 +224,38 @@ def compress(tokens: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray
     return rules, sequence
 
 
+def _runs(rules: np.ndarray, terminals: int) -> Iterator[tuple[int, int]]:
+    """Stretches of rules, in order, whose parts are terminals or rules before the stretch."""
+    latest = np.maximum.accumulate(rules.max(1) - terminals)
+    start = 0
+    while start < len(rules):
+        end = int(np.searchsorted(latest, start))
+        if end <= start:
+            raise ValueError(f"rule {start} is made of later ones")
+        yield start, end
+        start = end
+
+
+def rule_lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
+    """How many tokens each rule expands to."""
+    widths = np.ones(terminals + len(rules), np.int64)
+    for start, end in _runs(rules, terminals):
+        widths[terminals + start: terminals + end] = widths[rules[start:end, 0]] + widths[rules[start:end, 1]]
+    return widths[terminals:]
+
+
 def expansions(rules: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens of all rules one after the other, where each rule's begin, and how many there are.
 
-    Rules are filled in level by level: those of terminals first, then those whose parts are there already.
+    Rules are filled in many at a time: those of terminals first, then those whose parts are there already.
     """
-    lengths, levels = _measures(rules, terminals)
+    lengths = rule_lengths(rules, terminals)
     begin = np.cumsum(lengths) - lengths
     flat = np.zeros(int(lengths.sum()), np.int64)
-    for level in range(1, int(levels.max(initial=0)) + 1):
-        chosen = np.flatnonzero(levels == level)
-        at = begin[chosen]
+    for start, end in _runs(rules, terminals):
+        at = begin[start:end]
         for side in (0, 1):
-            symbol = rules[chosen, side]
+            symbol = rules[start:end, side]
             plain = symbol < terminals
             flat[at[plain]] = symbol[plain]
             part, to = symbol[~plain] - terminals, at[~plain]
@@ -245,21 +266,6 @@ def expansions(rules: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarra
     return flat, begin, lengths
 
 
-def _measures(rules: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray]:
-    """How many tokens each rule expands to, and how many rules lie above each other in it."""
-    lengths: list[int] = []
-    levels: list[int] = []
-    for left, right in (rules - terminals).tolist():
-        lengths.append((1 if left < 0 else lengths[left]) + (1 if right < 0 else lengths[right]))
-        levels.append(1 + max(0 if left < 0 else levels[left], 0 if right < 0 else levels[right]))
-    return np.array(lengths, np.int64), np.array(levels, np.int64)
-
-
-def rule_lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
-    """How many tokens each rule expands to."""
-    return _measures(rules, terminals)[0]
-
-
 def packed_bits(symbols: np.ndarray, bits: int) -> bytes:
     """Symbols of so many bits each, one after the other."""
     parts = [

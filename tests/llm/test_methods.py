@@ -73,6 +73,43 @@ def test_ids_by_word_are_the_ids_of_the_whole_text():
         assert np.frombuffer(got, np.int32).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_new_pieces_go_through_the_library_many_to_a_text(monkeypatch):
+    tokenizer = Tokenizer.from_file(BYTES)
+    encoder = token_files.Encoder(tokenizer.to_str(), added=True)
+    whole, sent = encoder.whole, []
+    monkeypatch.setattr(encoder, "whole", lambda texts: (sent.extend(texts), whole(texts))[1])
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefgXYZ\u00e9\u00df0123.,#_\x00", k=rng.randint(1, 9))) for _ in range(6000)]
+    some = [["", " ", "\n"][i % 3].join(["", " ".join(words[i: i + 50]), ""]) for i in range(0, 6000, 50)]
+    some += [" ", "\n", "a\n", " a", "a ", "long" * 20_000]
+    want = [e.ids for e in tokenizer.encode_batch(some, add_special_tokens=False)]
+    assert [np.frombuffer(got, np.int32).tolist() for got in encoder.encode(pa.array(some))] == want
+    assert len(sent) * 20 < len({p for text in some for p in encoder.cut(text)})
+    encoder.feed = None  # as for tokenizers that do not keep line feeds apart
+    assert encoder.new([b" ", b"ab", b"\n", b" 12"]) == whole([" ", "ab", "\n", " 12"])
+
+
+def test_added_tokens_that_hold_a_line_feed_are_not_made_by_joining_pieces():
+    tokenizer = Tokenizer.from_file(BYTES)
+    tokenizer.add_tokens(["\nab"])
+    encoder = token_files.Encoder(tokenizer.to_str(), added=True)
+    some = ["x ab", "ab cd ab", "x\nab y"]
+    want = [e.ids for e in tokenizer.encode_batch(some, add_special_tokens=False)]
+    assert [np.frombuffer(got, np.int32).tolist() for got in encoder.encode(pa.array(some))] == want
+
+
+def test_rules_are_measured_many_at_a_time():
+    tokens = (np.random.default_rng(2).zipf(1.3, 200_000) % 500).astype(np.int32)
+    rules, _ = token_files.compress(tokens, 500)
+    lengths = []
+    for pair in rules.tolist():
+        lengths.append(sum(1 if x < 500 else lengths[x - 500] for x in pair))
+    assert token_files.rule_lengths(rules, 500).tolist() == lengths
+    assert len(list(token_files._runs(rules, 500))) * 50 < len(rules)
+    with pytest.raises(ValueError, match="later"):
+        token_files.rule_lengths(np.array([[1, 2], [3, 12]]), 10)
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 6), max_size=60), max_size=12))
 def test_shards_expand_to_their_tokens(docs):
