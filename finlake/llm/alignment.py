@@ -73,10 +73,6 @@ def byte_level_parts(encoder: Encoder) -> list[bytes]:
 class ByteLevel(Encoder):
     """Ids of whole texts by the tokenizers library, new pieces remembered in arrays."""
 
-    def __init__(self, definition: str):
-        super().__init__(definition)
-        self.known = Remembered.of_worker(f"bytes-{zlib.crc32(definition.encode())}-{len(definition)}")
-
     def _by_bytes(self, raw: np.ndarray, at: np.ndarray, kind: np.ndarray) -> list[bytes]:
         if not len(raw):
             return [b""] * (len(at) - 1)

@@ -147,7 +147,10 @@ class Remembered:
 
     @classmethod
     def of_worker(cls, name: str) -> Remembered:
-        return worker_memo(name).setdefault("stretches", cls(MEMO_PLACES, MEMO_IDS))
+        memo = worker_memo(name)
+        if "stretches" not in memo:
+            memo["stretches"] = cls(MEMO_PLACES, MEMO_IDS)
+        return memo["stretches"]
 
     def ids(self, raw: np.ndarray, first: np.ndarray, encode: Callable[[list[bytes]], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the stretches of ``raw`` that begin at ``first``, and the number of ids up to the end of each. ``encode`` gives

@@ -186,19 +186,26 @@ def compress(tokens: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray
     """Rules (pairs of symbols; rule r is symbol ``terminals + r``) and the remaining sequence.
 
     In each round the pairs of neighbours are first counted roughly, in a table of hashes; those in places nearly as full as the
-    fullest are counted exactly, and all that are frequent are replaced from left to right. Rounds go on until no pair is.
+    fullest are counted exactly, and all that are frequent are replaced from left to right. Rounds go on until no pair is. Once a
+    round has replaced all pairs that pay, only pairs with a symbol made since can have become frequent, so no others are counted.
     """
     sequence, rules = tokens.astype(np.int32), np.zeros((0, 2), np.int64)
-    share = ROUND_SHARE
+    share, made = ROUND_SHARE, 0
     while len(sequence) > 1:
-        place = sequence[:-1].view(np.uint32) * np.uint32(0x9E3779B1)
-        place += sequence[1:].view(np.uint32) * np.uint32(0x85EBCA77)
+        near: np.ndarray | slice = slice(None)
+        if made:
+            recent = sequence >= made
+            near = np.flatnonzero(recent[:-1] | recent[1:])
+        left, right = sequence[:-1][near], sequence[1:][near]
+        place = left.view(np.uint32) * np.uint32(0x9E3779B1)
+        place += right.view(np.uint32) * np.uint32(0x85EBCA77)
         place >>= np.uint32(32 - PLACE_BITS)
         place = place.astype(np.int64)
         filled = np.bincount(place, minlength=1 << PLACE_BITS)
-        least = max(LEAST_COUNT, int(filled.max() * share))
-        at = np.flatnonzero((filled >= least)[place])
-        codes, pairs = pd.factorize((sequence[at].astype(np.int64) << 32) | sequence[at + 1])
+        least = LEAST_COUNT if made else max(LEAST_COUNT, int(filled.max() * share))
+        some = np.flatnonzero((filled >= least)[place])
+        at = near[some] if made else some
+        codes, pairs = pd.factorize((left[some].astype(np.int64) << 32) | right[some])
         counts = np.bincount(codes, minlength=1)
         chosen = np.flatnonzero(counts >= least)
         if not len(chosen):
@@ -207,6 +214,7 @@ def compress(tokens: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray
             share /= 8
             continue
         chosen = chosen[np.argsort(-counts[chosen], kind="stable")]
+        made = terminals + len(rules) if least == LEAST_COUNT else 0
         symbol = np.zeros(len(pairs), np.int32)
         symbol[chosen] = terminals + len(rules) + np.arange(len(chosen))
         new = symbol[codes]
@@ -267,11 +275,11 @@ def expansions(rules: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarra
 
 
 def packed_bits(symbols: np.ndarray, bits: int) -> bytes:
-    """Symbols of so many bits each, one after the other."""
-    parts = [
-        np.packbits((symbols[i: i + PACKED, None] >> np.arange(bits) & 1).astype(np.uint8), bitorder="little").tobytes()
-        for i in range(0, len(symbols), PACKED)
-    ]
+    """Symbols of so many bits each, at most 32, one after the other."""
+    parts = []
+    for i in range(0, len(symbols), PACKED):
+        rows = symbols[i: i + PACKED].astype("<u4").view("u1").reshape(-1, 4)
+        parts.append(np.packbits(np.unpackbits(rows, axis=1, bitorder="little")[:, :bits], bitorder="little").tobytes())
     return b"".join(parts)
 
 
@@ -280,8 +288,9 @@ def unpacked_bits(data: np.ndarray, bits: int, count: int) -> np.ndarray:
     out = np.empty(count, np.int64)
     for i in range(0, count, PACKED):
         n = min(PACKED, count - i)
-        rows = np.unpackbits(data[i * bits // 8:], count=n * bits, bitorder="little").reshape(n, bits)
-        out[i: i + n] = rows @ (1 << np.arange(bits))
+        rows = np.zeros((n, 32), np.uint8)
+        rows[:, :bits] = np.unpackbits(data[i * bits // 8:], count=n * bits, bitorder="little").reshape(n, bits)
+        out[i: i + n] = np.packbits(rows, axis=1, bitorder="little").view("<u4")[:, 0]
     return out
 
 

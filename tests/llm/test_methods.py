@@ -1,6 +1,7 @@
 """Methods without Spark: against plain versions, libraries and round trips."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -98,6 +99,29 @@ def test_added_tokens_that_hold_a_line_feed_are_not_made_by_joining_pieces():
     assert [np.frombuffer(got, np.int32).tolist() for got in encoder.encode(pa.array(some))] == want
 
 
+def test_late_rounds_count_only_pairs_with_new_symbols(monkeypatch):
+    rng = np.random.default_rng(4)
+    words = [rng.integers(0, 20_000, rng.integers(1, 9)) for _ in range(30_000)]
+    tokens = np.concatenate([words[i] for i in rng.zipf(1.1, 100_000) % 30_000]).astype(np.int32)
+    counted, factorize = [], token_files.pd.factorize
+    monkeypatch.setattr(token_files.pd, "factorize", lambda x: (counted.append(len(x)), factorize(x))[1])
+    rules, sequence = token_files.compress(tokens, 20_000)
+    assert len(counted) > 5 and sum(counted[-3:]) * 10 < max(counted)
+    pairs = Counter(zip(sequence.tolist(), sequence[1:].tolist()))
+    assert max(pairs.values()) < token_files.LEAST_COUNT
+    shard = token_files.Shard(token_files.pack([1], [tokens.tobytes()], 20_000))
+    assert shard.tokens().tolist() == tokens.tolist() and len(shard.rules) == len(rules)
+
+
+@pytest.mark.parametrize("bits", [1, 2, 7, 8, 16, 17, 31, 32])
+def test_symbols_of_any_width_are_packed(bits):
+    symbols = np.random.default_rng(bits).integers(0, 1 << bits, token_files.PACKED + 123)
+    data = token_files.packed_bits(symbols, bits)
+    places = np.repeat(symbols, bits) >> np.tile(np.arange(bits), len(symbols)) & 1
+    assert data == np.packbits(places.astype(np.uint8), bitorder="little").tobytes()
+    assert token_files.unpacked_bits(np.frombuffer(data, np.uint8), bits, len(symbols)).tolist() == symbols.tolist()
+
+
 def test_rules_are_measured_many_at_a_time():
     tokens = (np.random.default_rng(2).zipf(1.3, 200_000) % 500).astype(np.int32)
     rules, _ = token_files.compress(tokens, 500)
