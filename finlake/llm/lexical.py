@@ -10,6 +10,8 @@ level, they give an upper bound of every document's score at once. Documents who
 ``k``-th best found so far are excluded; all others are scored exactly from their stored terms.
 
 Documents of like size share a block, and a block's rows are in proportion to that size, so rows stay about as full everywhere.
+Blocks are stored small, so that no row of the index is a large object for Spark, and blocks of as many rows are searched side by
+side.
 """
 
 from __future__ import annotations
@@ -19,26 +21,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.shared import Words, blocks, mix, stored, text_bytes
+from finlake.llm.shared import Words, blocks, mix, small_batches, stored, text_bytes
 
 #: Bytes of terms: ASCII letters and digits, and everything beyond ASCII.
 IS_TERM = np.zeros(256, bool)
 IS_TERM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 #: Levels of frequency: a term that stands ``LEVELS[i]`` times or more sets the keys of levels 0 to i.
 LEVELS = (1, 2, 3, 4, 6, 9, 16, 32)
-#: Positions of a key, bits of a row per key of a document, the fewest and the most rows of a block, and its bits.
+#: Positions of a key, bits of a row per key of a document, the fewest and the most rows of a block.
 HASHES, BITS_A_KEY = 3, 8
 FEWEST_ROWS, MOST_ROWS = 1 << 6, 1 << 20
-BLOCK_BITS = 1 << 24
+#: Bits of a stored block, whose row of the index takes about a byte for each, and of those that are searched side by side.
+STORED_BITS = 1 << 18
+BLOCK_BITS = 1 << 22
 MOST_DOCS = 1 << 13
+#: Stored rows of an index are read a row group at a time, and its size is looked at every few rows.
+INDEX_FILES = {"parquet.block.size": 8 << 20, "parquet.page.size.row.check.min": 4, "parquet.enable.dictionary": "false"}
 #: Terms of the items that are searched for in one pass over the index.
 PASS_TERMS = 500_000
 #: Bytes of bitmaps of one item's terms that are held unpacked at a time; an item with more terms takes several rounds.
-UNPACKED_BYTES = 1 << 25
+UNPACKED_BYTES = 1 << 22
 #: Documents scored exactly between two looks at the bound.
 RESCORED = 256
 FINAL_SALTS = 64
@@ -80,7 +87,7 @@ class _Block:
 
     def __init__(self, rows: int):
         self.rows = rows
-        self.room = max(8, min(MOST_DOCS, BLOCK_BITS // rows))
+        self.room = max(8, min(MOST_DOCS, STORED_BITS // rows))
         self.ids: list[int | None] = []
         self.sizes: list[int] = []
         self.parts: list[np.ndarray] = []
@@ -127,8 +134,9 @@ def index(docs: DataFrame) -> DataFrame:
 
     Blocks are filled inside the tasks that read the documents, so nothing is exchanged.
     """
+    small_batches(docs.sparkSession, "4m")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stored(rows.mapInArrow(_indexed, INDEX), "lexical-index")
+    return stored(rows.mapInArrow(_indexed, INDEX), "lexical-index", INDEX_FILES)
 
 
 def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +202,7 @@ class _Item:
         owner = np.repeat(np.arange(len(docs)), lengths)
         place = np.minimum(np.searchsorted(self.terms, terms[at]), len(self.terms) - 1)
         hit = self.terms[place] == terms[at]
-        owner, place, tf = owner[hit], place[hit], counts[at[hit]]
+        owner, place, tf = owner[hit], place[hit], counts[at[hit]].astype(np.int64)
         out = np.zeros(len(docs), np.int64)
         np.add.at(out, owner, self.weights[place] * share(tf, m[docs[owner]]))
         return out
@@ -205,30 +213,57 @@ def share(tf: np.ndarray, m: np.ndarray) -> np.ndarray:
     return (1_000_000_000 * tf) // (1000 * tf + 12 * m)
 
 
+def _padded(values: np.ndarray, n: int, empty: int = 0) -> np.ndarray:
+    return np.concatenate([values, np.full(n - len(values), empty, np.int64)])
+
+
+def _part(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, ...]:
+    """A stored block as arrays of its own: ids, sizes, numbers of terms and highest counts of its documents, filled up to whole
+    bytes of a row with documents that have no terms, then terms, counts and the matrix."""
+    rows, ids, sizes, starts, terms, counts, matrix = (batch.column(name)[i] for name in _INDEX_NAMES)
+    matrix = np.frombuffer(matrix.as_buffer(), np.uint8).reshape(rows.as_py(), -1).copy()
+    # A null id stands behind all others among equal scores.
+    ids, sizes, starts = pc.fill_null(ids.values, NO_ID).to_numpy(), sizes.values.to_numpy(), starts.values.to_numpy()
+    terms, counts = np.frombuffer(terms.as_buffer(), np.uint64).copy(), np.frombuffer(counts.as_buffer(), "<u4").copy()
+    n, most = 8 * matrix.shape[1], np.maximum.reduceat(counts, starts[:-1]).astype(np.int64)
+    return _padded(ids, n, NO_ID), _padded(sizes, n), _padded(np.diff(starts), n), _padded(most, n), terms, counts, matrix
+
+
+def _side_by_side(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[np.ndarray, ...]]]:
+    """Stored blocks of as many rows, in lists of about ``BLOCK_BITS``."""
+    held: dict[int, list] = {}
+    for batch in batches:
+        for i in range(batch.num_rows):
+            part = _part(batch, i)
+            rows = len(part[-1])
+            mine = held.setdefault(rows, [])
+            mine.append(part)
+            if sum(len(ids) for ids, *_ in mine) >= min(MOST_DOCS, BLOCK_BITS // rows):
+                yield held.pop(rows)
+    while held:
+        yield held.popitem()[1]
+
+
 def _searched(shipped, n_docs: int, n_terms: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = [_Item(number, terms, weights, k) for number, terms, weights in shipped.value if len(terms)]
-        for batch in batches:
-            for row in batch.to_pylist():
-                sizes, starts = row["sizes"], np.array(row["starts"])
-                terms, counts = np.frombuffer(row["terms"], np.uint64), np.frombuffer(row["counts"], "<u4").astype(np.int64)
-                slices = np.frombuffer(row["slices"], np.uint8).reshape(row["rows"], -1)
-                # A null id stands behind all others among equal scores.
-                ids = np.array([NO_ID if i is None else i for i in row["ids"]])
-                m = np.array([75 + (25 * n * n_docs) // n_terms for n in sizes], np.int64)
-                most = np.maximum.reduceat(counts, starts[:-1])
-                # Level i promises at most as many as one below the next level, and never more than the document's most.
-                tops = [np.minimum(most, level - 1) for level in LEVELS[1:]] + [most]
-                shares = np.stack([share(np.maximum(top, 1), m) for top in tops])
-                steps = np.maximum(np.diff(shares, axis=0, prepend=0), 0).astype(np.float64)
-                for item in items:
-                    bounds = item.bounds(slices, steps)
-                    left = np.flatnonzero(bounds >= item.floor)
-                    left = left[np.argsort(-bounds[left], kind="stable")]
-                    while len(left):
-                        now, left = left[:RESCORED], left[RESCORED:]
-                        item.take(item.exact(now, starts, terms, counts, m), ids[now])
-                        left = left[bounds[left] >= item.floor]
+        for parts in _side_by_side(batches):
+            ids, sizes, lengths, most, terms, counts = (np.concatenate(values) for values in list(zip(*parts))[:-1])
+            slices = np.concatenate([matrix for *_, matrix in parts], 1)
+            starts, there = np.append(0, np.cumsum(lengths)), sizes > 0
+            m = np.array([75 + (25 * n * n_docs) // n_terms for n in sizes.tolist()], np.int64)
+            # Level i promises at most as many as one below the next level, and never more than the document's most.
+            tops = [np.minimum(most, level - 1) for level in LEVELS[1:]] + [most]
+            shares = np.stack([share(np.maximum(top, 1), m) for top in tops])
+            steps = np.maximum(np.diff(shares, axis=0, prepend=0), 0).astype(np.float64)
+            for item in items:
+                bounds = item.bounds(slices, steps)
+                left = np.flatnonzero((bounds >= item.floor) & there)
+                left = left[np.argsort(-bounds[left], kind="stable")]
+                while len(left):
+                    now, left = left[:RESCORED], left[RESCORED:]
+                    item.take(item.exact(now, starts, terms, counts, m), ids[now])
+                    left = left[bounds[left] >= item.floor]
         part = TaskContext.get().partitionId()
         for item in items:
             n = len(item.ids)
@@ -249,8 +284,8 @@ def _frequencies(shipped):
         wanted = np.frombuffer(shipped.value, np.uint64)
         total = np.zeros(len(wanted), np.int64)
         for batch in batches:
-            for data in batch.column(0):
-                terms = np.frombuffer(data.as_buffer(), np.uint64)
+            if batch.num_rows:
+                terms = np.concatenate([np.frombuffer(data.as_buffer(), np.uint64) for data in batch.column(0)])
                 place = np.minimum(np.searchsorted(wanted, terms), len(wanted) - 1)
                 total += np.bincount(place[wanted[place] == terms], minlength=len(wanted))
         held = np.flatnonzero(total)
@@ -273,6 +308,7 @@ def search(indexed: DataFrame, items: DataFrame, k: int = 20) -> DataFrame:
     ``k`` best documents per item, and these are ranked at the end, in two rounds so that no task ranks all of an item's rows.
     """
     spark = indexed.sparkSession
+    small_batches(spark, "4m")
     n_docs, n_terms = indexed.select(
         F.coalesce(F.sum(F.size("ids").cast("long")), F.lit(0)),
         F.coalesce(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda total, n: total + n)), F.lit(0)),

@@ -19,11 +19,12 @@ WHITE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 BLOCK_BYTES = 1 << 19
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` below the shared scratch folder and read it back: lineage ends here and survives executors."""
+def stored(df: DataFrame, purpose: str, options: dict | None = None) -> DataFrame:
+    """Write ``df`` below the shared scratch folder and read it back: lineage ends here and survives executors. ``options`` are
+    those of the files."""
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

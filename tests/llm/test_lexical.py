@@ -101,3 +101,16 @@ def test_documents_are_excluded_by_bounds_alone(spark, monkeypatch):
     pruned = rows_of(lexical.ranked(docs, items, 5))
     monkeypatch.setattr(lexical._Item, "bounds", lambda self, slices, steps: np.full(steps.shape[1], 1e18))
     assert rows_of(lexical.ranked(docs, items, 5)) == pruned
+
+
+def test_rows_of_the_index_stay_small_and_are_searched_side_by_side(spark):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 50_000, rng.choice([5, 300, 2500]))) for _ in range(1500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = lexical.index(docs).collect()
+    assert max(len(r["terms"]) + len(r["counts"]) + len(r["slices"]) + 16 * len(r["ids"]) for r in rows) < 1 << 19
+    assert sum(len(r["ids"]) for r in rows) == 1500
+    batches = lexical.index(docs).toArrow().to_batches()
+    together = list(lexical._side_by_side(iter(batches)))
+    assert len(together) < len(rows) // 4
+    assert sorted(i for parts in together for ids, sizes, *_ in parts for i in ids[sizes > 0].tolist()) == list(range(1500))
