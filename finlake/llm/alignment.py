@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlake.llm.shared import Remembered, blocks, slices, small_batches, stored, text_bytes, trim
@@ -36,6 +36,8 @@ JOINED_PAIRS = 1 << 21
 COUNTED_PAIRS = 1 << 21
 #: The corpus-wide table of pairs (17 bytes a row) is broadcast up to so many rows; a larger one is joined by exchange.
 BROADCAST_PAIRS = 4_000_000
+#: Bytes of a row group of the stored alignment, which a task holds while it writes.
+ROW_GROUP = 8 << 20
 SPACE, BREAK = 32, 10
 MARK = "▁"
 ROW_BITS = 33
@@ -294,7 +296,7 @@ def aligned(docs: DataFrame, bpe_path: str, pieces_path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([rows, batch.column(0).slice(first, end - first), *columns], names=_ALIGNED_NAMES)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stored(rows.mapInArrow(run, ALIGNED), "aligned")
+    return stored(rows.mapInArrow(run, ALIGNED), "aligned", {"parquet.block.size": ROW_GROUP})
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,25 +322,59 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from merged().to_batches()
 
 
+def _best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(pair, n, best)`` from parts of the pairs' numbers in order of pair. What waits for its end is one byte-level id's pairs,
+    at most as many as the other vocabulary has ids."""
+    pair, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def told(pair: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        first = _firsts(pair >> 32)
+        most = np.repeat(np.maximum.reduceat(n, first), np.diff(np.append(first, len(n))))
+        return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n), pa.array(n == most)], names=["pair", "n", "best"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        pair, n = np.concatenate([pair, batch.column(0).to_numpy()]), np.concatenate([n, batch.column(1).to_numpy()])
+        first = _firsts(pair)
+        pair, n = pair[first], np.add.reduceat(n, first)
+        open_id = int(np.searchsorted(pair, pair[-1] >> 32 << 32))
+        if open_id:
+            yield told(pair[:open_id], n[:open_id])
+        pair, n = pair[open_id:], n[open_id:]
+    if len(pair):
+        yield told(pair, n)
+
+
+def _firsts(values: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+
+
 def pair_counts(alignment: DataFrame) -> DataFrame:
     """The stored corpus-wide table ``(pair, n, best)``: documents that hold a pair linked, and whether no pair of the same
-    byte-level id has more. The pairs of one id are at most the other vocabulary, which bounds the window."""
-    counted = alignment.select("pairs").mapInArrow(_counted, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    own = Window.partitionBy(F.shiftright("pair", 32))
-    return stored(counted.select("pair", "n", (F.col("n") == F.max("n").over(own)).alias("best")), "pair-counts")
+    byte-level id has more. The tasks' numbers are exchanged once, by that id, and summed up in order of pair."""
+    counted = alignment.select("pairs").mapInArrow(_counted, "pair long, n long")
+    ordered = counted.repartition(F.shiftright("pair", 32)).sortWithinPartitions("pair")
+    return stored(ordered.mapInArrow(_best, "pair long, n long, best boolean"), "pair-counts")
 
 
 def summed(alignment: DataFrame, counts: DataFrame, broadcast_rows: int = BROADCAST_PAIRS) -> DataFrame:
-    """``(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256)`` per row of a stored alignment."""
-    links = alignment.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("link")).select(
-        "row", F.col("link.pairs").alias("pair"), F.col("link.times").alias("times")
-    )
+    """``(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256)`` per row of a stored alignment.
+
+    Where the table of pairs is broadcast, a row's links never leave its task before they are summed up, and its other columns go
+    with them. Otherwise links are exchanged, as narrow as they can be, and their sums joined to the rows."""
     small = counts.count() <= broadcast_rows
-    sums = links.join(F.broadcast(counts) if small else counts.hint("merge"), "pair").groupBy("row").agg(
+    own = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
+    keys = own if small else ["row"]
+    links = alignment.select(*keys, F.explode_outer(F.arrays_zip("pairs", "times")).alias("link")).select(
+        *keys, F.col("link.pairs").alias("pair"), F.col("link.times").alias("times")
+    )
+    known = links.join(F.broadcast(counts), "pair", "left") if small else links.join(counts.hint("merge"), "pair")
+    sums = known.groupBy(*keys).agg(
         F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum")
     )
     none = F.lit(0).cast("long")
-    return alignment.join(sums, "row", "left").select(
+    return (sums if small else alignment.join(sums, "row", "left")).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", F.coalesce("n_best", none).alias("n_best"),
         F.coalesce("count_sum", none).alias("count_sum"), "groups_sha256",
     )

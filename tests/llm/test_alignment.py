@@ -115,6 +115,33 @@ def test_counts_handed_on_in_parts(spark, libraries, monkeypatch):
     assert sorted(map(tuple, alignment.pair_counts(stored).collect())) == whole
 
 
+def test_counts_are_summed_up_in_order_of_pair_whatever_the_batches():
+    rng = np.random.default_rng(3)
+    pair = np.sort(rng.integers(0, 6, 400) << 32 | rng.integers(0, 9, 400))
+    n = rng.integers(1, 5, 400)
+    total = Counter()
+    for p, x in zip(pair.tolist(), n.tolist()):
+        total[p] += x
+    most = {a: max(x for p, x in total.items() if p >> 32 == a) for a in {p >> 32 for p in total}}
+    want = [(p, x, x == most[p >> 32]) for p, x in sorted(total.items())]
+    for size in (1, 7, 400):
+        parts = [pa.RecordBatch.from_arrays([pa.array(pair[i: i + size]), pa.array(n[i: i + size])], names=["pair", "n"]) for i in range(0, 400, size)]
+        got = [tuple(row.values()) for batch in alignment._best(iter([parts[0].slice(0, 0), *parts])) for row in batch.to_pylist()]
+        assert got == want
+    assert list(alignment._best(iter([]))) == []
+
+
+def test_broadcast_counts_leave_rows_in_their_tasks(spark):
+    """Links and the other columns are summed up together: no sort, and one exchange of a row per text."""
+    docs = [(i, f"the {i} of {i * 7}") for i in range(40)] + [(40, ""), (None, None)]
+    stored = alignment.aligned(spark.createDataFrame(docs, "doc_id long, text string"), BYTES, PIECES)
+    counts = alignment.pair_counts(stored)
+    sums = alignment.summed(stored, counts)
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Sort [" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert Counter(map(tuple, sums.collect())) == Counter(map(tuple, alignment.summed(stored, counts, broadcast_rows=0).collect()))
+
+
 def test_forgotten_stretches_are_encoded_anew():
     raw = np.frombuffer(b"".join(b"%04d" % (i * i % 700) for i in range(4000)), np.uint8)
     first = np.arange(0, len(raw), 4)
