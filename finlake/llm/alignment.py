@@ -6,7 +6,7 @@ tokens of a row into groups; every token of the one side is linked with every to
 
 A group's tokens are first reduced to distinct ids with their numbers, and a second join on the group makes distinct id pairs with
 their numbers of links, a bounded number at a time; links themselves are never listed. How many documents hold a pair is counted
-per task by ``Table.group_by`` and added up by Spark.
+per task by ``Table.group_by``, exchanged and sorted by Spark, and added up in order of pair.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.shared import Remembered, blocks, slices, small_batches, stored, text_bytes, trim
+from finlake.llm.shared import Remembered, blocks, slices, small_batches, stored, text_bytes, trim, worker_memo
 from finlake.llm.token_files import KIND, Encoder
 
 #: Pieces of texts with odd characters that a worker remembers for the byte-level tokenizer, about 200 bytes each.
@@ -36,6 +36,8 @@ JOINED_PAIRS = 1 << 21
 COUNTED_PAIRS = 1 << 21
 #: The corpus-wide table of pairs (17 bytes a row) is broadcast up to so many rows; a larger one is joined by exchange.
 BROADCAST_PAIRS = 4_000_000
+#: Bytes of texts that are aligned at a time.
+ALIGNED_BYTES = 1 << 18
 #: Bytes of a row group of the stored alignment, which a task holds while it writes.
 ROW_GROUP = 8 << 20
 SPACE, BREAK = 32, 10
@@ -225,6 +227,16 @@ class Aligner:
         # Each id in decimal digits, followed by one of four marks.
         self.shown = Spans([f"{i}{mark}".encode() for i in range(most) for mark in (",", "|", ";", "")])
 
+    @classmethod
+    def of_worker(cls, definition: str, model: bytes) -> Aligner:
+        """The one that this worker process made before, if any: reading both vocabularies anew for each task takes time, and
+        memory that comes back in pieces."""
+        key = f"aligner-{zlib.crc32(definition.encode())}-{len(definition)}-{zlib.crc32(model)}-{len(model)}"
+        memo = worker_memo(key)
+        if "made" not in memo:
+            memo["made"] = cls(definition, model)
+        return memo["made"]
+
     def align(self, texts: pa.Array) -> list[pa.Array]:
         """Columns ``n_a`` to ``times`` of ``ALIGNED`` for whole texts."""
         texts = texts.fill_null("")
@@ -286,10 +298,10 @@ def aligned(docs: DataFrame, bpe_path: str, pieces_path: str) -> DataFrame:
     shipped = context.broadcast((definition, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, number = Aligner(*shipped.value), TaskContext.get().partitionId() << ROW_BITS
+        aligner, number = Aligner.of_worker(*shipped.value), TaskContext.get().partitionId() << ROW_BITS
         for batch in batches:
             _, at = text_bytes(batch.column(1))
-            for first, end, _, _ in blocks(np.zeros(at[-1], np.uint8), at):
+            for first, end, _, _ in blocks(np.zeros(at[-1], np.uint8), at, ALIGNED_BYTES):
                 columns = aligner.align(batch.column(1).slice(first, end - first))
                 rows = pa.array(np.arange(number, number + end - first))
                 number += end - first
@@ -366,9 +378,7 @@ def summed(alignment: DataFrame, counts: DataFrame, broadcast_rows: int = BROADC
     small = counts.count() <= broadcast_rows
     own = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
     keys = own if small else ["row"]
-    links = alignment.select(*keys, F.explode_outer(F.arrays_zip("pairs", "times")).alias("link")).select(
-        *keys, F.col("link.pairs").alias("pair"), F.col("link.times").alias("times")
-    )
+    links = alignment.select(*keys, "times", F.posexplode_outer("pairs").alias("place", "pair")).withColumn("times", F.col("times")[F.col("place")])
     known = links.join(F.broadcast(counts), "pair", "left") if small else links.join(counts.hint("merge"), "pair")
     sums = known.groupBy(*keys).agg(
         F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum")

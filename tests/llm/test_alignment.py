@@ -131,6 +131,12 @@ def test_counts_are_summed_up_in_order_of_pair_whatever_the_batches():
     assert list(alignment._best(iter([]))) == []
 
 
+def test_a_worker_reads_the_vocabularies_once():
+    with open(BYTES, encoding="utf-8") as bpe, open(PIECES, "rb") as pieces:
+        both = bpe.read(), pieces.read()
+    assert alignment.Aligner.of_worker(*both) is alignment.Aligner.of_worker(*both)
+
+
 def test_broadcast_counts_leave_rows_in_their_tasks(spark):
     """Links and the other columns are summed up together: no sort, and one exchange of a row per text."""
     docs = [(i, f"the {i} of {i * 7}") for i in range(40)] + [(40, ""), (None, None)]
