@@ -38,8 +38,12 @@ COUNTED_PAIRS = 1 << 21
 BROADCAST_PAIRS = 4_000_000
 #: Bytes of texts that are aligned at a time.
 ALIGNED_BYTES = 1 << 18
+#: Stored parts of the alignment for each task that sums up what comes from them, which is narrow.
+PARTS_A_TASK = 4
 #: Bytes of a row group of the stored alignment, which a task holds while it writes.
 ROW_GROUP = 8 << 20
+#: Rows that Spark decodes from Parquet at a time: whole texts and lists of pairs can be long, and a task holds them all.
+READ_ROWS = 256
 SPACE, BREAK = 32, 10
 MARK = "▁"
 ROW_BITS = 33
@@ -290,6 +294,7 @@ def aligned(docs: DataFrame, bpe_path: str, pieces_path: str) -> DataFrame:
     """The stored alignment of ``docs (doc_id, text)``, a row per row: ``row`` numbers it, ``pairs`` are its linked id pairs (the
     byte-level id in the upper 32 bits), ``times`` the links of each."""
     small_batches(docs.sparkSession, "4m")
+    docs.sparkSession.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READ_ROWS))
     context = docs.sparkSession.sparkContext
     with open(bpe_path, encoding="utf-8") as file:
         definition = file.read()
@@ -335,8 +340,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(pair, n, best)`` from parts of the pairs' numbers in order of pair. What waits for its end is one byte-level id's pairs,
-    at most as many as the other vocabulary has ids."""
+    """``(pair, n, best)`` from parts of the pairs' numbers in order of pair, or in several runs of such order that share no
+    byte-level id. What waits for its end is one such id's pairs, at most as many as the other vocabulary has ids."""
     pair, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def told(pair: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -350,7 +355,7 @@ def _best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, n = np.concatenate([pair, batch.column(0).to_numpy()]), np.concatenate([n, batch.column(1).to_numpy()])
         first = _firsts(pair)
         pair, n = pair[first], np.add.reduceat(n, first)
-        open_id = int(np.searchsorted(pair, pair[-1] >> 32 << 32))
+        open_id = int(_firsts(pair >> 32)[-1])
         if open_id:
             yield told(pair[:open_id], n[:open_id])
         pair, n = pair[open_id:], n[open_id:]
@@ -362,11 +367,18 @@ def _firsts(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, values[1:] != values[:-1]))
 
 
+def _tasks(alignment: DataFrame) -> int:
+    """How many tasks sum up what comes from a stored alignment, and so how many files they store: all cores', and more as the
+    alignment grows, however many partitions the session gives an exchange."""
+    return max(alignment.sparkSession.sparkContext.defaultParallelism, len(alignment.inputFiles()) // PARTS_A_TASK)
+
+
 def pair_counts(alignment: DataFrame) -> DataFrame:
     """The stored corpus-wide table ``(pair, n, best)``: documents that hold a pair linked, and whether no pair of the same
-    byte-level id has more. The tasks' numbers are exchanged once, by that id, and summed up in order of pair."""
+    byte-level id has more. The tasks' numbers are exchanged once, by that id, and summed up in order of pair, several partitions
+    of the exchange by a task, one after the other."""
     counted = alignment.select("pairs").mapInArrow(_counted, "pair long, n long")
-    ordered = counted.repartition(F.shiftright("pair", 32)).sortWithinPartitions("pair")
+    ordered = counted.repartition(F.shiftright("pair", 32)).sortWithinPartitions("pair").coalesce(_tasks(alignment))
     return stored(ordered.mapInArrow(_best, "pair long, n long, best boolean"), "pair-counts")
 
 
@@ -387,7 +399,7 @@ def summed(alignment: DataFrame, counts: DataFrame, broadcast_rows: int = BROADC
     return (sums if small else alignment.join(sums, "row", "left")).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", F.coalesce("n_best", none).alias("n_best"),
         F.coalesce("count_sum", none).alias("count_sum"), "groups_sha256",
-    )
+    ).coalesce(_tasks(alignment))
 
 
 def alignments(docs: DataFrame, bpe_path: str, pieces_path: str) -> DataFrame:

@@ -131,6 +131,64 @@ def test_counts_are_summed_up_in_order_of_pair_whatever_the_batches():
     assert list(alignment._best(iter([]))) == []
 
 
+def test_runs_in_order_of_pair_one_after_the_other():
+    """Partitions of the exchange share no byte-level id; a task takes several of them, an earlier id may come later."""
+    runs = [[(5, 1), (5, 1), (5, 2), (9, 0)], [(2, 3), (7, 1), (7, 1)], [], [(1, 1), (1, 2), (1, 2), (8, 4)]]
+    pair = np.array([a << 32 | b for run in runs for a, b in run])
+    n = np.arange(1, len(pair) + 1)
+    total = Counter()
+    for p, x in zip(pair.tolist(), n.tolist()):
+        total[p] += x
+    most = {a: max(x for p, x in total.items() if p >> 32 == a) for a in {p >> 32 for p in total}}
+    for size in (1, 2, 3, 5, len(pair)):
+        parts = [pa.RecordBatch.from_arrays([pa.array(pair[i: i + size]), pa.array(n[i: i + size])], names=["pair", "n"]) for i in range(0, len(pair), size)]
+        told = list(alignment._best(iter(parts)))
+        got = [tuple(row.values()) for batch in told for row in batch.to_pylist()]
+        assert size > 1 or len(told) == len(most)  # each id's pairs leave when the next id comes
+        assert sorted(got) == [(p, x, x == most[p >> 32]) for p, x in sorted(total.items())]
+
+
+@pytest.fixture()
+def many_partitions(spark):
+    """Exchanges of 64 partitions, none merged, as a session may plan them."""
+    wanted = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_files_are_as_few_as_the_alignment_needs(spark, libraries, many_partitions):
+    """Each file that an executor's JVM stores may fork children of it, so partitions of a few rows do not make files."""
+    docs = [(i, f"the {i} of {i * 7} and " + "x" * (i % 5)) for i in range(200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    stored = alignment.aligned(df, BYTES, PIECES)
+    counts = alignment.pair_counts(stored)
+    tasks = spark.sparkContext.defaultParallelism
+    assert len(stored.inputFiles()) == 3 and len(counts.inputFiles()) <= tasks
+    for broadcast_rows in (0, alignment.BROADCAST_PAIRS):
+        sums = alignment.summed(stored, counts, broadcast_rows)
+        assert sums.rdd.getNumPartitions() <= tasks
+        assert Counter(map(tuple, sums.collect())) == corpus_rows(libraries, docs)
+
+
+def test_more_parts_of_the_alignment_are_summed_up_by_more_tasks(spark, many_partitions, monkeypatch):
+    df = spark.createDataFrame([(i, f"the {i}") for i in range(80)], "doc_id long, text string").repartition(20)
+    stored = alignment.aligned(df, BYTES, PIECES)
+    monkeypatch.setattr(alignment, "PARTS_A_TASK", 1)
+    assert alignment._tasks(stored) == len(stored.inputFiles()) == 20 > spark.sparkContext.defaultParallelism
+    assert alignment.summed(stored, alignment.pair_counts(stored)).rdd.getNumPartitions() == 20
+
+
+def test_few_rows_are_decoded_at_a_time(spark):
+    """A task holds the texts and lists of pairs of so many rows as arrays of the JVM."""
+    spark.conf.unset("spark.sql.parquet.columnarReaderBatchSize")
+    alignment.aligned(spark.createDataFrame([(1, "a")], "doc_id long, text string"), BYTES, PIECES)
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) == alignment.READ_ROWS <= 512
+
+
 def test_a_worker_reads_the_vocabularies_once():
     with open(BYTES, encoding="utf-8") as bpe, open(PIECES, "rb") as pieces:
         both = bpe.read(), pieces.read()
